@@ -67,7 +67,7 @@ def percent_rank_by(df: DataFrame, column: str, name: str, limit: int = GROUP_LI
     Ranks follow from a table of value counts: a value's rank is one more than
     the number of smaller values. ``df`` is read twice, so pass a stored frame.
     """
-    values = df.groupBy(column).agg(F.count(F.lit(1)).alias("_n"))
+    values = materialize(df.groupBy(column).agg(F.count(F.lit(1)).alias("_n")), "value-counts")
     # ascending with NULL last, as in a plain ordered window
     below = running_sum(values, [], [F.col(column).asc_nulls_last()], "_n", "_upto", limit)
     rows = values.agg(F.sum("_n")).scalar()
@@ -190,12 +190,9 @@ def visit_periods(
     Rows of one key and time are peers, so they are added up before the running
     sum; this also removes ties.
     """
-    moments = (
-        events.filter(item | marker)
-        .groupBy(key, order)
-        .agg(F.count_if(item).alias("items"), F.count_if(marker).alias("markers"))
-    )
-    return running_sum(moments, [key], [F.col(order).desc()], "markers", "period", limit)
+    wanted = events.filter(item | marker)
+    moments = wanted.groupBy(key, order).agg(F.count_if(item).alias("items"), F.count_if(marker).alias("markers"))
+    return running_sum(moments, [key], [F.col(order).desc()], "markers", "period", limit, source=wanted)
 
 
 def count_between(

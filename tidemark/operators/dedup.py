@@ -1,8 +1,8 @@
 """Keeping one row per key, and loads that merge into an existing table.
 
-``row_number() <= 1`` and ``rank() <= 1`` filters are planned with a group
-limit before the shuffle, so each map task sends at most one row (or the ties)
-per key and a hot key does not collect its rows in one task.
+``row_number() = 1`` and ``rank() = 1`` filters are planned with a group limit
+before the shuffle: each map task sends one row per key (or the ties), so a hot
+key does not collect its rows in one task.
 """
 
 from __future__ import annotations
@@ -10,18 +10,27 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 
-def _top(df: DataFrame, key: list[str], order: list[Column], rank: Column) -> DataFrame:
+SALTS = 16
+
+
+def first_per_key(df: DataFrame, key: list[str], order: list[Column]) -> DataFrame:
+    """First row of each key in ``order``."""
     w = Window.partitionBy(*key).orderBy(*order)
-    return df.withColumn("_rank", rank.over(w)).filter(F.col("_rank") == 1).drop("_rank")
+    return df.withColumn("_rank", F.row_number().over(w)).filter(F.col("_rank") == 1).drop("_rank")
 
 
-def first_per_key(df: DataFrame, key: list[str], order: list[Column], ties: str = "one") -> DataFrame:
-    """First row of each key in ``order``; with ``ties='all'`` every row equal to it."""
-    if ties == "one":
-        return _top(df, key, order, F.row_number())
-    if ties == "all":
-        return _top(df, key, order, F.rank())
-    raise ValueError("ties is 'one' or 'all'")
+def latest_with_ties(df: DataFrame, key: str, by: str) -> DataFrame:
+    """All rows at the greatest ``by`` of their key; NULL counts as least.
+
+    However many rows tie, no task holds them all: candidates are the latest rows
+    of each salted part of a key, and join the key's maximum by key and time.
+    """
+    salt = F.pmod(F.xxhash64(*df.columns), F.lit(SALTS))
+    w = Window.partitionBy(key, "_salt").orderBy(F.col(by).desc_nulls_last())
+    candidates = df.withColumn("_salt", salt).withColumn("_rank", F.rank().over(w)).filter(F.col("_rank") == 1)
+    latest = df.groupBy(F.col(key).alias("_key")).agg(F.max(by).alias("_latest"))
+    on = F.col(key).eqNullSafe(F.col("_key")) & F.col(by).eqNullSafe(F.col("_latest"))
+    return candidates.join(latest, on, "left_semi").select(*df.columns)
 
 
 def overwrite_by_key(df: DataFrame, key: list[str], order: list[str]) -> DataFrame:

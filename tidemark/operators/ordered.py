@@ -36,8 +36,8 @@ def _matched(left: DataFrame, right: DataFrame, names: list[str], how: str) -> D
 def large_keys(df: DataFrame, keys: list[str], limit: int = GROUP_LIMIT) -> DataFrame | None:
     """Keys with more than ``limit`` rows, or None if there are none."""
     sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
-    found = materialize(sizes.filter(F.col("_rows") > limit).select(*keys), "large-keys")
-    return None if found.isEmpty() else found
+    found = sizes.filter(F.col("_rows") > limit).select(*keys)
+    return None if found.isEmpty() else materialize(found, "large-keys")
 
 
 def split_by_size(df: DataFrame, keys: list[str], large: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -73,17 +73,19 @@ def running_sum(
     value: str,
     name: str,
     limit: int = GROUP_LIMIT,
+    source: DataFrame | None = None,
 ) -> DataFrame:
     """Per-key sum of ``value`` up to each row in ``order``; equal rows are peers.
 
-    With no keys the whole frame is one group.
+    With no keys the whole frame is one group. ``source`` is a frame cheaper to
+    count than ``df`` that has at least as many rows of each key.
     """
     def within(frame: DataFrame, group: list[str]) -> DataFrame:
         w = Window.partitionBy(*group).orderBy(*order).rangeBetween(Window.unboundedPreceding, Window.currentRow)
         return frame.withColumn(name, F.sum(value).over(w))
 
     if keys:
-        large = large_keys(df, keys, limit)
+        large = large_keys(df if source is None else source, keys, limit)
         if large is None:
             return within(df, keys)
         small, big = split_by_size(df, keys, large)

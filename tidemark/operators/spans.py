@@ -18,16 +18,26 @@ from tidemark.operators.ordered import (
 SESSION_ORDER = ["start_time", "session_id"]
 
 
-def session_summary(plays: DataFrame, plays_each: Column | None = None) -> DataFrame:
+def session_summary(plays: DataFrame, plays_each: Column | None = None, by_user: bool = False) -> DataFrame:
     """Per (user, session): lowest level, first play and number of plays.
 
     ``plays_each`` sums a prepared count instead of counting ``songplay_id``.
+    With ``by_user`` the result is partitioned by user, ready for windows.
+
+    A minimum over text cannot be kept in a hash aggregate. The level is therefore
+    first a grouping column, so that the raw plays are hashed instead of sorted,
+    and the few rows per session are merged afterwards.
     """
     count = F.count("songplay_id") if plays_each is None else F.sum(plays_each)
-    return plays.groupBy("user_id", "session_id").agg(
+    at_level = plays.groupBy("user_id", "session_id", "level").agg(
+        F.min("start_time").alias("start_time"), count.alias("play_count")
+    )
+    if by_user:
+        at_level = at_level.repartition("user_id")
+    return at_level.groupBy("user_id", "session_id").agg(
         F.min("level").alias("level"),
         F.min("start_time").alias("start_time"),
-        count.alias("play_count"),
+        F.sum("play_count").alias("play_count"),
     )
 
 
@@ -99,10 +109,10 @@ def session_sequence(plays: DataFrame, plays_each: Column | None = None, limit:
     # plays per user bound the sessions per user, and need only one column
     large = large_keys(plays, ["user_id"], limit)
     if large is None:
-        return _ordinary(session_summary(plays, plays_each)).select(*columns)
+        return _ordinary(session_summary(plays, plays_each, by_user=True)).select(*columns)
     small, big = split_by_size(plays, ["user_id"], large)
     return (
-        _ordinary(session_summary(small, plays_each)).select(*columns)
+        _ordinary(session_summary(small, plays_each, by_user=True)).select(*columns)
         .unionByName(_in_pieces(session_summary(big, plays_each)).select(*columns))
     )
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from tidemark.functions.time import calendar_parts, epoch_to_timestamp
-from tidemark.operators.dedup import first_per_key, max_per_key
+from tidemark.operators.dedup import first_per_key, latest_with_ties, max_per_key
 from tidemark.operators.ordered import dense_id, unique_id
 
 PLAY_PAGE = "NextSong"
@@ -82,14 +82,17 @@ def lookup_one(logs: DataFrame, songs: DataFrame, artists: DataFrame) -> DataFra
 
 
 def build_users(events: DataFrame, ties: str = "one") -> DataFrame:
-    """Latest row of each user over all pages."""
-    order = [F.col("ts").desc_nulls_last()]
+    """Latest row of each user over all pages; with ``ties='all'`` every row of the latest time."""
+    details = ["firstName", "lastName", "gender", "level"]
+    users = events.filter(F.col("userId").isNotNull()).select("userId", *details, "ts")
     if ties == "one":
-        order += [F.col(c).asc_nulls_last() for c in ("firstName", "lastName", "gender", "level")]
-    users = events.filter(F.col("userId").isNotNull()).select(
-        "userId", "firstName", "lastName", "gender", "level", "ts"
-    )
-    return first_per_key(users, ["userId"], order, ties).select(
+        order = [F.col("ts").desc_nulls_last(), *[F.col(c).asc_nulls_last() for c in details]]
+        latest = first_per_key(users, ["userId"], order)
+    elif ties == "all":
+        latest = latest_with_ties(users, "userId", "ts")
+    else:
+        raise ValueError("ties is 'one' or 'all'")
+    return latest.select(
         F.col("userId").alias("user_id"),
         F.col("firstName").alias("first_name"),
         F.col("lastName").alias("last_name"),

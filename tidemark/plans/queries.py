@@ -760,18 +760,19 @@ ORDER_CONTRACT = T.StructType([
 ])
 
 
-def _coerced_orders(spark, folder):
+def _staged_orders(spark, folder):
+    """(accepted rows, rejects) of orders under a contract that many of them break."""
     records = table(spark, folder, "orders").select(
         F.to_json(F.struct("o_orderkey", "o_totalprice", "o_orderpriority")).alias("value")
     )
     raw = json_files.by_name(records, ORDER_CONTRACT)
-    return staging.coerce(raw, ORDER_CONTRACT, long_text="reject")
+    return staging.load_staging(raw, ORDER_CONTRACT, budget=None, long_text="reject")
 
 
 @query("""SELECT o_orderkey, CAST(o_totalprice AS INTEGER) AS o_totalprice, o_orderpriority FROM orders
 WHERE o_totalprice = floor(o_totalprice) AND length(o_orderpriority) <= 8""")
 def staging_accepted(spark, folder):
-    return staging.accepted(_coerced_orders(spark, folder))
+    return _staged_orders(spark, folder)[0]
 
 
 ORDER_REJECTS_SQL = f"""
@@ -783,14 +784,14 @@ SELECT 'o_orderpriority', '{staging.TOO_LONG}', count(*) FROM orders WHERE lengt
 
 @query(ORDER_REJECTS_SQL)
 def staging_rejects(spark, folder):
-    bad = staging.rejects(_coerced_orders(spark, folder))
+    bad = _staged_orders(spark, folder)[1]
     return bad.groupBy("colname", "err_reason").agg(F.count(F.lit(1)).alias("errors"))
 
 
 @query(ORDER_REJECTS_SQL)
 def error_report(spark, folder):
     path = scratch_path(spark, "error-report")
-    reports.write_report(reports.error_report(staging.rejects(_coerced_orders(spark, folder))), path)
+    reports.write_report(reports.error_report(_staged_orders(spark, folder)[1]), path)
     stored = spark.read.schema(
         "colname string, part bigint, errors array<struct<err_reason:string,filename:string>>"
     ).json(path)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 
 def read_csv_columns(
@@ -22,12 +22,14 @@ def read_csv_columns(
     return raw.select(*[typed(F.col(c), schema[c].dataType).alias(c) for c in wanted])
 
 
-def typed(value, dtype: T.DataType):
+def typed(value: Column, dtype: T.DataType) -> Column:
     """Cast text, giving NULL where it does not fit; '38' and '38.0' are both integers."""
     if not isinstance(dtype, T.IntegralType):
         return value.try_cast(dtype)
+    # text is read as a decimal, as a failing cast from text to integer is slow
     number = value.try_cast("decimal(38,6)")
-    return F.coalesce(value.try_cast(dtype), F.when(number == F.floor(number), number.try_cast(dtype)))
+    whole = number.try_cast(dtype)
+    return F.when(number == whole, whole)
 
 
 def read_lookup(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:

@@ -32,31 +32,31 @@ def coerce(df: DataFrame, schema: T.StructType, long_text: str = "truncate", uni
     """Type the text columns of ``df`` and list what is wrong with each row in ``_errors``.
 
     Empty text is NULL for columns that are not text. Text over its declared
-    length is cut, or with ``long_text='reject'`` an error.
+    length is cut, or with ``long_text='reject'`` an error. Store the result
+    before taking both its rows and its errors (``load_staging`` does).
     """
     lengths = max_lengths(schema)
-    columns, checks = [], []
+    values, checks, final = {}, [], []
 
     def error(name, reason, found):
         return F.when(found, F.struct(F.lit(name).alias("colname"), F.lit(reason).alias("err_reason")))
 
     for field in schema:
-        value: Column = F.col(field.name)
+        name, raw = field.name, F.col(field.name)
+        value: Column = F.col(f"_v_{name}")
         if isinstance(field.dataType, T.StringType):
-            limit = lengths.get(field.name)
+            limit = lengths.get(name)
+            values[f"_v_{name}"] = raw if limit is None or long_text == "reject" else cut_to_length(raw, limit, unit)
             if limit is not None and long_text == "reject":
-                checks.append(error(field.name, TOO_LONG, too_long(value, limit, unit)))
-            elif limit is not None:
-                value = cut_to_length(value, limit, unit)
+                checks.append(error(name, TOO_LONG, too_long(raw, limit, unit)))
         else:
-            given = F.nullif(F.trim(value), F.lit(""))
-            value = typed(given, field.dataType)
-            checks.append(error(field.name, BAD_VALUE, given.isNotNull() & value.isNull()))
-        columns.append(value.alias(field.name, metadata=field.metadata))
+            values[f"_v_{name}"] = typed(raw, field.dataType)
+            checks.append(error(name, BAD_VALUE, value.isNull() & (F.trim(raw) != "")))
+        final.append(value.alias(name, metadata=field.metadata))
     if CORRUPT in df.columns:
         checks.append(error("", BAD_RECORD, F.col(CORRUPT).isNotNull()))
     kept = [F.col(SOURCE)] if SOURCE in df.columns else []
-    return df.select(*columns, *kept, F.array_compact(F.array(*checks)).alias(ERRORS))
+    return df.withColumns(values).select(*final, *kept, F.array_compact(F.array(*checks)).alias(ERRORS))
 
 
 def accepted(coerced: DataFrame) -> DataFrame:
@@ -82,17 +82,18 @@ def check_budget(rejected: DataFrame, limit: int = 10) -> None:
 def load_staging(
     raw: DataFrame,
     schema: T.StructType,
-    budget: int = 10,
+    budget: int | None = 10,
     long_text: str = "truncate",
     unit: str = "chars",
 ) -> tuple[DataFrame, DataFrame]:
-    """Parse once into a stored table; return (accepted rows, rejects) or raise.
+    """Parse once into a stored table; return (accepted rows, rejects).
 
-    The file name stays available to ``rejects`` but is not part of the rows.
+    Raises when there are ``budget`` errors or more; None sets no budget.
     """
     stored = materialize(coerce(raw, schema, long_text, unit), "staging")
     bad = materialize(rejects(stored), "rejects")
-    check_budget(bad, budget)
+    if budget is not None:
+        check_budget(bad, budget)
     return accepted(stored).select(*schema.names), bad
 
 
