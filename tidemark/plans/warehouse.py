@@ -9,6 +9,7 @@ from tidemark.operators import analytics, quality, spans, star
 from tidemark.sinks.tables import write_partitioned, write_table
 from tidemark.sources.json_files import by_name, map_paths, read_json_records
 from tidemark.sources.staging import load_staging
+from tidemark.storage import materialize
 
 
 def stage_events(spark: SparkSession, path: str, paths: dict[str, str] | None = None, budget: int = 10):
@@ -77,7 +78,8 @@ def check_star(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
 def panels(tables: dict[str, DataFrame], states: DataFrame) -> dict[str, DataFrame]:
     """The data behind each dashboard panel."""
     plays, users, time = tables["songplay"], tables["users"], tables["time"]
-    levels = spans.level_categories(spans.level_spans(plays)).persist()
+    # two panels use the spans
+    levels = materialize(spans.level_categories(spans.level_spans(plays)), "levels")
     return {
         "user_stats": spans.engagement_stats(levels),
         "user_level": analytics.share_by(users, "level"),

@@ -56,7 +56,8 @@ def coerce(df: DataFrame, schema: T.StructType, long_text: str = "truncate", uni
     if CORRUPT in df.columns:
         checks.append(error("", BAD_RECORD, F.col(CORRUPT).isNotNull()))
     kept = [F.col(SOURCE)] if SOURCE in df.columns else []
-    return df.withColumns(values).select(*final, *kept, F.array_compact(F.array(*checks)).alias(ERRORS))
+    errors = F.array_compact(F.array(*checks)).cast("array<struct<colname:string,err_reason:string>>")
+    return df.withColumns(values).select(*final, *kept, errors.alias(ERRORS))
 
 
 def accepted(coerced: DataFrame) -> DataFrame:
