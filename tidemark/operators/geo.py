@@ -61,8 +61,24 @@ def busiest_episode(df: DataFrame) -> DataFrame:
     return counts.orderBy(F.desc("events"), "EPISODE_ID").limit(1)
 
 
+def outer_points(points: np.ndarray) -> np.ndarray:
+    """Drop points clearly inside the polygon of the extremes in eight directions."""
+    x, y = points[:, 0], points[:, 1]
+    ends = [pick(v) for v in (x, y, x + y, x - y) for pick in (np.argmin, np.argmax)]
+    frame = convex_ring(points[ends])
+    if len(frame) < 3:
+        return points
+    margin = 1e-9 * np.ptp(x) * np.ptp(y)
+    inside = np.ones(len(points), dtype=bool)
+    for (ax, ay), (bx, by) in zip(frame, np.roll(frame, -1, axis=0)):
+        inside &= (bx - ax) * (y - ay) - (by - ay) * (x - ax) > margin
+    return points[~inside]
+
+
 def convex_ring(points: np.ndarray) -> np.ndarray:
     """Hull corners, counter-clockwise from the lowest of the leftmost points."""
+    if len(points) > 64:
+        points = outer_points(points)
     ordered = np.unique(points, axis=0)
 
     def side(sequence):
@@ -121,7 +137,7 @@ def hull_by(points: DataFrame, key: str) -> DataFrame:
     """
     extremes = (
         points.groupBy(key, "lon").agg(F.min("lat").alias("_south"), F.max("lat").alias("_north"))
-        .select(key, "lon", F.explode(F.array("_south", "_north")).alias("lat"))
+        .select(key, "lon", F.explode(F.array_distinct(F.array("_south", "_north"))).alias("lat"))
     )
     point_type = T.StructType([points.schema[key], T.StructField("lon", T.DoubleType()), T.StructField("lat", T.DoubleType())])
     corners = extremes.sortWithinPartitions(key).mapInPandas(_corners(key), point_type)
