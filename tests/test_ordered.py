@@ -49,3 +49,13 @@ def test_large_keys(spark):
     assert rows(large) == [("a",)]
     small, big = ordered.split_by_size(df, ["k"], large)
     assert big.count() == a and small.count() == len(data) - a
+
+
+def test_hot_keys_span_pieces(spark):
+    df = spark.range(4000).select(F.when(F.col("id") % 3 == 0, F.col("id")).otherwise(-1).alias("k"), "id")
+    cut = ordered.pieces(df, [F.col("k"), F.col("id")])
+    per_piece = [r["count"] for r in cut.groupBy(ordered.PIECE).count().collect()]
+    assert len(per_piece) == 4 and max(per_piece) < 2000
+    assert cut.filter("k = -1").select(ordered.PIECE).distinct().count() >= 3
+    in_order = [(r["k"], r["id"]) for r in cut.orderBy(ordered.ROW).collect()]
+    assert in_order == sorted(in_order)

@@ -54,6 +54,13 @@ def test_records_survive_file_splits(spark, logs, size):
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
 
 
+def test_other_separators(spark, tmp_path):
+    (tmp_path / "w.json").write_bytes(b'{"a": {"b": 1}}\r\n{"a": {"b": 2}}\r\n')
+    expected = [('{"a": {"b": 1}}',), ('{"a": {"b": 2}}',)]
+    for separator in ("}\n{", "}\r\n{"):
+        assert rows(json_files.read_json_records(spark, str(tmp_path), separator=separator), "value") == expected
+
+
 def test_paths(spark):
     df = spark.createDataFrame([('{"a": "x", "b": {"c": [1, 2]}}', 1), ("oops", 2)], "value string, n int")
     found = json_files.map_paths(df, {"first": "$['a']", "again": "$.a", "deep": "$.b.c[1]"})

@@ -78,7 +78,8 @@ def running_sum(
     """Per-key sum of ``value`` up to each row in ``order``; equal rows are peers.
 
     With no keys the whole frame is one group. ``source`` is a frame cheaper to
-    count than ``df`` that has at least as many rows of each key.
+    count than ``df`` that has at least as many rows of each key. Peers share a
+    piece, so add up rows of equal key and order first where these may be many.
     """
     def within(frame: DataFrame, group: list[str]) -> DataFrame:
         w = Window.partitionBy(*group).orderBy(*order).rangeBetween(Window.unboundedPreceding, Window.currentRow)
@@ -90,8 +91,7 @@ def running_sum(
             return within(df, keys)
         small, big = split_by_size(df, keys, large)
     else:
-        # stops reading as soon as the bound is passed
-        if df.limit(limit + 1).count() <= limit:
+        if df.count() <= limit:
             return within(df, [])
         small, big = None, df
 

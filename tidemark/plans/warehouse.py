@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark import schemas
@@ -43,14 +45,21 @@ def write_lake(tables: dict[str, DataFrame], path: str, artist_directories: bool
     """
     song_keys = ["year", "artist_id"] if artist_directories else ["year"]
     song_sort = ["song_id"] if artist_directories else ["artist_id", "song_id"]
-    write_partitioned(tables["songs"], f"{path}/songs", song_keys, song_sort)
-    write_table(tables["artists"], f"{path}/artists")
-    write_table(tables["users"], f"{path}/users")
-    write_partitioned(tables["time"], f"{path}/time", ["year", "month"], ["start_time"])
     plays = tables["songplay"].drop("songplay_id")
     dated = plays.withColumns({"year": F.year("start_time"), "month": F.month("start_time")})
-    order = ["start_time", "user_id", "session_id"]
-    write_partitioned(dated, f"{path}/songplay", ["year", "month"], order, number="songplay_id")
+    play_sort = ["start_time", "user_id", "session_id"]
+    months = ["year", "month"]
+    writes = [
+        lambda: write_partitioned(dated, f"{path}/songplay", months, play_sort, number="songplay_id"),
+        lambda: write_partitioned(tables["songs"], f"{path}/songs", song_keys, song_sort),
+        lambda: write_table(tables["artists"], f"{path}/artists"),
+        lambda: write_table(tables["users"], f"{path}/users"),
+        lambda: write_partitioned(tables["time"], f"{path}/time", months, ["start_time"]),
+    ]
+    # the tables are independent, so their jobs may share the cluster
+    with ThreadPoolExecutor(len(writes)) as pool:
+        for done in [pool.submit(write) for write in writes]:
+            done.result()
 
 
 def read_lake(spark: SparkSession, path: str) -> dict[str, DataFrame]:

@@ -19,16 +19,22 @@ def read_json_inferred(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.option("recursiveFileLookup", True).json(path)
 
 
-def read_json_records(spark: SparkSession, path: str, glob: str = "*.json") -> DataFrame:
+def read_json_records(
+    spark: SparkSession,
+    path: str,
+    glob: str = "*.json",
+    separator: str = "}\n{",
+) -> DataFrame:
     """Raw record texts (``value``) and their file, whether a record spans one line or many.
 
     '}', line end, '{' occurs only between records: within one, objects are
     separated by commas and text holds no raw line end. It is given to the reader
     as the line separator, so large files still split. Records with other white
-    space between them are separated afterwards.
+    space between them are separated afterwards; where that is the rule, as in
+    large files with CR LF line ends, name it as ``separator``.
     """
     reader = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", glob)
-    texts = reader.text(path, lineSep="}\n{").select("value", F.col("_metadata.file_path").alias(SOURCE))
+    texts = reader.text(path, lineSep=separator).select("value", F.col("_metadata.file_path").alias(SOURCE))
     parts = texts.select(F.explode(F.split("value", r"(?<=\})\s*\n(?=\s*\{)")).alias("value"), SOURCE)
     trimmed = parts.withColumn("value", F.regexp_replace("value", r"^\s+|\s+$", "")).filter(F.col("value") != "")
     return trimmed.withColumn("value", _with_braces(F.col("value")))
