@@ -76,10 +76,12 @@ def test_hot_episode_matches_brute_force(spark, batch):
     data = [(0 if pick.random() < 0.7 else pick.randrange(1, 6), float(pick.randrange(30)), float(pick.randrange(30))) for _ in range(2000)]
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", batch)
     try:
-        df = spark.createDataFrame(data, "k int, lon double, lat double").repartition(4)
+        stray = [(None, 99.0, 99.0)]
+        df = spark.createDataFrame(data + stray, "k int, lon double, lat double").repartition(4)
         found = {r["k"]: [tuple(p) for p in r["ring"]] for r in geo.hull_by(df, "k").collect()}
     finally:
         spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert sorted(found) == list(range(6))
     for k in range(6):
         assert found[k][0] == found[k][-1]
         assert set(found[k]) == brute_corners([p[1:] for p in data if p[0] == k])

@@ -7,6 +7,7 @@ from pyspark.sql import Column, functions as F
 
 def level_category(current: Column, following: Column) -> Column:
     """What became of a span: stayed, upgraded or downgraded."""
+    # The four labels.
     return (
         F.when((current == "free") & (following == "paid"), "Free then Paid")
         .when((current == "paid") & (following == "free"), "Paid then Free")

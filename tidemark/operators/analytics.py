@@ -171,9 +171,10 @@ def distinct_members(df: DataFrame, condition: Column, columns: list[str]) -> Da
     return chosen.agg(F.count(F.lit(1)).alias("members"))
 
 
-def most_frequent(df: DataFrame, column: str, top: int = 1) -> DataFrame:
-    """The ``top`` values by number of rows; equal counts in value order."""
-    counts = df.groupBy(column).agg(F.count(column).alias("count"))
+def most_frequent(df: DataFrame, column: str, top: int = 1, weight: Column | None = None) -> DataFrame:
+    """The ``top`` values by number of rows (or sum of ``weight``); equal counts in value order."""
+    count = F.count(column) if weight is None else F.sum(weight)
+    counts = df.groupBy(column).agg(count.alias("count"))
     return counts.orderBy(F.desc("count"), F.col(column).asc_nulls_last()).limit(top)
 
 

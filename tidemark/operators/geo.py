@@ -107,7 +107,7 @@ def _corners(key: str):
         for batch in batches:
             frame = batch if held is None else pd.concat([held, batch], ignore_index=True)
             last = frame[key].iloc[-1]
-            is_open = frame[key].isna() if pd.isna(last) else frame[key] == last
+            is_open = frame[key] == last
             done, held = frame[~is_open], shrink(frame[is_open])
             if len(done):
                 yield thin(done)
@@ -121,22 +121,22 @@ def _corners(key: str):
         return pd.DataFrame({key: [group[key].iloc[0]] * len(ring), "lon": ring[:, 0], "lat": ring[:, 1]})
 
     def thin(frame: pd.DataFrame) -> pd.DataFrame:
-        sizes = frame.groupby(key, dropna=False)[key].transform("size")
+        sizes = frame.groupby(key)[key].transform("size")
         large = frame[sizes >= 64]
-        return pd.concat([frame[sizes < 64], *[shrink(g) for _, g in large.groupby(key, dropna=False)]])
+        return pd.concat([frame[sizes < 64], *[shrink(g) for _, g in large.groupby(key)]])
 
     return reduce_partition
 
 
 def hull_by(points: DataFrame, key: str) -> DataFrame:
-    """Closed hull ring per key; NULL where the points span no area.
+    """Closed hull ring per key; NULL where the points span no area. Points without a key belong to none.
 
     Three reductions keep hot keys small: the extreme latitudes per longitude
     (no other point can be a corner, and the sums start in the map tasks), the
     corners per partition, and only then the ring of the key.
     """
     extremes = (
-        points.groupBy(key, "lon").agg(F.min("lat").alias("_south"), F.max("lat").alias("_north"))
+        points.filter(F.col(key).isNotNull()).groupBy(key, "lon").agg(F.min("lat").alias("_south"), F.max("lat").alias("_north"))
         .select(key, "lon", F.explode(F.array_distinct(F.array("_south", "_north"))).alias("lat"))
     )
     point_type = T.StructType([points.schema[key], T.StructField("lon", T.DoubleType()), T.StructField("lat", T.DoubleType())])

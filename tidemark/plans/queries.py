@@ -264,9 +264,7 @@ GROUP BY p_brand ORDER BY count DESC, p_brand LIMIT 1""")
 def most_played(spark, folder):
     items = table(spark, folder, "lineitem").groupBy("l_partkey").agg(F.count(F.lit(1)).alias("_n"))
     parts = table(spark, folder, "part").join(items, F.col("p_partkey") == F.col("l_partkey"))
-    # the counts per part are known, so the brands add them up
-    counts = parts.groupBy("p_brand").agg(F.sum("_n").alias("count"))
-    return counts.orderBy(F.desc("count"), "p_brand").limit(1)
+    return analytics.most_frequent(parts, "p_brand", weight=F.col("_n"))
 
 
 @query("SELECT o_custkey, count(*) AS count FROM orders GROUP BY 1 ORDER BY count DESC, o_custkey LIMIT 10")
@@ -333,7 +331,8 @@ def match_songs(spark, folder):
 
 
 @query("""WITH known AS (
-    SELECT s_name AS artist_name, l_partkey, l_extendedprice, min(l_orderkey) AS song_id, min(l_suppkey) AS artist_id
+    SELECT s_name AS artist_name, l_partkey, l_extendedprice, min(CAST(l_orderkey AS VARCHAR)) AS song_id,
+           min(CAST(l_suppkey AS VARCHAR)) AS artist_id
     FROM lineitem JOIN supplier ON s_suppkey = l_suppkey WHERE l_linestatus = 'F' GROUP BY 1, 2, 3
 )
 SELECT l_orderkey, l_linenumber, l.l_partkey, l_shipdate, song_id, artist_id
@@ -347,10 +346,10 @@ def lookup_one(spark, folder):
         F.col("s_name").alias("artist"), F.col("l_partkey").alias("song"), F.col("l_extendedprice").alias("length"),
     )
     songs = items.filter(F.col("l_linestatus") == "F").select(
-        F.col("l_orderkey").alias("song_id"), F.col("l_suppkey").alias("artist_id"),
+        F.col("l_orderkey").cast("string").alias("song_id"), F.col("l_suppkey").cast("string").alias("artist_id"),
         F.col("l_partkey").alias("title"), F.col("l_extendedprice").alias("duration"),
     )
-    artists = suppliers.select(F.col("s_suppkey").alias("artist_id"), F.col("s_name").alias("name"))
+    artists = suppliers.select(F.col("s_suppkey").cast("string").alias("artist_id"), F.col("s_name").alias("name"))
     return star.lookup_one(logs, songs, artists).drop("artist", "song", "length")
 
 
@@ -746,6 +745,19 @@ def json_records(spark, folder):
     return staging.accepted(staging.coerce(raw, TURN_SCHEMA)).select(*TURN_SCHEMA.names)
 
 
+@query("SELECT o_orderstatus AS source, min(o_orderkey) AS o_orderkey FROM orders GROUP BY 1")
+def first_record_per_file(spark, folder):
+    path = scratch_path(spark, "by-status")
+    table(spark, folder, "orders").write.partitionBy("o_orderstatus").json(path)
+    contract = T.StructType([schemas.column("o_orderkey", T.LongType())])
+    raw = json_files.by_name(json_files.read_json_records(spark, path), contract)
+    # a directory may hold several files; it stands for one here
+    status = F.regexp_extract(json_files.SOURCE, "o_orderstatus=([A-Z])/", 1)
+    typed = staging.accepted(staging.coerce(raw.withColumn(json_files.SOURCE, status), contract))
+    first = staging.first_record_per_file(typed, "o_orderkey")
+    return first.select(F.col(json_files.SOURCE).alias("source"), "o_orderkey")
+
+
 @query("""SELECT event_id, CAST(regexp_extract(props, '"k": ([0-9]+)', 1) AS BIGINT) AS k FROM events""")
 def json_paths(spark, folder):
     events = table(spark, folder, "events").select("event_id", F.col("props").alias("value"))

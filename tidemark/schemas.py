@@ -35,6 +35,8 @@ def required_columns(schema: T.StructType) -> list[str]:
     return [f.name for f in schema if not f.nullable]
 
 
+# Names, order, types and declared lengths of the input files and of the star tables.
+
 STAGING_EVENTS = T.StructType([
     text("artist", 256),
     text("auth", 256),

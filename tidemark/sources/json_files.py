@@ -19,35 +19,31 @@ def read_json_inferred(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.option("recursiveFileLookup", True).json(path)
 
 
-def read_json_records(
-    spark: SparkSession,
-    path: str,
-    glob: str = "*.json",
-    separator: str = "}\n{",
-) -> DataFrame:
+def read_json_records(spark: SparkSession, path: str, glob: str = "*.json") -> DataFrame:
     """Raw record texts (``value``) and their file, whether a record spans one line or many.
 
-    '}', line end, '{' occurs only between records: within one, objects are
-    separated by commas and text holds no raw line end. It is given to the reader
-    as the line separator, so large files still split. Records with other white
-    space between them are separated afterwards; where that is the rule, as in
-    large files with CR LF line ends, name it as ``separator``.
+    A brace at the start of a line begins a record. Line end and brace are given
+    to the reader as the line separator, so large files still split, and no file
+    becomes one row. Records whose brace is indented are separated afterwards.
     """
     reader = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", glob)
-    texts = reader.text(path, lineSep=separator).select("value", F.col("_metadata.file_path").alias(SOURCE))
+    texts = reader.text(path, lineSep="\n{").select("value", F.col("_metadata.file_path").alias(SOURCE))
     parts = texts.select(F.explode(F.split("value", r"(?<=\})\s*\n(?=\s*\{)")).alias("value"), SOURCE)
     trimmed = parts.withColumn("value", F.regexp_replace("value", r"^\s+|\s+$", "")).filter(F.col("value") != "")
-    return trimmed.withColumn("value", _with_braces(F.col("value")))
+    # an object starts with a quoted name, so a brace that is there is the record's own
+    opened = F.when(F.col("value").startswith("{"), F.col("value")).otherwise(F.concat(F.lit("{"), "value"))
+    return trimmed.withColumn("value", opened)
 
 
-def _with_braces(value: Column) -> Column:
-    """Give back the outer braces that the separator took."""
-    # an object starts with a quoted name, so a record never starts with two braces
-    opened = F.when(value.startswith("{"), value).otherwise(F.concat(F.lit("{"), value))
+def is_whole_object(value: Column) -> Column:
+    """True for a text whose braces match and enclose it; tells records from fragments and cut-off ends.
+
+    The JSON reader alone accepts anything after the first object.
+    """
     # without escapes a text ends at the next quote; braces inside texts do not count
-    outside = F.regexp_replace(F.regexp_replace(opened, r"\\.", ""), r'"[^"]*"', "")
-    depth = F.regexp_count(outside, F.lit(r"\{")) - F.regexp_count(outside, F.lit(r"\}"))
-    return F.when(depth == 1, F.concat(opened, F.lit("}"))).otherwise(opened)
+    outside = F.regexp_replace(F.regexp_replace(value, r"\\.", ""), r'"[^"]*"', "")
+    matched = F.regexp_count(outside, F.lit(r"\{")) == F.regexp_count(outside, F.lit(r"\}"))
+    return matched & value.startswith("{") & value.endswith("}")
 
 
 def _top_level_name(path: str) -> str | None:
@@ -66,11 +62,17 @@ def map_paths(records: DataFrame, paths: dict[str, str], value: str = "value") -
     """
     top = {c: _top_level_name(p) for c, p in paths.items()}
     fields = T.StructType([T.StructField(n, T.StringType()) for n in dict.fromkeys(n for n in top.values() if n)])
-    parsed = F.from_json(F.col(value), fields.add(CORRUPT, T.StringType()), {"columnNameOfCorruptRecord": CORRUPT})
+    text = F.trim(F.col(value))
+    # fragments are turned into text that no reader accepts
+    parsed = F.from_json(
+        F.when(text.isNull() | is_whole_object(text), text).otherwise(F.concat(F.lit("not an object: "), text)),
+        fields.add(CORRUPT, T.StringType()),
+        {"columnNameOfCorruptRecord": CORRUPT},
+    )
     # a generator keeps the parse from being repeated for every column taken from it
     flat = records.select(*[F.col(c).alias(f"_in_{c}") for c in records.columns], F.inline(F.array(parsed)))
-    text = F.col(f"_in_{value}")
-    columns = [(F.col(top[c]) if top[c] else F.get_json_object(text, p)).alias(c) for c, p in paths.items()]
+    whole = F.when(F.col(CORRUPT).isNull(), F.col(f"_in_{value}"))
+    columns = [(F.col(top[c]) if top[c] else F.get_json_object(whole, p)).alias(c) for c, p in paths.items()]
     others = [F.col(f"_in_{c}").alias(c) for c in records.columns if c != value]
     return flat.select(*columns, CORRUPT, *others)
 
