@@ -8,8 +8,9 @@ each piece is processed on its own, and what a piece needs from its
 predecessors comes from a table of one row per (key, piece).
 
 Every piece boundary is crossed by at most one key, so that table has at most
-(pieces + large keys) rows. Large keys number at most rows / limit. Both are
-safe to broadcast.
+(pieces + large keys) rows, and large keys number at most rows / limit. Both are
+stored, so their sizes are known when the joins with them are planned: Spark
+broadcasts them below its threshold and merges beyond it.
 """
 
 from __future__ import annotations
@@ -27,10 +28,10 @@ PIECE = "_piece"
 
 
 def _matched(left: DataFrame, right: DataFrame, names: list[str], how: str) -> DataFrame:
-    """Join a bounded ``right`` on the named columns, NULL being equal to NULL."""
+    """Join a stored ``right`` on the named columns, NULL being equal to NULL."""
     renamed = right.withColumnsRenamed({n: f"_m_{n}" for n in names})
     on = reduce(lambda a, b: a & b, [F.col(n).eqNullSafe(F.col(f"_m_{n}")) for n in names])
-    return left.join(F.broadcast(renamed), on, how).drop(*[f"_m_{n}" for n in names])
+    return left.join(renamed, on, how).drop(*[f"_m_{n}" for n in names])
 
 
 def large_keys(df: DataFrame, keys: list[str], limit: int = GROUP_LIMIT) -> DataFrame | None:
@@ -62,8 +63,8 @@ def pieces(df: DataFrame, order: list[Column]) -> DataFrame:
 
 
 def join_carry(rows: DataFrame, carry: DataFrame, keys: list[str]) -> DataFrame:
-    """Attach each piece's carry row (bounded, see the module text)."""
-    return _matched(rows, carry, [*keys, PIECE], "left")
+    """Attach each piece's carry row."""
+    return _matched(rows, materialize(carry, "carry"), [*keys, PIECE], "left")
 
 
 def running_sum(
@@ -117,14 +118,14 @@ def dense_id(df: DataFrame, order: list[Column], name: str, start: int = 0) -> D
     """
     cut = pieces(df, order)
     before = Window.orderBy(PIECE).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (
+    carry = (
         cut.groupBy(PIECE).agg(F.count(F.lit(1)).alias("_rows"))
         .withColumn("_before", F.coalesce(F.sum("_rows").over(before), F.lit(0)))
         .drop("_rows")
     )
     position = F.col(ROW) - F.shiftleft(F.col(PIECE).cast("bigint"), 33)
     return (
-        cut.join(F.broadcast(offsets), PIECE)
+        join_carry(cut, carry, [])
         .withColumn(name, position + F.col("_before") + F.lit(start))
         .drop(PIECE, ROW, "_before")
     )

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tidemark.functions.labels import changed, level_category
@@ -100,31 +102,31 @@ def _in_pieces(sessions: DataFrame) -> DataFrame:
     )
 
 
-def session_sequence(plays: DataFrame, plays_each: Column | None = None, limit: int = GROUP_LIMIT) -> DataFrame:
-    """Each session with its number, neighbouring levels, change flag and span id."""
-    columns = [
-        "user_id", "session_id", "level", "start_time", "play_count", "user_session_id",
-        "level_previous", "level_next", "level_change", "user_level_id", "_last_id",
-    ]
+def _sequences(plays: DataFrame, plays_each: Column | None, limit: int) -> list[DataFrame]:
+    """Session sequences of ordinary users and, if there are any, of large ones."""
     # plays per user bound the sessions per user, and need only one column
     large = large_keys(plays, ["user_id"], limit)
     if large is None:
-        return _ordinary(session_summary(plays, plays_each, by_user=True)).select(*columns)
+        return [_ordinary(session_summary(plays, plays_each, by_user=True))]
     small, big = split_by_size(plays, ["user_id"], large)
-    return (
-        _ordinary(session_summary(small, plays_each, by_user=True)).select(*columns)
-        .unionByName(_in_pieces(session_summary(big, plays_each)).select(*columns))
-    )
+    return [
+        _ordinary(session_summary(small, plays_each, by_user=True)),
+        _in_pieces(session_summary(big, plays_each)),
+    ]
 
 
-def level_spans(plays: DataFrame, plays_each: Column | None = None, limit: int = GROUP_LIMIT) -> DataFrame:
-    """One row per user and run of sessions at one level; index 1 is the latest run.
+def session_sequence(plays: DataFrame, plays_each: Column | None = None, limit: int = GROUP_LIMIT) -> DataFrame:
+    """Each session with its number, neighbouring levels, change flag and span id."""
+    columns = [
+        "user_id", "session_id", "level", "start_time", "play_count", "user_session_id",
+        "level_previous", "level_next", "level_change", "user_level_id",
+    ]
+    return reduce(DataFrame.unionByName, [s.select(*columns) for s in _sequences(plays, plays_each, limit)])
 
-    Both day counts are given: ``level_days`` by calendar, ``level_days_elapsed``
-    by whole 24-hour spans.
-    """
+
+def _summarise(sequence: DataFrame) -> DataFrame:
     at = F.col("user_session_id")
-    spans = session_sequence(plays, plays_each, limit).groupBy("user_id", "user_level_id").agg(
+    spans = sequence.groupBy("user_id", "user_level_id").agg(
         F.min_by("level", at).alias("level_current"),
         F.min_by("level_previous", at).alias("level_previous"),
         F.max_by("level_next", at).alias("level_next"),
@@ -148,6 +150,16 @@ def level_spans(plays: DataFrame, plays_each: Column | None = None, limit: int =
     )
 
 
+def level_spans(plays: DataFrame, plays_each: Column | None = None, limit: int = GROUP_LIMIT) -> DataFrame:
+    """One row per user and run of sessions at one level; index 1 is the latest run.
+
+    Both day counts are given: ``level_days`` by calendar, ``level_days_elapsed``
+    by whole 24-hour spans. Sequences are summarised before they are united, as
+    those of ordinary users are already partitioned by user.
+    """
+    return reduce(DataFrame.unionByName, [_summarise(s) for s in _sequences(plays, plays_each, limit)])
+
+
 def level_categories(spans: DataFrame) -> DataFrame:
     """Spans with their label."""
     return spans.withColumn("level_category", level_category(F.col("level_current"), F.col("level_next")))
