@@ -5,13 +5,20 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm import fuse_dedup, sentencepiece_codec
+from tidemark.llm import fuse_dedup, packing, sentencepiece_codec
 from tidemark.llm.common import bucket, table
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 PIECE_BPE = public_tokenizers.path("piece_bpe_32k.model")
 
 
+def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = packing.pack(table(spark, sf_dir, "documents"), BYTE_BPE, greatest=1024)
+    return pieces.select(
+        "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset"
+    )
+
+
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Half of the ids stand for the snapshot, the rest for the incoming batch; all rows are handled."""
     docs = table(spark, sf_dir, "documents")
@@ -28,6 +35,7 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op6_packing": op6_packing,
     "op8_exact_dedup": op8_exact_dedup,
     "op10_sentencepiece": op10_sentencepiece,
 }
