@@ -5,13 +5,17 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm import fuse_dedup, packing, sentencepiece_codec
+from tidemark.llm import fuse_dedup, packing, probminhash, sentencepiece_codec
 from tidemark.llm.common import bucket, table
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 PIECE_BPE = public_tokenizers.path("piece_bpe_32k.model")
 
 
+def op2_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return probminhash.near_duplicates(table(spark, sf_dir, "documents")).drop("node")
+
+
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = packing.pack(table(spark, sf_dir, "documents"), BYTE_BPE, greatest=1024)
     return pieces.select(
@@ -35,6 +39,7 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_minhash": op2_minhash,
     "op6_packing": op6_packing,
     "op8_exact_dedup": op8_exact_dedup,
     "op10_sentencepiece": op10_sentencepiece,
