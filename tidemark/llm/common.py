@@ -25,3 +25,18 @@ def held_out(doc_id: Column, parts: int) -> Column:
 
 def text_of(column: str = "text") -> Column:
     return F.coalesce(F.col(column), F.lit(""))
+
+
+def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, learn_from: Column, sample: int) -> DataFrame:
+    """``doc_id``, ``text`` and ``label`` of at most ``sample`` labelled documents, chosen by a hash of the id.
+
+    Several labels of an id count as the greatest, and of several texts the
+    least is taken. The sample's ids are broadcast, so no text is shuffled to
+    find them.
+    """
+    marked = labels.filter(learn_from & F.col("doc_id").isNotNull() & F.col(label).isNotNull())
+    chosen = marked.groupBy("doc_id").agg(F.max(label).cast("int").alias("label")).orderBy(
+        F.xxhash64("doc_id"), "doc_id"
+    ).limit(sample)
+    met = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
+    return met.groupBy("doc_id").agg(F.min("text").alias("text"), F.first("label").alias("label"))

@@ -5,8 +5,8 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm import fuse_dedup, packing, probminhash, sentencepiece_codec
-from tidemark.llm.common import bucket, table
+from tidemark.llm import fuse_dedup, language, packing, probminhash, quality, sentencepiece_codec, toxicity
+from tidemark.llm.common import bucket, held_out, table
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 PIECE_BPE = public_tokenizers.path("piece_bpe_32k.model")
@@ -16,6 +16,13 @@ def op2_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return probminhash.near_duplicates(table(spark, sf_dir, "documents")).drop("node")
 
 
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, out = table(spark, sf_dir, "documents"), held_out(F.col("doc_id"), 5)
+    model = quality.train(docs, table(spark, sf_dir, "labels"), ~out)
+    scored = docs.select("doc_id", out.alias("held_out"), quality.score(F.col("text"), model).alias("score"))
+    return scored.withColumn("predicted", (F.col("score") >= 0.3).cast("int"))
+
+
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = packing.pack(table(spark, sf_dir, "documents"), BYTE_BPE, greatest=1024)
     return pieces.select(
@@ -23,12 +30,26 @@ def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, out = table(spark, sf_dir, "documents"), held_out(F.col("doc_id"), 5)
+    model = language.learn(docs.filter(~out))
+    found = docs.select("doc_id", out.alias("held_out"), language.predict(F.col("text"), model).alias("r"))
+    return found.select("doc_id", "held_out", "r.lang_pred", "r.score")
+
+
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Half of the ids stand for the snapshot, the rest for the incoming batch; all rows are handled."""
     docs = table(spark, sf_dir, "documents")
     return fuse_dedup.dedup(docs, bucket(F.col("doc_id"), 2) == 0).drop("in_snapshot")
 
 
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, out = table(spark, sf_dir, "documents"), held_out(F.col("doc_id"), 5)
+    model = toxicity.train(docs, table(spark, sf_dir, "labels"), ~out)
+    scored = docs.select("doc_id", out.alias("held_out"), toxicity.score(F.col("text"), model).alias("score"))
+    return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+
+
 def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     encoded = sentencepiece_codec.encode(table(spark, sf_dir, "documents"), PIECE_BPE)
     return encoded.select(
@@ -40,8 +61,11 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op2_minhash": op2_minhash,
+    "op3_quality": op3_quality,
     "op6_packing": op6_packing,
+    "op7_language": op7_language,
     "op8_exact_dedup": op8_exact_dedup,
+    "op9_toxicity": op9_toxicity,
     "op10_sentencepiece": op10_sentencepiece,
 }
 
