@@ -5,7 +5,9 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm import fuse_dedup, language, packing, probminhash, quality, sentencepiece_codec, toxicity
+from tidemark.llm import (
+    fuse_dedup, language, packing, probminhash, quality, quality_rules, sentencepiece_codec, toxicity,
+)
 from tidemark.llm.common import bucket, held_out, table
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -23,6 +25,10 @@ def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.withColumn("predicted", (F.col("score") >= 0.3).cast("int"))
 
 
+def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.measure(table(spark, sf_dir, "documents"))
+
+
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = packing.pack(table(spark, sf_dir, "documents"), BYTE_BPE, greatest=1024)
     return pieces.select(
@@ -62,6 +68,7 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op2_minhash": op2_minhash,
     "op3_quality": op3_quality,
+    "op4_quality_rules": op4_quality_rules,
     "op6_packing": op6_packing,
     "op7_language": op7_language,
     "op8_exact_dedup": op8_exact_dedup,
@@ -69,7 +76,42 @@ QUERIES = {
     "op10_sentencepiece": op10_sentencepiece,
 }
 
+STOP_WORD_LIST = ", ".join(f"'{w}'" for w in quality_rules.STOP_FORMS)
+
+RULES_SQL = rf"""
+    WITH cut AS (
+        SELECT row_number() OVER () AS row, doc_id, coalesce(text, '') AS t,
+               list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS w,
+               list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS l
+        FROM documents
+    ), places AS (
+        SELECT row, w, unnest(range(1, len(w) - 1)) AS p FROM cut WHERE len(w) >= 3
+    ), windows AS (
+        SELECT row, p, count(*) OVER (PARTITION BY row, w[p], w[p + 1], w[p + 2]) AS n FROM places
+    ), covered AS (
+        SELECT row, count(DISTINCT q) AS n
+        FROM (SELECT row, unnest([p, p + 1, p + 2]) AS q FROM windows WHERE n > 1) GROUP BY row
+    ), counted AS (
+        SELECT row, doc_id, len(w) AS n_words,
+               length(regexp_replace(t, '[\x20\x09-\x0D]', '', 'g')) AS word_chars,
+               length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) AS n_symbols,
+               len(l) - len(list_distinct(l)) AS n_dup_lines, len(l) AS n_lines,
+               coalesce(covered.n, 0) AS n_repeat_words,
+               len(list_intersect(w, [{STOP_WORD_LIST}])) AS n_stops,
+               length(t) - length(replace(t, '!', '')) AS n_bangs
+        FROM cut LEFT JOIN covered USING (row)
+    ), judged AS (
+        SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM counted
+    )
+"""
+
 SQL: dict[str, str] = {
+    "op4_quality_rules": RULES_SQL + """
+        SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+               NOT base_failed AND word_chars / n_words BETWEEN 2 AND 14 AND n_symbols / n_words <= 0.1
+                   AND n_stops >= 2 AND n_dup_lines / n_lines <= 0.3 AND n_bangs / n_words <= 0.1 AS kept
+        FROM judged
+    """,
     # the snapshot's ids need crc32, which the SQL side lacks: that column is left to the tests
     "op8_exact_dedup": """
         SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
