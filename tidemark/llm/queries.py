@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.llm import (
-    fuse_dedup, language, packing, probminhash, quality, quality_rules, sentencepiece_codec, toxicity,
+    fuse_dedup, language, line_dedup, packing, probminhash, quality, quality_rules, sentencepiece_codec, toxicity,
 )
 from tidemark.llm.common import bucket, held_out, table
 
@@ -14,6 +14,10 @@ BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 PIECE_BPE = public_tokenizers.path("piece_bpe_32k.model")
 
 
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.dedup_lines(table(spark, sf_dir, "documents")).drop("text_hash")
+
+
 def op2_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return probminhash.near_duplicates(table(spark, sf_dir, "documents")).drop("node")
 
@@ -66,6 +70,7 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_line_dedup": op1_line_dedup,
     "op2_minhash": op2_minhash,
     "op3_quality": op3_quality,
     "op4_quality_rules": op4_quality_rules,
