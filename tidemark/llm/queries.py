@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.llm import (
-    fuse_dedup, language, line_dedup, packing, probminhash, quality, quality_rules, sentencepiece_codec, toxicity,
+    fuse_dedup, language, line_dedup, packing, ppm, probminhash, quality, quality_rules, sentencepiece_codec, toxicity,
 )
 from tidemark.llm.common import bucket, held_out, table
 
@@ -33,6 +33,12 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.measure(table(spark, sf_dir, "documents"))
 
 
+def op5_ppm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, out = table(spark, sf_dir, "documents"), held_out(F.col("doc_id"), 10)
+    model, words = ppm.train(docs, ~out)
+    return ppm.score(docs, model, words).withColumn("held_out", out)
+
+
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = packing.pack(table(spark, sf_dir, "documents"), BYTE_BPE, greatest=1024)
     return pieces.select(
@@ -74,6 +80,7 @@ QUERIES = {
     "op2_minhash": op2_minhash,
     "op3_quality": op3_quality,
     "op4_quality_rules": op4_quality_rules,
+    "op5_ppm": op5_ppm,
     "op6_packing": op6_packing,
     "op7_language": op7_language,
     "op8_exact_dedup": op8_exact_dedup,
