@@ -290,7 +290,7 @@ def score(
                 at = fitted.words.find(hashes)
                 seen = at >= 0
                 logs = fitted.word_log10(fitted.words.values)[at[seen]] if seen.any() else np.zeros(0)
-                base = np.bincount(owner[seen], weights=logs, minlength=n)
+                base = np.bincount(owner[seen], weights=logs, minlength=n).astype(np.float64)
                 base += fitted.word_log10(np.array([fitted.texts]))[0]
                 known = np.bincount(owner[seen], minlength=n) + (fitted.texts > 0)
                 order = np.lexsort((hashes[~seen], owner[~seen]))

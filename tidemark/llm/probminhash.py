@@ -36,7 +36,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemark.llm.common import text_of
 from tidemark.llm.shingles import U, chunks, mix, shingles
@@ -268,6 +268,11 @@ def _cross_links(members: DataFrame, found: DataFrame, features: DataFrame, thre
     return paired.select("l", "r").mapInArrow(compare, "a binary, b binary").distinct()
 
 
+def node_of(text_column: str) -> Column:
+    """The identity of a text: half of its SHA-256."""
+    return F.substring(F.unhex(F.sha2(text_of(text_column).cast("binary"), 256)), 1, 16)
+
+
 def near_duplicates(
     docs: DataFrame,
     id_column: str = "doc_id",
@@ -283,8 +288,7 @@ def near_duplicates(
     its least id's. ``node`` identifies the text.
     """
     source = docs.select(
-        F.col(id_column).alias("id"), F.substring(F.unhex(F.sha2(text_of(text_column).cast("binary"), 256)), 1, 16)
-        .alias("node"), F.col(text_column).alias("text"),
+        F.col(id_column).alias("id"), node_of(text_column).alias("node"), F.col(text_column).alias("text")
     )
     sigs = materialize(signed(source, bands, rows), "signatures")
     texts = sigs.groupBy("node").agg(

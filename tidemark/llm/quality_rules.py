@@ -182,6 +182,9 @@ def measure(
 
 def keep(docs: DataFrame, rules: tuple[Rule, ...] = RULES, text_column: str = "text") -> DataFrame:
     """The rows of ``docs`` that pass, with its columns."""
-    counted = counts(docs, text_column)
+    # a filter would be pushed below the counts, which would then be worked out for each of its terms;
+    # it stays above a column that is not deterministic
+    counted = counts(docs, text_column).withColumn("_q_row", F.monotonically_increasing_id())
     failed = (F.col("_q_n_words") < 50) | (100 * F.col("_q_n_repeat_words") > 50 * F.col("_q_n_words"))
-    return counted.filter(~failed & passes(rules)).select(*[counted[c] for c in docs.columns])
+    kept = counted.filter((F.col("_q_row") >= 0) & ~failed & passes(rules))
+    return kept.select(*[kept[c] for c in docs.columns])

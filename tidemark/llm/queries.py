@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import public_tokenizers
+
+import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.llm import (
@@ -76,6 +78,7 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "pipeline": corpus_pipeline.run,
     "op1_line_dedup": op1_line_dedup,
     "op2_minhash": op2_minhash,
     "op3_quality": op3_quality,
