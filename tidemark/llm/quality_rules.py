@@ -55,7 +55,7 @@ RULES = (
     Rule("mean_word_length", 2.0, 14.0),
     Rule("symbol_share", None, 0.1),
     Rule("stop_words", 2, None),
-    Rule("dup_line_share", None, 0.3),
+    Rule("dup_line_share", None, 0.5),
     Rule("bang_share", None, 0.1),
 )
 

@@ -124,7 +124,7 @@ SQL: dict[str, str] = {
     "op4_quality_rules": RULES_SQL + """
         SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
                NOT base_failed AND word_chars / n_words BETWEEN 2 AND 14 AND n_symbols / n_words <= 0.1
-                   AND n_stops >= 2 AND n_dup_lines / n_lines <= 0.3 AND n_bangs / n_words <= 0.1 AS kept
+                   AND n_stops >= 2 AND n_dup_lines / n_lines <= 0.5 AND n_bangs / n_words <= 0.1 AS kept
         FROM judged
     """,
     # the snapshot's ids need crc32, which the SQL side lacks: that column is left to the tests
