@@ -45,8 +45,7 @@ def test_regions(spark):
     assert rows(every, "abbr", "play_count") == [("CA", 2), ("TX", None)]
 
 
-@pytest.mark.parametrize("limit", [1000, 5])
-def test_percent_rank(spark, limit):
+def test_percent_rank(spark):
     pick = random.Random(4)
     values = [pick.choice([None, *range(20)]) for _ in range(200)]
     df = spark.createDataFrame([(v,) for v in values], "v int")
@@ -54,7 +53,7 @@ def test_percent_rank(spark, limit):
     expected = sorted(
         ((v, order.index(v) / 199) for v in values), key=lambda r: [(x is not None, x) for x in r]
     )
-    assert rows(analytics.percent_rank_by(df, "v", "p", limit)) == expected
+    assert rows(analytics.percent_rank_by(df, "v", "p")) == expected
     assert analytics.percent_rank_by(df.limit(1), "v", "p").first()["p"] == 0.0
 
 
@@ -82,12 +81,11 @@ def test_agents(spark):
     ]
 
 
-@pytest.mark.parametrize("limit", [10_000, 8])
-def test_box_summary(spark, limit):
+def test_box_summary(spark):
     pick = random.Random(8)
     data = [(pick.choice(["a", "b", None]), int(pick.expovariate(0.1)), pick.randrange(9)) for _ in range(400)] + [("c", 7, 7)]
     df = spark.createDataFrame(data, "c string, x bigint, y bigint")
-    found = {(r["c"], r["measure"]): r for r in analytics.box_summary(df, "c", ["x", "y"], limit).collect()}
+    found = {(r["c"], r["measure"]): r for r in analytics.box_summary(df, "c", ["x", "y"]).collect()}
     assert len(found) == 8
     for (c, measure), r in found.items():
         values = np.array([row["xy".index(measure) + 1] for row in data if row[0] == c], float)
@@ -106,12 +104,11 @@ def brute_between(events):
     return sum(counts.values()) / len(counts)
 
 
-@pytest.mark.parametrize("limit", [10_000, 10])
-def test_count_between(spark, limit):
+def test_count_between(spark):
     pick = random.Random(6)
     events = [(0 if pick.random() < 0.5 else pick.randrange(5), pick.choice(["play", "play", "home", "help"]), pick.randrange(80)) for _ in range(400)]
     df = spark.createDataFrame(events, "user bigint, page string, ts bigint")
-    found = analytics.count_between(df, "user", "ts", F.col("page") == "play", F.col("page") == "home", limit).first()
+    found = analytics.count_between(df, "user", "ts", F.col("page") == "play", F.col("page") == "home").first()
     assert found["average"] == pytest.approx(brute_between(events))
     assert found["average_rounded"] == int(found["average"] + 0.5)
 

@@ -16,21 +16,21 @@ def test_logs_to_lake_to_panels(spark, tmp_path):
     logs.mkdir()
     songs.mkdir(parents=True)
     base = dict(auth="In", firstName="K", lastName="S", gender="F", itemInSession=1, level="free", method="PUT",
-                location="Phoenix-Mesa-Scottsdale, AZ", registration=1.0, status=200, userAgent="Chrome on Windows")
-    played = dict(base, page="NextSong", artist="Des'ree", song="You Gotta Be", length=246.30812, sessionId=139, userId="8")
-    events = [dict(played, ts=1541106106796 + 1000 * i) for i in range(5)]
+                location="Oxbow-Teller, ND", registration=1.0, status=200, userAgent="Chrome on Windows")
+    played = dict(base, page="NextSong", artist="The Quays", song="Slow Harbour", length=187.25, sessionId=139, userId="8")
+    events = [dict(played, ts=1533000444555 + 1000 * i) for i in range(5)]
     events += [dict(played, ts=1543700000000, song="Other", level="paid", sessionId=140, userId="9"), dict(base, page="Home", ts=1, userId="")]
     (logs / "e.json").write_text("\n".join(json.dumps(e) for e in events))
-    for i, year in enumerate([1994, 0]):
-        song = dict(song_id=f"S{i}", artist_id="A1", title=["You Gotta Be", "Silent"][i], year=year, duration=246.30812,
-                    artist_name="Des'ree", artist_location="London", artist_latitude=None, artist_longitude=None, num_songs=1)
+    for i, year in enumerate([1987, 0]):
+        song = dict(song_id=f"S{i}", artist_id="A1", title=["Slow Harbour", "Silent"][i], year=year, duration=187.25,
+                    artist_name="The Quays", artist_location="London", artist_latitude=None, artist_longitude=None, num_songs=1)
         (songs / f"{i}.json").write_text(json.dumps(song, indent=2))
     paths = {n: f"$['{n}']" for n in schemas.STAGING_EVENTS.names}
     staged, bad = warehouse.stage_events(spark, str(logs), paths)
     assert (staged.count(), bad.count()) == (7, 0)
     catalogue, _ = warehouse.stage_songs(spark, str(tmp_path / "songs"))
     warehouse.write_lake(warehouse.build_star(staged, catalogue), str(tmp_path / "lake"))
-    assert (tmp_path / "lake" / "songs" / "year=1994" / "artist_id=A1").is_dir()
+    assert (tmp_path / "lake" / "songs" / "year=1987" / "artist_id=A1").is_dir()
     assert (tmp_path / "lake" / "songplay" / "year=2018" / "month=12").is_dir()
 
     star = warehouse.read_lake(spark, str(tmp_path / "lake"))
@@ -39,9 +39,9 @@ def test_logs_to_lake_to_panels(spark, tmp_path):
     assert rows(checks.pop("keys")) == [("artists", 0, 1), ("songplay", 0, 6), ("songs", 0, 2), ("time", 0, 6), ("users", 0, 2)]
     assert all(report.isEmpty() for report in checks.values())
 
-    states = spark.createDataFrame([(4, "AZ", "Arizona")], schemas.STATE_LOOKUP)
+    states = spark.createDataFrame([(4, "ND", "North Dakota")], schemas.STATE_LOOKUP)
     panels = warehouse.panels(star, states)
-    assert rows(panels["play_location"]) == [("AZ", 4, "Arizona", 6)]
+    assert rows(panels["play_location"]) == [("ND", 4, "North Dakota", 6)]
     assert rows(panels["user_agent"]) == [("Windows", "Chrome", 6)]
     assert rows(panels["play_level"]) == [("free", 5 / 6), ("paid", 1 / 6)]
     assert panels["user_stats"].first()["users"] == 2

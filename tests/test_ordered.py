@@ -13,20 +13,18 @@ def sample(spark, seed=0, n=300):
     return spark.createDataFrame(data, "k string, o int, v int"), data
 
 
-@pytest.mark.parametrize("limit", [10_000, 50, 0])
-def test_running_sum_per_key(spark, limit):
+def test_running_sum_per_key(spark):
     df, data = sample(spark)
     expected = sorted(
         ((k, o, v, sum(w for j, p, w in data if j == k and p <= o)) for k, o, v in data),
         key=lambda r: [(x is not None, x) for x in r],
     )
-    assert rows(ordered.running_sum(df, ["k"], [F.col("o")], "v", "s", limit)) == expected
+    assert rows(ordered.running_sum(df, ["k"], [F.col("o")], "v", "s")) == expected
 
 
-@pytest.mark.parametrize("limit", [10_000, 10])
-def test_running_sum_of_everything_descending(spark, limit):
+def test_running_sum_of_everything_descending(spark):
     df, data = sample(spark, 3)
-    found = ordered.running_sum(df.select("o", "v"), [], [F.col("o").desc()], "v", "s", limit)
+    found = ordered.running_sum(df.select("o", "v"), [], [F.col("o").desc()], "v", "s")
     assert rows(found) == sorted((o, v, sum(w for _, p, w in data if p >= o)) for _, o, v in data)
 
 
@@ -41,16 +39,6 @@ def test_unique_id(spark):
     assert numbered.select("n").distinct().count() == 100
 
 
-def test_large_keys(spark):
-    df, data = sample(spark)
-    a = sum(1 for k, _, _ in data if k == "a")
-    assert ordered.large_keys(df, ["k"], a) is None
-    large = ordered.large_keys(df, ["k"], a - 1)
-    assert rows(large) == [("a",)]
-    small, big = ordered.split_by_size(df, ["k"], large)
-    assert big.count() == a and small.count() == len(data) - a
-
-
 def test_hot_keys_span_pieces(spark):
     df = spark.range(4000).select(F.when(F.col("id") % 3 == 0, F.col("id")).otherwise(-1).alias("k"), "id")
     cut = ordered.pieces(df, [F.col("k"), F.col("id")])

@@ -2,7 +2,7 @@ import random
 
 import numpy as np
 import pytest
-from pyspark.sql import types as T
+from pyspark.sql import functions as F, types as T
 
 from conftest import rows
 from tidemark import schemas
@@ -57,4 +57,7 @@ def test_orphans_and_summary(spark):
 
 def test_audit(spark, tmp_path):
     audit = quality.load_audit(spark.range(50), lambda df: df.write.parquet(str(tmp_path / "t")))
-    assert audit["rows"] == 50 and audit["files"] is None and audit["seconds"] > 0
+    found = audit.first()
+    assert found["rows"] == 50 and found["files"] is None and found["seconds"] > 0
+    named = spark.range(50).select("id", (F.col("id") % 7).alias("_source"))
+    assert quality.load_audit(named, lambda df: df.write.parquet(str(tmp_path / "u"))).first()["files"] == 7

@@ -1,4 +1,6 @@
 import json
+import time
+from datetime import datetime
 
 import pytest
 from pyspark.sql import functions as F, types as T
@@ -7,6 +9,7 @@ from conftest import rows
 from tidemark import schemas
 from tidemark.functions.text import cut_to_length
 from tidemark.sinks import reports, tables
+from tidemark.streaming.incremental import newer_than
 from tidemark.sources import csv_files, json_files, staging
 
 AGENT = '"Mozilla/5.0 {Macintosh; \\ Intel}" }\n{'
@@ -14,10 +17,10 @@ AGENT = '"Mozilla/5.0 {Macintosh; \\ Intel}" }\n{'
 
 def record(**given):
     base = {
-        "artist": None, "auth": "Logged In", "firstName": "Walter", "gender": "M", "itemInSession": 0,
-        "lastName": "Frye", "length": None, "level": "free", "location": "San Francisco-Oakland-Hayward, CA",
-        "method": "GET", "page": "Home", "registration": 1540919166796.0, "sessionId": 38, "song": None,
-        "status": 200, "ts": 1541105830796, "userAgent": AGENT, "userId": "39",
+        "artist": None, "auth": "Logged In", "firstName": "Odile", "gender": "F", "itemInSession": 0,
+        "lastName": "Marsh", "length": None, "level": "free", "location": "Oxbow-Teller, ND",
+        "method": "GET", "page": "Home", "registration": 1525000111222.0, "sessionId": 4711, "song": None,
+        "status": 200, "ts": 1526000222333, "userAgent": AGENT, "userId": "57",
     }
     return {**base, **given}
 
@@ -26,7 +29,7 @@ def record(**given):
 def logs(tmp_path):
     folder = tmp_path / "logs" / "2018" / "11"
     folder.mkdir(parents=True)
-    lines = [json.dumps(record(), indent=4)] + [json.dumps(record(ts=1541105830797 + i, userId=u)) for i, u in enumerate(["8", "", "x"])]
+    lines = [json.dumps(record(), indent=4)] + [json.dumps(record(ts=1526000222334 + i, userId=u)) for i, u in enumerate(["8", "", "x"])]
     (folder / "a-events.json").write_text("\n".join(lines) + "\n")
     (folder / "b-events.json").write_text(json.dumps(record(status="bad", ts=5)) + "\r\n \n  " + json.dumps(record(level="premium", ts=6)))
     (folder / "c-events.json").write_text('{"ts": 7, "nested": {"deep": {"k": 1}}}\n{"ts": 8, "nested": {"deep": {"k": 2}}}\n{"ts": 9,')
@@ -40,7 +43,7 @@ def test_records_of_any_layout(spark, logs):
     texts = [r["value"] for r in found.collect()]
     assert len(texts) == 9
     parsed = [json.loads(t) for t in texts if t != '{"ts": 9,']
-    assert sorted(p["ts"] for p in parsed) == [5, 6, 7, 8, 1541105830796, 1541105830797, 1541105830798, 1541105830799]
+    assert sorted(p["ts"] for p in parsed) == [5, 6, 7, 8, 1526000222333, 1526000222334, 1526000222335, 1526000222336]
     assert all(p["userAgent"] == AGENT for p in parsed if "userAgent" in p)
     assert found.select(json_files.SOURCE).distinct().count() == 3
 
@@ -56,11 +59,26 @@ def test_records_survive_file_splits(spark, logs, size):
 
 def test_line_ends_and_fragments(spark, tmp_path):
     (tmp_path / "w.json").write_bytes(b'\r\n{"a": {"b": 1}}\r\n{"a": 2}\r\n')
-    # a cut-off number, objects at line starts within a record, and something after a record
+    # objects at line starts within a record, something after a record, and a cut-off number
     (tmp_path / "x.json").write_text('{"a": 3}\n{"a": [\n{"a": 4},\n{"a": 5}\n]}\n{"a": 6} x\n{"a": 154')
     found = json_files.map_paths(json_files.read_json_records(spark, str(tmp_path)), {"a": "$['a']"})
-    assert rows(found.filter("_corrupt is null"), "a") == [("2",), ("3",), ('{"b":1}',)]
-    assert rows(found.filter("_corrupt is not null"), "a") == [(None,)] * 5
+    assert rows(found.filter("_corrupt is null"), "a") == [("2",), ("3",), ('[{"a":4},{"a":5}]',), ('{"b":1}',)]
+    assert rows(found.filter("_corrupt is not null"), "a") == [(None,)] * 2
+
+
+def test_several_records_on_a_line(spark, tmp_path):
+    (tmp_path / "x.json").write_text('{"a": 1}{"a": "}{"}\n{"a": 3} {"a": {"b": [{}, {}]}}\t{"a": 5}\n')
+    found = json_files.map_paths(json_files.read_json_records(spark, str(tmp_path)), {"a": "$['a']"})
+    assert found.filter("_corrupt is not null").count() == 0
+    assert rows(found, "a") == [("1",), ("3",), ("5",), ('{"b":[{},{}]}',), ("}{",)]
+
+
+def test_records_around_a_torn_one(spark, tmp_path):
+    lines = [f'{{"a": {i}, "list": [\n{{"x": {i}}},\n{{"y": 0}}\n]}}' for i in range(30)]
+    (tmp_path / "x.json").write_text("\n".join(lines[:15]) + '\n{"a": 99, "list": [\n' + "\n".join(lines[15:]))
+    found = json_files.map_paths(json_files.read_json_records(spark, str(tmp_path)), {"a": "$['a']"})
+    whole = {r["a"] for r in found.filter("_corrupt is null").collect()}
+    assert {str(i) for i in range(15)} <= whole
 
 
 def test_paths(spark):
@@ -75,7 +93,7 @@ def test_staging_types_and_rejects(spark, logs):
     # an empty number is unknown, not wrong; the decimal registration is a whole number
     assert rows(good, "ts", "userId", "registration") == [
         (7, None, None), (8, None, None),
-        (1541105830796, 39, 1540919166796), (1541105830797, 8, 1540919166796), (1541105830798, None, 1540919166796),
+        (1526000222333, 57, 1525000111222), (1526000222334, 8, 1525000111222), (1526000222335, None, 1525000111222),
     ]
     assert rows(bad, "colname", "err_reason") == [
         ("", staging.BAD_RECORD), ("level", staging.TOO_LONG), ("status", staging.BAD_VALUE), ("userId", staging.BAD_VALUE),
@@ -88,8 +106,9 @@ def test_staging_types_and_rejects(spark, logs):
 
 def test_budget(spark, logs):
     raw = json_files.by_name(json_files.read_json_records(spark, logs), schemas.STAGING_EVENTS)
-    with pytest.raises(staging.TooManyErrors):
+    with pytest.raises(staging.TooManyErrors) as caught:
         staging.load_staging(raw, schemas.STAGING_EVENTS, budget=3)
+    assert caught.value.rejects.count() == 3
     staging.load_staging(raw, schemas.STAGING_EVENTS, budget=4)
 
 
@@ -110,24 +129,24 @@ def test_cut_to_bytes(spark, text):
 
 
 def test_whole_numbers(spark):
-    texts = ["38", "38.0", " 7 ", "", "x", "1.5", "1.540919166796E12", "9223372036854775808", "-9223372036854775808", "40000", None]
+    texts = ["38", "38.0", "38.0000001", "38.00000000000000000001", " 7 ", "", "x", "1.5", "1.525000111222E12", "9223372036854775808", "-9223372036854775808", "40000", None]
     df = spark.createDataFrame([(t,) for t in texts], "v string")
     longs = [r[0] for r in df.select(csv_files.typed(F.col("v"), T.LongType())).collect()]
-    assert longs == [38, 38, 7, None, None, None, 1540919166796, None, -(2**63), 40000, None]
+    assert longs == [38, 38, None, None, 7, None, None, None, 1525000111222, None, -(2**63), 40000, None]
     shorts = [r[0] for r in df.select(csv_files.typed(F.col("v"), T.ShortType())).collect()]
-    assert shorts == [38, 38, 7, None, None, None, None, None, None, None, None]
+    assert shorts == [38, 38, None, None, 7, None, None, None, None, None, None, None, None]
 
 
 def test_csv_columns_and_clean_copy(spark, tmp_path):
     folder = tmp_path / "csv"
     folder.mkdir()
     header = "artist,auth,itemInSession,length,sessionId,userId\n"
-    (folder / "1.csv").write_text(header + 'Faithless,In,4,495.3073,338,50.0\n,In,0,,338,\n')
-    (folder / "2.csv").write_text(header + '"Down, To",In,0,333.7,182,10\n')
+    (folder / "1.csv").write_text(header + 'Northlight,In,4,211.5042,338,50.0\n,In,0,,338,\n')
+    (folder / "2.csv").write_text(header + '"Weird ""Al"", X",In,0,333.7,182,10\n')
     wanted = ["artist", "itemInSession", "length", "sessionId", "userId"]
     found = csv_files.read_csv_columns(spark, str(folder / "*.csv"), schemas.EVENT_CSV, wanted)
     played = found.dropna(subset=["artist"])
-    assert rows(played) == [("Down, To", 0, 333.7, 182, 10), ("Faithless", 4, 495.3073, 338, 50)]
+    assert rows(played) == [("Northlight", 4, 211.5042, 338, 50), ('Weird "Al", X', 0, 333.7, 182, 10)]
     plan = found.select("sessionId")._jdf.queryExecution().executedPlan().toString()
     assert "ReadSchema: struct<sessionId:string>" in plan
     tables.write_csv(played, str(tmp_path / "clean"))
@@ -146,8 +165,8 @@ def test_lookup_and_plain_json(spark, tmp_path):
 
 
 def test_first_record_of_each_file(spark):
-    df = spark.createDataFrame([("f", 2, "b"), ("f", 1, "a"), ("g", 1, "c")], "_source string, n int, value string")
-    assert rows(staging.first_record_per_file(df, "n"), "value") == [("a",), ("c",)]
+    df = spark.createDataFrame([("f", 2, "b"), ("f", 1, "a"), ("g", 1, "c")], "_source string, _place int, value string")
+    assert rows(staging.first_record_per_file(df), "value") == [("a",), ("c",)]
 
 
 def test_error_report(spark, tmp_path):
@@ -160,24 +179,38 @@ def test_error_report(spark, tmp_path):
     assert spark.read.json(str(tmp_path / "r")).count() == 1
 
 
-def test_long_error_lists_continue(spark, monkeypatch):
-    monkeypatch.setattr(reports, "LIST_SIZE", 10)
+def test_long_error_lists_continue(spark):
     log = spark.range(95).select(F.lit("f").alias("filename"), F.lit("c").alias("colname"), F.lit("r").alias("err_reason"))
-    sizes = [len(r["errors"]) for r in reports.error_report(log).collect()]
-    assert sum(sizes) == 95 and max(sizes) <= 14
+    sizes = [len(r["errors"]) for r in reports.error_report(log, parts=10).collect()]
+    assert sum(sizes) == 95 and max(sizes) <= 25 and len(reports.error_report(log).collect()) == 1
 
 
 def test_new_errors(spark):
     log = spark.createDataFrame(
         [("s3://a/x", "2020-01-01"), ("s3://a/y", "2020-01-02"), ("s3://b/z", "2020-01-03")], "filename string, starttime string"
     ).withColumn("starttime", F.col("starttime").cast("timestamp_ntz"))
-    mark = reports.last_error_time(log, "s3://a").first()["starttime"]
-    assert mark.day == 2
+    mark = reports.last_error_time(log, "s3://a")
+    assert mark.first()["starttime"].day == 2
     assert reports.load_errors(log, "s3://a", mark).count() == 0
+    assert reports.load_errors(log, "s3://a", mark.first()["starttime"]).count() == 0
+    assert reports.load_errors(log, "s3://a", "2020-01-01 00:00:00").count() == 1
+    assert reports.load_errors(log, "s3://a", reports.last_error_time(log, "s3://none")).count() == 2
     assert reports.load_errors(log, "s3://a").count() == 2
     assert reports.last_error_time(log, "s3://none").first()["starttime"] is None
 
 
+def test_marks_do_not_depend_on_the_zone_of_python(spark, monkeypatch):
+    log = spark.createDataFrame([(i, f"2020-01-01 {i:02}:00:00") for i in range(24)], "n int, t string").withColumn(
+        "t", F.col("t").cast("timestamp_ntz")
+    )
+    for zone in ("America/New_York", "Asia/Tokyo", "UTC"):
+        monkeypatch.setenv("TZ", zone)
+        time.tzset()
+        assert newer_than(log, "t", datetime(2020, 1, 1, 12)).count() == 11
+    monkeypatch.undo()
+    time.tzset()
+
+
 def test_bound_values(spark):
     df = spark.createDataFrame([("it's",), ("x",)], "v string")
     assert rows(staging.sql_frame(spark, "SELECT v FROM {t} WHERE v = :v", {"v": "it's"}, t=df)) == [("it's",)]

@@ -25,15 +25,15 @@ def songs(spark, *given):
     return spark.createDataFrame([tuple(g.get(n) for n in names) for g in given], schemas.STAGING_SONGS)
 
 
-SONG = dict(song_id="S1", artist_id="A1", title="You Gotta Be", artist_name="Des'ree", duration=246.30812, year=1994)
-PLAY = dict(artist="Des'ree", song="You Gotta Be", length=246.30812, userId=8)
+SONG = dict(song_id="S1", artist_id="A1", title="Slow Harbour", artist_name="The Quays", duration=187.25, year=1987)
+PLAY = dict(artist="The Quays", song="Slow Harbour", length=187.25, userId=8)
 
 
 def test_songplay_keeps_unmatched_plays(spark):
     log = events(
         spark,
         dict(PLAY, ts=DAY + 796),
-        dict(PLAY, length=246.3, ts=DAY + 5000),
+        dict(PLAY, length=187.2, ts=DAY + 5000),
         dict(userId=8, page="Home", ts=DAY),
     )
     facts = star.build_songplay(log, songs(spark, SONG))
@@ -56,9 +56,9 @@ def test_songplay_repeats_with_its_song_and_dense_ids(spark):
 
 def test_lookup_takes_one_match(spark):
     log = events(spark, dict(PLAY, ts=DAY), dict(PLAY, artist="Other", ts=DAY))
-    artists = spark.createDataFrame([("A1", "Des'ree"), ("A2", "Someone")], "artist_id string, name string")
+    artists = spark.createDataFrame([("A1", "The Quays"), ("A2", "Someone")], "artist_id string, name string")
     found = star.lookup_one(log, songs(spark, dict(SONG, song_id="S9"), SONG), artists)
-    assert rows(found, "artist", "song_id", "artist_id") == [("Des'ree", "S1", "A1"), ("Other", None, None)]
+    assert rows(found, "artist", "song_id", "artist_id") == [("Other", None, None), ("The Quays", "S1", "A1")]
 
 
 def test_users_latest_over_all_pages(spark):
@@ -84,13 +84,13 @@ def test_all_ties_of_a_hot_user_survive(spark):
 
 def test_songs_take_independent_maxima(spark):
     found = star.build_songs(songs(spark, dict(SONG, title="A", year=2000), dict(SONG, title="B", year=None)))
-    assert rows(found) == [("S1", "B", "A1", 2000, 246.30812)]
+    assert rows(found) == [("S1", "B", "A1", 2000, 187.25)]
 
 
 def test_artists_by_year_then_play(spark):
     catalogue = songs(
         spark,
-        dict(SONG, artist_location="old", year=1990), dict(SONG, artist_location="new", year=1994),
+        dict(SONG, artist_location="old", year=1980), dict(SONG, artist_location="new", year=1987),
         dict(SONG, artist_location="unknown year", year=None),
         dict(SONG, artist_id="A2", artist_location="silent", title="x", year=2000),
         dict(SONG, artist_id="A2", artist_location="played", year=2000),

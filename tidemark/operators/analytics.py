@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemark.functions.text import BROWSER_RULES, OS_RULES, first_match, region_of
-from tidemark.operators.ordered import GROUP_LIMIT, running_sum
+from tidemark.operators.ordered import running_sum
 from tidemark.storage import materialize
 
 
@@ -61,7 +61,7 @@ def all_regions(lookup: DataFrame, counts: DataFrame, key: str) -> DataFrame:
     return lookup.join(counts, key, "left")
 
 
-def percent_rank_by(df: DataFrame, column: str, name: str, limit: int = GROUP_LIMIT) -> DataFrame:
+def percent_rank_by(df: DataFrame, column: str, name: str) -> DataFrame:
     """Percent rank over the whole frame, without moving its rows to one task.
 
     Ranks follow from a table of value counts: a value's rank is one more than
@@ -69,7 +69,7 @@ def percent_rank_by(df: DataFrame, column: str, name: str, limit: int = GROUP_LI
     """
     values = materialize(df.groupBy(column).agg(F.count(F.lit(1)).alias("_n")), "value-counts")
     # ascending with NULL last, as in a plain ordered window
-    below = running_sum(values, [], [F.col(column).asc_nulls_last()], "_n", "_upto", limit)
+    below = running_sum(values, [], [F.col(column).asc_nulls_last()], "_n", "_upto")
     rows = values.agg(F.sum("_n")).scalar()
     ranks = below.select(
         F.col(column).alias("_value"),
@@ -90,10 +90,10 @@ def user_play_counts(plays: DataFrame, users: DataFrame) -> DataFrame:
     return joined.select("user_id", "level", (F.col("_plays") * F.col("_copies")).alias("playcount"))
 
 
-def top_users(plays: DataFrame, users: DataFrame, cut: float = 0.75, limit: int = GROUP_LIMIT) -> DataFrame:
+def top_users(plays: DataFrame, users: DataFrame, cut: float = 0.75) -> DataFrame:
     """Users at or above the given percent rank by plays, most plays first."""
     counts = materialize(user_play_counts(plays, users), "user-plays")
-    ranked = percent_rank_by(counts, "playcount", "prctile", limit)
+    ranked = percent_rank_by(counts, "playcount", "prctile")
     return (
         ranked.filter(F.col("prctile") >= cut)
         .select("user_id", "level", "playcount", "prctile")
@@ -113,7 +113,7 @@ def agent_matrix(plays: DataFrame) -> DataFrame:
     return label_matrix(plays, labels, "songplay_id")
 
 
-def box_summary(df: DataFrame, by: str, columns: list[str], limit: int = GROUP_LIMIT) -> DataFrame:
+def box_summary(df: DataFrame, by: str, columns: list[str]) -> DataFrame:
     """Exact quartiles and whiskers (furthest values within 1.5 IQR) per category and column.
 
     Works on value counts, so a category of any size needs no task that holds
@@ -122,7 +122,7 @@ def box_summary(df: DataFrame, by: str, columns: list[str], limit: int = GROUP_L
     long = df.unpivot([by], columns, "measure", "value").filter(F.col("value").isNotNull())
     group = [by, "measure"]
     counts = materialize(long.groupBy(*group, "value").agg(F.count(F.lit(1)).alias("_n")), "value-counts")
-    ranked = running_sum(counts, group, [F.col("value")], "_n", "_upto", limit)
+    ranked = running_sum(counts, group, [F.col("value")], "_n", "_upto")
     sizes = counts.groupBy(*group).agg(F.sum("_n").alias("_rows")).withColumnsRenamed({c: f"_g_{c}" for c in group})
 
     def same(prefix):
@@ -184,16 +184,17 @@ def visit_periods(
     order: str,
     item: Column,
     marker: Column,
-    limit: int = GROUP_LIMIT,
 ) -> DataFrame:
     """Items per (key, time) with the number of markers at or after that time.
 
     Rows of one key and time are peers, so they are added up before the running
     sum; this also removes ties.
     """
-    wanted = events.filter(item | marker)
-    moments = wanted.groupBy(key, order).agg(F.count_if(item).alias("items"), F.count_if(marker).alias("markers"))
-    return running_sum(moments, [key], [F.col(order).desc()], "markers", "period", limit, source=wanted)
+    moments = events.filter(item | marker).groupBy(key, order).agg(
+        F.count_if(item).alias("items"), F.count_if(marker).alias("markers")
+    )
+    moments = materialize(moments, "moments")
+    return running_sum(moments, [key], [F.col(order).desc()], "markers", "period")
 
 
 def count_between(
@@ -202,9 +203,8 @@ def count_between(
     order: str,
     item: Column,
     marker: Column,
-    limit: int = GROUP_LIMIT,
 ) -> DataFrame:
     """Average number of items between markers, as is and rounded."""
-    periods = visit_periods(events, key, order, item, marker, limit).filter(F.col("items") > 0)
+    periods = visit_periods(events, key, order, item, marker).filter(F.col("items") > 0)
     counts = periods.groupBy(key, "period").agg(F.sum("items").alias("n"))
     return counts.agg(F.avg("n").alias("average"), F.round(F.avg("n")).cast("bigint").alias("average_rounded"))

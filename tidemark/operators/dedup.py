@@ -7,10 +7,9 @@ key does not collect its rows in one task.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
-
+from functools import reduce
 
-SALTS = 16
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 
 def first_per_key(df: DataFrame, key: list[str], order: list[Column]) -> DataFrame:
@@ -22,15 +21,12 @@ def first_per_key(df: DataFrame, key: list[str], order: list[Column]) -> DataFra
 def latest_with_ties(df: DataFrame, key: str, by: str) -> DataFrame:
     """All rows at the greatest ``by`` of their key; NULL counts as least.
 
-    However many rows tie, no task holds them all: candidates are the latest rows
-    of each salted part of a key, and join the key's maximum by key and time.
+    The keys' maxima are joined back by key and time. However many rows tie, no
+    task has to hold them all: adaptive execution splits the rows' side.
     """
-    salt = F.pmod(F.xxhash64(*df.columns), F.lit(SALTS))
-    w = Window.partitionBy(key, "_salt").orderBy(F.col(by).desc_nulls_last())
-    candidates = df.withColumn("_salt", salt).withColumn("_rank", F.rank().over(w)).filter(F.col("_rank") == 1)
     latest = df.groupBy(F.col(key).alias("_key")).agg(F.max(by).alias("_latest"))
     on = F.col(key).eqNullSafe(F.col("_key")) & F.col(by).eqNullSafe(F.col("_latest"))
-    return candidates.join(latest, on, "left_semi").select(*df.columns)
+    return df.join(latest, on, "left_semi")
 
 
 def overwrite_by_key(df: DataFrame, key: list[str], order: list[str]) -> DataFrame:
@@ -39,13 +35,22 @@ def overwrite_by_key(df: DataFrame, key: list[str], order: list[str]) -> DataFra
 
 
 def insert_ignore(target: DataFrame | None, new: DataFrame, key: list[str], order: list[str]) -> DataFrame:
-    """First write wins: keys present in ``target`` keep their row."""
-    first = first_per_key(new, key, [F.col(c).asc_nulls_last() for c in order])
+    """First write wins: keys present in ``target`` keep their row.
+
+    A key is not NULL in any of its columns, as a primary key forbids it; such
+    rows of ``new`` are left out (``without_key`` returns them).
+    """
+    first = first_per_key(new.dropna(subset=key), key, [F.col(c).asc_nulls_last() for c in order])
     if target is None:
         return first
     return target.unionByName(first.select(*target.columns).join(target.select(*key), key, "left_anti"))
 
 
+def without_key(new: DataFrame, key: list[str]) -> DataFrame:
+    """Rows that loads by key leave out: those with a NULL in the key."""
+    return new.filter(reduce(lambda a, b: a | b, [F.col(k).isNull() for k in key]))
+
+
 def upsert(
     target: DataFrame | None,
     new: DataFrame,
@@ -58,9 +63,10 @@ def upsert(
 
     Within ``new`` the earliest row gives ``keep_first`` and the latest row
     gives ``keep_last``, as if the rows had been written one by one in ``order``.
+    Rows without a key are left out (see ``without_key``).
     """
     at = F.struct(*order)
-    reduced = new.groupBy(key).agg(
+    reduced = new.dropna(subset=[key]).groupBy(key).agg(
         F.min_by(F.struct(*keep_first), at).alias("_first"),
         F.max_by(F.struct(*keep_last), at).alias("_last"),
     )

@@ -1,16 +1,13 @@
 """Ordered work on groups of any size.
 
-A window over ``partitionBy(key)`` puts each group into one task. That is the
-cheapest plan while groups are small, and the wrong one when a single key holds
-much of the data. The operators here keep the plain window for groups up to
-``limit`` rows. Larger groups are range-partitioned by (key, order) into pieces;
-each piece is processed on its own, and what a piece needs from its
-predecessors comes from a table of one row per (key, piece).
+A window over ``partitionBy(key)`` puts each group into one task. The operators
+here range-partition by (key, order) into pieces instead; each piece is processed
+on its own, and what a piece needs from its predecessors comes from a table of
+one row per (key, piece).
 
 Every piece boundary is crossed by at most one key, so that table has at most
-(pieces + large keys) rows, and large keys number at most rows / limit. Both are
-stored, so their sizes are known when the joins with them are planned: Spark
-broadcasts them below its threshold and merges beyond it.
+(pieces + keys) rows. It is stored, so its size is known when the joins with it
+are planned: Spark broadcasts it below its threshold and merges beyond it.
 """
 
 from __future__ import annotations
@@ -21,8 +18,6 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tidemark.storage import materialize
 
-GROUP_LIMIT = 5_000_000
-
 ROW = "_row"
 PIECE = "_piece"
 
@@ -34,18 +29,6 @@ def _matched(left: DataFrame, right: DataFrame, names: list[str], how: str) -> D
     return left.join(renamed, on, how).drop(*[f"_m_{n}" for n in names])
 
 
-def large_keys(df: DataFrame, keys: list[str], limit: int = GROUP_LIMIT) -> DataFrame | None:
-    """Keys with more than ``limit`` rows, or None if there are none."""
-    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
-    found = sizes.filter(F.col("_rows") > limit).select(*keys)
-    return None if found.isEmpty() else materialize(found, "large-keys")
-
-
-def split_by_size(df: DataFrame, keys: list[str], large: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(rows of ordinary keys, rows of large keys)."""
-    return _matched(df, large, keys, "left_anti"), _matched(df, large, keys, "left_semi")
-
-
 def pieces(df: DataFrame, order: list[Column]) -> DataFrame:
     """Range-partition by ``order``, sort, number the rows, and store.
 
@@ -67,48 +50,25 @@ def join_carry(rows: DataFrame, carry: DataFrame, keys: list[str]) -> DataFrame:
     return _matched(rows, materialize(carry, "carry"), [*keys, PIECE], "left")
 
 
-def running_sum(
-    df: DataFrame,
-    keys: list[str],
-    order: list[Column],
-    value: str,
-    name: str,
-    limit: int = GROUP_LIMIT,
-    source: DataFrame | None = None,
-) -> DataFrame:
+def running_sum(df: DataFrame, keys: list[str], order: list[Column], value: str, name: str) -> DataFrame:
     """Per-key sum of ``value`` up to each row in ``order``; equal rows are peers.
 
-    With no keys the whole frame is one group. ``source`` is a frame cheaper to
-    count than ``df`` that has at least as many rows of each key. Peers share a
-    piece, so add up rows of equal key and order first where these may be many.
+    With no keys the whole frame is one group. Peers share a piece, so add up
+    rows of equal key and order first where these may be many.
     """
-    def within(frame: DataFrame, group: list[str]) -> DataFrame:
-        w = Window.partitionBy(*group).orderBy(*order).rangeBetween(Window.unboundedPreceding, Window.currentRow)
-        return frame.withColumn(name, F.sum(value).over(w))
-
-    if keys:
-        large = large_keys(df if source is None else source, keys, limit)
-        if large is None:
-            return within(df, keys)
-        small, big = split_by_size(df, keys, large)
-    else:
-        if df.count() <= limit:
-            return within(df, [])
-        small, big = None, df
-
-    cut = pieces(big, [*[F.col(k) for k in keys], *order])
+    cut = pieces(df, [*[F.col(k) for k in keys], *order])
     before = Window.partitionBy(*keys).orderBy(PIECE).rowsBetween(Window.unboundedPreceding, -1)
     carry = (
         cut.groupBy(*keys, PIECE).agg(F.sum(value).alias("_sum"))
         .withColumn("_before", F.coalesce(F.sum("_sum").over(before), F.lit(0)))
         .drop("_sum")
     )
-    summed = (
-        join_carry(within(cut, [*keys, PIECE]), carry, keys)
+    within = Window.partitionBy(*keys, PIECE).orderBy(*order).rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    return (
+        join_carry(cut.withColumn(name, F.sum(value).over(within)), carry, keys)
         .withColumn(name, F.col(name) + F.col("_before"))
         .drop("_before", ROW, PIECE)
     )
-    return summed if small is None else within(small, keys).unionByName(summed)
 
 
 def dense_id(df: DataFrame, order: list[Column], name: str, start: int = 0) -> DataFrame:

@@ -115,11 +115,17 @@ def summary_by(df: DataFrame, by: list[str], columns: list[str]) -> DataFrame:
     return df.groupBy(*by).agg(*picks)
 
 
-def load_audit(df: DataFrame, write: Callable[[DataFrame], None], source: str = "_source") -> dict:
-    """Run a write and report rows, files and seconds. The numbers come from the write itself."""
+def load_audit(df: DataFrame, write: Callable[[DataFrame], None], source: str = "_source") -> DataFrame:
+    """Run a write and return one row of its files, rows and seconds, to be appended to an audit table.
+
+    Rows are counted in the write itself; files, by ``source`` and exactly, in
+    a pass over that column (NULL where there is none).
+    """
+    spark = df.sparkSession
     seen = Observation("load")
-    files = F.approx_count_distinct(source) if source in df.columns else F.lit(None).cast("bigint")
-    watched = df.observe(seen, F.count(F.lit(1)).alias("rows"), files.alias("files"))
+    watched = df.observe(seen, F.count(F.lit(1)).alias("rows"))
+    files = df.select(source).distinct().count() if source in df.columns else None
     began = time.monotonic()
     write(watched)
-    return {**seen.get, "seconds": time.monotonic() - began}
+    row = (files, seen.get["rows"], time.monotonic() - began)
+    return spark.createDataFrame([row], "files long, rows long, seconds double")

@@ -2,29 +2,20 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tidemark.functions.labels import changed, level_category
 from tidemark.functions.time import calendar_days, elapsed_days
-from tidemark.operators.ordered import (
-    GROUP_LIMIT,
-    PIECE,
-    join_carry,
-    large_keys,
-    pieces,
-    split_by_size,
-)
+from tidemark.operators.ordered import PIECE, join_carry, pieces
+from tidemark.storage import materialize
 
 SESSION_ORDER = ["start_time", "session_id"]
 
 
-def session_summary(plays: DataFrame, plays_each: Column | None = None, by_user: bool = False) -> DataFrame:
+def session_summary(plays: DataFrame, plays_each: Column | None = None) -> DataFrame:
     """Per (user, session): lowest level, first play and number of plays.
 
     ``plays_each`` sums a prepared count instead of counting ``songplay_id``.
-    With ``by_user`` the result is partitioned by user, ready for windows.
 
     A minimum over text cannot be kept in a hash aggregate. The level is therefore
     first a grouping column, so that the raw plays are hashed instead of sorted,
@@ -34,8 +25,6 @@ def session_summary(plays: DataFrame, plays_each: Column | None = None, by_user:
     at_level = plays.groupBy("user_id", "session_id", "level").agg(
         F.min("start_time").alias("start_time"), count.alias("play_count")
     )
-    if by_user:
-        at_level = at_level.repartition("user_id")
     return at_level.groupBy("user_id", "session_id").agg(
         F.min("level").alias("level"),
         F.min("start_time").alias("start_time"),
@@ -59,15 +48,6 @@ def _running(group: list[str]) -> Column:
     return F.sum("level_change").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow))
 
 
-def _ordinary(sessions: DataFrame) -> DataFrame:
-    whole = Window.partitionBy("user_id")
-    return (
-        _sequence(sessions, ["user_id"])
-        .withColumn("user_level_id", _running(["user_id"]))
-        .withColumn("_last_id", F.sum("level_change").over(whole))
-    )
-
-
 def _in_pieces(sessions: DataFrame) -> DataFrame:
     group = ["user_id", PIECE]
     cut = pieces(sessions, [F.col("user_id"), *[F.col(c) for c in SESSION_ORDER]])
@@ -102,26 +82,17 @@ def _in_pieces(sessions: DataFrame) -> DataFrame:
     )
 
 
-def _sequences(plays: DataFrame, plays_each: Column | None, limit: int) -> list[DataFrame]:
-    """Session sequences of ordinary users and, if there are any, of large ones."""
-    # plays per user bound the sessions per user, and need only one column
-    large = large_keys(plays, ["user_id"], limit)
-    if large is None:
-        return [_ordinary(session_summary(plays, plays_each, by_user=True))]
-    small, big = split_by_size(plays, ["user_id"], large)
-    return [
-        _ordinary(session_summary(small, plays_each, by_user=True)),
-        _in_pieces(session_summary(big, plays_each)),
-    ]
+def _sequenced(plays: DataFrame, plays_each: Column | None) -> DataFrame:
+    """The plays are read once: their sessions are stored, and all ordered work is done on these."""
+    return _in_pieces(materialize(session_summary(plays, plays_each), "sessions"))
 
 
-def session_sequence(plays: DataFrame, plays_each: Column | None = None, limit: int = GROUP_LIMIT) -> DataFrame:
+def session_sequence(plays: DataFrame, plays_each: Column | None = None) -> DataFrame:
     """Each session with its number, neighbouring levels, change flag and span id."""
-    columns = [
+    return _sequenced(plays, plays_each).select(
         "user_id", "session_id", "level", "start_time", "play_count", "user_session_id",
         "level_previous", "level_next", "level_change", "user_level_id",
-    ]
-    return reduce(DataFrame.unionByName, [s.select(*columns) for s in _sequences(plays, plays_each, limit)])
+    )
 
 
 def _summarise(sequence: DataFrame) -> DataFrame:
@@ -150,14 +121,13 @@ def _summarise(sequence: DataFrame) -> DataFrame:
     )
 
 
-def level_spans(plays: DataFrame, plays_each: Column | None = None, limit: int = GROUP_LIMIT) -> DataFrame:
+def level_spans(plays: DataFrame, plays_each: Column | None = None) -> DataFrame:
     """One row per user and run of sessions at one level; index 1 is the latest run.
 
     Both day counts are given: ``level_days`` by calendar, ``level_days_elapsed``
-    by whole 24-hour spans. Sequences are summarised before they are united, as
-    those of ordinary users are already partitioned by user.
+    by whole 24-hour spans.
     """
-    return reduce(DataFrame.unionByName, [_summarise(s) for s in _sequences(plays, plays_each, limit)])
+    return _summarise(_sequenced(plays, plays_each))
 
 
 def level_categories(spans: DataFrame) -> DataFrame:

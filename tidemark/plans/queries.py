@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
@@ -64,10 +66,12 @@ def level_spans(spark, folder):
 
 
 @query(f"""WITH {SPANS_SQL}
-SELECT user_id, session_id, level, number AS user_session_id, level_before AS level_previous, level_after AS level_next,
-       CAST(CASE WHEN level <> level_before THEN 1 ELSE 0 END AS BIGINT) AS level_change,
-       CAST(span_id AS BIGINT) AS user_level_id
-FROM grouped""")
+SELECT v.user_id, v.session_id, v.level, v.nth AS user_session_id, b.level AS level_previous, n.level AS level_next,
+       CAST(coalesce(v.level <> b.level, false) AS BIGINT) AS level_change, i.island - 1 AS user_level_id
+FROM placed v
+JOIN in_order i ON i.user_id = v.user_id AND v.nth BETWEEN i.from_nth AND i.to_nth
+LEFT JOIN placed b ON b.user_id = v.user_id AND b.nth = v.nth - 1
+LEFT JOIN placed n ON n.user_id = v.user_id AND n.nth = v.nth + 1""")
 def session_sequence(spark, folder):
     return spans.session_sequence(order_plays(spark, folder), F.col("n")).select(
         "user_id", "session_id", "level", "user_session_id", "level_previous", "level_next",
@@ -588,28 +592,33 @@ def hull_corners(spark, folder):
     )
 
 
-@query(f"""WITH {HULL_SQL}
-SELECT label, 'Feature' AS feature_type, 'Polygon' AS geometry_type, count(*) + 1 AS positions
-FROM (SELECT DISTINCT label, lon, lat FROM edges) GROUP BY label""")
+@query(f"""WITH {HULL_SQL},
+ring AS (
+    SELECT label, lon, lat FROM (SELECT DISTINCT label, lon, lat FROM edges)
+), start AS (
+    SELECT label, min(lon) AS lon, arg_min(lat, [lon, lat]) AS lat FROM ring GROUP BY label
+)
+SELECT ring.label, 'Feature' AS feature_type, 'Polygon' AS geometry_type, ring.lon, ring.lat,
+       CAST(CASE WHEN ring.lon = start.lon AND ring.lat = start.lat THEN 2 ELSE 1 END AS BIGINT) AS times
+FROM ring JOIN start USING (label)""")
 def hull_geojson(spark, folder):
     features = geo.to_geojson(geo.hull_by(label_points(spark, folder), "label"), "label")
     ring = F.from_json(F.get_json_object("feature", "$.geometry.coordinates"), "array<array<array<double>>>")[0]
-    return features.select(
+    positions = features.select(
         "label",
         F.get_json_object("feature", "$.type").alias("feature_type"),
         F.get_json_object("feature", "$.geometry.type").alias("geometry_type"),
-        F.size(ring).cast("bigint").alias("positions"),
-    )
+        F.explode(ring).alias("p"),
+    ).select("label", "feature_type", "geometry_type", F.col("p")[0].alias("lon"), F.col("p")[1].alias("lat"))
+    # the ring closes at the position it starts from
+    return positions.groupBy(*positions.columns).agg(F.count(F.lit(1)).alias("times"))
 
 
-@query("""SELECT label AS "EPISODE_ID", count(*) AS events FROM embeddings
-WHERE embedding[1] IS NOT NULL AND embedding[2] IS NOT NULL GROUP BY 1 ORDER BY events DESC, 1 LIMIT 1""")
+@query(f"""WITH {POINTS_SQL} SELECT label AS "EPISODE_ID", count(*) AS events FROM points
+WHERE lon IS NOT NULL AND lat IS NOT NULL GROUP BY 1 ORDER BY events DESC, 1 LIMIT 1""")
 def busiest_episode(spark, folder):
-    e = F.col("embedding")
-    located = table(spark, folder, "embeddings").select(
-        F.col("label").alias("EPISODE_ID"), e[0].alias("BEGIN_LON"), e[1].alias("BEGIN_LAT")
-    )
-    return geo.busiest_episode(located)
+    points = label_points(spark, folder)
+    return geo.busiest_episode(points.withColumnsRenamed({"label": "EPISODE_ID", "lon": "BEGIN_LON", "lat": "BEGIN_LAT"}))
 
 
 # --- quality ------------------------------------------------------------------------------
@@ -695,12 +704,35 @@ def group_summary(spark, folder):
     return quality.summary_by(table(spark, folder, "lineitem"), ["l_returnflag", "l_linestatus"], ["l_quantity"])
 
 
-@query("SELECT count(*) AS rows FROM orders")
+@query("""SELECT CAST(1 AS BIGINT) AS files, count(*) AS rows, count(*) AS stored FROM orders""")
 def load_audit(spark, folder):
     path = scratch_path(spark, "audited")
-    audit = quality.load_audit(table(spark, folder, "orders"), lambda df: sinks.write_table(df, path))
-    # the audited number beside what is stored
-    return spark.read.parquet(path).agg(F.count(F.lit(1)).alias("rows")).filter(F.col("rows") == audit["rows"])
+    orders = table(spark, folder, "orders").select("*", F.col("_metadata.file_path").alias("_source"))
+    audit = quality.load_audit(orders, lambda df: sinks.write_table(df, path))
+    # the audited numbers beside what is stored
+    stored = spark.read.parquet(path).agg(F.count(F.lit(1)).alias("stored"))
+    return audit.select("files", "rows", stored.scalar().alias("stored"))
+
+
+@query("SELECT 'events' AS table_name, count(*) AS rows FROM events")
+def missing_keys(spark, folder):
+    """Tables that are declared without a key, with their size; staging tables need none."""
+    declared = {
+        "orders": T.StructType([schemas.column("o_orderkey", T.LongType(), key=True)]),
+        "events": T.StructType([schemas.column("event_id", T.LongType())]),
+        "staging_events": T.StructType([schemas.column("event_id", T.LongType())]),
+    }
+    sizes = [
+        table(spark, folder, name).agg(F.count(F.lit(1)).alias("rows")).select(F.lit(name).alias("table_name"), "rows")
+        for name in quality.missing_keys(declared)
+    ]
+    return reduce(DataFrame.unionByName, sizes)
+
+
+@query("SELECT event_id, user_id FROM events WHERE event_type = 'view'")
+def case_insensitive(spark, folder):
+    views = table(spark, folder, "events").filter(F.col("EVENT_TYPE") == "view")
+    return views.select(F.col("Event_Id").alias("event_id"), F.col("USER_ID").alias("user_id"))
 
 
 # --- sources and sinks --------------------------------------------------------------------
@@ -745,17 +777,44 @@ def json_records(spark, folder):
     return staging.accepted(staging.coerce(raw, TURN_SCHEMA)).select(*TURN_SCHEMA.names)
 
 
-@query("SELECT o_orderstatus AS source, min(o_orderkey) AS o_orderkey FROM orders GROUP BY 1")
+@query("SELECT conv_id, turn, role, text FROM conversations")
+def json_concatenated(spark, folder):
+    """Several objects on a line, with and without space between them."""
+    path = scratch_path(spark, "json-concatenated")
+    record = F.to_json(F.struct("conv_id", "turn", "role", "text"))
+    glue = F.when(F.col("conv_id") % 2 == 0, F.lit("")).otherwise(F.lit(" "))
+    lines = table(spark, folder, "conversations").groupBy("conv_id").agg(
+        F.array_join(F.collect_list(F.concat(glue, record)), "").alias("value")
+    )
+    lines.select("value").write.text(path)
+    raw = json_files.by_name(json_files.read_json_records(spark, path, "*.txt"), TURN_SCHEMA)
+    return staging.accepted(staging.coerce(raw, TURN_SCHEMA)).select(*TURN_SCHEMA.names)
+
+
+@query("SELECT conv_id, turn, role FROM conversations")
+def json_nested_lines(spark, folder):
+    """Records that hold a list of objects, each on a line of its own."""
+    path = scratch_path(spark, "json-nested")
+    record = F.to_json(F.struct("conv_id", "turn", "role"))
+    text = F.concat(F.substr(record, F.lit(1), F.length(record) - 1), F.lit(', "list": [\n{"a": 1},\n{"b": "}{"}\n]}'))
+    table(spark, folder, "conversations").select(text.alias("value")).write.text(path)
+    contract = T.StructType([f for f in TURN_SCHEMA if f.name != "text"])
+    raw = json_files.by_name(json_files.read_json_records(spark, path, "*.txt"), contract)
+    return staging.accepted(staging.coerce(raw, contract)).select(*contract.names)
+
+
+@query("""SELECT o_orderstatus AS source, arg_min(o_orderkey, nth) AS o_orderkey
+FROM (SELECT *, row_number() OVER () AS nth FROM orders) GROUP BY 1""")
 def first_record_per_file(spark, folder):
+    """The first order of each status, by its place in the status' own file."""
     path = scratch_path(spark, "by-status")
-    table(spark, folder, "orders").write.partitionBy("o_orderstatus").json(path)
+    for status in ("F", "O", "P"):
+        own = table(spark, folder, "orders").filter(F.col("o_orderstatus") == status)
+        own.coalesce(1).write.json(f"{path}/{status}")
     contract = T.StructType([schemas.column("o_orderkey", T.LongType())])
-    raw = json_files.by_name(json_files.read_json_records(spark, path), contract)
-    # a directory may hold several files; it stands for one here
-    status = F.regexp_extract(json_files.SOURCE, "o_orderstatus=([A-Z])/", 1)
-    typed = staging.accepted(staging.coerce(raw.withColumn(json_files.SOURCE, status), contract))
-    first = staging.first_record_per_file(typed, "o_orderkey")
-    return first.select(F.col(json_files.SOURCE).alias("source"), "o_orderkey")
+    first = staging.first_record_per_file(json_files.read_json_records(spark, path, places=True))
+    typed = staging.accepted(staging.coerce(json_files.by_name(first, contract), contract))
+    return typed.select(F.regexp_extract(json_files.SOURCE, "/([FOP])/[^/]*$", 1).alias("source"), "o_orderkey")
 
 
 @query("""SELECT event_id, CAST(regexp_extract(props, '"k": ([0-9]+)', 1) AS BIGINT) AS k FROM events""")
@@ -819,7 +878,7 @@ def load_errors(spark, folder):
         F.col("event_type").alias("filename"), F.col("event_type").alias("colname"),
         F.col("props").alias("err_reason"), F.col("ts").alias("starttime"),
     )
-    mark = reports.last_error_time(log.filter(F.col("starttime") < ntz("2024-01-20")), "e").first()["starttime"]
+    mark = reports.last_error_time(log.filter(F.col("starttime") < ntz("2024-01-20")), "e")
     new = reports.load_errors(log, "e", mark)
     return new.groupBy("colname").agg(F.count(F.lit(1)).alias("errors"))
 
@@ -839,6 +898,19 @@ def csv_columns(spark, folder):
     return csv_files.read_csv_columns(spark, path, events.schema, ["event_id", "user_id", "value"])
 
 
+@query("""SELECT 'd' || doc_id AS id, text FROM documents
+UNION ALL SELECT 'e' || event_id, props FROM events""")
+def csv_quoted(spark, folder):
+    """Texts with line ends and quotes, in files whose headers differ in order."""
+    path = scratch_path(spark, "csv-quoted")
+    docs = table(spark, folder, "documents").select(F.concat(F.lit("d"), "doc_id").alias("id"), "text")
+    events = table(spark, folder, "events").select(F.col("props").alias("text"), F.concat(F.lit("e"), "event_id").alias("id"))
+    sinks.write_csv(docs, f"{path}/docs")
+    sinks.write_csv(events, f"{path}/events")
+    contract = T.StructType([schemas.text("id"), schemas.text("text")])
+    return csv_files.read_csv_columns(spark, [f"{path}/docs", f"{path}/events"], contract, multi_line=True)
+
+
 @query("""SELECT n_name, count(*) AS customers FROM customer JOIN nation ON n_nationkey = c_nationkey GROUP BY 1""")
 def csv_lookup(spark, folder):
     path = scratch_path(spark, "lookup")
@@ -906,4 +978,4 @@ def incremental_upsert(spark, folder):
 
 @query("SELECT event_id FROM events WHERE ts > TIMESTAMP '2024-01-20'")
 def newer_rows(spark, folder):
-    return newer_than(table(spark, folder, "events"), "ts", ntz("2024-01-20")).select("event_id")
+    return newer_than(table(spark, folder, "events"), "ts", datetime(2024, 1, 20)).select("event_id")

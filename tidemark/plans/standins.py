@@ -6,13 +6,12 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    # event times are turned into epoch milliseconds, which needs a fixed zone
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
 def epoch_ms(when: Column) -> Column:
-    return F.unix_millis(when.cast("timestamp"))
+    """Milliseconds since 1970-01-01 of a time without zone, whatever the session's zone."""
+    return F.timestamp_diff("MILLISECOND", F.lit("1970-01-01").cast("timestamp_ntz"), when)
 
 
 def order_level(priority: Column) -> Column:
@@ -41,44 +40,37 @@ plays AS (
     LEFT JOIN (SELECT l_orderkey, count(*) AS n FROM lineitem GROUP BY l_orderkey) ON l_orderkey = o_orderkey
 )"""
 
+# Runs of one level are islands: a session's place among all of the user's sessions, less its place
+# among those at its level, is constant within a run.
 SPANS_SQL = PLAYS_SQL + """,
-sessions AS (
-    SELECT user_id, session_id, min(level) AS level, min(start_time) AS start_time, sum(n) AS play_count
+visits AS (
+    SELECT user_id, session_id, min(level) AS level, min(start_time) AS began, sum(n) AS played
     FROM plays GROUP BY user_id, session_id
 ),
-compared AS (
-    SELECT *,
-           rank() OVER w AS number,
-           lag(level) OVER w AS level_before,
-           lead(level) OVER w AS level_after
-    FROM sessions
-    WINDOW w AS (PARTITION BY user_id ORDER BY start_time, session_id)
+placed AS (
+    SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY began, session_id) AS nth,
+           row_number() OVER (PARTITION BY user_id, level ORDER BY began, session_id) AS nth_at_level
+    FROM visits
 ),
-grouped AS (
-    SELECT *, sum(CASE WHEN level <> level_before THEN 1 ELSE 0 END) OVER (
-        PARTITION BY user_id ORDER BY start_time, session_id ROWS UNBOUNDED PRECEDING) AS span_id
-    FROM compared
+islands AS (
+    SELECT user_id, level, min(nth) AS from_nth, max(nth) AS to_nth, sum(played) AS played,
+           min(began) AS first_day, max(began) AS last_day
+    FROM placed GROUP BY user_id, level, nth - nth_at_level
 ),
-edges AS (
-    SELECT *,
-           first_value(level) OVER a AS level_current,
-           first_value(level_before) OVER a AS level_previous,
-           first_value(level_after) OVER z AS level_next
-    FROM grouped
-    WINDOW a AS (PARTITION BY user_id, span_id ORDER BY start_time, session_id ROWS UNBOUNDED PRECEDING),
-           z AS (PARTITION BY user_id, span_id ORDER BY start_time DESC, session_id DESC ROWS UNBOUNDED PRECEDING)
+in_order AS (
+    SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY from_nth) AS island,
+           count(*) OVER (PARTITION BY user_id) AS islands
+    FROM islands
 ),
 spans AS (
-    SELECT user_id,
-           rank() OVER (PARTITION BY user_id ORDER BY span_id DESC) AS user_level_index,
-           max(level_current) AS level_current,
-           max(level_previous) AS level_previous,
-           max(level_next) AS level_next,
-           max(number) - min(number) + 1 AS level_sessions,
-           CAST(sum(play_count) AS BIGINT) AS play_count,
-           datediff('day', min(start_time), max(start_time)) AS level_days,
-           date_sub('day', min(start_time), max(start_time)) AS level_days_elapsed
-    FROM edges GROUP BY user_id, span_id
+    SELECT i.user_id, i.islands - i.island + 1 AS user_level_index, i.level AS level_current,
+           earlier.level AS level_previous, later.level AS level_next,
+           i.to_nth - i.from_nth + 1 AS level_sessions, CAST(i.played AS BIGINT) AS play_count,
+           datediff('day', i.first_day, i.last_day) AS level_days,
+           date_sub('day', i.first_day, i.last_day) AS level_days_elapsed
+    FROM in_order i
+    LEFT JOIN in_order earlier ON earlier.user_id = i.user_id AND earlier.island = i.island - 1
+    LEFT JOIN in_order later ON later.user_id = i.user_id AND later.island = i.island + 1
 ),
 labelled AS (
     SELECT *, CASE
@@ -172,19 +164,27 @@ facts AS (
 )"""
 
 
+SLOTS = 16
+
+
 def label_points(spark: SparkSession, folder: str) -> DataFrame:
-    """Begin and end points of each embedding, grouped by its label."""
+    """Begin and end points of each embedding: every four of its positions are one pair, keyed by label and slot."""
     from tidemark.operators.geo import unpivot_points
 
-    e = F.col("embedding")
-    return unpivot_points(table(spark, folder, "embeddings"), "label", [(e[0], e[1]), (e[2], e[3])])
+    slots = F.posexplode(F.transform(
+        F.sequence(F.lit(0), F.lit(SLOTS - 1)), lambda i: F.slice(F.col("embedding"), i * 4 + 1, 4)
+    )).alias("slot", "e")
+    cut = table(spark, folder, "embeddings").select("label", slots)
+    keyed = cut.select((F.col("label") * SLOTS + F.col("slot")).cast("bigint").alias("label"), "e")
+    e = F.col("e")
+    return unpivot_points(keyed, "label", [(e[0], e[1]), (e[2], e[3])])
 
 
-POINTS_SQL = """
+POINTS_SQL = f"""
 points AS (
-    SELECT label, CAST(embedding[1] AS DOUBLE) AS lon, CAST(embedding[2] AS DOUBLE) AS lat FROM embeddings
-    UNION ALL
-    SELECT label, CAST(embedding[3] AS DOUBLE), CAST(embedding[4] AS DOUBLE) FROM embeddings
+    SELECT CAST(label * {SLOTS} + slot AS BIGINT) AS label, CAST(embedding[slot * 4 + part * 2 + 1] AS DOUBLE) AS lon,
+           CAST(embedding[slot * 4 + part * 2 + 2] AS DOUBLE) AS lat
+    FROM embeddings, range({SLOTS}) s(slot), range(2) p(part)
 )"""
 
 

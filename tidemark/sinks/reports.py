@@ -6,23 +6,20 @@ from pyspark.sql import DataFrame, functions as F
 
 from tidemark.streaming.incremental import newer_than
 
-LIST_SIZE = 10_000
-
-
-def error_report(rejected: DataFrame, dedup: bool = False) -> DataFrame:
+def error_report(rejected: DataFrame, dedup: bool = False, parts: int = 1) -> DataFrame:
     """Per column the list of {err_reason, filename}.
 
-    Long lists are continued in further rows (``part``) of about ``LIST_SIZE``
-    errors, so no row grows without bound. Repeated errors stay unless ``dedup``.
+    A list is one row, or with ``parts`` over 1 at most so many (``part``), dealt
+    by a hash of the error and its place, for columns with very many errors.
+    Repeated errors stay unless ``dedup``.
     """
     errors = rejected.select(*[F.trim(c).alias(c) for c in ("colname", "err_reason", "filename")])
-    if dedup:
-        errors = errors.distinct()
-    parts = errors.count() // LIST_SIZE + 1
-    # ids ascend by one within a task, so the parts fill evenly even if all errors are alike
-    part = F.monotonically_increasing_id() % parts
+    counted = errors.groupBy("colname", "err_reason", "filename").agg(F.count(F.lit(1)).alias("_times"))
+    times = F.lit(1) if dedup else F.col("_times").cast("int")
+    each = counted.withColumn("_i", F.explode(F.sequence(F.lit(1), times)))
+    part = F.pmod(F.xxhash64("colname", "err_reason", "filename", "_i"), F.lit(parts))
     return (
-        errors.withColumn("part", part)
+        each.withColumn("part", part)
         .groupBy("colname", "part")
         .agg(F.collect_list(F.struct("err_reason", "filename")).alias("errors"))
     )

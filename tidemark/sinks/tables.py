@@ -44,8 +44,8 @@ def write_keyed(df: DataFrame, path: str, partition_key: list[str], cluster_key:
 
 
 def write_csv(df: DataFrame, path: str) -> None:
-    """CSV files with a header in a directory."""
-    df.write.mode("overwrite").option("header", True).csv(path)
+    """CSV files with a header in a directory; a quote within quotes is doubled."""
+    df.write.mode("overwrite").option("header", True).option("quote", '"').option("escape", '"').csv(path)
 
 
 def bucket_of(column: Column, buckets: int) -> Column:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 
@@ -10,16 +12,24 @@ def read_csv_columns(
     path: str | list[str],
     schema: T.StructType,
     columns: list[str] | None = None,
+    multi_line: bool = False,
 ) -> DataFrame:
     """Named columns of CSV files with a header, typed by ``schema``; unreadable values become NULL.
 
-    Columns are found by header name, so the files may hold others. A file whose
-    header differs from the first one's fails the read. Integers may be written
-    with a zero fraction.
+    Standard quoting: a quote within quotes is doubled. With ``multi_line``
+    values may hold line ends; such files cannot be split. Columns are found by
+    header name, so files may hold others. Each of several paths may have its
+    own header; within a path, a file whose header differs from the first one's
+    fails the read. Integers may be written with a zero fraction.
     """
-    raw = spark.read.option("header", True).option("enforceSchema", False).option("multiLine", False).csv(path)
+    reader = spark.read.option("header", True).option("enforceSchema", False).option("multiLine", multi_line)
+    reader = reader.option("quote", '"').option("escape", '"')
     wanted = schema.names if columns is None else columns
-    return raw.select(*[typed(F.col(c), schema[c].dataType).alias(c) for c in wanted])
+    each = [
+        reader.csv(one).select(*[typed(F.col(c), schema[c].dataType).alias(c) for c in wanted])
+        for one in ([path] if isinstance(path, str) else path)
+    ]
+    return reduce(DataFrame.unionByName, each)
 
 
 def typed(value: Column, dtype: T.DataType) -> Column:
@@ -27,9 +37,11 @@ def typed(value: Column, dtype: T.DataType) -> Column:
     if not isinstance(dtype, T.IntegralType):
         return value.try_cast(dtype)
     # text is read as a decimal, as a failing cast from text to integer is slow
-    number = value.try_cast("decimal(38,6)")
+    number = value.try_cast("decimal(38,18)")
     whole = number.try_cast(dtype)
-    return F.when(number == whole, whole)
+    # the decimal rounds what is finer, so a fraction is looked for in the text as well
+    exact = ~F.coalesce(value.rlike(r"\.\d*[1-9]\d*\s*$") & ~value.rlike("[eE]"), F.lit(False))
+    return F.when((number == whole) & exact, whole)
 
 
 def read_lookup(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:

@@ -4,8 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
+from tidemark.operators.ordered import running_sum
+from tidemark.storage import materialize
+
 SOURCE = "_source"
 CORRUPT = "_corrupt"
+PLACE = "_place"
 
 
 def read_json_lines(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
@@ -19,20 +23,67 @@ def read_json_inferred(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.option("recursiveFileLookup", True).json(path)
 
 
-def read_json_records(spark: SparkSession, path: str, glob: str = "*.json") -> DataFrame:
-    """Raw record texts (``value``) and their file, whether a record spans one line or many.
+def read_json_records(spark: SparkSession, path: str, glob: str = "*.json", places: bool = False) -> DataFrame:
+    """Raw record texts (``value``) and their file, whether a record spans lines or lines hold several.
 
     A brace at the start of a line begins a record. Line end and brace are given
     to the reader as the line separator, so large files still split, and no file
-    becomes one row. Records whose brace is indented are separated afterwards.
+    becomes one row. Texts are then cut between a closing and an opening brace
+    outside of strings: in valid JSON these two meet only between records.
+    In files where the braces of a text do not match (a record holds objects at
+    line starts), texts are joined again in the file's order until they do; what
+    never matches stays as it is. ``places`` adds the place of a record in its
+    file (``_place``).
     """
     reader = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", glob)
-    texts = reader.text(path, lineSep="\n{").select("value", F.col("_metadata.file_path").alias(SOURCE))
-    parts = texts.select(F.explode(F.split("value", r"(?<=\})\s*\n(?=\s*\{)")).alias("value"), SOURCE)
+    texts = reader.text(path, lineSep="\n{").select(
+        "value", F.col("_metadata.file_path").alias(SOURCE), F.col("_metadata.file_block_start").alias("_block"),
+        # rows of a block are read in order by one task
+        F.monotonically_increasing_id().alias("_row"),
+    )
+    parts = texts.select(
+        SOURCE, "_block", "_row", F.posexplode(F.split("value", r"(?<=\})\s*\n(?=\s*\{)")).alias("_part", "value")
+    )
     trimmed = parts.withColumn("value", F.regexp_replace("value", r"^\s+|\s+$", "")).filter(F.col("value") != "")
     # an object starts with a quoted name, so a brace that is there is the record's own
     opened = F.when(F.col("value").startswith("{"), F.col("value")).otherwise(F.concat(F.lit("{"), "value"))
-    return trimmed.withColumn("value", opened)
+    apart = F.regexp_replace(
+        "value", r'\G((?:[^"}]++|"(?:\\.|[^"\\])*+"|\}(?!\s*\{))*+)\}\s*(?=\{)', "$1}\u001e"
+    )
+    single = F.when(F.col("value").rlike(r"\}\s*\{"), F.split(apart, "\u001e")).otherwise(F.array("value"))
+    cut = trimmed.withColumn("value", opened).select(
+        SOURCE, F.struct("_block", "_row", "_part").alias("_at"), F.posexplode(single).alias("_i", "value")
+    )
+    stored = materialize(cut.select(
+        SOURCE, F.struct("_at._block", "_at._row", "_at._part", "_i").alias(PLACE), "value",
+        _depth(F.col("value")).alias("_depth"),
+    ), "json-records")
+    torn = stored.filter("_depth != 0").select(SOURCE).distinct()
+    found = stored if torn.isEmpty() else _mended(stored, torn)
+    return found.select("value", SOURCE, *([PLACE] if places else []))
+
+
+def _depth(value: Column) -> Column:
+    """Opening less closing braces outside of strings."""
+    # without escapes a string ends at the next quote
+    outside = F.regexp_replace(F.regexp_replace(value, r"\\.", ""), r'"[^"]*"', "")
+    return F.regexp_count(outside, F.lit(r"\{")) - F.regexp_count(outside, F.lit(r"\}"))
+
+
+def _mended(stored: DataFrame, torn: DataFrame) -> DataFrame:
+    """Join the texts of ``torn`` files from one of depth 0 to the next; those after the last stay apart."""
+    order = [F.col(PLACE)]
+    depth = running_sum(stored.join(torn, SOURCE, "left_semi"), [SOURCE], order, "_depth", "_upto")
+    ends = depth.withColumn("_end", (F.col("_upto") <= 0).cast("bigint"))
+    numbered = running_sum(ends, [SOURCE], order, "_end", "_ends").withColumn("_record", F.col("_ends") - F.col("_end"))
+    closed = numbered.groupBy(SOURCE).agg(F.max(F.when(F.col("_end") == 1, F.col("_record"))).alias("_last"))
+    known = numbered.join(closed, SOURCE).withColumn("_whole", F.coalesce(F.col("_record") <= F.col("_last"), F.lit(False)))
+    joined = known.filter("_whole").groupBy(SOURCE, "_record").agg(
+        F.min(PLACE).alias(PLACE), F.array_sort(F.collect_list(F.struct(PLACE, "value"))).alias("_texts")
+    ).select(SOURCE, PLACE, F.array_join(F.transform("_texts", lambda t: t["value"]), "\n").alias("value"))
+    apart = known.filter(~F.col("_whole")).select(SOURCE, PLACE, "value")
+    plain = stored.join(torn, SOURCE, "left_anti").select(SOURCE, PLACE, "value")
+    return plain.unionByName(joined).unionByName(apart)
 
 
 def is_whole_object(value: Column) -> Column:
@@ -40,10 +91,7 @@ def is_whole_object(value: Column) -> Column:
 
     The JSON reader alone accepts anything after the first object.
     """
-    # without escapes a text ends at the next quote; braces inside texts do not count
-    outside = F.regexp_replace(F.regexp_replace(value, r"\\.", ""), r'"[^"]*"', "")
-    matched = F.regexp_count(outside, F.lit(r"\{")) == F.regexp_count(outside, F.lit(r"\}"))
-    return matched & value.startswith("{") & value.endswith("}")
+    return (_depth(value) == 0) & value.startswith("{") & value.endswith("}")
 
 
 def _top_level_name(path: str) -> str | None:

@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 from tidemark.functions.text import cut_to_length, too_long
 from tidemark.schemas import max_lengths
 from tidemark.sources.csv_files import typed
-from tidemark.sources.json_files import CORRUPT, SOURCE
+from tidemark.sources.json_files import CORRUPT, PLACE, SOURCE
 from tidemark.storage import materialize
 
 ERRORS = "_errors"
@@ -19,7 +19,11 @@ BAD_RECORD = "Invalid JSON format"
 
 
 class TooManyErrors(RuntimeError):
-    """The load produced as many errors as its budget, or more."""
+    """The load produced as many errors as its budget, or more; ``rejects`` holds the stored errors."""
+
+    def __init__(self, message: str, rejects: DataFrame):
+        super().__init__(message)
+        self.rejects = rejects
 
 
 def truncate_strings(df: DataFrame, schema: T.StructType, unit: str = "chars") -> DataFrame:
@@ -77,7 +81,7 @@ def rejects(coerced: DataFrame, loaded_at: Column | None = None) -> DataFrame:
 def check_budget(rejected: DataFrame, limit: int = 10) -> None:
     """Raise when there are ``limit`` errors or more; counting stops there."""
     if rejected.limit(limit).count() >= limit:
-        raise TooManyErrors(f"{limit} or more errors; see the reject table")
+        raise TooManyErrors(f"{limit} or more errors; see the exception's rejects", rejected)
 
 
 def load_staging(
@@ -103,10 +107,13 @@ def sql_frame(spark: SparkSession, query: str, args: dict | None = None, **table
     return spark.sql(query, args=args, **tables)
 
 
-def first_record_per_file(records: DataFrame, order: str) -> DataFrame:
-    """Variant load: only the first record of each file."""
-    from tidemark.operators.dedup import first_per_key
+def first_record_per_file(records: DataFrame) -> DataFrame:
+    """Variant load: only the first record of each file, by its place there.
 
-    return first_per_key(records, [SOURCE], [F.col(order).asc_nulls_last()])
+    ``records`` come from ``read_json_records`` with ``places``.
+    """
+    first = records.groupBy(SOURCE).agg(F.min(PLACE).alias("_first"))
+    at = (F.col(f"r.{SOURCE}") == F.col(f"f.{SOURCE}")) & (F.col(f"r.{PLACE}") == F.col("f._first"))
+    return records.alias("r").join(first.alias("f"), at, "left_semi").drop(PLACE)
 
 

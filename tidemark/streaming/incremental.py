@@ -3,16 +3,29 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.operators.dedup import upsert
 
 
 def newer_than(df: DataFrame, column: str, mark) -> DataFrame:
-    """Rows after the mark; all rows if there is no mark yet."""
-    return df if mark is None else df.filter(F.col(column) > F.lit(mark))
+    """Rows after the mark; all rows if there is no mark yet.
+
+    ``mark`` is a time without zone, its text, a Column, or a frame of one row
+    and column, which stays in Spark. Times go as text to the column's type, so
+    the zone of this Python process plays no part.
+    """
+    if mark is None:
+        return df
+    if isinstance(mark, DataFrame):
+        bound = mark.scalar()
+        return df.filter((F.col(column) > bound) | bound.isNull())
+    if not isinstance(mark, Column):
+        mark = F.lit(mark.isoformat(sep=" ") if isinstance(mark, datetime) else mark).cast(df.schema[column].dataType)
+    return df.filter(F.col(column) > mark)
 
 
 def ingest_new(
