@@ -478,6 +478,42 @@ def lake_build(spark, folder):
     return warehouse.check_star(warehouse.read_lake(spark, path))["keys"]
 
 
+def _lake(spark, folder):
+    path = scratch_path(spark, "lake")
+    warehouse.write_lake(warehouse.build_star(item_log(spark, folder), item_songs(spark, folder)), path, artist_directories=False)
+    return warehouse.read_lake(spark, path)
+
+
+@query(f"WITH {FACTS_SQL} SELECT * FROM facts")
+def lake_songplay(spark, folder):
+    """The plays as they are read back from the lake; their surrogate keys are arbitrary."""
+    return _lake(spark, folder)["songplay"].drop("songplay_id")
+
+
+@query(f"""WITH {ITEM_SONGS_SQL}
+SELECT song_id, max(title) AS title, max(artist_id) AS artist_id, max(year) AS year, max(duration) AS duration
+FROM songs GROUP BY song_id""")
+def lake_songs(spark, folder):
+    return _lake(spark, folder)["songs"]
+
+
+@query(f"""WITH {FACTS_SQL}
+SELECT DISTINCT start_time, CAST(hour(start_time) AS SMALLINT) AS hour, CAST(day(start_time) AS SMALLINT) AS day,
+       CAST(week(start_time) AS SMALLINT) AS week, CAST(month(start_time) AS SMALLINT) AS month,
+       CAST(year(start_time) AS SMALLINT) AS year, CAST(dayofweek(start_time) AS SMALLINT) AS weekday FROM facts""")
+def lake_time(spark, folder):
+    return _lake(spark, folder)["time"]
+
+
+@query(f"""WITH {FACTS_SQL}
+SELECT user_id, count(*) AS rows FROM facts
+WHERE user_id NOT IN (SELECT l_suppkey FROM lineitem WHERE l_returnflag = 'R') GROUP BY user_id""")
+def lake_orphans(spark, folder):
+    """Stored plays of users who never returned an item: a reference that does not hold for all."""
+    returned = item_log(spark, folder).filter(F.col("page") == "Home").select(F.col("userId").alias("user_id")).distinct()
+    return quality.orphans(_lake(spark, folder)["songplay"], returned, [("user_id", "user_id")])
+
+
 # --- serving tables -----------------------------------------------------------------------
 
 LAST_ORDER = ["l_shipdate", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice"]

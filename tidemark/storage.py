@@ -7,22 +7,27 @@ to expire.
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
+_temporary: dict[str, tempfile.TemporaryDirectory] = {}
+
+
 def shared_folder(spark: SparkSession) -> str:
-    """The session's checkpoint folder; a temporary one only in local mode."""
+    """The session's checkpoint folder; only in local mode a temporary one, which goes when Python ends."""
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if named:
         return named
-    if not spark.sparkContext.master.startswith("local"):
+    if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-    made = tempfile.mkdtemp(prefix="tidemark-")
-    spark.conf.set("spark.checkpoint.dir", made)
-    return made
+    run = spark.sparkContext.applicationId
+    if run not in _temporary:
+        _temporary[run] = tempfile.TemporaryDirectory(prefix="tidemark-", ignore_cleanup_errors=True)
+    return _temporary[run].name
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
