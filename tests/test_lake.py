@@ -5,7 +5,7 @@ from pyspark.sql import functions as F, types as T
 
 from conftest import rows
 from tidemark import schemas
-from tidemark.operators import serving
+from tidemark.operators import dedup, serving
 from tidemark.plans import warehouse
 from tidemark.sinks import tables
 from tidemark.streaming.incremental import Snapshot, append_to, ingest_new, upsert_into
@@ -95,9 +95,9 @@ def test_files_are_ingested_once(spark, tmp_path):
 
 
 def test_snapshot_upsert(spark, tmp_path):
-    snapshot = Snapshot(spark, str(tmp_path / "snapshot"))
+    snapshot = Snapshot(spark, str(tmp_path / "snapshot"), "u", buckets=4)
     assert snapshot.read() is None
-    handler = upsert_into(snapshot, "u", ["ts"], ["name"], ["level"])
+    handler = upsert_into(snapshot, ["ts"], ["name"], ["level"])
     logs = tmp_path / "in"
     arrive(logs, "a", (1, 1, "Ann", "free"), (1, 2, "Anna", "paid"))
     ingest_new(spark, str(logs), SCHEMA, str(tmp_path / "state"), handler).awaitTermination()
@@ -107,10 +107,32 @@ def test_snapshot_upsert(spark, tmp_path):
     # a repeated batch gives the same version, and one without its marker does not count
     handler(spark.createDataFrame([(1, 3, "X", "free"), (2, 3, "Bob", "paid")], SCHEMA), 1)
     assert rows(snapshot.read()) == [(1, "Ann", "free"), (2, "Bob", "paid")]
-    (tmp_path / "snapshot" / "version=9").mkdir()
+    (tmp_path / "snapshot" / "data" / "version=9" / "bucket=0").mkdir(parents=True)
     assert rows(snapshot.read()) == [(1, "Ann", "free"), (2, "Bob", "paid")]
 
 
+def test_snapshot_rewrites_touched_buckets_only(spark, tmp_path):
+    snapshot = Snapshot(spark, str(tmp_path / "snapshot"), "u", buckets=8)
+    handler = upsert_into(snapshot, ["ts"], ["name"], ["level"])
+    handler(spark.createDataFrame([(i, 1, f"n{i}", "free") for i in range(100)], SCHEMA), 0)
+    first = set((tmp_path / "snapshot" / "data" / "version=0").glob("bucket=*"))
+    assert len(first) == 8
+    handler(spark.createDataFrame([(7, 2, "x", "paid"), (None, 2, "lost", "paid")], SCHEMA), 1)
+    assert len(list((tmp_path / "snapshot" / "data" / "version=1").glob("bucket=*"))) == 1
+    found = rows(snapshot.read())
+    assert len(found) == 100 and (7, "n7", "paid") in found and (8, "n8", "free") in found
+    handler(spark.createDataFrame([], SCHEMA), 2)
+    assert rows(snapshot.read()) == found
+
+
+def test_rows_without_a_key_stay_out(spark):
+    old = spark.createDataFrame([(1, "a")], "k int, v string")
+    new = spark.createDataFrame([(None, "x"), (None, "y"), (2, "b"), (1, "c")], "k int, v string")
+    assert rows(dedup.insert_ignore(old, new, ["k"], ["v"])) == [(1, "a"), (2, "b")]
+    assert rows(dedup.upsert(old, new, "k", ["v"], [], ["v"])) == [(1, "c"), (2, "b")]
+    assert rows(dedup.without_key(new, ["k"]), "v") == [("x",), ("y",)]
+
+
 def test_day_counts(spark):
     from tidemark.functions.time import calendar_days, day_text, elapsed_days
 

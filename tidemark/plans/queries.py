@@ -1006,8 +1006,8 @@ def incremental_append(spark, folder):
            PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) AS o_orderpriority
 FROM orders""")
 def incremental_upsert(spark, folder):
-    snapshot = Snapshot(spark, scratch_path(spark, "snapshot"))
-    handler = upsert_into(snapshot, "o_custkey", ["o_orderdate", "o_orderkey"], ["o_orderstatus"], ["o_orderpriority"])
+    snapshot = Snapshot(spark, scratch_path(spark, "snapshot"), "o_custkey", buckets=8)
+    handler = upsert_into(snapshot, ["o_orderdate", "o_orderkey"], ["o_orderstatus"], ["o_orderpriority"])
     _run_arrivals(spark, folder, handler)
     return snapshot.read()
 

@@ -5,10 +5,12 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import datetime
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.operators.dedup import upsert
+from tidemark.sinks.tables import bucket_of
 
 
 def newer_than(df: DataFrame, column: str, mark) -> DataFrame:
@@ -52,40 +54,71 @@ def append_to(path: str) -> Callable[[DataFrame, int], None]:
 
 
 class Snapshot:
-    """Versions of a table below one folder, one per batch.
-
-    A version counts once its success marker exists, so a failed write changes
-    nothing, and a repeated batch rebuilds its version from the one before.
+    """A keyed table below one folder, in hash buckets of its key; a batch rewrites the buckets it touches.
+
+    ``data/version=N/bucket=B`` holds a bucket as batch N left it, and
+    ``manifest/version=N``, one small file written last, tells for each bucket
+    the version that holds it. A batch counts once its manifest is there, so a
+    failed write changes nothing, and a repeated batch starts from the manifest
+    before it. Versions that no manifest names any more are left to the owner of
+    the folder to expire.
     """
 
-    def __init__(self, spark: SparkSession, path: str):
+    MANIFEST = "bucket int, since long"
+
+    def __init__(self, spark: SparkSession, path: str, key: str, buckets: int = 64):
         self.spark = spark
         self.path = path
-
-    def _versions(self) -> list[int]:
-        hadoop = self.spark._jvm.org.apache.hadoop.fs
-        marker = hadoop.Path(f"{self.path}/version=*/_SUCCESS")
-        found = marker.getFileSystem(self.spark._jsc.hadoopConfiguration()).globStatus(marker) or []
-        return sorted(int(s.getPath().getParent().getName().split("=")[1]) for s in found)
-
-    def read(self, before: int | None = None) -> DataFrame | None:
-        """The latest version, or the latest one before a batch; None if there is none."""
-        versions = [v for v in self._versions() if before is None or v < before]
-        return self.spark.read.parquet(f"{self.path}/version={versions[-1]}") if versions else None
-
-    def write(self, df: DataFrame, version: int) -> None:
-        df.write.mode("overwrite").parquet(f"{self.path}/version={version}")
+        self.key = key
+        self.buckets = buckets
+
+    def _manifest(self, before: int | None = None) -> dict[int, int]:
+        """The version of each bucket, as of the latest batch or the latest before one."""
+        try:
+            all_ = self.spark.read.schema(f"{self.MANIFEST}, version long").parquet(f"{self.path}/manifest")
+        except AnalysisException as missing:
+            if missing.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return {}
+        known = all_ if before is None else all_.filter(F.col("version") < before)
+        latest = known.agg(F.max("version").alias("version"))
+        rows = known.join(latest, "version").select("bucket", "since").collect()  # at most ``buckets``
+        return {r["bucket"]: r["since"] for r in rows}
+
+    def _read(self, manifest: dict[int, int]) -> DataFrame | None:
+        paths = [f"{self.path}/data/version={since}/bucket={b}" for b, since in sorted(manifest.items())]
+        return self.spark.read.parquet(*paths) if paths else None
+
+    def read(self) -> DataFrame | None:
+        """The table; None if nothing has been written."""
+        return self._read(self._manifest())
+
+    def merge(self, batch: DataFrame, version: int, change: Callable[[DataFrame | None, DataFrame], DataFrame]) -> None:
+        """Replace the buckets that ``batch`` has keys of by ``change(their rows, batch)``."""
+        bucket = bucket_of(F.col(self.key), self.buckets)
+        manifest = self._manifest(before=version)
+        keyed = batch.dropna(subset=[self.key])
+        touched = {r[0] for r in keyed.select(bucket).distinct().collect()}  # at most ``buckets``
+        if touched:
+            old = self._read({b: since for b, since in manifest.items() if b in touched})
+            merged = change(old, keyed).withColumn("bucket", bucket)
+            merged.repartition("bucket").write.mode("overwrite").partitionBy("bucket").parquet(
+                f"{self.path}/data/version={version}"
+            )
+        rows = sorted({**manifest, **dict.fromkeys(touched, version)}.items())
+        found = self.spark.createDataFrame(rows, self.MANIFEST).coalesce(1)
+        found.write.mode("overwrite").parquet(f"{self.path}/manifest/version={version}")
 
 
 def upsert_into(
     snapshot: Snapshot,
-    key: str,
     order: list[str],
     keep_first: list[str],
     keep_last: list[str],
 ) -> Callable[[DataFrame, int], None]:
     """Handler that merges each batch into the snapshot (see ``dedup.upsert``)."""
     def handle(batch: DataFrame, number: int) -> None:
-        merged = upsert(snapshot.read(before=number), batch, key, order, keep_first, keep_last)
-        snapshot.write(merged, number)
+        snapshot.merge(
+            batch, number, lambda old, new: upsert(old, new, snapshot.key, order, keep_first, keep_last)
+        )
     return handle
