@@ -10,9 +10,10 @@ is equal or near.
 2. If two lines are near, about half of each, from the start or from the end, is
    equal. So lines that share no half with another line have no partner and are
    left out. This only saves work: it loses no pair.
-3. All variants of the others within the bound are emitted as hashed keys: the
-   line without its i-th word, as a deletion (met by the line that lacks the
-   word) and together with i (met by lines that have another word there).
+3. All variants of the others within the bound, in the part that can differ, are
+   emitted as hashed keys: the line without its i-th word, as a deletion (met by
+   the line that lacks the word) and together with i (met by lines that have
+   another word there).
    Hashes are made of running XORs of word-and-place hashes, so the variants of
    a line take time linear in its length.
 4. Each key keeps its earliest line, and its earliest whole one for lines that
@@ -30,16 +31,22 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tidemark.llm.common import WORD
+from tidemark.operators.ordered import dense_id
 from tidemark.storage import materialize
 
 MIN_WORDS = 5
 
 
+#: A line's place in the order: its document, what tells documents of equal ids apart, and its number.
+PLACE = ["doc", "of", "line_no"]
+
+
 def _lines(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
-    """``at`` (id, digest of the text, line number) and ``line`` of all lines."""
+    """The place and the text (``line``) of all lines."""
     source = docs.select(F.col(id_column).alias("doc"), F.col(text_column).alias("text")).filter("text IS NOT NULL")
-    cut = source.select("doc", F.xxhash64("text").alias("of"), F.posexplode(F.split("text", "\n")).alias("n", "line"))
-    return cut.select(F.struct("doc", "of", "n").alias("at"), "line")
+    return source.select(
+        "doc", F.xxhash64("text").alias("of"), F.posexplode(F.split("text", "\n")).alias("line_no", "line")
+    )
 
 
 def _words(line: Column) -> Column:
@@ -50,8 +57,8 @@ def _digest(line: Column) -> Column:
     return F.unhex(F.md5(line.cast("binary")))
 
 
-def _halves(words: Column, n: Column) -> Column:
-    """Keys of about half a line, from its start and from its end.
+def _halves(words: Column) -> Column:
+    """About half a line, from its start and from its end, as (``half``, ``first``, ``h``).
 
     Of two near lines of n and at most n words, the words before the change or
     those after it are equal, and so are the first or the last h words for any
@@ -59,10 +66,13 @@ def _halves(words: Column, n: Column) -> Column:
     4 k + 3 words take h = 2 k, and those of 4 k words h = 2 k - 2 as well, by
     which they meet lines of one word less.
     """
+    n = F.size(words)
+
     def keys(h: Column) -> list[Column]:
+        start = F.greatest(n - h + 1, F.lit(1))
         return [
-            F.xxhash64(F.lit("first"), h, F.slice(words, 1, h)),
-            F.xxhash64(F.lit("last"), h, F.slice(words, F.greatest(n - h + 1, F.lit(1)), h)),
+            F.struct(F.xxhash64(F.lit("first"), h, F.slice(words, 1, h)).alias("half"), F.lit(True).alias("first"), h.alias("h")),
+            F.struct(F.xxhash64(F.lit("last"), h, F.slice(words, start, h)).alias("half"), F.lit(False).alias("first"), h.alias("h")),
         ]
 
     h = (F.floor(n / 4) * 2).cast("int")
@@ -70,32 +80,31 @@ def _halves(words: Column, n: Column) -> Column:
 
 
 def _variants(lines: DataFrame) -> DataFrame:
-    """(``line``, ``key``, ``near_all``) of all variants within the bound of rows ``line``, ``words``.
+    """(``line``, ``key``, ``at``) of all variants within the bound of rows ``line``, ``words``, ``after``, ``before``.
 
-    ``near_all`` tells lines that are near all lines of the key from those that
-    lose a word by it: two of these are near the whole line, not each other.
+    ``line`` is a number that follows the order. The line shares its first
+    ``after`` words with another, or its last ``before`` (NULL: none), so that
+    only later, or earlier, words can differ. ``at`` is the place of a word that
+    another takes, -1 for a whole line, -2 for one that loses a word.
     """
     total = lambda shift: F.aggregate(
         F.transform("words", lambda w, i: F.xxhash64(w, i - shift)), F.lit(0).cast("long"), lambda s, x: s.bitwiseXOR(x)
     )
-    summed = lines.select("line", "words", F.size("words").alias("n"), total(0).alias("all_h"), total(1).alias("all_g"))
-    hashed = summed.select("line", "n", "all_g", F.posexplode("words").alias("i", "word")).select(
-        "line", "n", "all_g", "i", F.xxhash64("word", "i").alias("h"), F.xxhash64("word", F.col("i") - 1).alias("g")
+    summed = lines.withColumns({"n": F.size("words"), "all_h": total(0), "all_g": total(1)})
+    hashed = summed.select("line", "n", "after", "before", "all_g", F.posexplode("words").alias("i", "word")).select(
+        "line", "n", "after", "before", "all_g", "i",
+        F.xxhash64("word", "i").alias("h"), F.xxhash64("word", F.col("i") - 1).alias("g"),
     )
     upto = Window.partitionBy("line").orderBy("i").rowsBetween(Window.unboundedPreceding, -1)
     here = Window.partitionBy("line").orderBy("i").rowsBetween(Window.unboundedPreceding, 0)
     # XOR is its own inverse: what lies beyond a word is the whole without what came up to it
-    cut = hashed.withColumn("before", F.coalesce(F.bit_xor("h").over(upto), F.lit(0).cast("long"))).withColumn(
-        "rest", F.col("before").bitwiseXOR(F.col("all_g")).bitwiseXOR(F.bit_xor("g").over(here))
+    earlier = F.coalesce(F.bit_xor("h").over(upto), F.lit(0).cast("long"))
+    cut = hashed.withColumn("key", earlier.bitwiseXOR(F.col("all_g")).bitwiseXOR(F.bit_xor("g").over(here)))
+    can_differ = (F.col("i") >= F.col("after")) | (F.col("i") < F.col("n") - F.col("before"))
+    lost = cut.filter(F.coalesce(can_differ, F.lit(False))).select(
+        "line", "key", F.explode(F.array(F.col("i"), F.lit(-2))).alias("at")
     )
-    deleted = cut.select(
-        "line", F.explode(F.array(
-            F.struct((F.col("n") - 1).alias("n"), F.lit(-1).alias("i"), F.col("rest").alias("h")),
-            F.struct(F.col("n"), F.col("i"), F.col("rest").alias("h")),
-        )).alias("key"),
-    ).select("line", "key", (F.col("key.i") >= 0).alias("near_all"))
-    whole = summed.select("line", F.struct("n", F.lit(-1).alias("i"), F.col("all_h").alias("h")).alias("key"))
-    return deleted.unionByName(whole.withColumn("near_all", F.lit(True)))
+    return lost.unionByName(summed.select("line", F.col("all_h").alias("key"), F.lit(-1).alias("at")))
 
 
 def _near(a: Column, b: Column) -> Column:
@@ -116,53 +125,69 @@ def dedup_lines(
     a near one; a line that stays names itself. ``line_no`` counts from 0.
     """
     lines = _lines(docs, id_column, text_column)
-    measured = lines.filter(F.col("line").rlike(WORD)).withColumn("words", _words(F.col("line")))
-    measured = measured.select("at", _digest(F.col("line")).alias("digest"), F.size("words").alias("n"), "words")
+    place = F.struct(*PLACE)
+    words = _words(F.col("line"))
+    solid = lines.filter(F.col("line").rlike(WORD)).withColumn("words", words)
     firsts = materialize(
-        measured.select(
-            "digest", "at", F.when(F.col("n") >= max(min_words, 2), _halves(F.col("words"), F.col("n"))).alias("halves")
-        ).groupBy("digest").agg(F.min("at").alias("first"), F.first("halves").alias("halves")), "first-lines",
+        solid.select(
+            _digest(F.col("line")).alias("digest"), place.alias("place"),
+            F.when(F.size("words") >= max(min_words, 2), _halves(F.col("words"))).alias("halves"),
+        ).groupBy("digest").agg(F.min("place").alias("first"), F.first("halves").alias("halves")).select(
+            "digest", "first.*", "halves"
+        ), "first-lines",
     )
     # halves that different lines share
-    keyed = firsts.select(F.xxhash64("digest").alias("mark"), "first", F.explode("halves").alias("half"))
+    keyed = firsts.select(F.xxhash64("digest").alias("mark"), *PLACE, F.inline("halves"))
     shared = keyed.groupBy("half").agg(F.min("mark").alias("least"), F.max("mark").alias("most")).filter("least < most")
-    wanted = keyed.join(shared.select("half"), "half", "left_semi").select(F.col("first").alias("at")).distinct()
-    words = materialize(
-        measured.join(wanted, "at", "left_semi").select("digest", F.col("at").alias("line"), "words")
-        .dropDuplicates(["line"]), "open-lines",
+    wanted = keyed.drop("mark").join(shared.select("half"), "half", "left_semi").groupBy(*PLACE).agg(
+        F.min(F.when(F.col("first"), F.col("h"))).alias("after"), F.min(F.when(~F.col("first"), F.col("h"))).alias("before")
+    )
+    same_place = [F.col(f"a.{c}").eqNullSafe(F.col(f"b.{c}")) for c in PLACE]
+    met = lines.alias("a").join(wanted.alias("b"), same_place).select("a.*", "b.after", "b.before")
+    # rows that repeat in full bring the same line more than once
+    met = met.groupBy(*PLACE).agg(F.first("line").alias("line"), F.first("after").alias("after"), F.first("before").alias("before"))
+    open_lines = materialize(
+        dense_id(met, [F.col(c) for c in PLACE], "number").select(
+            F.col("number").alias("line"), *PLACE, _digest(F.col("line")).alias("digest"), words.alias("words"),
+            "after", "before",
+        ), "open-lines",
     )
-    variants = materialize(_variants(words.select("line", "words")), "variants")
-    earliest = variants.groupBy("key").agg(
-        F.min("line").alias("any"), F.min(F.when(F.col("near_all"), F.col("line"))).alias("near"),
+    variants = materialize(_variants(open_lines), "variants")
+    # a key holds lines that lose a word (-2), whole lines (-1), and lines alike but for the word at one place
+    groups = variants.withColumn("whole", F.col("at") != -2).withColumn("at", F.greatest("at", F.lit(-1)))
+    earliest = groups.groupBy("key", "at").agg(
+        F.min("line").alias("any"), F.min(F.when(F.col("whole"), F.col("line"))).alias("near"),
         F.count(F.lit(1)).alias("lines"),
     ).filter("lines > 1").drop("lines")
-    met = variants.join(earliest, "key").withColumn("partner", F.when(F.col("near_all"), F.col("any")).otherwise(F.col("near")))
-    found = met.filter("partner < line").groupBy("line").agg(F.min("partner").alias("partner"))
-    sides = found.join(words.select("line", "words", "digest"), "line").join(
-        words.select(F.col("line").alias("partner"), F.col("words").alias("partner_words")), "partner"
-    )
-    near = materialize(
-        sides.filter(_near(F.col("words"), F.col("partner_words"))).select("digest", "partner"), "near-lines"
+    partners = groups.join(earliest, ["key", "at"]).withColumn(
+        "partner", F.when(F.col("whole"), F.col("any")).otherwise(F.col("near"))
+    ).filter("partner < line").groupBy("line").agg(F.min("partner").alias("partner"))
+    sides = partners.join(open_lines.select("line", "digest", "words"), "line").join(
+        open_lines.select(
+            F.col("line").alias("partner"), F.col("words").alias("other"), F.struct(*PLACE).alias("earlier")
+        ), "partner",
     )
-    placed = lines.select("at", F.col("line").rlike(WORD).alias("solid"), _digest(F.col("line")).alias("digest"))
-    judged = placed.join(firsts.drop("halves"), "digest", "left").join(near, "digest", "left")
-    keep = F.when(~F.col("solid"), F.col("at")).otherwise(F.coalesce("partner", "first"))
+    near = materialize(sides.filter(_near(F.col("words"), F.col("other"))).select("digest", "earlier"), "near-lines")
+    placed = lines.select(*PLACE, F.col("line").rlike(WORD).alias("solid"), _digest(F.col("line")).alias("digest"))
+    first = firsts.select("digest", F.struct(*PLACE).alias("first"))
+    judged = placed.join(first, "digest", "left").join(near, "digest", "left")
+    keep = F.when(~F.col("solid"), place).otherwise(F.coalesce("earlier", "first"))
     return judged.select(
-        F.col("at.doc").alias("doc_id"), F.col("at.of").alias("text_hash"), F.col("at.n").alias("line_no"),
-        keep["doc"].alias("keep_doc_id"), keep["n"].alias("keep_line_no"),
-        F.when(F.col("solid") & F.col("partner").isNotNull(), F.lit(1)).otherwise(F.lit(0)).alias("edits"),
-        (~F.col("solid") | (F.col("partner").isNull() & F.col("first").eqNullSafe(F.col("at")))).alias("kept"),
+        F.col("doc").alias("doc_id"), F.col("of").alias("text_hash"), "line_no",
+        keep["doc"].alias("keep_doc_id"), keep["line_no"].alias("keep_line_no"),
+        F.when(F.col("solid") & F.col("earlier").isNotNull(), F.lit(1)).otherwise(F.lit(0)).alias("edits"),
+        (~F.col("solid") | (F.col("earlier").isNull() & F.col("first").eqNullSafe(place))).alias("kept"),
     )
 
 
 def kept_text(docs: DataFrame, judged: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """``doc_id`` and the text that is left of each document, its lines in order."""
     lines = _lines(docs, id_column, text_column)
-    stay = judged.filter("kept").select(F.struct(
-        F.col("doc_id").alias("doc"), F.col("text_hash").alias("of"), F.col("line_no").alias("n")
-    ).alias("at"))
-    left = lines.join(stay, "at", "left_semi").groupBy("at.doc", "at.of").agg(
-        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("at.n", "line"))), lambda x: x["line"]), "\n")
-        .alias("text")
+    stay = judged.filter("kept").select(F.col("doc_id").alias("doc"), F.col("text_hash").alias("of"), "line_no")
+    same_place = [F.col(f"a.{c}").eqNullSafe(F.col(f"b.{c}")) for c in PLACE]
+    left = lines.alias("a").join(stay.alias("b"), same_place, "left_semi").groupBy("doc", "of").agg(
+        F.array_join(F.transform(
+            F.array_sort(F.collect_list(F.struct("line_no", "line"))), lambda x: x["line"]
+        ), "\n").alias("text")
     )
     return left.select(F.col("doc").alias(id_column), F.col("text").alias(text_column))
