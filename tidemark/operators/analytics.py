@@ -193,7 +193,6 @@ def visit_periods(
     moments = events.filter(item | marker).groupBy(key, order).agg(
         F.count_if(item).alias("items"), F.count_if(marker).alias("markers")
     )
-    moments = materialize(moments, "moments")
     return running_sum(moments, [key], [F.col(order).desc()], "markers", "period")
 
 

@@ -7,7 +7,6 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from tidemark.functions.labels import changed, level_category
 from tidemark.functions.time import calendar_days, elapsed_days
 from tidemark.operators.ordered import PIECE, join_carry, pieces
-from tidemark.storage import materialize
 
 SESSION_ORDER = ["start_time", "session_id"]
 
@@ -83,8 +82,8 @@ def _in_pieces(sessions: DataFrame) -> DataFrame:
 
 
 def _sequenced(plays: DataFrame, plays_each: Column | None) -> DataFrame:
-    """The plays are read once: their sessions are stored, and all ordered work is done on these."""
-    return _in_pieces(materialize(session_summary(plays, plays_each), "sessions"))
+    """The plays are read once: their sessions are stored in pieces, and all ordered work is done on these."""
+    return _in_pieces(session_summary(plays, plays_each))
 
 
 def session_sequence(plays: DataFrame, plays_each: Column | None = None) -> DataFrame:

@@ -37,11 +37,11 @@ def typed(value: Column, dtype: T.DataType) -> Column:
     if not isinstance(dtype, T.IntegralType):
         return value.try_cast(dtype)
     # text is read as a decimal, as a failing cast from text to integer is slow
-    number = value.try_cast("decimal(38,18)")
+    number = value.try_cast("decimal(38,6)")
     whole = number.try_cast(dtype)
     # the decimal rounds what is finer, so a fraction is looked for in the text as well
-    exact = ~F.coalesce(value.rlike(r"\.\d*[1-9]\d*\s*$") & ~value.rlike("[eE]"), F.lit(False))
-    return F.when((number == whole) & exact, whole)
+    fraction = value.contains("E-") | value.contains("e-") | value.rlike(r"\.\d*[1-9]\d*\s*$")
+    return F.when((number == whole) & ~fraction, whole)
 
 
 def read_lookup(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
