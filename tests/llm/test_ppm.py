@@ -110,3 +110,31 @@ def test_no_training_texts_and_no_rows(spark):
     found = {r.doc_id: r for r in ppm.score(df, model, counts).collect()}
     assert found[None].score == pytest.approx(-3 * math.log10(257)) and found[1].n_known == 0
     assert ppm.score(df.filter(F.lit(False)), model, counts).count() == 0
+
+
+def test_rare_grams_of_large_training_are_known(spark):
+    """A gram seen once among over 2^20 symbols."""
+    texts = ["the cat " * 140_000, "zebra quiz"]
+    df = spark.createDataFrame(list(enumerate([*texts, "zebra quit", "quiz"])), "doc_id long, text string")
+    model, counts = ppm.train(df, F.col("doc_id") < 2)
+    found = {r.doc_id: r.score for r in ppm.score(df.filter("doc_id > 0"), model, counts).collect()}
+    brute = Brute([t.encode() for t in texts], share=0)
+    for i, text in [(1, "zebra quiz"), (2, "zebra quit"), (3, "quiz")]:
+        assert found[i] == pytest.approx(brute.score(text.encode()), rel=1e-9)
+
+
+@pytest.mark.parametrize("hot", [0, 40])
+def test_joined_chances_equal_brute_force(spark, monkeypatch, hot):
+    monkeypatch.setattr(ppm, "HOT", hot)
+    monkeypatch.setattr(ppm, "HOT_SHARE", 0.01)
+    rnd = random.Random(6)
+    texts = ["", None, "mat", "été " * 9, "zzz Zebra"]
+    texts += [" ".join(rnd.choice(["the", "cat", "Sat", "on", "mat", "été"]) for _ in range(20)) for _ in range(12)]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    model, counts = ppm.train(df, F.col("doc_id") % 3 != 0)
+    assert len(model.hot.keys) <= hot
+    found = {r.doc_id: r for r in ppm.score(df, model, counts).collect()}
+    for i, want in enumerate(expected([t for i, t in enumerate(texts) if i % 3], texts)):
+        assert (found[i].n_tokens, found[i].n_known) == want[:2]
+        assert found[i].base_score == pytest.approx(want[3], rel=1e-9)
+        assert found[i].score == pytest.approx(want[4], rel=1e-9)

@@ -9,10 +9,12 @@ whose chance is q / (n + q), with n its count and q the number of its symbols
 chances of all symbols sum to one. Below the empty context all symbols left are
 alike.
 
-A node is kept if it has at least a 2^-20 share of all training symbols, at
-every size of the input. So there are at most 2^20 nodes of each depth, and what
-is broadcast has a fixed bound. Symbols that follow a context follow its suffix
-at least as often, so the nodes kept are closed under suffixes.
+Every node that was counted is kept, in stored tables: nodes, and contexts with
+what an escape from them needs. What is broadcast has a fixed bound: the chances
+of the most frequent grams (at most ``HOT``) and the nodes of up to one context
+symbol. All other grams of a text are counted per text and meet their chances in
+a join; grams that training lacks meet their contexts, from the longest down.
+What is broadcast decides where a chance is looked up, never what it is.
 
 The base is an additively smoothed unigram model of words. Counts of words with
 at least a 2^-20 share are broadcast; all other words of a text are counted per
@@ -31,7 +33,12 @@ from tidemark.llm.shingles import U, chunks, mix, word_hashes
 from tidemark.storage import materialize
 
 ORDER = 5
-SHARE = 2.0**-20
+#: Nodes with less than this share of all training symbols would be left out: none is.
+SHARE = 0.0
+#: Grams whose chances are broadcast, at most; share of all words from which a word's count is broadcast.
+HOT, HOT_SHARE = 1 << 21, 2.0**-20
+#: Depths below this are broadcast in full.
+SHALLOW = 2
 END, START = 256, 257
 SYMBOLS = 257  # what can be predicted: bytes and the end
 _BITS = U(9)
@@ -129,8 +136,32 @@ class Table:
         return out
 
 
+class Walk:
+    """Log10 chances of symbols on the way from the longest context down."""
+
+    def __init__(self, n: int):
+        self.out, self.open = np.zeros(n), np.arange(n)
+        self.held, self.kinds = np.zeros(n, np.int64), np.zeros(n, np.int64)
+
+    def down(self, known: np.ndarray, counts: np.ndarray, sums: np.ndarray, kinds: np.ndarray, held: np.ndarray) -> None:
+        """One depth, for the symbols still open: whether their context is known, and their and its counts."""
+        total, fresh = sums - self.held[self.open], kinds - self.kinds[self.open]
+        bottom = np.maximum(total + fresh, 1)
+        hit = known & (counts > 0)
+        escape = known & ~hit & (fresh > 0)
+        self.out[self.open[hit]] += np.log10(counts[hit] / bottom[hit])
+        self.out[self.open[escape]] += np.log10(fresh[escape] / bottom[escape])
+        self.held[self.open[known]] = held[known]
+        self.kinds[self.open[known]] = kinds[known]
+        self.open = self.open[~hit]
+
+    def end(self) -> np.ndarray:
+        self.out[self.open] -= np.log10(np.maximum(SYMBOLS - self.kinds[self.open], 1))
+        return self.out
+
+
 class Trie:
-    """Counts of kept nodes by depth, and the log10 chance of any symbol in any context."""
+    """Counts of nodes by depth, and the log10 chance of any symbol in any context."""
 
     def __init__(self, levels: list[tuple[np.ndarray, np.ndarray]]):
         """``levels[k]``: keys of k context symbols and the predicted one, ascending, and their counts."""
@@ -158,32 +189,20 @@ class Trie:
         top = self.levels[-1][0]
         self.whole = Table(top, self.slow(top))
 
-    def slow(self, keys: np.ndarray) -> np.ndarray:
-        """Log10 chances by walking down from the longest context."""
-        out = np.zeros(len(keys))
-        open_ = np.arange(len(keys))
-        above_held, above_kinds = np.zeros(len(keys), np.int64), np.zeros(len(keys), np.int64)
+    def slow(self, keys: np.ndarray, walk: Walk | None = None) -> np.ndarray:
+        """Log10 chances by walking down from the longest context, or on from where ``walk`` is."""
+        if not self._ready:
+            self.prepare()
+        walk = walk or Walk(len(keys))
         for k in reversed(range(len(self.levels))):
             if not len(self.levels[k][0]):
                 continue
-            mine = keys[open_] & U((1 << 9 * (k + 1)) - 1)
+            mine = keys[walk.open] & U((1 << 9 * (k + 1)) - 1)
             at = self.contexts[k].find(mine >> _BITS)
-            known = at >= 0
-            sums, kinds, held = self.contexts[k].values[:, np.maximum(at, 0)]
-            total = sums - above_held[open_]
-            fresh = kinds - above_kinds[open_]
-            bottom = np.maximum(total + fresh, 1)
             found = self.grams[k].find(mine)
-            hit = known & (found >= 0)
-            counts = self.levels[k][1][np.maximum(found, 0)]
-            escape = known & ~hit & (fresh > 0)
-            out[open_[hit]] += np.log10(counts[hit] / bottom[hit])
-            out[open_[escape]] += np.log10(fresh[escape] / bottom[escape])
-            above_held[open_[known]] = held[known]
-            above_kinds[open_[known]] = kinds[known]
-            open_ = open_[~hit]
-        out[open_] -= np.log10(np.maximum(SYMBOLS - above_kinds[open_], 1))
-        return out
+            counts = np.where(found >= 0, self.levels[k][1][np.maximum(found, 0)], 0)
+            walk.down(at >= 0, counts, *self.contexts[k].values[:, np.maximum(at, 0)])
+        return walk.end()
 
     def log10(self, keys: np.ndarray) -> np.ndarray:
         if not self._ready:
@@ -229,39 +248,131 @@ def count(docs: DataFrame, train: Column, text_column: str = "text") -> DataFram
 
 
 class Model:
-    def __init__(self, trie: Trie, words: Table, tokens: int, texts: int, distinct: int):
-        self.trie, self.words, self.tokens, self.texts = trie, words, tokens, texts
+    """What is broadcast (``trie``, ``hot``, ``words``), and the stored ``nodes``, ``contexts`` and ``chances``."""
+
+    def __init__(
+        self, trie: Trie, hot: Table, words: Table, tokens: int, texts: int, distinct: int, tables: dict[str, DataFrame]
+    ):
+        self.trie, self.hot, self.words, self.tokens, self.texts = trie, hot, words, tokens, texts
         self.bottom = tokens + ALPHA * (distinct + 1)
+        self.tables = tables
+
+    def __getstate__(self):
+        return self.__dict__ | {"tables": {}}
 
     def word_log10(self, counts: np.ndarray) -> np.ndarray:
         return np.log10((counts + ALPHA) / self.bottom) if self.bottom > 0 else np.zeros(len(counts))
 
 
+def _tail(symbols: Column) -> Column:
+    """The last ``symbols`` symbols of ``key``."""
+    return F.col("key").bitwiseAND(F.pow(F.lit(2.0), 9 * symbols).cast("long") - 1)  # 2^54 at most: exact
+
+
+def _context() -> Column:
+    return F.shiftright("key", 9)
+
+
+def _tables(grams: DataFrame) -> dict[str, DataFrame]:
+    """``nodes`` (``k``, ``key``, ``n``), ``contexts`` (``k``, ``context``, ``sums``, ``kinds``, ``held``), ``chances`` (``key``, ``n``, ``log10``).
+
+    ``held`` is what the symbols of a context count for in the context one shorter.
+    """
+    total = grams.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    levels = [
+        grams.groupBy(_tail(F.lit(k + 1)).alias("key")).agg(F.sum("n").alias("n")).select(F.lit(k).alias("k"), "key", "n")
+        for k in range(ORDER)
+    ]
+    union = grams.select(F.lit(ORDER).alias("k"), "key", "n")
+    for level in levels:
+        union = union.unionByName(level)
+    nodes = materialize(union.filter(F.col("n") >= total * SHARE), "ppm-nodes")
+    shorter = nodes.select((F.col("k") + 1).alias("k"), F.col("key").alias("tail"), F.col("n").alias("below"))
+    met = nodes.withColumn("tail", _tail(F.col("k"))).join(shorter, ["k", "tail"], "left")
+    contexts = materialize(
+        met.groupBy("k", _context().alias("context")).agg(
+            F.sum("n").alias("sums"), F.count(F.lit(1)).alias("kinds"), F.coalesce(F.sum("below"), F.lit(0)).alias("held")
+        ), "ppm-contexts",
+    )
+    longest = contexts.filter(F.col("k") == ORDER).select("context", "sums", "kinds")
+    chances = nodes.filter(F.col("k") == ORDER).withColumn("context", _context()).join(longest, "context").select(
+        "key", "n", F.log10(F.col("n") / (F.col("sums") + F.col("kinds"))).alias("log10")
+    )
+    return {"nodes": nodes, "contexts": contexts, "chances": materialize(chances, "ppm-chances")}
+
+
+def _hot(chances: DataFrame) -> DataFrame:
+    """The most frequent grams, at most ``HOT``: all from some count on."""
+    sized = chances.withColumn("size", F.floor(F.log2("n") * 16).cast("int"))
+    held, least = 0, None
+    for size, n in sorted(sized.groupBy("size").count().collect(), reverse=True):  # at most 16 * 64 rows
+        if held + n > HOT:
+            break
+        held, least = held + n, size
+    return sized.filter(F.lit(False) if least is None else F.col("size") >= least).select("key", "log10")
+
+
 def train(docs: DataFrame, learn_from: Column, text_column: str = "text") -> tuple[Model, DataFrame]:
     """The model, and the stored counts of all training words (``key``, ``n``)."""
     counted = materialize(count(docs, learn_from, text_column), "ppm-counts")
-    grams = counted.filter("kind = 'gram'").select("key", "n")
     words = counted.filter("kind = 'word'").select("key", "n")
     texts = docs.filter(learn_from).count()
-    total = grams.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    tables = _tables(counted.filter("kind = 'gram'").select("key", "n"))
+    shallow = tables["nodes"].filter(F.col("k") < SHALLOW).toArrow()  # at most 257 + 257 * 258 rows
+    depth, keys, counts = (shallow[c].to_numpy() for c in ("k", "key", "n"))
     levels = []
-    for k in range(ORDER + 1):
-        mask = (1 << 9 * (k + 1)) - 1
-        level = grams.groupBy(F.col("key").bitwiseAND(F.lit(mask)).alias("key")).agg(F.sum("n").alias("n"))
-        table = level.filter(F.col("n") >= total * SHARE).toArrow()  # at most 2^20 rows
-        keys, counts = (table[c].to_numpy() for c in ("key", "n"))
-        order = np.argsort(keys)
-        levels.append((keys[order].astype(np.uint64), counts[order].astype(np.int64)))
+    for k in range(SHALLOW):
+        mine = np.flatnonzero(depth == k)
+        mine = mine[np.argsort(keys[mine])]
+        levels.append((keys[mine].astype(np.uint64), counts[mine].astype(np.int64)))
+    top = _hot(tables["chances"]).toArrow()  # at most HOT rows
+    hot = Table(top["key"].to_numpy().astype(np.uint64), top["log10"].to_numpy())
     in_words, distinct = words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
     tokens = in_words + texts
-    frequent = words.filter(F.col("n") >= tokens * SHARE).toArrow()
+    frequent = words.filter(F.col("n") >= tokens * HOT_SHARE).toArrow()
     keys, counts = frequent["key"].to_numpy().view(np.uint64), frequent["n"].to_numpy().astype(np.int64)
-    model = Model(Trie(levels), Table(keys, counts), tokens, texts, distinct + (texts > 0))
-    return model, words
+    return Model(Trie(levels), hot, Table(keys, counts), tokens, texts, distinct + (texts > 0), tables), words
+
+
+def _unseen(keys: DataFrame, model: Model, shared) -> DataFrame:
+    """``key`` and ``log10`` of distinct grams that training lacks."""
+    depths = range(ORDER, SHALLOW - 1, -1)
+    each = keys.withColumn("k", F.explode(F.array(*[F.lit(k) for k in depths])))
+    each = each.withColumns({"tail": _tail(F.col("k") + 1)}).withColumn("context", F.shiftright("tail", 9))
+    nodes = model.tables["nodes"].select("k", F.col("key").alias("tail"), "n")
+    met = each.join(nodes, ["k", "tail"], "left").join(model.tables["contexts"], ["k", "context"], "left")
+    columns = {f"{c}_{k}": F.coalesce(F.max(F.when(F.col("k") == k, F.col(c))), F.lit(0))
+               for k in depths for c in ("n", "sums", "kinds", "held")}
+    wide = met.groupBy("key").agg(*[value.alias(name) for name, value in columns.items()])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            walk = Walk(batch.num_rows)
+            for k in depths:
+                n, sums, kinds, held = (batch.column(f"{c}_{k}").to_numpy()[walk.open] for c in ("n", "sums", "kinds", "held"))
+                walk.down(sums > 0, n, sums, kinds, held)
+            out = shared.value.trie.slow(batch.column("key").to_numpy().astype(np.uint64), walk)
+            yield pa.RecordBatch.from_arrays([batch.column("key"), pa.array(out)], names=["key", "log10"])
+
+    return materialize(wide.mapInArrow(run, "key long, log10 double"), "ppm-unseen")
+
+
+def _per_text(keys: np.ndarray, owner: np.ndarray, n: int) -> pa.ListArray:
+    """For each of ``n`` texts the list of its distinct keys, and how often each occurs."""
+    order = np.lexsort((keys, owner))
+    keys, owner = keys[order], owner[order]
+    new = np.flatnonzero(np.concatenate([[True], (keys[1:] != keys[:-1]) | (owner[1:] != owner[:-1])])
+                         if len(keys) else np.zeros(0, bool))
+    times = np.diff(np.append(new, len(keys))).astype(np.int32)
+    pairs = pa.StructArray.from_arrays(
+        [pa.array(keys[new].view(np.int64)), pa.array(times)], fields=[pa.field("key", pa.int64()), pa.field("times", pa.int32())]
+    )
+    return pa.ListArray.from_arrays(pa.array(np.searchsorted(owner[new], np.arange(n + 1)).astype(np.int32)), pairs)
 
 
 SCORED = (
-    "n_tokens long, near_known long, near_base double, score double, rare array<struct<key: long, times: int>>"
+    "n_tokens long, near_known long, near_base double, near_score double, rare array<struct<key: long, times: int>>, "
+    "grams array<struct<key: long, times: int>>"
 )
 
 
@@ -276,7 +387,6 @@ def score(
     shared = SparkSession.active().sparkContext.broadcast(model)
     source = docs.select(F.col(id_column).alias("id"), F.col(text_column).alias("text"))
     id_type = source.schema["id"].dataType.simpleString()
-    rare_type = pa.list_(pa.struct([("key", pa.int64()), ("times", pa.int32())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fitted = shared.value
@@ -284,8 +394,10 @@ def score(
             for first, data, offsets in chunks(batch.column("text")):
                 n = len(offsets) - 1
                 keys, of = gram_keys(data, offsets)
-                # a running sum keeps each text's score apart from its neighbours
-                scores = np.add.reduceat(fitted.trie.log10(keys), np.flatnonzero(np.diff(of, prepend=-1)))
+                at = fitted.hot.find(keys)
+                hot = at >= 0
+                scores = np.bincount(of[hot], weights=fitted.hot.values[at[hot]], minlength=n).astype(np.float64)
+                grams = _per_text(keys[~hot], of[~hot], n)
                 hashes, owner = word_hashes(data, offsets)
                 at = fitted.words.find(hashes)
                 seen = at >= 0
@@ -293,38 +405,36 @@ def score(
                 base = np.bincount(owner[seen], weights=logs, minlength=n).astype(np.float64)
                 base += fitted.word_log10(np.array([fitted.texts]))[0]
                 known = np.bincount(owner[seen], minlength=n) + (fitted.texts > 0)
-                order = np.lexsort((hashes[~seen], owner[~seen]))
-                rare, where = hashes[~seen][order], owner[~seen][order]
-                new = np.flatnonzero(np.concatenate([[True], (rare[1:] != rare[:-1]) | (where[1:] != where[:-1])])
-                                     if len(rare) else np.zeros(0, bool))
-                times = np.diff(np.append(new, len(rare))).astype(np.int32)
-                cuts = np.searchsorted(where[new], np.arange(n + 1)).astype(np.int32)
-                pairs = pa.StructArray.from_arrays(
-                    [pa.array(rare[new].view(np.int64)), pa.array(times)], fields=list(rare_type.value_type)
-                )
                 yield pa.RecordBatch.from_arrays([
                     batch.column("id").slice(first, n),
                     pa.array(np.bincount(owner, minlength=n) + 1), pa.array(known.astype(np.int64)),
-                    pa.array(base), pa.array(scores), pa.ListArray.from_arrays(pa.array(cuts), pairs),
-                ], names=["id", "n_tokens", "near_known", "near_base", "score", "rare"])
+                    pa.array(base), pa.array(scores), _per_text(hashes[~seen], owner[~seen], n), grams,
+                ], names=["id", "n_tokens", "near_known", "near_base", "near_score", "rare", "grams"])
 
     near = materialize(
         source.mapInArrow(run, f"id {id_type}, {SCORED}").withColumn("row", F.monotonically_increasing_id()),
         "ppm-scores",
     )
     rare = near.select("row", F.explode("rare").alias("w")).select("row", "w.key", "w.times")
-    counts = words.filter(F.col("n") < model.tokens * SHARE).withColumnRenamed("n", "c")
+    counts = words.filter(F.col("n") < model.tokens * HOT_SHARE).withColumnRenamed("n", "c")
     bottom = model.bottom if model.bottom > 0 else 1.0
     seen = F.coalesce(F.col("c"), F.lit(0))
     far = rare.join(counts, "key", "left").groupBy("row").agg(
         F.sum(F.col("times") * F.log10((seen + ALPHA) / bottom)).alias("far_base"),
         F.sum(F.when(seen > 0, F.col("times")).otherwise(0)).alias("far_known"),
     )
-    joined = near.drop("rare").join(far, "row", "left")
+    pairs = near.select("row", F.explode("grams").alias("g")).select("row", "g.key", "g.times")
+    chances = model.tables["chances"].select("key", "log10")
+    unseen = _unseen(pairs.select("key").distinct().join(chances, "key", "left_anti"), model, shared)
+    chance = pairs.join(chances.unionByName(unseen), "key").groupBy("row").agg(
+        F.sum(F.col("times") * F.col("log10")).alias("far_score")
+    )
+    joined = near.drop("rare", "grams").join(far, "row", "left").join(chance, "row", "left")
     base = F.col("near_base") + F.coalesce("far_base", F.lit(0.0))
     return joined.select(
         F.col("id").alias(id_column), "n_tokens",
         (F.col("near_known") + F.coalesce("far_known", F.lit(0))).alias("n_known"),
         F.lit(model.tokens).cast("long").alias("train_tokens"),
-        (base if model.tokens else F.lit(0.0)).alias("base_score"), "score",
+        (base if model.tokens else F.lit(0.0)).alias("base_score"),
+        (F.col("near_score") + F.coalesce("far_score", F.lit(0.0))).alias("score"),
     )
