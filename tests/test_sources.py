@@ -8,6 +8,7 @@ from pyspark.sql import functions as F, types as T
 from conftest import rows
 from tidemark import schemas
 from tidemark.functions.text import cut_to_length
+from tidemark.plans.queries import QUERIES
 from tidemark.sinks import reports, tables
 from tidemark.streaming.incremental import newer_than
 from tidemark.sources import csv_files, json_files, staging
@@ -185,6 +186,20 @@ def test_long_error_lists_continue(spark):
     assert sum(sizes) == 95 and max(sizes) <= 25 and len(reports.error_report(log).collect()) == 1
 
 
+def test_error_rows_hold_no_lists(spark, tmp_path, monkeypatch):
+    log = spark.range(95).select(F.lit("f").alias("filename"), F.lit("c ").alias("colname"), F.lit("r").alias("err_reason"))
+    assert rows(reports.error_rows(log)) == [("c", "r", "f", 95)] and rows(reports.error_rows(log, dedup=True)) == [("c", "r", "f", 1)]
+    spark.range(50).selectExpr(
+        "id AS o_orderkey", "id + 0.5D AS o_totalprice", "if(id % 2 = 0, '1-URGENT!', 'LOW') AS o_orderpriority"
+    ).write.parquet(str(tmp_path / "orders.parquet"))
+    written = []
+    write = reports.write_report
+    monkeypatch.setattr(reports, "write_report", lambda df, path: (written.append(df), write(df, path)))
+    found = rows(QUERIES["error_report"](spark, str(tmp_path)), "colname", "errors")
+    assert found == [("o_orderpriority", 25), ("o_totalprice", 50)]
+    assert not any(kind.startswith("array") for _, kind in written[0].dtypes)
+
+
 def test_new_errors(spark):
     log = spark.createDataFrame(
         [("s3://a/x", "2020-01-01"), ("s3://a/y", "2020-01-02"), ("s3://b/z", "2020-01-03")], "filename string, starttime string"

@@ -898,12 +898,9 @@ def staging_rejects(spark, folder):
 @query(ORDER_REJECTS_SQL)
 def error_report(spark, folder):
     path = scratch_path(spark, "error-report")
-    reports.write_report(reports.error_report(_staged_orders(spark, folder)[1]), path)
-    stored = spark.read.schema(
-        "colname string, part bigint, errors array<struct<err_reason:string,filename:string>>"
-    ).json(path)
-    flat = stored.select("colname", F.explode("errors").alias("e"))
-    return flat.groupBy("colname", F.col("e.err_reason").alias("err_reason")).agg(F.count(F.lit(1)).alias("errors"))
+    reports.write_report(reports.error_rows(_staged_orders(spark, folder)[1]), path)
+    stored = spark.read.schema("colname string, err_reason string, filename string, times bigint").json(path)
+    return stored.groupBy("colname", "err_reason").agg(F.sum("times").alias("errors"))
 
 
 @query("""SELECT event_type AS colname, count(*) AS errors FROM events

@@ -9,6 +9,7 @@ from tidemark.streaming.incremental import newer_than
 def error_report(rejected: DataFrame, dedup: bool = False, parts: int = 1) -> DataFrame:
     """Per column the list of {err_reason, filename}.
 
+    For logs of which a list fits in a row; ``error_rows`` has no such bound.
     A list is one row, or with ``parts`` over 1 at most so many (``part``), dealt
     by a hash of the error and its place, for columns with very many errors.
     Repeated errors stay unless ``dedup``.
@@ -25,6 +26,17 @@ def error_report(rejected: DataFrame, dedup: bool = False, parts: int = 1) -> Da
     )
 
 
+def error_rows(rejected: DataFrame, dedup: bool = False) -> DataFrame:
+    """One row per distinct error and how many ``times`` it came (once with ``dedup``), laid out by column.
+
+    No list is built, so a column may have any number of errors.
+    """
+    errors = rejected.select(*[F.trim(c).alias(c) for c in ("colname", "err_reason", "filename")])
+    times = F.lit(1).cast("long") if dedup else F.count(F.lit(1))
+    layout = ["colname", "err_reason", "filename"]
+    return errors.groupBy(*layout).agg(times.alias("times")).repartitionByRange(*layout).sortWithinPartitions(*layout)
+
+
 def load_errors(log: DataFrame, folder: str, previous_max=None) -> DataFrame:
     """Errors of files below ``folder`` that are newer than the previous maximum."""
     return newer_than(log.filter(F.col("filename").startswith(folder)), "starttime", previous_max)
