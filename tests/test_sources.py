@@ -2,6 +2,8 @@ import json
 import time
 from datetime import datetime
 
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F, types as T
 
@@ -170,6 +172,33 @@ def test_first_record_of_each_file(spark):
     assert rows(staging.first_record_per_file(df), "value") == [("a",), ("c",)]
 
 
+def test_first_order_of_every_status(spark, tmp_path, monkeypatch):
+    kinds = ["O", "F", None, "", "X/y", "P"]
+    keys = list(range(600, 0, -1))
+    table = [(key, kinds[(i // 7 + i) % 6]) for i, key in enumerate(keys)]
+    (tmp_path / "orders.parquet").mkdir()
+    for n in range(3):
+        part = table[n * 200 : n * 200 + 200]
+        pq.write_table(
+            pa.table({"o_orderkey": pa.array([k for k, _ in part], pa.int64()), "o_orderstatus": pa.array([v for _, v in part], pa.string())}),
+            tmp_path / "orders.parquet" / f"part-{n}.parquet",
+        )
+    expected = {}
+    for key, kind in table:
+        expected.setdefault(kind, key)
+    taken = []
+    first = staging.first_record_per_file
+    monkeypatch.setattr(staging, "first_record_per_file", lambda df: taken.append((df, first(df))) or taken[0][1])
+    found = QUERIES["first_record_per_file"](spark, str(tmp_path))
+    assert {r.source: r.o_orderkey for r in found.collect()} == expected and found.count() == len(kinds)
+    # file by file: the first record is the earliest of the file's orders, and a status has several files
+    place = lambda df: df.selectExpr(
+        "_source", "struct(get_json_object(value, '$.file') AS file, int(get_json_object(value, '$.nth')) AS nth) AS at"
+    )
+    earliest = {r._source: r.at for r in place(taken[0][0]).groupBy("_source").agg(F.min("at").alias("at")).collect()}
+    assert {r._source: r.at for r in place(taken[0][1]).collect()} == earliest and len(earliest) > len(kinds)
+
+
 def test_error_report(spark, tmp_path):
     reason, file = "String length exceeds DDL length", "s3://songs/A/T.json"
     log = spark.createDataFrame([(file + " ", "artist_location ", reason)] * 2, "filename string, colname string, err_reason string")

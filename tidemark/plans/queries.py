@@ -842,15 +842,23 @@ def json_nested_lines(spark, folder):
 @query("""SELECT o_orderstatus AS source, arg_min(o_orderkey, nth) AS o_orderkey
 FROM (SELECT *, row_number() OVER () AS nth FROM orders) GROUP BY 1""")
 def first_record_per_file(spark, folder):
-    """The first order of each status, by its place in the status' own file."""
+    """The first order of each status: the first record of each of the status' files, then the first of those in the table."""
     path = scratch_path(spark, "by-status")
-    for status in ("F", "O", "P"):
-        own = table(spark, folder, "orders").filter(F.col("o_orderstatus") == status)
-        own.coalesce(1).write.json(f"{path}/{status}")
-    contract = T.StructType([schemas.column("o_orderkey", T.LongType())])
+    # a name for every status, among them NULL and empty text
+    name = F.coalesce(F.concat(F.lit("s"), F.hex("o_orderstatus")), F.lit("none"))
+    orders = spark.read.parquet(f"{folder}/orders.parquet").select(
+        name.alias("status"), F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("nth"), "o_orderkey"
+    )
+    orders.sortWithinPartitions("status", "file", "nth").write.partitionBy("status").json(path)
+    contract = T.StructType([schemas.column("o_orderkey", T.LongType()), schemas.text("file"), schemas.column("nth", T.LongType())])
     first = staging.first_record_per_file(json_files.read_json_records(spark, path, places=True))
     typed = staging.accepted(staging.coerce(json_files.by_name(first, contract), contract))
-    return typed.select(F.regexp_extract(json_files.SOURCE, "/([FOP])/[^/]*$", 1).alias("source"), "o_orderkey")
+    source = F.col(json_files.SOURCE)
+    status = F.when(
+        source.rlike("/status=s[0-9A-F]*/[^/]*$"),
+        F.decode(F.unhex(F.regexp_extract(source, "/status=s([0-9A-F]*)/[^/]*$", 1)), "UTF-8"),
+    )
+    return typed.groupBy(status.alias("source")).agg(F.min_by("o_orderkey", F.struct("file", "nth")).alias("o_orderkey"))
 
 
 @query("""SELECT event_id, CAST(regexp_extract(props, '"k": ([0-9]+)', 1) AS BIGINT) AS k FROM events""")
