@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import string
+
 import public_tokenizers
 
 import corpus_pipeline
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tidemark.llm import (
-    fuse_dedup, language, line_dedup, packing, ppm, probminhash, quality, quality_rules, sentencepiece_codec, toxicity,
+    fuse_dedup, language, line_dedup, merkle, packing, ppm, probminhash, quality, quality_rules, sentencepiece_codec, toxicity,
 )
 from tidemark.llm.common import bucket, held_out, table
 
@@ -77,6 +79,23 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def manifest_of(docs: DataFrame) -> DataFrame:
+    """Leaves of whole rows, in a tree a source; every fifth id (by crc32; none counts as empty) is tampered with."""
+    fields = ["doc_id", "source", "lang", "n_chars"]
+    lowered = F.translate("text", string.ascii_uppercase, string.ascii_lowercase)
+    tampered = F.when(bucket(F.col("doc_id"), 5) == 0, merkle.leaf_of(*fields_of(fields), lowered))
+    made = merkle.manifest(docs, "source", "doc_id", merkle.leaf_of(*fields_of([*fields, "text"])), tampered=tampered)
+    return merkle.fold(made, "tampered").withColumnRenamed("id", "doc_id")
+
+
+def fields_of(names: list[str]) -> list[Column]:
+    return [F.col(n) for n in names]
+
+
+def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return manifest_of(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "pipeline": corpus_pipeline.run,
     "op1_line_dedup": op1_line_dedup,
@@ -89,6 +108,7 @@ QUERIES = {
     "op8_exact_dedup": op8_exact_dedup,
     "op9_toxicity": op9_toxicity,
     "op10_sentencepiece": op10_sentencepiece,
+    "op11_merkle": op11_merkle,
 }
 
 STOP_WORD_LIST = ", ".join(f"'{w}'" for w in quality_rules.STOP_FORMS)
@@ -133,4 +153,62 @@ SQL: dict[str, str] = {
                doc_id = max(doc_id) OVER same AS kept, sha256(coalesce(text, '')) AS text_sha256
         FROM documents WINDOW same AS (PARTITION BY coalesce(text, ''))
     """,
+    # every level of both trees by a recursive query; crc32 bit by bit
+    "op11_merkle": r"""
+        WITH RECURSIVE hashed AS (
+            SELECT *, sha256(concat(_doc_id, _source, _lang, _n_chars, _text)) AS leaf,
+                   CASE WHEN xor(crc, 4294967295) % 5 = 0
+                        THEN sha256(concat(_doc_id, _source, _lang, _n_chars, _lowered)) END AS tampered
+            FROM (
+                SELECT doc_id, source, {fields},
+                       list_reduce(list_prepend(4294967295, list_transform(
+                               range(1, length(coalesce(CAST(doc_id AS VARCHAR), '')) + 1),
+                               lambda i: CAST(ascii(CAST(doc_id AS VARCHAR)[i]) AS BIGINT))),
+                           lambda c, b: list_reduce([xor(c, b), 0, 0, 0, 0, 0, 0, 0, 0],
+                               lambda x, _: xor(x >> 1, 3988292384 * (x & 1)))) AS crc
+                FROM (SELECT *, translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS lowered FROM documents)
+            )
+        ), leaves AS (
+            SELECT *, dense_rank() OVER (ORDER BY source NULLS FIRST) - 1 AS tree,
+                   row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos
+            FROM hashed
+        ), low AS (
+            SELECT tree, 0 AS level, pos AS place, leaf AS digest, count(*) OVER (PARTITION BY tree) AS n FROM leaves
+            UNION ALL
+            SELECT tree, level + 1, place // 16, sha256(string_agg(digest, '' ORDER BY place)), (n + 15) // 16
+            FROM low WHERE n > 1 GROUP BY tree, level, place // 16, n
+        ), high AS (
+            SELECT 0 AS level, tree AS place, digest, count(*) OVER () AS n FROM low WHERE n = 1
+            UNION ALL
+            SELECT level + 1, place // 16, sha256(string_agg(digest, '' ORDER BY place)), (n + 15) // 16
+            FROM high WHERE n > 1 GROUP BY level, place // 16, n
+        ), sides AS (
+            SELECT tree, level, place, n, coalesce(string_agg(digest, '') OVER before, '') AS l, coalesce(string_agg(digest, '') OVER after, '') AS r
+            FROM (SELECT tree, level, place, digest, n FROM low UNION ALL SELECT -1, level, place, digest, n FROM high)
+            WHERE n > 1
+            WINDOW before AS (PARTITION BY tree, level, place // 16 ORDER BY place ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING),
+                   after AS (PARTITION BY tree, level, place // 16 ORDER BY place ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING)
+        ), climb AS (
+            SELECT tree, pos, tree AS here, 0 AS level, pos AS place, coalesce(tampered, leaf) AS digest, '' AS seen FROM leaves
+            UNION ALL
+            SELECT c.tree, c.pos,
+                   CASE WHEN s.tree IS NULL THEN -1 ELSE c.here END,
+                   CASE WHEN s.tree IS NULL THEN 0 ELSE c.level + 1 END,
+                   CASE WHEN s.tree IS NULL THEN c.tree ELSE c.place // 16 END,
+                   CASE WHEN s.tree IS NULL THEN c.digest ELSE sha256(s.l || c.digest || s.r) END,
+                   CASE WHEN s.tree IS NULL THEN c.seen ELSE c.seen || s.l || s.r END
+            FROM climb c LEFT JOIN sides s ON s.tree = c.here AND s.level = c.level AND s.place = c.place
+            WHERE c.here >= 0 OR s.tree IS NOT NULL
+        ), folded AS (
+            SELECT tree, pos, digest, seen FROM climb c
+            WHERE here = -1 AND level = (SELECT max(level) FROM high)
+        )
+        SELECT v.doc_id, v.leaf, t.digest AS subroot, r.digest AS root, sha256(f.seen) AS proof_sha256,
+               f.digest AS folded_root, f.digest = r.digest AS verified
+        FROM leaves v JOIN folded f USING (tree, pos) JOIN (SELECT tree, digest FROM low WHERE n = 1) t USING (tree)
+        CROSS JOIN (SELECT digest FROM high WHERE n = 1) r
+    """.replace("{fields}", ", ".join(
+        f"CASE WHEN {c} IS NULL THEN '-' ELSE strlen(CAST({c} AS VARCHAR)) || ':' || {c} END AS _{c}"
+        for c in ("doc_id", "source", "lang", "n_chars", "text", "lowered")
+    )),
 }
