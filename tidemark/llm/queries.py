@@ -10,9 +10,12 @@ import corpus_pipeline
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tidemark.llm import (
-    fuse_dedup, language, line_dedup, merkle, packing, ppm, probminhash, quality, quality_rules, sentencepiece_codec, toxicity,
+    fuse_dedup, language, line_dedup, merkle, mixing, packing, ppm, probminhash, quality, quality_rules,
+    sentencepiece_codec, survival, toxicity,
 )
-from tidemark.llm.common import bucket, held_out, table
+from tidemark.llm.common import bucket, held_out, table, text_of
+from tidemark.operators.skew import join_heavy
+from tidemark.storage import materialize
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 PIECE_BPE = public_tokenizers.path("piece_bpe_32k.model")
@@ -96,6 +99,42 @@ def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return manifest_of(table(spark, sf_dir, "documents"))
 
 
+def filter_verdicts(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """What the five filters A to E say of each document, and its labels; an id's labels count as the greatest."""
+    text, words = text_of(), F.col("words")
+    counted = docs.select("doc_id", "source", "text", quality_rules.words_of(text).alias("words"))
+    capitals = F.length(text) - F.length(F.regexp_replace(text, "[A-Z]", ""))
+    measured = materialize(counted.select(
+        "doc_id", F.coalesce("source", F.lit("")).alias("part"),
+        F.unhex(F.sha2(text.cast("binary"), 256)).alias("digest"),
+        (F.size(words) < 200).alias("few"),
+        (100 * F.size(F.array_distinct(words)) < 50 * F.size(words)).alias("repeating"),
+        (100 * capitals > 2 * F.length(text)).alias("loud"),
+        text.rlike("[#$%&*|]").alias("marked"),
+    ), "filter-verdicts")
+    firsts = measured.groupBy("digest").agg(F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1")
+    copied = materialize(
+        join_heavy(measured, firsts.select("digest", "first"), ["digest"], "left")
+        .withColumn("copied", F.coalesce(F.col("doc_id") > F.col("first"), F.lit(False))).drop("digest", "first"),
+        "filter-verdicts",
+    )
+    known = labels.filter("doc_id IS NOT NULL").groupBy("doc_id").agg(
+        (F.max("quality") == 1).alias("good"), (F.max("toxic") == 1).alias("toxic")
+    )
+    return join_heavy(copied, known, ["doc_id"], "left")
+
+
+def op12_survival(spark: SparkSession, sf_dir: str) -> DataFrame:
+    verdicts = filter_verdicts(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    filters = dict(A="few", B="repeating", C="loud", D="marked", E="copied")
+    return survival.audit(verdicts, "part", filters, {"good": "good", "toxic": "toxic"})
+
+
+def op13_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mixing.mix(table(spark, sf_dir, "documents"))
+    return mixed.select("doc_id", "size", "source_size", "target", "taken")
+
+
 QUERIES = {
     "pipeline": corpus_pipeline.run,
     "op1_line_dedup": op1_line_dedup,
@@ -109,6 +148,8 @@ QUERIES = {
     "op9_toxicity": op9_toxicity,
     "op10_sentencepiece": op10_sentencepiece,
     "op11_merkle": op11_merkle,
+    "op12_survival": op12_survival,
+    "op13_mixing": op13_mixing,
 }
 
 STOP_WORD_LIST = ", ".join(f"'{w}'" for w in quality_rules.STOP_FORMS)
@@ -211,4 +252,80 @@ SQL: dict[str, str] = {
         f"CASE WHEN {c} IS NULL THEN '-' ELSE strlen(CAST({c} AS VARCHAR)) || ':' || {c} END AS _{c}"
         for c in ("doc_id", "source", "lang", "n_chars", "text", "lowered")
     )),
+    "op12_survival": r"""
+        WITH cut AS (
+            SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t,
+                   list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS w
+            FROM documents
+        ), known AS (
+            SELECT doc_id, max(quality) = 1 AS good, max(toxic) = 1 AS toxic FROM labels GROUP BY doc_id
+        ), judged AS (
+            SELECT part, coalesce(good, false) AS good, coalesce(toxic, false) AS toxic,
+                   CASE WHEN len(w) < 200 THEN 1 ELSE 0 END
+                   + CASE WHEN 100 * len(list_distinct(w)) < 50 * len(w) THEN 2 ELSE 0 END
+                   + CASE WHEN 100 * (length(t) - length(regexp_replace(t, '[A-Z]', '', 'g'))) > 2 * length(t) THEN 4 ELSE 0 END
+                   + CASE WHEN regexp_matches(t, '[#$%&*|]') THEN 8 ELSE 0 END
+                   + CASE WHEN doc_id > min(doc_id) OVER (PARTITION BY t) THEN 16 ELSE 0 END AS failed
+            FROM cut LEFT JOIN known USING (doc_id)
+        ), tallied AS (
+            SELECT part, good, toxic, failed, count(*) AS n FROM judged GROUP BY ALL
+        ), letters AS (
+            SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS letter, unnest([1, 2, 4, 8, 16]) AS bit
+        ), orders AS (
+            SELECT a.letter || b.letter || c.letter || d.letter || e.letter AS filter_order,
+                   [a.bit, b.bit, c.bit, d.bit, e.bit] AS bits
+            FROM letters a, letters b, letters c, letters d, letters e
+            WHERE len(list_distinct([a.bit, b.bit, c.bit, d.bit, e.bit])) = 5
+        ), steps AS (
+            SELECT filter_order, step, bits[step] AS own, coalesce(list_sum(bits[1:step - 1]), 0) AS before
+            FROM (SELECT *, unnest(range(1, 6)) AS step FROM orders)
+        ), counted AS (
+            SELECT part, filter_order, step, own,
+                   sum(CASE WHEN failed & before = 0 AND failed & own = 0 THEN n ELSE 0 END) AS kept,
+                   sum(CASE WHEN failed & before = 0 AND failed & own > 0 THEN n ELSE 0 END) AS removed,
+                   sum(CASE WHEN failed & before > 0 AND failed & own > 0 THEN n ELSE 0 END) AS redundant,
+                   sum(CASE WHEN failed = own THEN n ELSE 0 END) AS unique_fails,
+                   sum(CASE WHEN good AND failed & before = 0 AND failed & own > 0 THEN n ELSE 0 END) AS good_lost,
+                   sum(CASE WHEN toxic AND failed & before = 0 AND failed & own > 0 THEN n ELSE 0 END) AS toxic_lost
+            FROM (SELECT t.*, filter_order, step, own, CAST(before AS INTEGER) AS before FROM tallied t, steps)
+            GROUP BY ALL
+        )
+        SELECT part, filter_order, CAST(step AS INTEGER) AS step, CAST(kept AS BIGINT) AS kept,
+               CAST(removed AS BIGINT) AS removed, CAST(redundant AS BIGINT) AS redundant,
+               CAST(unique_fails AS BIGINT) AS unique_fails, CAST(good_lost AS BIGINT) AS good_lost,
+               CAST(toxic_lost AS BIGINT) AS toxic_lost, CAST(sum(removed) OVER (PARTITION BY part, own) AS BIGINT) AS shapley
+        FROM counted
+    """,
+    # clamping round by round, as often as there are sources
+    "op13_mixing": r"""
+        WITH RECURSIVE sized AS (
+            SELECT doc_id, source, len(list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '')) AS size,
+                   md5('13:' || coalesce(CAST(doc_id AS VARCHAR), '') || ':' || coalesce(text, '')) AS key
+            FROM documents
+        ), sources AS (
+            SELECT source, CAST(sum(size) AS BIGINT) AS source_size,
+                   [5, 2, 1][(row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1] AS weight
+            FROM sized GROUP BY source
+        ), fill AS (
+            SELECT 0 AS round, source, source_size, weight, false AS clamped FROM sources
+            UNION ALL
+            SELECT round + 1, source, source_size, weight, clamped OR 2 * source_size <
+                   (1.5::DOUBLE * sum(source_size) OVER () - coalesce(sum(2 * source_size) FILTER (clamped) OVER (), 0)) * weight
+                   / sum(weight) FILTER (NOT clamped) OVER ()
+            FROM fill WHERE round < (SELECT count(*) FROM sources)
+        ), aimed AS (
+            SELECT source, source_size, CASE WHEN clamped THEN 2.0::DOUBLE * source_size ELSE
+                   (1.5::DOUBLE * sum(source_size) OVER () - coalesce(sum(2 * source_size) FILTER (clamped) OVER (), 0)) * weight
+                   / sum(weight) FILTER (NOT clamped) OVER () END AS target
+            FROM fill WHERE round = (SELECT max(round) FROM fill)
+        ), placed AS (
+            SELECT s.*, a.source_size, a.target,
+                   CASE WHEN a.source_size > 0 THEN floor(a.target / a.source_size) ELSE 0 END AS whole,
+                   coalesce(sum(size) OVER (PARTITION BY s.source ORDER BY key ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before
+            FROM sized s JOIN aimed a ON a.source IS NOT DISTINCT FROM s.source
+        )
+        SELECT doc_id, size, source_size, target,
+               CAST(whole * size + greatest(0, least(size, floor(target - whole * source_size) - before)) AS BIGINT) AS taken
+        FROM placed
+    """,
 }
