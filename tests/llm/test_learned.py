@@ -1,6 +1,7 @@
 """Quality, language and toxicity models: edge cases and held-out accuracy on the driver tables."""
 
 import os
+from itertools import product
 
 import numpy as np
 import pyarrow as pa
@@ -40,18 +41,77 @@ def test_quality_features_do_not_depend_on_neighbours():
     assert np.isfinite(together).all() and quality.features(pa.array([], pa.string())).shape[0] == 0
 
 
-def test_restores_hidden_words(spark):
-    text = "you are an idiot and a loser and so stupid that the moron said it was trash " * 50
-    counts = toxicity.letter_counts(spark.createDataFrame([(text,), (None,), ("",)], "text string"))
-    words = toxicity.Words(counts)
-    for written, hidden in {
-        "1d10t": "idiot", "l0ser": "loser", "s.t.u.p.i.d": "stupid", "idiooot": "idiot", "tr@sh": "trash",
-        "looooser": "loser", "m0r0n,": "moron", "stup1d!!": "stupid",
-    }.items():
-        assert hidden in words.of_token(written), written
-    assert words.restored("an i d i o t and l0ser") == "an idiot and loser"
+@pytest.fixture(scope="module")
+def words(spark):
+    text = """you are an idiot and a loser and so stupid that the moron said it was trash
+        i hate this stupid person and what an ass you are a person of the kind we like""".replace("\n", " ") * 50
+    counts = toxicity.letter_counts(spark.createDataFrame([(text,), (None,), ("",), ("w o r d s " * 50,)], "text string"))
+    return toxicity.Words(counts)
+
+
+@pytest.mark.parametrize("written, hidden", [
+    ("1d10t", "idiot"), ("l0ser", "loser"), ("s.t.u.p.i.d", "stupid"), ("idiooot", "idiot"), ("tr@sh", "trash"),
+    ("looooser", "loser"), ("m0r0n,", "moron"), ("stup1d!!", "stupid"), ("s|t|u|p|i|d", "stupid"), ("s!t!u!p!i!d", "stupid"),
+    ("@$$", "ass"), ("1)10+", "idiot"), ("st" + "u" * 71 + "pid", "stupid"), ("stu" + "." * 100_000 + "pid", "stupid"),
+])
+def test_restores_hidden_words(words, written, hidden):
+    assert hidden in words.of_token(written)
+
+
+@pytest.mark.parametrize("written, restored", [
+    ("an i d i o t and l0ser", "an idiot and loser"), ("you are a s t u p i d person", "you are a stupid person"),
+    ("I h a t e", "i hate"), ("y o u i d i o t", "you idiot"), ("that id iot", "that idiot"), ("stu pid", "stupid"),
+    ("s  t  u\np\ti d", "stupid"), ("a st u pid person", "a stupid person"), ("$ t u p 1 d.", "stupid"),
+    ("I have a dog, and you", "I have a dog, and you"), ("", ""), (" \n", " \n"),
+])
+def test_restores_spaced_words(words, written, restored):
+    assert words.restored(written) == restored
+    for word in set(restored.lower().split()) - set(written.lower().split()):
+        if word.strip(",."):
+            assert word in next(words.features([written]))
+
+
+def test_long_phrases_are_restored(words):
+    phrase = "you are an idiot and so stupid that the moron said it was trash " * 300
+    marked = "-".join(phrase.replace(" ", ""))
+    assert len(words.restored(marked)) == len(phrase.replace(" ", ""))
+    spaced = words.restored(" ".join(phrase.replace(" ", "")))
+    assert {"idiot", "stupid", "trash"} <= set(spaced.split())
+
+
+def test_plain_tokens_stay(words):
     assert words.of_token("plain") == toxicity.named("plain")
     assert words.of_token("!!!") == () and words.of_token("108.51.216.133")
+    assert words.of_token("a" * 1_000_000) and words.of_token("." * 1_000_000 + "x" + "." * 1_000_000) == ("x",)
+
+
+def paths(slots):
+    return product(*slots)
+
+
+def test_likeliest_is_least_over_all_paths(words):
+    r, rnd = words.restorer, np.random.default_rng(3)
+
+    def price(path):
+        at, total = (26, 26, 26), sum(p for _, p in path)
+        for c in "".join(x for x, _ in path) + ".":
+            s = ord(c) - 97 if "a" <= c <= "z" else 26
+            total += float(r.cost[(at[0] * 27 + at[1]) * 27 + at[2], s])
+            at = (*at[1:], s)
+        return total
+
+    for _ in range(60):
+        tokens = ["".join(rnd.choice(list("iidot1|0$@s.+")) for _ in range(rnd.integers(1, 5))) for _ in range(rnd.integers(1, 4))]
+        slots = r.lattice(tokens, [0.5] * (len(tokens) - 1))
+        best = min(price(p) for p in paths(slots))
+        assert price([(r.likeliest(slots), 0.0)]) <= best + 1e-6
+        chosen = r.likeliest(slots)
+        assert min(price(p) for p in paths(slots) if "".join(x for x, _ in p) == chosen) == pytest.approx(best)
+
+
+def test_stretches_do_not_depend_on_neighbours(words):
+    texts = ["a b c", "", "s t u p i d", "plain words here", "é à ü", "x", " \n ", "id iot and 5 $ t"]
+    assert words.restorer.stretches(texts) == [words.restorer.stretches([t])[0] for t in texts]
 
 
 def test_toxic_scores_of_edge_texts(spark):

@@ -1,18 +1,29 @@
 """Toxicity by noisy-channel restoration of words, then a linear score of the restored text.
 
-A written word is taken as a hidden word sent through a channel that swaps
-letters for look-alikes, puts marks between letters, repeats letters, or spaces
-them out. The possible hidden words of a token form a lattice: each slot offers
-some letters at a cost. A Viterbi search over the lattice under a character
-language model (four letters, counted over all documents) finds the likeliest.
-Tokens whose lattice has one path only are left as they are.
-
-The restored words and their first letters are features of a logistic
-regression. It is fitted on at most ``sample`` labelled rows (a hash of the id
-chooses them), on the features whose presence tells the labels apart best.
+Written words are taken as hidden words sent through a channel that swaps letters
+for look-alikes, puts marks between letters, repeats letters, or sets blanks
+inside words. The possible hidden texts form a lattice: each slot offers some
+letters at a cost, a look-alike may also be a mark, and a blank between two
+tokens may be none. A Viterbi search over the lattice under a character language
+model (four letters, counted over all documents) finds the likeliest.
+
+Tokens are decoded one by one, and stretches of tokens together where a blank may
+have been set inside a word: beside letters that stand alone in a row or are no
+likely word, and where the model, by the letters around a blank, prefers none by
+``JOINED``. The latter test is the lattice's own cost for that blank, taken for
+all blanks of a text at once, so blanks that fail it need no search. Tokens whose
+lattice has one path are left as they are. Work is linear in the text.
+
+The written words, the restored words and the first letters of both are features
+of a logistic regression. It is fitted on at most ``sample`` labelled rows (a hash
+of the id chooses them), on the features whose presence tells the labels apart best.
 
 The language model has 27^4 numbers and the classifier ``features`` weights, so
 what is broadcast does not grow with the data.
+
+NULL and empty texts have the score of no evidence. Ids are used only to find
+labels: rows without one, or that share one, are scored like all others. Further
+columns of the documents are not looked at.
 """
 
 from __future__ import annotations
@@ -33,10 +44,17 @@ from tidemark.storage import materialize
 #: What may stand for a letter.
 LOOK_ALIKES = {
     "0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "g", "7": "t", "8": "b", "9": "g",
-    "@": "a", "$": "s", "!": "il", "|": "il", "+": "t", "(": "c", "€": "e", "£": "l",
+    "@": "a", "$": "s", "!": "il", "|": "il", "+": "t", "(": "c", ")": "d", "€": "e", "£": "l",
 }
-#: Costs, as negative natural logarithms.
-SWAPPED, MARKED, DOUBLED, REPEATED = 0.7, 0.7, 2.5, 0.7
+#: Costs, as negative natural logarithms: a look-alike for a letter, a mark between letters, a look-alike that is
+#: a mark, one of two equal letters too many, a longer run, and a blank between two letters alone, beside one, or
+#: between pieces.
+SWAPPED, MARKED, DROPPED, DOUBLED, REPEATED = 0.7, 0.7, 2.5, 2.5, 0.7
+SPACED, BESIDE, JOINED = 0.5, 2.5, 5.0
+#: Marks around words.
+BEFORE, AFTER = "\"'#%&*([{.,;:?<>_~^-", "\"'#%&*)]}.,;:?!<>_~^-"
+#: From this cost on, a letter alone is no likely word.
+ODD = 3.5
 
 OTHER = 26  # every character but a-z
 BASE = 27
@@ -45,19 +63,30 @@ FEATURES = 4_096
 #: Standard errors by which a feature's share must differ between the labels.
 APART = 4.5
 CACHE_WORDS = 250_000
+TOGETHER = 1 << 18
 
 _symbols = np.full(256, OTHER, np.int32)
 _symbols[97:123] = np.arange(26)
 _symbols[65:91] = np.arange(26)
 
+_code = {chr(97 + i): i for i in range(26)}
 _token = re.compile(rf"[^{WORD_BREAKS}]+")
-_spaced = re.compile(rf"(?<![^{WORD_BREAKS}])(?:[^{WORD_BREAKS}][ \t]){{2,}}[^{WORD_BREAKS}](?![^{WORD_BREAKS}])")
-_edges = re.compile(r"^[\"'#%&*(\[{.,;:?<>_~^-]+|[\"'#%&*)\]}.,;:?!<>_~^-]+$|\${3,}$")
-_noisy = re.compile(r"([^\W\d_])\1|[^\W\d_].*[\W\d_]|[\W\d_].*[^\W\d_]")
+_noisy = re.compile(r"([^\W\d_])\1|[\W\d_]")
+# a letter that repeats, or a run of one character that is no letter
+_special = re.compile(r"([a-z])\1+|([\W\d_])\2*", re.S)
+_letter = re.compile(r"[^\W\d_]")
+
+# bytes: word breaks, what may follow a letter alone, and look-alikes of one byte
+_blank = np.zeros(256, bool)
+_blank[[9, 10, 11, 12, 13, 32]] = True
+_stop = np.zeros(256, bool)
+_stop[list(b".,;:!?")] = True
+_alike = np.zeros(256, bool)
+_alike[[ord(c) for c in LOOK_ALIKES if c.isascii()]] = True
 
 
 def letter_counts(docs: DataFrame, text_column: str = "text") -> np.ndarray:
-    """How often each run of four symbols occurs in the texts."""
+    """How often each run of four symbols occurs in the texts, letters spaced apart left out."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(BASE**4, np.int64)
@@ -65,7 +94,12 @@ def letter_counts(docs: DataFrame, text_column: str = "text") -> np.ndarray:
             for _, data, _ in chunks(batch.column(0)):
                 s = _symbols[data]
                 if len(s) > 3:
-                    total += np.bincount(((s[:-3] * BASE + s[1:-2]) * BASE + s[2:-1]) * BASE + s[3:], minlength=BASE**4)
+                    grams = ((s[:-3] * BASE + s[1:-2]) * BASE + s[2:-1]) * BASE + s[3:]
+                    alone = (s[:-2] == OTHER) & (s[1:-1] != OTHER) & (s[2:] == OTHER)
+                    apart = np.flatnonzero(alone[:-2] & alone[2:])  # two letters alone in a row
+                    written = np.ones(len(grams), bool)
+                    written[apart] = written[apart + 1] = False
+                    total += np.bincount(grams[written], minlength=BASE**4)
         found = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(found), pa.array(total[found])], names=["gram", "n"])
 
@@ -77,56 +111,129 @@ def letter_counts(docs: DataFrame, text_column: str = "text") -> np.ndarray:
 
 
 class Restorer:
-    """Most likely hidden words of tokens, under a table of letter counts."""
+    """Most likely hidden texts of tokens, under a table of letter counts."""
 
     def __init__(self, counts: np.ndarray):
         grams = counts.reshape(BASE**3, BASE).astype(np.float64)
         shorter = grams.reshape(BASE, BASE**2, BASE).sum(0)  # two letters of context
         back = (shorter + 1) / (shorter.sum(1, keepdims=True) + BASE)
+        #: The cost of each letter to stand alone, as one that begins a word and ends it.
+        self.alone = -np.log(back[OTHER * BASE + np.arange(BASE), OTHER])
         back = np.tile(back, (BASE, 1))
         self.cost = (-np.log((grams + 5 * back) / (grams.sum(1, keepdims=True) + 5))).astype(np.float32)
+        self.costs = self.cost.ravel().tolist()  # a list is read faster, one number at a time
 
     def slots(self, token: str) -> list[list[tuple[str, float]]]:
-        out = []
-        for c, run in groupby(token):
-            k = len(list(run))
-            if c.isalpha():
-                if k == 1 or not "a" <= c <= "z":
-                    out.append([(c * k, 0.0)])
-                elif k == 2:
-                    out.append([(c * 2, 0.0), (c, DOUBLED)])
-                else:
-                    out.append([(c, REPEATED), (c * 2, REPEATED)])
+        out: list[list[tuple[str, float]]] = []
+        # a token of look-alikes alone hides letters rather than marks
+        dropped = DROPPED if _letter.search(token) else 4 * DROPPED
+        at = 0
+        for match in _special.finditer(token):
+            if match.start() > at:
+                out.append([(token[at : match.start()], 0.0)])
+            at = match.end()
+            run = match[0]
+            c, k = run[0], len(run)
+            if "a" <= c <= "z":
+                out.append([(run, 0.0), (c, DOUBLED)] if k == 2 else [(c, REPEATED), (c * 2, REPEATED)])
             elif c in LOOK_ALIKES:
                 letters = LOOK_ALIKES[c]
-                out.append([(x, SWAPPED) for x in letters] + [(x * 2, SWAPPED) for x in letters if k > 1])
+                once = SWAPPED if k != 2 else SWAPPED + DOUBLED
+                out.append([(x, once) for x in letters] + [(x * 2, SWAPPED) for x in letters if k > 1] + [("", dropped)])
             else:
                 out.append([("", MARKED)])
+        if at < len(token):
+            out.append([(token[at:], 0.0)])
         return out
 
-    def restore(self, token: str) -> str:
-        """``token`` in lower case; what comes back has letters only."""
-        cost = self.cost
-        states: dict[int, tuple[float, str]] = {(OTHER * BASE + OTHER) * BASE + OTHER: (0.0, "")}
-        for options in self.slots(token):
-            after: dict[int, tuple[float, str]] = {}
-            for state, (total, text) in states.items():
-                for letters, price in options:
+    def lattice(self, tokens: list[str], joins: list[float]) -> list[list[tuple[str, float]]]:
+        """Slots of tokens, and between them a blank that costs nothing or none at the price in ``joins``."""
+        out = self.slots(tokens[0])
+        for price, token in zip(joins, tokens[1:]):
+            out.append([(" ", 0.0), ("", price)])
+            out += self.slots(token)
+        return out
+
+    def likeliest(self, slots: list[list[tuple[str, float]]]) -> str:
+        """The path of least cost; of equal ones the first in the order of the options."""
+        costs = self.costs
+        # state: the last three symbols; kept: cost and a chain of the letters chosen
+        states: dict[int, tuple[float, tuple | None]] = {(OTHER * BASE + OTHER) * BASE + OTHER: (0.0, None)}
+        for options in slots:
+            after: dict[int, tuple[float, tuple | None]] = {}
+            symbols = [(letters, price, [_code.get(c, OTHER) for c in letters]) for letters, price in options]
+            for state, (total, chain) in states.items():
+                for letters, price, codes in symbols:
                     at, sum_ = state, total + price
-                    for c in letters:
-                        s = ord(c) - 97 if "a" <= c <= "z" else OTHER
-                        sum_ += float(cost[at, s])
-                        at = at % (BASE * BASE) * BASE + s
+                    for s in codes:
+                        at = at * BASE + s
+                        sum_ += costs[at]
+                        at %= BASE**3
                     known = after.get(at)
                     if known is None or sum_ < known[0]:
-                        after[at] = (sum_, text + letters)
+                        after[at] = (sum_, (chain, letters))
             states = after
-        return min((total + float(cost[at, OTHER]), text) for at, (total, text) in states.items())[1]
+        best = min((total + costs[at * BASE + OTHER], at) for at, (total, _) in states.items())[1]
+        chain, out = states[best][1], []
+        while chain is not None:
+            chain, letters = chain
+            out.append(letters)
+        return "".join(reversed(out))
+
+    def restore(self, token: str) -> str:
+        """``token`` in lower case; what comes back has letters only."""
+        return self.likeliest(self.slots(token))
+
+    def restore_all(self, tokens: list[str]) -> list[str]:
+        """The words behind tokens whose blanks may be none."""
+        alone = [len(t) == 1 for t in tokens]
+        joins = [(JOINED, BESIDE, SPACED)[a + b] for a, b in zip(alone, alone[1:])]
+        return self.likeliest(self.lattice(tokens, joins)).split()
+
+    def stretches(self, texts: list[str]) -> list[list[tuple[int, int]]]:
+        """Of each text the ranges of tokens, by number, whose blanks may be none."""
+        found: list[list[tuple[int, int]]] = [[] for _ in texts]
+        raw = [t.encode("utf-8", "surrogatepass") for t in texts]
+        data = np.frombuffer(b"\n".join(raw), np.uint8)
+        blank = _blank[data]
+        edge = np.diff(np.concatenate([[True], blank, [True]]).astype(np.int8))
+        first, end = np.flatnonzero(edge == -1), np.flatnonzero(edge == 1)  # of tokens
+        if len(first) < 2:
+            return found
+        owner = np.searchsorted(np.cumsum([len(r) + 1 for r in raw]), first, "right")
+        s = np.concatenate([[OTHER] * 2, _symbols[data], [OTHER] * 2]).astype(np.int64)
+        size, lead = end - first, data[first]
+        size = size - ((size > 1) & _stop[data[end - 1]])
+        wide = 1 + (lead >= 0xC2).astype(np.int8) + (lead >= 0xE0) + (lead >= 0xF0)
+        letter = s[first + 2]
+        alone = (size == wide) & ((letter != OTHER) | (wide > 1) | _alike[lead])
+        same = owner[1:] == owner[:-1]
+        both = alone[1:] & alone[:-1] & same
+        free = alone & (letter != OTHER) & (self.alone[letter] > ODD)
+        free[1:] |= both
+        free[:-1] |= both
+        # what the model makes of the letters around each blank, with the blank and without
+        a, b, c = (s[end[:-1] + k] for k in (-1, 0, 1))
+        d, e, f = (s[first[1:] + k] for k in (2, 3, 4))
+
+        def of(x, y, z, w):
+            return self.cost[(x * BASE + y) * BASE + z, w]
+
+        apart = of(a, b, c, OTHER) + of(b, c, OTHER, d) + of(c, OTHER, d, e) + of(OTHER, d, e, f)
+        joined = of(a, b, c, d) + of(b, c, d, e) + of(c, d, e, f)
+        likely = (c != OTHER) & (d != OTHER) & (joined + JOINED < apart)
+        turns = np.diff(np.concatenate([[False], same & (free[:-1] | free[1:] | likely), [False]]).astype(np.int8))
+        begins = np.searchsorted(owner, np.arange(len(texts)))
+        for low, high in zip(np.flatnonzero(turns == 1).tolist(), np.flatnonzero(turns == -1).tolist()):
+            text = owner[low]
+            found[text].append((low - int(begins[text]), high + 1 - int(begins[text])))
+        return found
 
 
 def core(token: str) -> str:
     """A token in lower case without marks at its ends."""
-    return _edges.sub("", token.lower())
+    plain = token.lower().lstrip(BEFORE).rstrip(AFTER)
+    return plain.rstrip("$") if plain.endswith("$$$") else plain
 
 
 class Words:
@@ -140,35 +247,79 @@ class Words:
         plain = core(token)
         if not plain:
             return ()
-        if len(plain) > 64 or not _noisy.search(plain):
+        if not _noisy.search(plain):
             return named(plain)
         return tuple(dict.fromkeys(named(plain) + named(self.restorer.restore(plain))))
 
-    def tokens(self, text: str) -> Iterator[str]:
-        """Tokens, and letters written apart put together."""
-        yield from set(_token.findall(text))
-        for run in _spaced.findall(text):
-            yield re.sub(r"[ \t]", "", run)
-
-    def features(self, text: str) -> set[str]:
-        out: set[str] = set()
-        for token in self.tokens(text):
-            found = self.known.get(token)
-            if found is None:
-                if len(self.known) >= CACHE_WORDS:
-                    self.known.clear()
-                found = self.known[token] = self.of_token(token)
-            out.update(found)
-        return out
+    def of_stretch(self, tokens: list[str]) -> tuple[str, ...]:
+        found = self.restorer.restore_all(tokens)
+        return tuple(dict.fromkeys(f for word in set(found) - set(tokens) for f in named(word)))
+
+    def of(self, unit: str) -> tuple[str, ...]:
+        """Features of a token, or of the tokens of a stretch, set one blank apart."""
+        return self.of_stretch(unit.split(" ")) if " " in unit else self.of_token(unit)
+
+    def units(self, texts: list[str]) -> Iterator[set[str]]:
+        """Of each text the different tokens, and stretches of tokens that may belong together."""
+        for group in by_size(texts):
+            for text, ranges in zip(group, self.restorer.stretches(group)):
+                tokens = _token.findall(text)
+                out = set(tokens)
+                for first, end in ranges:
+                    cores = [c for c in map(core, tokens[first:end]) if c]
+                    if len(cores) > 1:
+                        out.add(" ".join(cores))
+                yield out
+
+    def features(self, texts: list[str]) -> Iterator[set[str]]:
+        for units in self.units(texts):
+            out: set[str] = set()
+            for unit in units:
+                found = self.known.get(unit)
+                if found is None:
+                    found = self.of(unit)
+                    keep(self.known, unit, found)
+                out.update(found)
+            yield out
 
     def restored(self, text: str) -> str:
-        """The text with each noisy token replaced by its restored word."""
-        def change(match: re.Match) -> str:
-            plain = core(match[0])
-            return self.restorer.restore(plain) if plain and _noisy.search(plain) else match[0]
+        """The text with noisy tokens and stretches replaced by the words found in them."""
+        tokens = list(_token.finditer(text))
+        starts = dict(self.restorer.stretches([text])[0])
+        out, at, i = [], 0, 0
+        while i < len(tokens):
+            end = starts.get(i, i + 1)
+            cores = [c for c in map(core, (t[0] for t in tokens[i:end])) if c]
+            if len(cores) > 1:
+                new = " ".join(self.restorer.restore_all(cores))
+            elif cores and _noisy.search(cores[0]):
+                new = self.restorer.restore(cores[0])
+            else:
+                new = text[tokens[i].start() : tokens[end - 1].end()]
+            out += [text[at : tokens[i].start()], new]
+            at, i = tokens[end - 1].end(), end
+        return "".join(out) + text[at:]
+
+
+def by_size(texts: list[str]) -> Iterator[list[str]]:
+    """Texts in groups of about ``TOGETHER`` characters; a longer text is one of its own."""
+    group, size = [], 0
+    for text in texts:
+        if group and size + len(text) > TOGETHER:
+            yield group
+            group, size = [], 0
+        group.append(text)
+        size += len(text)
+    if group:
+        yield group
+
 
-        joined = _spaced.sub(lambda m: re.sub(r"[ \t]", "", m[0]), text)
-        return _token.sub(change, joined)
+def keep(cache: dict, unit: str, found: tuple[str, ...]) -> None:
+    """Cache what was found, except for long stretches, within bounds."""
+    if len(unit) <= 64:
+        if len(cache) >= CACHE_WORDS:
+            cache.clear()
+        cache[unit] = found
 
 
 def named(word: str) -> tuple[str, ...]:
@@ -190,7 +341,8 @@ def learn(labelled: DataFrame, counts: np.ndarray, features: int = FEATURES) ->
     def extract(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         words = Words(shared.value)
         for texts in batches:
-            yield pa.array([sorted(words.features(t or "")) for t in (x.as_py() for x in texts)], pa.list_(pa.string()))
+            found = words.features([t or "" for t in texts.to_pylist()])
+            yield pa.array([sorted(f) for f in found], pa.list_(pa.string()))
 
     seen = materialize(labelled.select("label", extract("text").alias("found")), "toxic-features")
     n, positive = seen.agg(F.count(F.lit(1)), F.coalesce(F.sum("label"), F.lit(0))).first()
@@ -235,14 +387,13 @@ def score(text: Column, model: Model) -> Column:
         known: dict[str, tuple[str, ...]] = {}
         for texts in batches:
             totals = np.full(len(texts), fitted.bias)
-            for i, text in enumerate(texts):
+            for i, units in enumerate(words.units([t or "" for t in texts.to_pylist()])):
                 found: set[str] = set()
-                for token in words.tokens(text.as_py() or ""):
-                    hits = known.get(token)
+                for unit in units:
+                    hits = known.get(unit)
                     if hits is None:
-                        if len(known) >= CACHE_WORDS:
-                            known.clear()
-                        hits = known[token] = tuple(f for f in words.of_token(token) if f in weights)
+                        hits = tuple(f for f in words.of(unit) if f in weights)
+                        keep(known, unit, hits)
                     if hits:
                         found.update(hits)
                 # in one order, so that equal texts have equal scores
