@@ -7,10 +7,10 @@ in the shared folder the session names, so a lost executor costs one stage.
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tidemark.llm import fuse_dedup, packing, probminhash, quality_rules, toxicity
-from tidemark.llm.common import bucket, held_out, table
+from tidemark.llm.common import bucket, held_out, table, text_of
 from tidemark.storage import materialize
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -30,40 +30,43 @@ def clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     model = toxicity.train(
         table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), ~held_out(F.col("doc_id"), 5)
     )
-    return docs.withColumn("_toxic", toxicity.score(F.col("text"), model)).filter("_toxic < 0.5").drop("_toxic")
+    return docs.filter(toxicity.score(F.col("text"), model) < 0.5)
 
 
 def distinct_texts(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of equal texts, the row with the largest id."""
     judged = fuse_dedup.dedup(docs, bucket(F.col("doc_id"), 2) == 0)
-    staying = judged.filter("kept").select("doc_id", F.col("text_sha256").alias("_digest"))
-    keyed = docs.withColumn("_digest", fuse_dedup.sha256(F.coalesce("text", F.lit(""))))
-    return _chosen(keyed, staying).drop("_digest")
+    staying = judged.filter("kept").select("doc_id", F.unhex("text_sha256").alias("digest"))
+    return _chosen(docs, F.unhex(F.sha2(text_of().cast("binary"), 256)), staying)
 
 
 def unlike_texts(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each class of near-duplicates, the one with the least id."""
     judged = probminhash.near_duplicates(docs)
-    staying = judged.filter("kept").select("doc_id", F.col("node").alias("_digest"))
-    keyed = docs.withColumn("_digest", probminhash.node_of("text"))
-    return _chosen(keyed, staying).drop("_digest")
+    return _chosen(docs, probminhash.node_of("text"), judged.filter("kept").select("doc_id", F.col("node").alias("digest")))
 
 
-def _chosen(keyed: DataFrame, staying: DataFrame) -> DataFrame:
-    """Rows of ``keyed`` that match a row of ``staying`` by id and digest, one for each."""
-    names = keyed.columns
-    wanted = staying.select(F.col("doc_id").alias("_id"), F.col("_digest").alias("_d"))
-    met = keyed.join(wanted, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_digest") == F.col("_d")), "left_semi")
+def _chosen(docs: DataFrame, digest: Column, staying: DataFrame) -> DataFrame:
+    """Rows that match a row of ``staying`` by id and digest, one for each.
+
+    Rows travel as one struct, so that their columns may have any names.
+    """
+    keyed = docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("doc_id").alias("id"), digest.alias("digest")
+    )
+    wanted = staying.select(F.col("doc_id").alias("wanted"), F.col("digest").alias("sign"))
+    same = F.col("id").eqNullSafe(F.col("wanted")) & (F.col("digest") == F.col("sign"))
+    met = keyed.join(wanted, same, "left_semi")
     # only rows that repeat an id and a text can match more than once
     repeated = materialize(
-        keyed.groupBy("doc_id", "_digest").agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").drop("_n"), "repeated"
+        keyed.groupBy("id", "digest").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select(
+            F.col("id").alias("wanted"), F.col("digest").alias("sign")
+        ), "repeated",
     )
-    if repeated.isEmpty():
-        return met
-    again = repeated.select(F.col("doc_id").alias("_id"), F.col("_digest").alias("_d"))
-    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_digest") == F.col("_d"))
-    single = met.join(again, same, "left_anti")
-    return single.unionByName(met.join(again, same, "left_semi").dropDuplicates(["doc_id", "_digest"]).select(names))
+    if not repeated.isEmpty():
+        once = met.join(repeated, same, "left_semi").groupBy("id", "digest").agg(F.first("row").alias("row"))
+        met = met.join(repeated, same, "left_anti").unionByName(once)
+    return met.select("row.*")
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -49,6 +49,7 @@ def join_heavy(
     how: str = "inner",
     null_safe: bool = False,
     share: float = 1 / KEYS,
+    keys_from: DataFrame | None = None,
 ) -> DataFrame:
     """Join in which keys that hold ``share`` of the left rows or more are not shuffled.
 
@@ -56,7 +57,8 @@ def join_heavy(
     most ``KEYS`` keys of at most ``PER_KEY`` rows each. All others are joined as
     Spark plans it; so is a heavy key with more right rows, which is left to
     adaptive execution. ``left`` is read once more for its keys, so store it
-    where that costs. ``on`` pairs left with right columns of one type; the
+    where that costs, or name a frame of the same key columns as ``keys_from``;
+    it decides how rows travel, not which ones meet. ``on`` pairs left with right columns of one type; the
     result holds the left columns and, for 'inner' and 'left', the other right
     columns. ``null_safe`` lets NULL equal NULL.
     """
@@ -72,7 +74,7 @@ def join_heavy(
     left_hash = F.xxhash64(*[l for l, _ in pairs])
     right_hash = F.xxhash64(*[f"_on_{r}" for _, r in pairs])
 
-    heavy = heavy_hashes(left, left_hash, share)
+    heavy = heavy_hashes(left if keys_from is None else keys_from, left_hash, share)
     if heavy:
         many = renamed.filter(right_hash.isin(heavy)).groupBy(right_hash.alias("h")).count().filter(F.col("count") > PER_KEY)
         crowded = {r.h for r in many.collect()}
