@@ -160,6 +160,76 @@ def test_language_edge_cases(spark):
     assert rows(asked.select(language.predict(F.col("text"), None).alias("r")).select("r.lang_pred").distinct()) == [("und",)]
 
 
+def gram_sets(text):
+    """Sets of 1-, 2- and 3-grams over lower-case letters, a break for other ASCII, and folded further bytes."""
+    symbols = []
+    for b in text.encode():
+        c = chr(b).lower()
+        symbols.append(c if "a" <= c <= "z" else " " if b < 128 else b if b >= 192 else ("tail", b % 128 % 64 % 37))
+    return [{tuple(symbols[i : i + n]) for i in range(len(symbols) - n + 1)} for n in (1, 2, 3)]
+
+
+def test_prediction_equals_a_dense_kernel(spark):
+    rng = np.random.default_rng(4)
+    syllables = {"aa": ["ba", "do", "ki", "é"], "bb": ["ba", "xu", "ro", "ü"], "cc": ["mi", "do", "xu", "no"]}
+
+    def text(lang):
+        return "".join(rng.choice(syllables[lang]) + rng.choice(["", " "]) for _ in range(rng.integers(4, 30)))
+
+    known = [(text(lang), lang) for lang in syllables for _ in range(14)]
+    asked = [text(lang) for lang in syllables for _ in range(10)]
+    model = language.learn(spark.createDataFrame(known, "text string, lang string"), each=50, landmarks=50, ridge=0.1)
+    found = [tuple(r) for r in spark.createDataFrame([(i, t) for i, t in enumerate(asked)], "i int, text string").select(
+        "i", language.predict(F.col("text"), model).alias("r")).orderBy("i").select("r.*").collect()]
+
+    sets = [gram_sets(t) for t, _ in known]
+    every = [set().union(*[s[n] for s in sets]) for n in range(3)]
+
+    def kernel(a, b):
+        parts = []
+        for n in range(3):
+            x, y = a[n] & every[n], b[n] & every[n]
+            parts.append(len(x & y) / np.sqrt(max(len(x), 1) * max(len(y), 1)))
+        return sum(parts) / 3
+
+    names = sorted(syllables)
+    gram = np.array([[kernel(a, b) for b in sets] for a in sets])
+    target = np.array([[1.0 if lang == name else -1.0 for name in names] for _, lang in known])
+    weights = np.linalg.solve(gram + 0.1 * np.eye(len(gram)), target)
+    for t, (lang, score) in zip(asked, found):
+        margins = np.array([kernel(gram_sets(t), s) for s in sets]) @ weights
+        assert lang == names[margins.argmax()]
+        assert score == pytest.approx(1 / np.exp(5 * (margins - margins.max())).sum(), abs=1e-3)
+
+
+def test_language_sample_is_bounded_and_fair(spark):
+    rows_ = [(77, f"the words of english number {i}", "en") for i in range(3000)]
+    rows_ += [(None, f"les mots de france {i}", "fr") for i in range(900)] + [(i, "immer der gleiche", "de") for i in range(2000)]
+    rows_ += [(i, f"only one {i}", f"l{i}") for i in range(700)] + [(1, None, "en"), (2, "x", None), (3, "12 !", "en")]
+    docs = spark.createDataFrame(rows_, "doc_id long, text string, lang string")
+    found = {r.lang: (r.n, r.top) for r in language.sampled(docs, 20, 20_000).groupBy("lang").agg(
+        F.count("*").alias("n"), F.max("rank").alias("top")).collect()}
+    assert found["en"] == found["fr"] == (20, 19) and found["de"] == (1, 0) and len(found) == 703
+    assert language.sampled(docs, 400, 1000).count() == 703
+    few = language.sampled(docs, 400, 2)
+    assert {r.lang for r in few.collect()} == {"en", "fr"}
+    model = language.learn(docs.filter("lang IN ('en', 'fr')"))
+    asked = spark.createDataFrame([("the words of english",), ("les mots de france",)], "text string")
+    assert [r[0] for r in asked.select(language.predict(F.col("text"), model)["lang_pred"]).collect()] == ["en", "fr"]
+
+
+def test_pairwise_ranking_equals_descent_over_all_pairs():
+    rng = np.random.default_rng(6)
+    better, worse = rng.normal(0.5, 1, (60, 3)), rng.normal(0, 1, (60, 3))
+    fitted = logistic.fit_differences(better, worse)
+    weights, ridge = np.zeros(3), 1.0
+    for _ in range(20_000):
+        gap = better - worse
+        slope = gap.T @ (1 / (1 + np.exp(gap @ weights))) - ridge * weights
+        weights += 0.02 * slope
+    assert fitted == pytest.approx(weights, abs=1e-4)
+
+
 @tables
 @pytest.mark.parametrize("name, label, least", [("op3_quality", "quality", 0.97), ("op9_toxicity", "toxic", 0.93)])
 def test_held_out_labels(spark, name, label, least):

@@ -8,28 +8,36 @@ from tidemark.llm import line_dedup
 
 
 def near(a, b):
-    """Word edit distance of at most one, by trying all edits."""
+    """Edit distance of units of at most one, by trying all edits."""
     if len(a) == len(b):
         return sum(x != y for x, y in zip(a, b)) <= 1
     a, b = sorted((a, b), key=len)
     return len(b) - len(a) == 1 and any(b[:i] + b[i + 1 :] == a for i in range(len(b)))
 
 
-def brute(data, min_words=5):
+def units(words, min_words, min_chars):
+    """What an edit changes, and of which kind it is."""
+    if len(words) >= min_words:
+        return "words", tuple(words)
+    line = " ".join(words)
+    return ("characters", tuple(line)) if len(line) >= min_chars else ("none", ())
+
+
+def brute(data, min_words=5, min_chars=8):
     lines = []
     for doc, text in data:
         if text is not None:
-            lines += [((doc, n), line) for n, line in enumerate(text.split("\n"))]
+            for n, line in enumerate(text.split("\n")):
+                words = tuple(re.findall(r"[^\x20\x09-\x0D]+", line))
+                lines.append(((doc, n), words, units(words, min_words, min_chars)))
     lines.sort(key=lambda x: x[0])
     out = []
-    for k, (at, line) in enumerate(lines):
-        words = re.findall(r"[^\x20\x09-\x0D]+", line)
-        first = next(a for a, other in lines if other == line)
+    for at, words, (kind, own) in lines:
+        first = next(a for a, other, _ in lines if other == words)
         partner = None
-        if len(words) >= min_words:
-            for a, other in lines:
-                others = re.findall(r"[^\x20\x09-\x0D]+", other)
-                if a < first and other != line and len(others) >= min_words and near(words, others):
+        if kind != "none":
+            for a, other, (kind2, others) in lines:
+                if a < first and other != words and kind == kind2 and near(own, others):
                     partner = a
                     break
         if not words:
@@ -79,6 +87,31 @@ def test_one_common_line_with_many_variants(spark):
     assert all(r == (r[0], 0, 0, 0, 1, False) for r in found[1:])
 
 
+def test_short_lines(spark):
+    lines = ["Read more", "Read more ", "Read more\r", " Read\tmore", "Read moree", "Sign up for newsletter",
+             "Sign up for newsletters", "Sign up for newsletters!!", "sign up for newsletter", "Page 1", "Page 2",
+             "ééééééééé", "ééééèéééé", "a b c d e", "abcde fgh", "abcdX fgh", "𝒳y𝒳y𝒳y𝒳y𝒳y", "𝒳y𝒳y𝒳z𝒳y𝒳y", "x" * 5000, "x" * 5001]
+    data = [(i, line) for i, line in enumerate(lines)]
+    rnd = random.Random(3)
+    base = ["".join(rnd.choice("abc ") for _ in range(rnd.randrange(5, 16))) for _ in range(12)]
+    for i in range(100, 260):
+        line = list(rnd.choice(base))
+        for _ in range(rnd.randrange(3)):
+            at = rnd.randrange(len(line))
+            line[at : at + rnd.randrange(2)] = rnd.choice(["", "a", "b ", "c"])
+        data.append((i, "".join(line)))
+    found = rows(line_dedup.dedup_lines(spark.createDataFrame(data, "doc_id long, text string")), *COLUMNS)
+    assert found == brute(data)
+    kept = {r[0] for r in found if r[5]}
+    assert kept & set(range(len(lines))) == {0, 5, 7, 9, 10, 11, 13, 14, 16, 18}
+
+
+def test_a_line_of_most_documents(spark):
+    data = [(i, f"Terms of use apply\n\nown{i} text{i * 7} of{i * 11} this document{i}") for i in range(400)]
+    found = rows(line_dedup.dedup_lines(spark.createDataFrame(data, "doc_id long, text string")), *COLUMNS)
+    assert found == brute(data)
+
+
 def test_edge_cases(spark):
     data = [
         (1, "", "x", 1), (2, None, "x", 1), (3, "a b c\n\n \t\na b c", "x", 1), (4, "a b d", None, None),

@@ -74,3 +74,32 @@ def test_repeated_rows_stay_once(spark):
     out = corpus_pipeline.unlike_texts(spark, docs, "")
     assert sorted(map(str, (r.doc_id for r in out.collect()))) == ["1", "2"]
     assert corpus_pipeline.unlike_texts(spark, docs.filter(F.lit(False)), "").count() == 0
+
+
+NAMES = ["_digest", "_toxic", "_id", "_d", "id", "digest", "row", "wanted", "sign", "node", "_q_words", "_q_n_words", "_q_text", "a.b"]
+
+
+def test_columns_of_any_name_are_carried(spark, tmp_path):
+    folder, words = str(tmp_path), " ".join(f"the of w{i}" for i in range(60))
+    base = spark.createDataFrame(
+        [(1, words, "en", "s", 5), (1, words, "en", "s", 5), (2, words + " " + "long " * 30_000, None, None, None), (3, None, "en", "s", 0)],
+        "doc_id long, text string, lang string, source string, n_chars long",
+    )
+    base.write.parquet(f"{folder}/documents.parquet")
+    spark.createDataFrame([(1, 1, 0)], "doc_id long, quality int, toxic int").write.parquet(f"{folder}/labels.parquet")
+    docs = base.withColumns({n: F.lit(n) for n in NAMES})
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, docs, folder)
+        assert out.columns == docs.columns, name
+        for r in out.collect():
+            assert [r[n] for n in NAMES] == NAMES, name
+    assert corpus_pipeline.packed(spark, docs, folder).count() > 0
+
+
+def test_stages_of_an_empty_table(spark, tmp_path):
+    folder = str(tmp_path)
+    docs = spark.createDataFrame([], "doc_id long, text string, lang string, source string, n_chars long")
+    docs.write.parquet(f"{folder}/documents.parquet")
+    spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{folder}/labels.parquet")
+    for name, stage in corpus_pipeline.STAGES:
+        assert stage(spark, docs, folder).collect() == [], name

@@ -38,7 +38,7 @@ def brute_classes(data, threshold=0.8):
     for i in range(len(data)):
         for j in range(i):
             same = (data[i][1] or "") == (data[j][1] or "")
-            if same or cut[i] and cut[j] and brute_similarity(cut[i], cut[j]) >= threshold:
+            if same or cut[i] and cut[j] and brute_similarity(cut[i], cut[j]) >= threshold - 1e-9:
                 parent[max(root(i), root(j))] = min(root(i), root(j))
     groups = {}
     for i in range(len(data)):
@@ -108,6 +108,79 @@ def test_classes_equal_brute_force(spark):
     assert classes_of(pm.near_duplicates(df)) == brute_classes(data)
 
 
+def test_a_tie_is_similar(spark):
+    """Nine shingles each, eight of them shared: 8 / 10."""
+    words = [f"w{i}" for i in range(13)]
+    data = [(1, " ".join(words)), (2, " ".join([*words[:-1], "other"])), (3, " ".join([*words[:-2], "yet", "another"]))]
+    assert classes_of(pm.near_duplicates(spark.createDataFrame(data, "doc_id long, text string"), bands=200, rows=1)) == [[1, 2], [3]]
+
+
+def test_rows_of_one_id_make_no_pairs(spark, monkeypatch):
+    """300 and 300 rows without an id, of two near texts: one pair is verified."""
+    words = [f"w{i}" for i in range(100)]
+    texts = [" ".join(words), " ".join([*words[:-1], "other"])]
+    df = spark.createDataFrame([(None, t) for t in texts for _ in range(300)] + [(5, "a b c d e f g")] * 50, "doc_id long, text string")
+    seen, verified = [], pm._verified
+
+    def watched(pairs, features, threshold):
+        seen.append((pairs.count(), features.count()))
+        return verified(pairs, features, threshold)
+
+    monkeypatch.setattr(pm, "_verified", watched)
+    found = pm.near_duplicates(df).collect()
+    assert len(found) == 650 and sum(r.kept for r in found) == 2 and {r.class_size for r in found} == {600, 50}
+    assert seen == [(1, 2)]
+
+
+def test_template_pages_do_not_meet(spark, monkeypatch):
+    """Pages that share a passage of 100 words and are no near copies are not compared with each other."""
+    rnd = random.Random(8)
+    shared = " ".join(f"w{i}" for i in range(100))
+    data = [(i, " ".join([shared, *[f"own{rnd.randrange(10**9)}" for _ in range(rnd.randrange(40, 60))]])) for i in range(1200)]
+    data += [(5000 + i, data[i][1] + " end") for i in range(0, 40)]
+    compared, links = [], pm._open_groups
+
+    def watched(placed):
+        out = links(placed)
+        compared.append(out.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0])
+        return out
+
+    monkeypatch.setattr(pm, "_open_groups", watched)
+    found = classes_of(pm.near_duplicates(spark.createDataFrame(data, "doc_id long, text string")))
+    assert [g for g in found if len(g) > 1] == [[i, 5000 + i] for i in range(40)]
+    assert compared[0] > 1200 and compared[1] < 500
+
+
+def test_prefixes_of_similar_texts_meet():
+    rng = np.random.default_rng(9)
+    often = rng.integers(0, 50, 64)
+    for _ in range(300):
+        pool = rng.integers(0, 2**63, 60).astype(np.uint64)
+        a, b = (np.unique(rng.choice(pool, rng.integers(1, 60), replace=False)) for _ in range(2))
+        if rng.random() < 0.7:
+            b = np.unique(np.append(a[rng.random(len(a)) < 0.95], pool[:2]))
+        p, q = rng.integers(1, 4, len(a)).astype(float), rng.integers(1, 4, len(b)).astype(float)
+        if pm.similarity(a, p, b, q) >= 0.8 - 1e-9:
+            assert set(pm.prefix(a, p, often, 0.8).tolist()) & set(pm.prefix(b, q, often, 0.8).tolist())
+
+
+def test_recall_of_banding(spark):
+    """Of all pairs at 0.8 or more among texts with graded edits, nearly all are in one class."""
+    rnd = random.Random(12)
+    data = []
+    for k in range(150):
+        words = [f"v{rnd.randrange(10**6)}" for _ in range(rnd.randrange(60, 200))]
+        data.append((2 * k, " ".join(words)))
+        data.append((2 * k + 1, edited(rnd, words, max(1, len(words) // rnd.choice([45, 60, 90])))))
+    near = [
+        k for k in range(150)
+        if brute_similarity(brute_shingles(data[2 * k][1]), brute_shingles(data[2 * k + 1][1])) >= 0.8 - 1e-9
+    ]
+    found = {tuple(g) for g in classes_of(pm.near_duplicates(spark.createDataFrame(data, "doc_id long, text string")))}
+    assert 40 < len(near) < 150
+    assert sum((2 * k, 2 * k + 1) in found for k in near) >= 0.99 * len(near)
+
+
 def test_nulls_repeats_and_clashing_names(spark):
     data = [
         (1, "a b c d e f", 1, "n"), (1, "a b c d e f", 1, "n"), (None, "A b c d e f", None, None), (3, None, 1, "n"),

@@ -13,26 +13,31 @@ the regression's coefficients. As presence does not tell much from little, a
 text is scored in blocks, whose margins are averaged by length: of a text in two
 languages, the longer part decides.
 
-The sample is bounded: about ``each`` texts a language, at most ``languages``
-languages (the most frequent). The model has ``landmarks`` rows a language of at
-most 128 + 128^2 + 128^3 columns (in practice thousands).
-
-NULL texts and texts without a letter are ``und`` with score 0.
+The sample is bounded by ``sample`` texts in all and ``each`` a language: different
+texts, chosen by a hash of the text, so ids play no part and copies count once.
+Every language has its share of the sample and of the ``LANDMARK_ROWS`` landmarks,
+one text at least; only of more languages than ``sample`` the most frequent are
+learned. The model has a row a landmark of at most 128 + 128^2 + 128^3 columns (in
+practice thousands).
+
+NULL texts and texts without a letter are ``und`` with score 0. Rows that share an
+id, or have none, are learned from and scored like all others; further columns are
+not looked at.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from tidemark.llm.shingles import chunks
+from tidemark.storage import materialize
 
-EACH = 400
-LANDMARKS = 40
-LANGUAGES = 500
+EACH, SAMPLE = 400, 20_000
+LANDMARKS, LANDMARK_ROWS = 40, 1_000
 UNKNOWN = "und"
 #: Bytes of a text that make a row, and rows in a matrix product.
 BLOCK, ROWS = 1_500, 256
@@ -131,32 +136,40 @@ def scaled(x: np.ndarray, blocks: np.ndarray) -> np.ndarray:
     return out
 
 
-def learn(labelled: DataFrame, each: int = EACH, landmarks: int = LANDMARKS, ridge: float = 0.1) -> Model | None:
-    """Fit on rows ``doc_id``, ``text``, ``lang``; None where there is nothing to learn from."""
-    usable = labelled.filter("lang IS NOT NULL AND text RLIKE '\\\\p{L}'")
-    sizes = usable.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").limit(LANGUAGES)
-    # a row is taken with chance each / n by the hash of its id; 40 % more, as the number varies
-    part = F.pmod(F.xxhash64("doc_id"), F.lit(1_000_003)) / 1_000_003
-    taken = usable.select("doc_id", "text", "lang").join(F.broadcast(sizes), "lang").filter(
-        part * F.col("n") < max(1.4 * each, 1)
+def sampled(labelled: DataFrame, each: int, sample: int) -> DataFrame:
+    """``lang``, ``text`` and ``rank`` (from 0, in the order of a hash) of at most ``each`` different texts a language."""
+    usable = labelled.filter("lang IS NOT NULL AND text RLIKE '\\\\p{L}'").select("lang", "text", F.xxhash64("text").alias("hash"))
+    sizes = materialize(
+        usable.groupBy("lang").agg(F.approx_count_distinct("hash").alias("n")).orderBy(F.desc("n"), "lang").limit(sample),
+        "languages",
     )
+    each = max(1, min(each, sample // max(sizes.count(), 1)))
+    # a text is taken with chance each / n by its hash; 40 % more and a few, as the number varies
+    part = F.pmod("hash", F.lit(1_000_003)) / 1_000_003
+    taken = usable.join(F.broadcast(sizes), "lang").filter(part * F.col("n") < 1.4 * each + 8)
+    texts = taken.groupBy("lang", "hash").agg(F.min("text").alias("text"))
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy(part, "hash")) - 1
+    return texts.withColumn("rank", rank).filter(F.col("rank") < each).select("lang", "text", "rank")
+
+
+def learn(
+    labelled: DataFrame, each: int = EACH, landmarks: int = LANDMARKS, ridge: float = 0.1, sample: int = SAMPLE
+) -> Model | None:
+    """Fit on rows ``text``, ``lang``; None where there is nothing to learn from."""
     grams = F.arrow_udf(_gram_lists, "array<int>")
-    rows = taken.select("lang", part.alias("part"), grams("text").alias("grams"), "doc_id").toArrow()
+    rows = sampled(labelled, each, sample).select("lang", "rank", grams("text").alias("grams")).toArrow()
     if not len(rows):
         return None
-    order = rows.sort_by([("lang", "ascending"), ("part", "ascending"), ("doc_id", "ascending")])
+    order = rows.sort_by([("lang", "ascending"), ("rank", "ascending")])
     langs, lists = order["lang"].to_pylist(), [np.asarray(g.values) for g in order["grams"].combine_chunks()]
     names = sorted(set(langs))
-    rank, seen = [], dict.fromkeys(names, 0)
-    for lang in langs:
-        rank.append(seen[lang])
-        seen[lang] += 1
-    kept = [i for i, r in enumerate(rank) if r < each]
-    chosen = [i for i in kept if rank[i] < landmarks]
+    landmarks = max(1, min(landmarks, LANDMARK_ROWS // len(names)))
+    kept = range(len(langs))
+    chosen = [i for i, r in enumerate(order["rank"].to_pylist()) if r < landmarks]
     dictionary = np.unique(np.concatenate([lists[i] for i in chosen]))
     blocks = np.searchsorted(dictionary, _STARTS[1:])
 
-    def presence(which: list[int]) -> np.ndarray:
+    def presence(which: Sequence[int]) -> np.ndarray:
         x = np.zeros((len(which), len(dictionary)), np.float32)
         for row, i in enumerate(which):
             at = np.searchsorted(dictionary, lists[i])
@@ -168,7 +181,8 @@ def learn(labelled: DataFrame, each: int = EACH, landmarks: int = LANDMARKS, rid
     values, vectors = np.linalg.eigh((marks @ marks.T).astype(np.float64))
     good = values > 1e-6 * values.max()
     root = vectors[:, good] / np.sqrt(values[good])
-    code = np.array([names.index(langs[i]) for i in kept])
+    place = {name: i for i, name in enumerate(names)}
+    code = np.array([place[lang] for lang in langs])
     square, target = np.zeros((good.sum(),) * 2), np.zeros((good.sum(), len(names)))
     for first in range(0, len(kept), ROWS):
         phi = (presence(kept[first : first + ROWS]) @ marks.T).astype(np.float64) @ root

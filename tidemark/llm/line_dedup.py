@@ -1,56 +1,77 @@
 """Near-duplicate lines by a deletion-neighbourhood join; the earliest stays.
 
-Two lines are near if one becomes the other by inserting, deleting or replacing
-at most one word. Lines of fewer than ``min_words`` words must be equal (one
-word of few is no small change), and blank lines are never dropped. Lines are
+Lines are compared as their words, set one blank apart, so white space makes no
+difference at any length. Two lines are near if one becomes the other by
+inserting, deleting or replacing at most one unit. What a unit is grows with the
+line: a character in lines of fewer than ``min_words`` words, a word in longer
+ones; lines of fewer than ``min_chars`` characters must be equal, and blank lines
+are never dropped. Short and longer lines are not near each other. Lines are
 ordered by (document id, place in the document). A line goes if an earlier line
 is equal or near.
 
 1. Equal lines are grouped by a digest; the earliest speaks for them.
-2. If two lines are near, about half of each, from the start or from the end, is
+2. If two lines are near, about half of the units of each, from the start or from the end, is
    equal. So lines that share no half with another line have no partner and are
    left out. This only saves work: it loses no pair.
 3. All variants of the others within the bound, in the part that can differ, are
-   emitted as hashed keys: the line without its i-th word, as a deletion (met by
-   the line that lacks the word) and together with i (met by lines that have
-   another word there).
-   Hashes are made of running XORs of word-and-place hashes, so the variants of
+   emitted as hashed keys: the line without its i-th unit, as a deletion (met by
+   the line that lacks it) and together with i (met by lines that have another
+   unit there).
+   Hashes are made of running XORs of unit-and-place hashes, so the variants of
    a line take time linear in its length.
 4. Each key keeps its earliest line, and its earliest whole one for lines that
-   lose a word by it; each line keeps the earliest over its keys. No pairs are
+   lose a unit by it; each line keeps the earliest over its keys. No pairs are
    made within a key, so a key may hold any number of lines.
-5. Each line is verified against that partner by its words; a line that fails
+5. Each line is verified against that partner by its units; a line that fails
    (a hash collision) stays.
 
-All steps are native expressions. NULL texts have no lines. Documents with equal
-ids are told apart by their texts' digests; rows that repeat in full are as one.
+Lines learn what became of them by their digests; digests of many lines meet that
+by a broadcast of their few rows, and blank lines need no join.
+
+All steps are native expressions. NULL texts have no lines, empty ones a blank
+one. Documents with equal ids or none are told apart by their texts' digests; rows
+that repeat in full are as one. Further columns of the documents are not looked at.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from tidemark.llm.common import WORD
+from tidemark.llm.quality_rules import without
 from tidemark.operators.ordered import dense_id
+from tidemark.operators.skew import join_heavy
 from tidemark.storage import materialize
 
-MIN_WORDS = 5
+MIN_WORDS, MIN_CHARS = 5, 8
 
 
 #: A line's place in the order: its document, what tells documents of equal ids apart, and its number.
 PLACE = ["doc", "of", "line_no"]
 
 
-def _lines(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
-    """The place and the text (``line``) of all lines."""
+def _lines(docs: DataFrame, id_column: str, text_column: str, blanks: bool = False) -> DataFrame:
+    """The place and the text (``line``) of all lines, with ``blanks`` all other white space a blank."""
     source = docs.select(F.col(id_column).alias("doc"), F.col(text_column).alias("text")).filter("text IS NOT NULL")
+    text = without(F.col("text"), "\x09\x0b\x0c\x0d", " ") if blanks else F.col("text")
     return source.select(
-        "doc", F.xxhash64("text").alias("of"), F.posexplode(F.split("text", "\n")).alias("line_no", "line")
+        "doc", F.xxhash64("text").alias("of"), F.posexplode(F.split(text, "\n")).alias("line_no", "line")
     )
 
 
 def _words(line: Column) -> Column:
-    return F.filter(F.split(line, r"[\x20\x09-\x0D]+"), lambda w: w != "")
+    return F.filter(F.split(line, " "), lambda w: w != "")
+
+
+def _plain(words: Column) -> Column:
+    return F.array_join(words, " ")
+
+
+def _units(words: Column, min_words: int, min_chars: int) -> Column:
+    """Words, or characters of a short line, or NULL; a character has a blank before it, which no word has."""
+    characters = F.transform(F.split(_plain(words), ""), lambda c: F.concat(F.lit(" "), c))
+    return F.when(F.size(words) >= max(min_words, 2), words).when(
+        F.length(_plain(words)) >= max(min_chars, 2), characters
+    )
 
 
 def _digest(line: Column) -> Column:
@@ -58,13 +79,13 @@ def _digest(line: Column) -> Column:
 
 
 def _halves(words: Column) -> Column:
-    """About half a line, from its start and from its end, as (``half``, ``first``, ``h``).
+    """About half a line, from its start and from its end, as (``half``, ``first``, ``h``); ``words`` are its units.
 
-    Of two near lines of n and at most n words, the words before the change or
-    those after it are equal, and so are the first or the last h words for any
-    h <= (n - 1) / 2 or, for two of n words, h <= n / 2. Lines of 4 k to
-    4 k + 3 words take h = 2 k, and those of 4 k words h = 2 k - 2 as well, by
-    which they meet lines of one word less.
+    Of two near lines of n and at most n units, those before the change or those
+    after it are equal, and so are the first or the last h units for any
+    h <= (n - 1) / 2 or, for two of n units, h <= n / 2. Lines of 4 k to
+    4 k + 3 units take h = 2 k, and those of 4 k units h = 2 k - 2 as well, by
+    which they meet lines of one unit less.
     """
     n = F.size(words)
 
@@ -117,22 +138,20 @@ def _near(a: Column, b: Column) -> Column:
 
 
 def dedup_lines(
-    docs: DataFrame, min_words: int = MIN_WORDS, id_column: str = "doc_id", text_column: str = "text"
+    docs: DataFrame, min_words: int = MIN_WORDS, min_chars: int = MIN_CHARS,
+    id_column: str = "doc_id", text_column: str = "text",
 ) -> DataFrame:
     """One row per line: ``doc_id``, ``text_hash``, ``line_no``, ``keep_doc_id``, ``keep_line_no``, ``edits``, ``kept``.
 
     ``edits`` is 0 for a line that equals the one that stays in its place, 1 for
     a near one; a line that stays names itself. ``line_no`` counts from 0.
     """
-    lines = _lines(docs, id_column, text_column)
-    place = F.struct(*PLACE)
-    words = _words(F.col("line"))
-    solid = lines.filter(F.col("line").rlike(WORD)).withColumn("words", words)
+    lines = _lines(docs, id_column, text_column, blanks=True).withColumn("words", _words(F.col("line"))).drop("line")
+    place, units = F.struct(*PLACE), _units(F.col("words"), min_words, min_chars)
     firsts = materialize(
-        solid.select(
-            _digest(F.col("line")).alias("digest"), place.alias("place"),
-            F.when(F.size("words") >= max(min_words, 2), _halves(F.col("words"))).alias("halves"),
-        ).groupBy("digest").agg(F.min("place").alias("first"), F.first("halves").alias("halves")).select(
+        lines.filter(F.size("words") > 0).select(
+            _digest(_plain(F.col("words"))).alias("digest"), place.alias("place"), units.alias("units"),
+        ).select("digest", "place", F.when(F.col("units").isNotNull(), _halves(F.col("units"))).alias("halves")).groupBy("digest").agg(F.min("place").alias("first"), F.first("halves").alias("halves")).select(
             "digest", "first.*", "halves"
         ), "first-lines",
     )
@@ -145,10 +164,10 @@ def dedup_lines(
     same_place = [F.col(f"a.{c}").eqNullSafe(F.col(f"b.{c}")) for c in PLACE]
     met = lines.alias("a").join(wanted.alias("b"), same_place).select("a.*", "b.after", "b.before")
     # rows that repeat in full bring the same line more than once
-    met = met.groupBy(*PLACE).agg(F.first("line").alias("line"), F.first("after").alias("after"), F.first("before").alias("before"))
+    met = met.groupBy(*PLACE).agg(F.first("words").alias("words"), F.first("after").alias("after"), F.first("before").alias("before"))
     open_lines = materialize(
         dense_id(met, [F.col(c) for c in PLACE], "number").select(
-            F.col("number").alias("line"), *PLACE, _digest(F.col("line")).alias("digest"), words.alias("words"),
+            F.col("number").alias("line"), *PLACE, _digest(_plain(F.col("words"))).alias("digest"), units.alias("words"),
             "after", "before",
         ), "open-lines",
     )
@@ -168,15 +187,22 @@ def dedup_lines(
         ), "partner",
     )
     near = materialize(sides.filter(_near(F.col("words"), F.col("other"))).select("digest", "earlier"), "near-lines")
-    placed = lines.select(*PLACE, F.col("line").rlike(WORD).alias("solid"), _digest(F.col("line")).alias("digest"))
-    first = firsts.select("digest", F.struct(*PLACE).alias("first"))
-    judged = placed.join(first, "digest", "left").join(near, "digest", "left")
-    keep = F.when(~F.col("solid"), place).otherwise(F.coalesce("earlier", "first"))
-    return judged.select(
+    # a blank line has no digest, and stays
+    placed = materialize(
+        lines.select(*PLACE, F.when(F.size("words") > 0, _digest(_plain(F.col("words")))).alias("digest")), "placed-lines"
+    )
+    known = firsts.select("digest", F.struct(*PLACE).alias("first")).join(near, "digest", "left")
+    met = join_heavy(placed.filter("digest IS NOT NULL"), materialize(known, "known-lines"), ["digest"])
+    keep = F.coalesce("earlier", "first")
+    judged = met.select(
+        *PLACE, keep.alias("keep"), F.col("earlier").isNotNull().alias("edited"),
+        (F.col("earlier").isNull() & F.col("first").eqNullSafe(place)).alias("kept"),
+    )
+    blank = placed.filter("digest IS NULL").select(*PLACE, place.alias("keep"), F.lit(False).alias("edited"), F.lit(True).alias("kept"))
+    return judged.unionByName(blank).select(
         F.col("doc").alias("doc_id"), F.col("of").alias("text_hash"), "line_no",
-        keep["doc"].alias("keep_doc_id"), keep["line_no"].alias("keep_line_no"),
-        F.when(F.col("solid") & F.col("earlier").isNotNull(), F.lit(1)).otherwise(F.lit(0)).alias("edits"),
-        (~F.col("solid") | (F.col("earlier").isNull() & F.col("first").eqNullSafe(place))).alias("kept"),
+        F.col("keep")["doc"].alias("keep_doc_id"), F.col("keep")["line_no"].alias("keep_line_no"),
+        F.col("edited").cast("int").alias("edits"), "kept",
     )
 
 

@@ -19,15 +19,22 @@ Classes, from texts that differ (exact copies share a digest and count once):
    the most texts over all its buckets leads. Every other text is verified
    against it: at most ``bands`` pairs for each text, whatever the buckets hold.
 2. Verified pairs are joined into components.
-3. Where a bucket still holds several components, its texts outside the largest
-   are verified against all others of the bucket, in blocks: a task gets two
-   blocks of texts, bounds all their similarities by a matrix product, verifies
-   what may reach the threshold, and returns links only. So no pair of texts
-   that share a bucket and are similar is left out of a class.
-
-Buckets are split into blocks by size and leaders are joined by key, so no
-group has to fit one task. NULL and empty texts have no shingles and are in no
-class with others. Ids may be NULL or repeat.
+3. Where a bucket still holds several components, its texts are grouped by the
+   shingles of their prefixes: the rarest ones, which together outweigh what two
+   similar texts may differ in, so such texts share one of them. In each group
+   the texts outside the largest component are verified against all others, in
+   blocks: a task gets two blocks of texts, bounds all their similarities by a
+   matrix product, verifies what may reach the threshold, and returns links only.
+   So no pair of texts that share a bucket and are similar is left out of a
+   class, and texts that have only their common passages in common do not meet.
+
+Two texts are similar if the index is at least the threshold, less 1e-9 for the
+rounding of sums: a tie counts as similar.
+
+Groups are split into blocks by size and leaders are joined by key, so no group
+has to fit one task. NULL and empty texts have no shingles and are in no class
+with others. Ids may be NULL or repeat; a text's features are taken from one row,
+and rows that repeat in full count as copies. Further columns are not looked at.
 """
 
 from __future__ import annotations
@@ -40,14 +47,17 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemark.llm.common import text_of
 from tidemark.llm.shingles import U, chunks, mix, shingles
+from tidemark.operators.skew import join_heavy
 from tidemark.storage import materialize
 
 WORDS = 5
 THRESHOLD = 0.8
 BANDS = 25
 ROWS = 5
-#: Texts in a block of step 3.
-BLOCK = 32
+#: What rounding may take from a similarity that reaches the threshold.
+TIE = 1e-9
+#: Texts in a block of step 3, and counters of shingles by which prefixes are ordered.
+BLOCK, COUNTERS = 32, 1 << 20
 
 
 def weights(counts: np.ndarray) -> np.ndarray:
@@ -195,7 +205,7 @@ def _verified(pairs: DataFrame, features: DataFrame, threshold: float) -> DataFr
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             near = [
-                similarity(*_load(sa, wa), *_load(sb, wb)) >= threshold - 1e-9
+                similarity(*_load(sa, wa), *_load(sb, wb)) >= threshold - TIE
                 for sa, wa, sb, wb in _column_rows(batch, "sa", "wa", "sb", "wb")
             ]
             yield batch.select(["a", "b"]).filter(pa.array(near, pa.bool_()))
@@ -230,20 +240,79 @@ def _block_links(left: list, right: list, threshold: float) -> Iterator[tuple[by
     bound = np.minimum(mats[0] @ (mats[1] > 0).T.astype(np.float32), (mats[0] > 0).astype(np.float32) @ mats[1].T)
     for i, j in np.argwhere(bound >= threshold - 1e-4):
         a, b = left[i], right[j]
-        if a["component"] != b["component"] and similarity(*sides[0][i], *sides[1][j]) >= threshold - 1e-9:
+        if a["component"] != b["component"] and similarity(*sides[0][i], *sides[1][j]) >= threshold - TIE:
             yield a["node"], b["node"]
 
 
-def _cross_links(members: DataFrame, found: DataFrame, features: DataFrame, threshold: float) -> DataFrame:
-    """Links between components that meet in a bucket."""
-    placed = members.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
+def prefix(found: np.ndarray, weight: np.ndarray, often: np.ndarray, threshold: float) -> np.ndarray:
+    """The rarest shingles of a text, as many as outweigh what similar texts may differ in.
+
+    Similar texts share shingles of at least ``threshold`` of the weight of each.
+    Let one's prefix end at an earlier place of the common order. If the other
+    held a shingle of it, that would lie in its own prefix, too; so without a
+    common shingle in both prefixes, the first's whole prefix is not shared.
+    """
+    order = np.lexsort((found, often[(found % U(len(often))).astype(np.int64)]))
+    share = np.cumsum(weight[order]) / weight.sum()
+    return found[order[: int(np.searchsorted(share, 1 - threshold + 1e-6, "right")) + 1]]
+
+
+def _often(features: DataFrame) -> np.ndarray:
+    """How many texts hold a shingle, by its remainder; collisions only make the order less apt."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(COUNTERS, np.int64)
+        for batch in batches:
+            for raw in batch.column("shingles"):
+                total += np.bincount((np.frombuffer(raw.as_py(), "<u8") % U(COUNTERS)).astype(np.int64), minlength=COUNTERS)
+        held = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(held), pa.array(total[held])], names=["at", "n"])
+
+    counted = features.select("shingles").mapInArrow(count, "at long, n long").groupBy("at").agg(F.sum("n").alias("n"))
+    table = counted.toArrow()  # at most COUNTERS rows
+    out = np.zeros(COUNTERS, np.int32)
+    out[table["at"].to_numpy()] = np.minimum(table["n"].to_numpy(), 2**31 - 1)
+    return out
+
+
+def _prefixes(features: DataFrame, threshold: float) -> DataFrame:
+    """``node`` and the ``prefix`` of its shingles."""
+    shared = features.sparkSession.sparkContext.broadcast(_often(features))
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = [
+                prefix(*_load(raw, heavy), shared.value, threshold).view(np.int64)
+                for raw, heavy in _column_rows(batch, "shingles", "weights")
+            ]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("node"), pa.array(out, pa.list_(pa.int64()))], names=["node", "prefix"]
+            )
+
+    return features.mapInArrow(cut, "node binary, prefix array<bigint>")
+
+
+def _open_groups(placed: DataFrame) -> DataFrame:
+    """``key``, rows ``n`` and largest component ``top`` of groups with several components."""
     sizes = placed.groupBy("key", "component").agg(F.count(F.lit(1)).alias("size"))
-    # buckets of two texts, or of one component, have nothing left to verify
-    open_keys = sizes.groupBy("key").agg(
+    return sizes.groupBy("key").agg(
         F.count(F.lit(1)).alias("components"), F.sum("size").alias("n"),
         F.max(F.struct("size", "component")).alias("top"),
-    ).filter("components > 1 AND n > 2").select("key", "n", F.col("top.component").alias("top"))
-    rows = placed.join(open_keys, "key").join(features, "node")
+    ).filter("components > 1").select("key", "n", F.col("top.component").alias("top"))
+
+
+def _cross_links(members: DataFrame, found: DataFrame, features: DataFrame, threshold: float) -> DataFrame:
+    """Links between components that meet in a bucket."""
+    placed = members.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    # of two texts in a bucket, one led it and met the other
+    met = placed.join(_open_groups(placed).filter("n > 2").select("key"), "key")
+    met = materialize(met.select("node", "key", "component"), "open-buckets")
+    if met.isEmpty():
+        return met.select(F.col("node").alias("a"), F.col("node").alias("b"))
+    held = materialize(features.join(met.select("node").distinct(), "node", "left_semi"), "open-features")
+    grouped = met.join(_prefixes(held, threshold), "node").select("node", "component", "key", F.explode("prefix").alias("shingle"))
+    grouped = grouped.select("node", "component", F.xxhash64("key", "shingle").alias("key"))
+    rows = materialize(grouped.join(_open_groups(grouped), "key"), "open-groups").join(held, "node")
     blocks = rows.select(
         "key", F.pmod(F.xxhash64("node"), F.ceil(F.col("n") / BLOCK)).alias("block"),
         (F.col("component") != F.col("top")).alias("minor"),
@@ -291,8 +360,10 @@ def near_duplicates(
         F.col(id_column).alias("id"), node_of(text_column).alias("node"), F.col(text_column).alias("text")
     )
     sigs = materialize(signed(source, bands, rows), "signatures")
-    texts = sigs.groupBy("node").agg(
-        F.min("id").alias("id"), F.count(F.lit(1)).alias("copies"), F.first("keys").alias("keys")
+    counted = sigs.groupBy("node", "id").agg(F.count(F.lit(1)).alias("rows"), F.first("keys").alias("keys"))
+    texts = counted.groupBy("node").agg(
+        F.min("id").alias("id"), F.sum("rows").alias("copies"), F.first("keys").alias("keys"),
+        F.min(F.struct(F.col("id").isNull(), "id", "rows"))["rows"].alias("alike"),
     )
     texts = materialize(texts, "texts")
     placed = texts.filter("keys IS NOT NULL").select("node", F.explode("keys").alias("key"))
@@ -308,10 +379,13 @@ def near_duplicates(
         members.join(leaders, "key").filter("node != b").select(F.col("node").alias("a"), "b").distinct(), "pairs"
     )
     # the features of texts in shared buckets; a text's least id speaks for its copies
-    wanted = texts.join(meets.select("node"), "node", "left_semi").select("node", "id")
-    chosen = source.alias("s").join(
-        wanted.alias("w"), (F.col("s.node") == F.col("w.node")) & F.col("s.id").eqNullSafe(F.col("w.id"))
-    ).select("s.node", "s.text")
+    wanted = materialize(texts.join(meets.select("node"), "node", "left_semi").select("node", "id", "alike"), "wanted")
+    ids = sigs.select("node", "id")
+    chosen = join_heavy(source, wanted.filter("alike = 1"), ["node", "id"], null_safe=True, keys_from=ids).select("node", "text")
+    repeated = wanted.filter("alike > 1")
+    if not repeated.isEmpty():  # rows that repeat an id and its text are one node
+        again = join_heavy(source, repeated, ["node", "id"], null_safe=True, keys_from=ids)
+        chosen = chosen.unionByName(again.groupBy("node").agg(F.first("text").alias("text")))
 
     def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -9,11 +9,13 @@ ASCII white space. Base counts of a text:
 ``n_dup_lines``     lines with a word that equal an earlier line
 ``n_repeat_words``  words inside three-word windows that occur at least twice
 
-``n_repeat_words`` is found per text: the windows' hashes, their places in the
-lowest bits, are sorted, and neighbours of one hash mark the words they cover. So the work
-of a text grows with n log n, and no row leaves its task.
+``n_repeat_words`` is found per text: the windows' hashes are sorted with their
+places, and neighbours of one hash and the same words mark the words they cover. So
+the work of a text grows with n log n, and no row leaves its task.
 
-A rule names a ratio and the range it must lie in. NULL counts as empty text.
+A rule names a ratio and the range it must lie in. NULL counts as empty text. Each
+row is judged by itself, so ids may be NULL or repeat; ``keep`` carries rows as one
+struct, so that their columns may have any names.
 """
 
 from __future__ import annotations
@@ -60,36 +62,32 @@ RULES = (
 )
 
 
-def _without(text: Column, characters: str, instead: str = "") -> Column:
+def without(text: Column, characters: str, instead: str = "") -> Column:
     """``text`` with each of some characters replaced; a search for one byte is cheaper than any pattern."""
     return reduce(lambda t, c: F.replace(t, F.lit(c), F.lit(instead)), characters, text)
 
 
 def words_of(text: Column) -> Column:
-    return F.filter(F.split(_without(text, BREAKS[1:], " "), " "), lambda w: w != "")
+    return F.filter(F.split(without(text, BREAKS[1:], " "), " "), lambda w: w != "")
 
 
-def _windows(words: Column, size: Column, bits: Column) -> Column:
-    """For each three-word window its hash, the lowest bits replaced by its place, ascending.
-
-    A place takes as many bits as the number of words does, so a text of 1000
-    words compares 54 bits of its hashes, and one of a million 44.
-    """
+def _windows(words: Column, size: Column) -> Column:
+    """For each three-word window its hash and its place, ascending."""
     return F.sort_array(F.transform(
         F.sequence(F.lit(0), size - 3),
-        lambda i: F.call_function(
-            "shiftleft", F.xxhash64(F.get(words, i), F.get(words, i + 1), F.get(words, i + 2)), bits
-        ).bitwiseOR(i),
+        lambda i: F.struct(F.xxhash64(F.get(words, i), F.get(words, i + 1), F.get(words, i + 2)).alias("h"), i.alias("i")),
     ))
 
 
-def _covered(ordered: Column, size: Column, bits: Column) -> Column:
-    """Places of the windows next to an equal hash, ascending; a place may come twice."""
-    mask = F.call_function("shiftleft", F.lit(1).cast("long"), bits) - 1
-    hash_of = lambda x: F.call_function("shiftright", x, bits)
+def _covered(ordered: Column, words: Column, size: Column) -> Column:
+    """Places of the windows next to one of the same hash and words, ascending; a place may come twice."""
+    def same(x: Column, y: Column) -> Column:
+        equal = [F.get(words, x["i"] + k) == F.get(words, y["i"] + k) for k in range(3)]
+        return reduce(lambda a, b: a & b, equal, x["h"] == y["h"])
+
     both = F.zip_with(
         F.slice(ordered, 1, size - 3), F.slice(ordered, 2, size - 3),
-        lambda x, y: F.when(hash_of(x) == hash_of(y), F.array(x.bitwiseAND(mask), y.bitwiseAND(mask))),
+        lambda x, y: F.when(same(x, y), F.array(x["i"], y["i"])),
     )
     return F.sort_array(F.flatten(F.array_compact(both)))
 
@@ -113,13 +111,12 @@ def counts(docs: DataFrame, text_column: str = "text", prefix: str = "_q_") -> D
     text = F.coalesce(F.col(text_column), F.lit(""))
     out = docs.withColumn(prefix + "words", words_of(text))
     out = out.withColumn(prefix + "n", F.size(p("words")))
-    out = out.withColumn(prefix + "bits", F.length(F.bin(p("n"))))
-    out = out.withColumn(prefix + "sorted", F.when(p("n") > 3, _windows(p("words"), p("n"), p("bits"))))
-    out = out.withColumn(prefix + "places", F.when(p("n") > 3, _covered(p("sorted"), p("n"), p("bits"))))
+    out = out.withColumn(prefix + "sorted", F.when(p("n") > 3, _windows(p("words"), p("n"))))
+    out = out.withColumn(prefix + "places", F.when(p("n") > 3, _covered(p("sorted"), p("words"), p("n"))))
     has_word = lambda x: x.rlike(WORD)
     out = out.withColumn(prefix + "lines", F.filter(F.split(text, "\n"), has_word))
     stops = F.array(*[F.lit(w) for w in STOP_FORMS])
-    removed = lambda characters: F.length(text) - F.length(_without(text, characters))
+    removed = lambda characters: F.length(text) - F.length(without(text, characters))
     counted = {
         "n_words": p("n"),
         "word_chars": F.length(F.array_join(p("words"), "")),
@@ -131,7 +128,7 @@ def counts(docs: DataFrame, text_column: str = "text", prefix: str = "_q_") -> D
         "n_stops": F.size(F.array_intersect(p("words"), stops)),
     }
     out = out.withColumns({prefix + name: column.cast("long") for name, column in counted.items()})
-    return out.drop(*[prefix + x for x in ("words", "n", "bits", "sorted", "places", "lines")])
+    return out.drop(*[prefix + x for x in ("words", "n", "sorted", "places", "lines")])
 
 
 def ratios(prefix: str = "_q_") -> dict[str, Column]:
@@ -182,9 +179,11 @@ def measure(
 
 def keep(docs: DataFrame, rules: tuple[Rule, ...] = RULES, text_column: str = "text") -> DataFrame:
     """The rows of ``docs`` that pass, with its columns."""
+    rows = docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_q_record"), F.col(text_column).alias("_q_text")
+    )
     # a filter would be pushed below the counts, which would then be worked out for each of its terms;
     # it stays above a column that is not deterministic
-    counted = counts(docs, text_column).withColumn("_q_row", F.monotonically_increasing_id())
+    counted = counts(rows, "_q_text").withColumn("_q_row", F.monotonically_increasing_id())
     failed = (F.col("_q_n_words") < 50) | (100 * F.col("_q_n_repeat_words") > 50 * F.col("_q_n_words"))
-    kept = counted.filter((F.col("_q_row") >= 0) & ~failed & passes(rules))
-    return kept.select(*[kept[c] for c in docs.columns])
+    return counted.filter((F.col("_q_row") >= 0) & ~failed & passes(rules)).select("_q_record.*")
