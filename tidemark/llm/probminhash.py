@@ -19,14 +19,16 @@ Classes, from texts that differ (exact copies share a digest and count once):
    the most texts over all its buckets leads. Every other text is verified
    against it: at most ``bands`` pairs for each text, whatever the buckets hold.
 2. Verified pairs are joined into components.
-3. Where a bucket still holds several components, its texts are grouped by the
-   shingles of their prefixes: the rarest ones, which together outweigh what two
-   similar texts may differ in, so such texts share one of them. In each group
-   the texts outside the largest component are verified against all others, in
-   blocks: a task gets two blocks of texts, bounds all their similarities by a
-   matrix product, verifies what may reach the threshold, and returns links only.
-   So no pair of texts that share a bucket and are similar is left out of a
-   class, and texts that have only their common passages in common do not meet.
+3. Where a bucket still holds several components, its texts outside the largest
+   are verified against all others of the bucket, in blocks: a task gets two
+   blocks of texts, bounds all their similarities by a matrix product, verifies
+   what may reach the threshold, and returns links only.
+4. Buckets with more such texts than a block holds first lose those that can meet
+   no text of another component: of a text's shingles the rarest, its prefix,
+   outweigh what two similar texts may differ in, so similar texts share one of
+   them. Pages that have only common passages in common thus do not meet.
+
+So no pair of texts that share a bucket and are similar is left out of a class.
 
 Two texts are similar if the index is at least the threshold, less 1e-9 for the
 rounding of sums: a tie counts as similar.
@@ -293,26 +295,37 @@ def _prefixes(features: DataFrame, threshold: float) -> DataFrame:
 
 
 def _open_groups(placed: DataFrame) -> DataFrame:
-    """``key``, rows ``n`` and largest component ``top`` of groups with several components."""
+    """``key``, rows ``n``, largest component ``top`` and rows outside it, of groups with several components."""
     sizes = placed.groupBy("key", "component").agg(F.count(F.lit(1)).alias("size"))
     return sizes.groupBy("key").agg(
         F.count(F.lit(1)).alias("components"), F.sum("size").alias("n"),
         F.max(F.struct("size", "component")).alias("top"),
-    ).filter("components > 1").select("key", "n", F.col("top.component").alias("top"))
+    ).filter("components > 1").select("key", "n", F.col("top.component").alias("top"), (F.col("n") - F.col("top.size")).alias("minors"))
+
+
+def _able_to_meet(crowded: DataFrame, features: DataFrame, threshold: float) -> DataFrame:
+    """Rows ``key``, ``node``, ``component`` that share a shingle of their prefixes with another component of their bucket."""
+    held = materialize(features.join(crowded.select("node").distinct(), "node", "left_semi"), "open-features")
+    spread = crowded.join(_prefixes(held, threshold), "node").select(
+        "key", "node", "component", F.explode("prefix").alias("shingle")
+    ).withColumn("bucket", F.col("key")).withColumn("key", F.xxhash64("key", "shingle"))
+    met = spread.join(_open_groups(spread).select("key"), "key", "left_semi")
+    return met.select(F.col("bucket").alias("key"), "node", "component").distinct()
 
 
 def _cross_links(members: DataFrame, found: DataFrame, features: DataFrame, threshold: float) -> DataFrame:
     """Links between components that meet in a bucket."""
     placed = members.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
     # of two texts in a bucket, one led it and met the other
-    met = placed.join(_open_groups(placed).filter("n > 2").select("key"), "key")
-    met = materialize(met.select("node", "key", "component"), "open-buckets")
-    if met.isEmpty():
-        return met.select(F.col("node").alias("a"), F.col("node").alias("b"))
-    held = materialize(features.join(met.select("node").distinct(), "node", "left_semi"), "open-features")
-    grouped = met.join(_prefixes(held, threshold), "node").select("node", "component", "key", F.explode("prefix").alias("shingle"))
-    grouped = grouped.select("node", "component", F.xxhash64("key", "shingle").alias("key"))
-    rows = materialize(grouped.join(_open_groups(grouped), "key"), "open-groups").join(held, "node")
+    met = placed.join(_open_groups(placed).filter("n > 2"), "key")
+    met = materialize(met.select("node", "key", "component", "minors"), "open-buckets")
+    left = met.drop("minors")
+    crowded = met.filter(F.col("minors") > BLOCK).drop("minors")
+    if not crowded.isEmpty():
+        left = materialize(met.filter(F.col("minors") <= BLOCK).drop("minors").unionByName(
+            _able_to_meet(crowded, features, threshold)
+        ), "open-buckets")
+    rows = left.join(_open_groups(left), "key").join(features, "node")
     blocks = rows.select(
         "key", F.pmod(F.xxhash64("node"), F.ceil(F.col("n") / BLOCK)).alias("block"),
         (F.col("component") != F.col("top")).alias("minor"),
