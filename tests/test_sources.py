@@ -4,6 +4,8 @@ from datetime import datetime
 
 import pyarrow as pa
 import pyarrow.parquet as pq
+import random
+
 import pytest
 from pyspark.sql import functions as F, types as T
 
@@ -76,12 +78,72 @@ def test_several_records_on_a_line(spark, tmp_path):
     assert rows(found, "a") == [("1",), ("3",), ("5",), ('{"b":[{},{}]}',), ("}{",)]
 
 
+def told(spark, folder):
+    """Values of "a" of accepted records, and how many rejects there are."""
+    found = json_files.map_paths(json_files.read_json_records(spark, str(folder)), {"a": "$['a']"})
+    good = [r["a"] for r in found.filter("_corrupt is null").collect()]
+    return sorted(good, key=lambda v: (v is None, len(v or ""), v or "")), found.filter("_corrupt is not null").count()
+
+
+def nested(name):
+    return f'{{"a": "{name}", "list": [\n{{"x": 1}},\n{{"y": 0}}\n]}}'
+
+
+TORN = [
+    '{"a": 99, "list": [', '{"a": 99, "list": [\n{"x": 1},\n{"y"', '{"a": 9', '{"a":', '{"a": 99,', '{"a": "unend', '{', '{"a": {"b": [',
+    '{"a": 99, "list": [\n{"x": 1},\n{"y": 2}\n]',
+]
+
+
 def test_records_around_a_torn_one(spark, tmp_path):
-    lines = [f'{{"a": {i}, "list": [\n{{"x": {i}}},\n{{"y": 0}}\n]}}' for i in range(30)]
-    (tmp_path / "x.json").write_text("\n".join(lines[:15]) + '\n{"a": 99, "list": [\n' + "\n".join(lines[15:]))
-    found = json_files.map_paths(json_files.read_json_records(spark, str(tmp_path)), {"a": "$['a']"})
-    whole = {r["a"] for r in found.filter("_corrupt is null").collect()}
-    assert {str(i) for i in range(15)} <= whole
+    """In each file one record is torn, and one reject; all others are accepted."""
+    for k, torn in enumerate(TORN):
+        records = [nested(f"{k}-{i}") for i in range(30)]
+        (tmp_path / f"{k}.json").write_text("\n".join([*records[:15], torn, *records[15:]]))
+    good, bad = told(spark, tmp_path)
+    assert sorted(good) == sorted(f"{k}-{i}" for k in range(len(TORN)) for i in range(30)) and bad == len(TORN)
+
+
+def test_stray_braces_and_other_text(spark, tmp_path):
+    good = "\n".join(f'{{"a": {i}}}' for i in range(2, 8))
+    (tmp_path / "x.json").write_text('{"a": 2\n' + good + '\n{"a": 9}}\n' + nested(8) + '\n{"a": 1}}\n' + nested(9))
+    (tmp_path / "y.json").write_text('"x": 3}\n{"a": 11}\nnoise\n{"a": 12}\n\n}\n{\n"a": 13,\n"b": [\n{\n}\n]\n}\n]\n{"a": 14}')
+    (tmp_path / "z.json").write_text('\n{"a": 21}\n{"a": "tab\\t{"}\n{"a": "\\"}{"}\n')
+    wanted = [str(i) for i in (*range(2, 10), *range(11, 15), 21)] + ['"}{', "tab\t{"]
+    good, bad = told(spark, tmp_path)
+    assert sorted(good) == sorted(wanted) and bad == 7
+
+
+def test_a_list_of_records_is_no_record(spark, tmp_path):
+    (tmp_path / "x.json").write_text("[\n" + ",\n".join(f'{{\n"a": {i}\n}}' for i in range(50)) + "\n]\n" + '{"a": 77}')
+    good, bad = told(spark, tmp_path)
+    assert good == ["49", "77"] and bad == 51
+
+
+def test_torn_files_over_many_pieces(spark, tmp_path):
+    """Every place of a tear, in files cut into small pieces; all untouched records are accepted."""
+    rnd = random.Random(5)
+    lost, wanted = 0, []
+    for k in range(12):
+        records = []
+        for i in range(25):
+            name = f"{k}-{i}"
+            inner = ",\n".join(f'{{"x": "}}{{{j}"}}' for j in range(rnd.randrange(4)))
+            text = f'{{"a": "{name}",\n"list": [\n{inner}\n]\n}}'
+            if rnd.random() < 0.2:
+                text = text[: rnd.randrange(1, len(text) - 1)].rstrip()
+                lost += 1
+            else:
+                wanted.append(name)
+            records.append(text)
+        (tmp_path / f"{k}.json").write_text("\n".join(records))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "512")
+    try:
+        good, bad = told(spark, tmp_path)
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    # a tear may leave whole objects of the list behind, which have no "a"
+    assert sorted(v for v in good if v is not None) == sorted(wanted) and bad >= lost - good.count(None)
 
 
 def test_paths(spark):
