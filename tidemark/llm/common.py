@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 #: A word is a run of anything but these.
@@ -23,6 +26,21 @@ def held_out(doc_id: Column, parts: int) -> Column:
     return bucket(doc_id, parts) == 0
 
 
+@contextmanager
+def batches_of(spark: SparkSession, size: str) -> Iterator[None]:
+    """Jobs run within hand at most about ``size`` at a time to a Python worker, however long single rows are."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, size)
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(name)
+        else:
+            spark.conf.set(name, before)
+
+
 def text_of(column: str = "text") -> Column:
     return F.coalesce(F.col(column), F.lit(""))
 

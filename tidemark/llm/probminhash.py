@@ -47,7 +47,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tidemark.llm.common import text_of
+from tidemark.llm.common import batches_of, text_of
 from tidemark.llm.shingles import U, chunks, mix, shingles
 from tidemark.operators.skew import join_heavy
 from tidemark.storage import materialize
@@ -60,6 +60,8 @@ ROWS = 5
 TIE = 1e-9
 #: Texts in a block of step 3, and counters of shingles by which prefixes are ordered.
 BLOCK, COUNTERS = 32, 1 << 20
+#: What a Python worker gets at a time; a pair of long texts is a large row.
+BATCH = "8m"
 
 
 def weights(counts: np.ndarray) -> np.ndarray:
@@ -134,7 +136,8 @@ def _load(raw: bytes, heavy: bytes) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _column_rows(batch: pa.RecordBatch, *names: str) -> Iterator[tuple]:
-    return zip(*[batch.column(n).to_pylist() for n in names])
+    """Rows of binary columns, as views of the batch."""
+    return zip(*[(value.as_buffer() for value in batch.column(n)) for n in names])
 
 
 def signed(docs: DataFrame, bands: int, rows: int) -> DataFrame:
@@ -369,6 +372,13 @@ def near_duplicates(
     ``class_size`` counts its rows. ``kept`` is true for one row of the class,
     its least id's. ``node`` identifies the text.
     """
+    with batches_of(docs.sparkSession, BATCH):
+        return _near_duplicates(docs, id_column, text_column, threshold, bands, rows)
+
+
+def _near_duplicates(
+    docs: DataFrame, id_column: str, text_column: str, threshold: float, bands: int, rows: int
+) -> DataFrame:
     source = docs.select(
         F.col(id_column).alias("id"), node_of(text_column).alias("node"), F.col(text_column).alias("text")
     )
