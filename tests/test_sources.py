@@ -1,6 +1,7 @@
 import json
 import time
 from datetime import datetime
+from decimal import Decimal
 
 import pyarrow as pa
 import pyarrow.parquet as pq
@@ -320,3 +321,63 @@ def test_marks_do_not_depend_on_the_zone_of_python(spark, monkeypatch):
 def test_bound_values(spark):
     df = spark.createDataFrame([("it's",), ("x",)], "v string")
     assert rows(staging.sql_frame(spark, "SELECT v FROM {t} WHERE v = :v", {"v": "it's"}, t=df)) == [("it's",)]
+
+
+def test_csv_files_of_different_headers(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("n,text,other\n1,x,9\n2,\"y, \"\"z\"\"\",9\n3,short\n4,long,9,8\n")
+    (tmp_path / "b.csv").write_bytes("\ufefftext,n\r\nq,5\r\n".encode())
+    (tmp_path / "sub").mkdir()
+    (tmp_path / "sub" / "c.csv").write_text("text,n,n\nw,6,7\n\n")
+    (tmp_path / "empty.csv").write_text("")
+    contract = T.StructType([schemas.column("n", T.IntegerType()), schemas.text("text")])
+    kept = csv_files.read_csv_columns(spark, str(tmp_path), contract)
+    assert rows(kept) == [(1, "x"), (2, 'y, "z"'), (3, "short"), (4, "long"), (5, "q"), (6, "w")]
+    dropped = csv_files.read_csv_columns(spark, str(tmp_path), contract, ["text"], ragged="drop")
+    assert rows(dropped) == [("q",), ("w",), ("x",), ('y, "z"',)]
+    ragged = csv_files.ragged_rows(spark, str(tmp_path), ["n"])
+    assert {r["_corrupt"] for r in ragged.collect()} == {"3,short", "4,long,9,8"}
+    assert all(r["_source"].endswith("a.csv") for r in ragged.collect())
+    raw = csv_files.read_csv_records(spark, str(tmp_path), ["n", "text"])
+    good, bad = staging.load_staging(raw, contract)
+    assert good.count() == 4 and rows(bad, "err_reason") == [(staging.BAD_RECORD,)] * 2
+    with pytest.raises(ValueError, match="no column absent"):
+        csv_files.read_csv_records(spark, str(tmp_path), ["absent"])
+    with pytest.raises(ValueError):
+        csv_files.read_csv_columns(spark, str(tmp_path), contract, ragged="hide")
+    only_empty = tmp_path / "none"
+    only_empty.mkdir()
+    (only_empty / "x.csv").write_text("")
+    assert csv_files.read_csv_columns(spark, str(only_empty), contract).count() == 0
+
+
+def test_one_header_makes_one_scan_in_small_splits(spark, tmp_path):
+    for k in range(5):
+        (tmp_path / f"{k}.csv").write_text("a,b\n" + "\n".join(f"{k},{i}" for i in range(200)) + "\n")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "256")
+    try:
+        assert csv_files.plan(spark, str(tmp_path)) == [(["a", "b"], [str(tmp_path)])]
+        contract = T.StructType([schemas.column("b", T.LongType())])
+        assert csv_files.read_csv_columns(spark, str(tmp_path), contract).agg(F.count("b"), F.sum("b")).first() == (1000, 99500)
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+@pytest.mark.parametrize("kind", [T.ByteType(), T.LongType()])
+def test_integers_are_exact(spark, kind):
+    texts = ["38", "38.0", "38.5", "38.0000001", "1.0000000001e3", "1000e-1", "5.0E-0", "1e2", "1.5e1", "15e-1", "0e9", "0.000e-5",
+             "-12e0", "+.5e1", ".e1", "e3", "1e", "1e99999999", "1e-99999999", "0e99999999", "9223372036854775807e0",
+             "9223372036854775808e0", "92233720368547758070e-1", "127.000e0", "128e0", "1e1 ", "", None, "one", "1e2x"]
+    found = spark.createDataFrame([(t,) for t in texts], "t string").select("t", csv_files.typed(F.col("t"), kind).alias("v"))
+    least, most = (-128, 127) if isinstance(kind, T.ByteType) else (-(2**63), 2**63 - 1)
+
+    def exact(text):
+        try:
+            if len(text.lower().partition("e")[2]) > 5:
+                return 0 if Decimal(text.lower().partition("e")[0]) == 0 else None
+            value = Decimal(text.strip())
+        except (AttributeError, ArithmeticError):
+            return None
+        return int(value) if value == value.to_integral_value() and least <= value <= most else None
+
+    got = {r["t"]: r["v"] for r in found.collect()}
+    assert got == {t: exact(t) for t in texts}

@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, functions as F
 from tidemark.functions.time import calendar_parts, epoch_to_timestamp
 from tidemark.operators.dedup import first_per_key, latest_with_ties, max_per_key
 from tidemark.operators.ordered import dense_id, unique_id
+from tidemark.operators.skew import join_heavy
 
 PLAY_PAGE = "NextSong"
 
@@ -18,13 +19,20 @@ def song_plays(events: DataFrame) -> DataFrame:
     return events.filter(F.col("page") == PLAY_PAGE)
 
 
-def match_songs(logs: DataFrame, songs: DataFrame, pairs: list[tuple[str, str]] = MATCH) -> DataFrame:
+def match_songs(
+    logs: DataFrame, songs: DataFrame, pairs: list[tuple[str, str]] = MATCH, split_hot: bool = False
+) -> DataFrame:
     """Left join of log rows to songs; a row repeats if its song does.
 
     A popular song is a hot key on the log side only. Adaptive execution splits
     such partitions for left joins, and broadcasts ``songs`` by itself when its
-    measured size allows.
+    measured size allows. ``split_hot`` does not rely on that: songs with a large
+    share of the rows are found first, at the price of a pass over the logs' keys,
+    and their rows are not shuffled (see ``skew.join_heavy``).
     """
+    if split_hot:
+        kept = songs.withColumnsRenamed({s: f"_k_{s}" for s, _ in pairs})
+        return join_heavy(logs, kept, [(e, f"_k_{s}") for s, e in pairs], "left")
     renamed = songs.withColumnsRenamed({s: f"_s_{s}" for s, _ in pairs})
     on = [F.col(f"_s_{s}") == F.col(e) for s, e in pairs]
     return logs.join(renamed, on, "left").drop(*[f"_s_{s}" for s, _ in pairs])

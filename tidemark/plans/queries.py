@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from tidemark import schemas
 from tidemark.functions.text import first_match, percent_text
 from tidemark.functions.time import day_text, epoch_to_timestamp
-from tidemark.operators import analytics, dedup, geo, ordered, quality, serving, spans, star
+from tidemark.operators import analytics, dedup, geo, ordered, quality, serving, skew, spans, star
 from tidemark.plans import warehouse
 from tidemark.plans.standins import (
     FACTS_SQL,
@@ -33,7 +33,7 @@ from tidemark.plans.standins import (
 )
 from tidemark.sinks import reports, tables as sinks
 from tidemark.sources import csv_files, json_files, staging
-from tidemark.storage import scratch_path
+from tidemark.storage import materialize, scratch_path
 from tidemark.streaming.incremental import Snapshot, append_to, ingest_new, newer_than, upsert_into
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -334,6 +334,30 @@ def match_songs(spark, folder):
     )
 
 
+@query(f"""WITH {ITEM_SONGS_SQL}, hot AS (SELECT * FROM songs ORDER BY song_id LIMIT 1), log AS (
+    SELECT i.*, l_orderkey % 2 = 0 AS swapped,
+           CASE WHEN l_orderkey % 2 = 0 THEN artist_name ELSE CAST(l_orderkey AS VARCHAR) END AS artist,
+           CASE WHEN l_orderkey % 2 = 0 THEN title ELSE CAST(l_linenumber AS VARCHAR) END AS song,
+           CASE WHEN l_orderkey % 2 = 0 THEN duration ELSE l_extendedprice END AS length
+    FROM lineitem i, hot
+)
+SELECT l.l_partkey, l.l_shipdate, l.song, s.song_id FROM log l
+LEFT JOIN songs s ON s.artist_name = l.artist AND s.title = l.song AND s.duration = l.length""")
+def match_hot_songs(spark, folder):
+    """Songs of a log in which one song holds about half of the rows."""
+    songs = item_songs(spark, folder).select("artist_name", "title", "duration", "song_id")
+    hot = songs.orderBy("song_id").limit(1)
+    log = item_log(spark, folder).select("artist", "song", "length", "sessionId", "ts")
+    even = F.col("artist").cast("bigint") % 2 == 0
+    swap = lambda c, h: F.when(even, hot.select(h).scalar()).otherwise(F.col(c))
+    log = materialize(log.select(
+        swap("artist", "artist_name").alias("artist"), swap("song", "title").alias("song"),
+        swap("length", "duration").alias("length"), F.col("sessionId").alias("l_partkey"),
+        epoch_to_timestamp(F.col("ts")).alias("l_shipdate"),
+    ), "hot-log")
+    return star.match_songs(log, songs, split_hot=True).select("l_partkey", "l_shipdate", "song", "song_id")
+
+
 @query("""WITH known AS (
     SELECT s_name AS artist_name, l_partkey, l_extendedprice, min(CAST(l_orderkey AS VARCHAR)) AS song_id,
            min(CAST(l_suppkey AS VARCHAR)) AS artist_id
@@ -827,16 +851,41 @@ def json_concatenated(spark, folder):
     return staging.accepted(staging.coerce(raw, TURN_SCHEMA)).select(*TURN_SCHEMA.names)
 
 
-@query("SELECT conv_id, turn, role FROM conversations")
+def _nested_turns(spark, folder):
+    """Turns as records that hold a list of objects, each on a line of its own."""
+    record = F.to_json(F.struct("conv_id", "turn", "role", "text"))
+    text = F.concat(F.substr(record, F.lit(1), F.length(record) - 1), F.lit(', "list": [\n{"a": 1},\n{"b": "}{"}\n]}'))
+    return table(spark, folder, "conversations").select("conv_id", "turn", text.alias("value"))
+
+
+@query("SELECT conv_id, turn, role, text FROM conversations")
 def json_nested_lines(spark, folder):
-    """Records that hold a list of objects, each on a line of its own."""
     path = scratch_path(spark, "json-nested")
-    record = F.to_json(F.struct("conv_id", "turn", "role"))
-    text = F.concat(F.substr(record, F.lit(1), F.length(record) - 1), F.lit(', "list": [\n{"a": 1},\n{"b": "}{"}\n]}'))
-    table(spark, folder, "conversations").select(text.alias("value")).write.text(path)
-    contract = T.StructType([f for f in TURN_SCHEMA if f.name != "text"])
-    raw = json_files.by_name(json_files.read_json_records(spark, path, "*.txt"), contract)
-    return staging.accepted(staging.coerce(raw, contract)).select(*contract.names)
+    _nested_turns(spark, folder).select("value").write.text(path)
+    raw = json_files.by_name(json_files.read_json_records(spark, path, "*.txt"), TURN_SCHEMA)
+    return staging.accepted(staging.coerce(raw, TURN_SCHEMA)).select(*TURN_SCHEMA.names)
+
+
+@query("""SELECT conv_id, turn, role, text, CAST(0 AS BIGINT) AS rejects FROM conversations WHERE turn <> 1
+UNION ALL SELECT NULL, NULL, NULL, NULL, count(*) FROM conversations WHERE turn = 1""")
+def json_torn(spark, folder):
+    """Nested records of which one in each conversation is torn, in four ways, or has a stray brace; and how many are rejects."""
+    path = scratch_path(spark, "json-torn")
+    value, kind = F.col("value"), F.when(F.col("turn") == 1, F.col("conv_id") % 5)
+    torn = [
+        F.substr(value, F.lit(1), F.length(value) - 1),  # the last brace is missing
+        F.lit('{"conv_id": 7, "list": ['), F.lit('{"conv_id": 7, "text": "no end'), F.lit('{"conv_id": 7, "role":'),
+        F.concat(F.lit('{"conv_id": 7}'), F.lit("}")),
+    ]
+    for k, text in enumerate(torn):
+        value = F.when(kind == k, text).otherwise(value)
+    _nested_turns(spark, folder).select(value.alias("value")).write.text(path)
+    raw = materialize(json_files.by_name(json_files.read_json_records(spark, path, "*.txt"), TURN_SCHEMA), "torn")
+    coerced = staging.coerce(raw, TURN_SCHEMA)
+    good = staging.accepted(coerced).select(*TURN_SCHEMA.names, F.lit(0).cast("bigint").alias("rejects"))
+    bad = staging.rejects(coerced).agg(F.count(F.lit(1)).alias("rejects"))
+    nothing = [F.lit(None).cast(f.dataType).alias(f.name) for f in TURN_SCHEMA]
+    return good.unionByName(bad.select(*nothing, "rejects"))
 
 
 @query("""SELECT o_orderstatus AS source, arg_min(o_orderkey, nth) AS o_orderkey
@@ -952,6 +1001,47 @@ def csv_quoted(spark, folder):
     return csv_files.read_csv_columns(spark, [f"{path}/docs", f"{path}/events"], contract, multi_line=True)
 
 
+def _mixed_csv(spark, folder):
+    """Events and orders as CSV files of one folder: two orders of columns, one file with more of them, and ragged rows."""
+    path = scratch_path(spark, "csv-headers")
+    events = table(spark, folder, "events").select("event_id", "user_id", "value")
+    orders = table(spark, folder, "orders")
+    sinks.write_csv(events, f"{path}/events")
+    sinks.write_csv(orders.select(
+        F.col("o_totalprice").alias("value"), F.col("o_orderpriority").alias("note"),
+        F.col("o_custkey").alias("user_id"), F.col("o_orderkey").alias("event_id"),
+    ), f"{path}/orders")
+    # rows that are a field short or have one too many, below a header in each file
+    key = F.col("c_custkey")
+    short = F.concat_ws(",", key, key)
+    line = F.when(key % 3 == 0, short).when(key % 3 == 1, F.concat(short, F.lit(",1.5,"), key)).otherwise(
+        F.concat(short, F.lit(",2.5"))
+    )
+    heads = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)) == 0
+    written = F.when(heads, F.array(F.lit("user_id,event_id,value"), line)).otherwise(F.array(line))
+    table(spark, folder, "customer").select(written.alias("lines")).select(F.explode("lines").alias("value")).write.text(
+        f"{path}/customers"
+    )
+    return path
+
+
+@query("""SELECT CAST(event_id AS BIGINT) AS event_id, CAST(user_id AS BIGINT) AS user_id, value FROM events
+UNION ALL SELECT o_orderkey, o_custkey, o_totalprice FROM orders
+UNION ALL SELECT c_custkey, c_custkey, 2.5 FROM customer WHERE c_custkey % 3 = 2""")
+def csv_headers(spark, folder):
+    contract = T.StructType([
+        schemas.column("event_id", T.LongType()), schemas.column("user_id", T.LongType()), schemas.column("value", T.DoubleType()),
+    ])
+    return csv_files.read_csv_columns(spark, _mixed_csv(spark, folder), contract, ragged="drop")
+
+
+@query("""SELECT concat_ws(',', c_custkey, c_custkey) || CASE WHEN c_custkey % 3 = 0 THEN '' ELSE ',1.5,' || c_custkey END AS line
+FROM customer WHERE c_custkey % 3 < 2""")
+def csv_rejects(spark, folder):
+    found = csv_files.ragged_rows(spark, _mixed_csv(spark, folder), ["event_id", "user_id", "value"])
+    return found.select(F.col(json_files.CORRUPT).alias("line"))
+
+
 @query("""SELECT n_name, count(*) AS customers FROM customer JOIN nation ON n_nationkey = c_nationkey GROUP BY 1""")
 def csv_lookup(spark, folder):
     path = scratch_path(spark, "lookup")
@@ -962,6 +1052,25 @@ def csv_lookup(spark, folder):
     return counts.join(lookup, F.col("n_nationkey") == F.col("c_nationkey")).select("n_name", "customers")
 
 
+KEY_SKEW_SQL = """SELECT '{column}' AS column_name, {column} AS key, count(*) AS rows,
+    round(count(*) / (SELECT count(*) FROM {name}), 9) AS share FROM {name} GROUP BY {column}
+    HAVING count(*) >= 0.04 * (SELECT count(*) FROM {name})"""
+
+
+@query(" UNION ALL ".join(KEY_SKEW_SQL.format(name=n, column=c) for n, c in (
+    ("documents", "source"), ("conversations", "role"), ("events", "event_type"), ("orders", "o_custkey::VARCHAR"),
+)).replace("'o_custkey::VARCHAR'", "'o_custkey'"))
+def key_skew(spark, folder):
+    """Values of text and number columns that hold a twenty-fifth of the rows or more."""
+    pairs = [("documents", "source"), ("conversations", "role"), ("events", "event_type"), ("orders", "o_custkey")]
+    found = [
+        skew.key_skew(table(spark, folder, name), column, 0.04).select(
+            F.lit(column).alias("column_name"), "key", "rows", F.round("share", 9).alias("share")
+        ) for name, column in pairs
+    ]
+    return reduce(DataFrame.unionByName, found)
+
+
 @query("SELECT p_brand, p_type, count(*) AS parts FROM part GROUP BY 1, 2")
 def partitioned_lake(spark, folder):
     path = scratch_path(spark, "partitioned")
