@@ -1,14 +1,15 @@
 import json
 from datetime import datetime
 
+import pytest
 from pyspark.sql import functions as F, types as T
 
 from conftest import rows
 from tidemark import schemas
 from tidemark.operators import dedup, serving
-from tidemark.plans import warehouse
+from tidemark.plans import star_load, warehouse
 from tidemark.sinks import tables
-from tidemark.streaming.incremental import Snapshot, append_to, ingest_new, upsert_into
+from tidemark.streaming.incremental import Snapshot, Store, append_to, ingest_new, upsert_into
 
 
 def test_logs_to_lake_to_panels(spark, tmp_path):
@@ -95,8 +96,8 @@ def test_files_are_ingested_once(spark, tmp_path):
 
 
 def test_snapshot_upsert(spark, tmp_path):
-    snapshot = Snapshot(spark, str(tmp_path / "snapshot"), "u", buckets=4)
-    assert snapshot.read() is None
+    snapshot = Snapshot(spark, str(tmp_path / "snapshot"), "u")
+    assert snapshot.read() is None and snapshot.count("snapshot") == 0
     handler = upsert_into(snapshot, ["ts"], ["name"], ["level"])
     logs = tmp_path / "in"
     arrive(logs, "a", (1, 1, "Ann", "free"), (1, 2, "Anna", "paid"))
@@ -104,25 +105,42 @@ def test_snapshot_upsert(spark, tmp_path):
     arrive(logs, "b", (1, 3, "X", "free"), (2, 3, "Bob", "paid"))
     ingest_new(spark, str(logs), SCHEMA, str(tmp_path / "state"), handler).awaitTermination()
     assert rows(snapshot.read()) == [(1, "Ann", "free"), (2, "Bob", "paid")]
-    # a repeated batch gives the same version, and one without its marker does not count
-    handler(spark.createDataFrame([(1, 3, "X", "free"), (2, 3, "Bob", "paid")], SCHEMA), 1)
+    # a repeated batch changes nothing, one without its commit does not count, and none comes after a later one
+    handler(spark.createDataFrame([(1, 4, "X", "other")], SCHEMA), 1)
     assert rows(snapshot.read()) == [(1, "Ann", "free"), (2, "Bob", "paid")]
-    (tmp_path / "snapshot" / "data" / "version=9" / "bucket=0").mkdir(parents=True)
+    (tmp_path / "snapshot" / "data" / "snapshot" / "version=9" / "bucket=0-0").mkdir(parents=True)
     assert rows(snapshot.read()) == [(1, "Ann", "free"), (2, "Bob", "paid")]
+    snapshot.merge(spark.createDataFrame([], SCHEMA), 5, lambda old, new: old)
+    with pytest.raises(ValueError):
+        handler(spark.createDataFrame([], SCHEMA), 4)
 
 
-def test_snapshot_rewrites_touched_buckets_only(spark, tmp_path):
-    snapshot = Snapshot(spark, str(tmp_path / "snapshot"), "u", buckets=8)
+def test_snapshot_splits_and_expires(spark, tmp_path):
+    snapshot = Snapshot(spark, str(tmp_path / "snapshot"), "u", rows=40)
     handler = upsert_into(snapshot, ["ts"], ["name"], ["level"])
-    handler(spark.createDataFrame([(i, 1, f"n{i}", "free") for i in range(100)], SCHEMA), 0)
-    first = set((tmp_path / "snapshot" / "data" / "version=0").glob("bucket=*"))
-    assert len(first) == 8
-    handler(spark.createDataFrame([(7, 2, "x", "paid"), (None, 2, "lost", "paid")], SCHEMA), 1)
-    assert len(list((tmp_path / "snapshot" / "data" / "version=1").glob("bucket=*"))) == 1
+    data = tmp_path / "snapshot" / "data" / "snapshot"
+
+    def sizes():
+        return {(e["depth"], e["bits"]): e["rows"] for e in snapshot._entries(snapshot.versions()[-1])}
+
+    handler(spark.createDataFrame([(i, 1, f"n{i}", "free") for i in range(30)], SCHEMA), 0)
+    assert sizes() == {(0, 0): 30}
+    handler(spark.createDataFrame([(i, 1, f"n{i}", "free") for i in range(20, 300)], SCHEMA), 1)
+    assert sum(sizes().values()) == 300 and max(sizes().values()) <= 40 and {d for d, _ in sizes()} == {4}
+    # every bucket is written by one task, in one file
+    assert all(len(list(b.glob("*.parquet"))) == 1 for b in (data / "version=1").glob("bucket=*"))
+    handler(spark.createDataFrame([(7, 2, "x", "paid"), (None, 2, "lost", "paid")], SCHEMA), 2)
+    assert len(list((data / "version=2").glob("bucket=*"))) == 1
     found = rows(snapshot.read())
-    assert len(found) == 100 and (7, "n7", "paid") in found and (8, "n8", "free") in found
-    handler(spark.createDataFrame([], SCHEMA), 2)
-    assert rows(snapshot.read()) == found
+    assert len(found) == 300 and (7, "n7", "paid") in found and (8, "n8", "free") in found
+    # opened with another size, the same table goes on; one bucket grows and splits by itself
+    again = Snapshot(spark, str(tmp_path / "snapshot"), "u", rows=10)
+    again.merge(spark.createDataFrame([(8, 3, "y", "paid")], SCHEMA), 3, lambda old, new: dedup.upsert(old, new, "u", ["ts"], ["name"], ["level"]))
+    assert len({d for d, _ in sizes()}) == 2 and rows(again.read()) == sorted([r for r in found if r[0] != 8] + [(8, "n8", "paid")])
+    gone = again.expire()
+    assert any("version=0" in p for p in gone) and not (data / "version=0" / "bucket=0-0").exists()
+    assert again.versions() == [3] and len(rows(again.read())) == 300
+    assert again.expire() == []
 
 
 def test_rows_without_a_key_stay_out(spark):
@@ -138,3 +156,69 @@ def test_day_counts(spark):
 
     df = spark.createDataFrame([(datetime(2018, 11, 2, 20), datetime(2018, 11, 20, 10))], "a timestamp_ntz, b timestamp_ntz")
     assert df.select(calendar_days(F.col("a"), F.col("b")), elapsed_days(F.col("a"), F.col("b")), day_text(F.col("a"))).first() == (18, 17, "2018-11-02")
+
+
+EVENTS = ("userId long, firstName string, lastName string, gender string, level string, ts long, artist string, song string, "
+          "length double, page string, sessionId long, location string, userAgent string")
+SONGS = ("song_id string, artist_id string, artist_name string, artist_location string, artist_latitude double, "
+         "artist_longitude double, title string, year short, duration double")
+
+
+def batches(spark):
+    def event(user, level, ts, song, page="NextSong"):
+        return (user, f"f{user}", "l", "F", level, ts, f"A{song}", f"S{song}", 1.5, page, 9, "Town, ST", "agent")
+
+    def song(number, year):
+        return (f"s{number}", "X", f"A{number}", None, None, None, f"S{number}", year, 1.5)
+
+    one = [event(1, "free", 1_000, 1), event(2, "paid", 2_000, 2), event(1, "paid", 3_000, 7)]
+    two = [event(1, "free", 2_500, 1), event(2, "free", 9_000, 1), event(3, "free", 9_500, 3, "Home"), event(None, "free", 9_600, 2)]
+    return [
+        (spark.createDataFrame(one, EVENTS), spark.createDataFrame([song(1, 2000), song(2, 2000), song(2, 1999)], SONGS)),
+        (spark.createDataFrame(two, EVENTS), spark.createDataFrame([song(3, 2000)], SONGS)),
+    ]
+
+
+def star_of(tables):
+    return {name: rows(df.drop("songplay_id")) for name, df in tables.items()}
+
+
+def test_batches_equal_a_full_build(spark, tmp_path):
+    store = star_load.star_store(spark, str(tmp_path / "store"), rows=2)
+    loads = batches(spark)
+    for number, (events, songs) in enumerate(loads):
+        assert star_load.load_batch(store, number, events, songs)
+    events, songs = (a.unionByName(b) for a, b in zip(*loads))
+    full = warehouse.build_star(events, songs)
+    assert star_of(star_load.read_star(store)) == star_of({n: df for n, df in full.items()})
+    ids = [r[0] for r in star_load.read_star(store)["songplay"].orderBy("songplay_id").select("songplay_id").collect()]
+    assert ids == list(range(len(ids))) and len(ids) == full["songplay"].count()
+    # the first commit is still there as it was, until it expires
+    assert star_load.read_star(store, 0)["users"].count() == 2
+    assert not star_load.load_batch(store, 1, *loads[1])
+    store.expire()
+    assert store.versions() == [1] and star_of(star_load.read_star(store)) == star_of(full)
+
+
+def test_a_batch_that_dies_between_tables_changes_nothing(spark, tmp_path, monkeypatch):
+    store = star_load.star_store(spark, str(tmp_path / "store"))
+    loads = batches(spark)
+    star_load.load_batch(store, 0, *loads[0])
+    before = star_of(star_load.read_star(store))
+    merge = Store._merge
+
+    def dies(self, table, *rest):
+        if table == "users":
+            raise RuntimeError("lost")
+        return merge(self, table, *rest)
+
+    monkeypatch.setattr(Store, "_merge", dies)
+    with pytest.raises(RuntimeError):
+        star_load.load_batch(store, 1, *loads[1])
+    assert store.versions() == [0] and star_of(star_load.read_star(store)) == before
+    assert store.expire() == []
+    monkeypatch.undo()
+    assert star_load.load_batch(store, 1, *loads[1])
+    full = warehouse.build_star(*(a.unionByName(b) for a, b in zip(*loads)))
+    assert star_of(star_load.read_star(store)) == star_of(full)
+    assert sorted(r[0] for r in star_load.read_star(store)["songplay"].select("songplay_id").collect()) == list(range(full["songplay"].count()))

@@ -12,7 +12,7 @@ from tidemark import schemas
 from tidemark.functions.text import first_match, percent_text
 from tidemark.functions.time import day_text, epoch_to_timestamp
 from tidemark.operators import analytics, dedup, geo, ordered, quality, serving, skew, spans, star
-from tidemark.plans import warehouse
+from tidemark.plans import star_load, warehouse
 from tidemark.plans.standins import (
     FACTS_SQL,
     ITEM_SONGS_SQL,
@@ -502,23 +502,25 @@ def lake_build(spark, folder):
     return warehouse.check_star(warehouse.read_lake(spark, path))["keys"]
 
 
-def _lake(spark, folder):
+def _lake(spark, folder, name):
+    """One table of the lake, written and read back."""
     path = scratch_path(spark, "lake")
-    warehouse.write_lake(warehouse.build_star(item_log(spark, folder), item_songs(spark, folder)), path, artist_directories=False)
-    return warehouse.read_lake(spark, path)
+    built = warehouse.build_star(item_log(spark, folder), item_songs(spark, folder))
+    warehouse.write_lake({name: built[name]}, path, artist_directories=False)
+    return warehouse.read_lake(spark, path, [name])[name]
 
 
 @query(f"WITH {FACTS_SQL} SELECT * FROM facts")
 def lake_songplay(spark, folder):
     """The plays as they are read back from the lake; their surrogate keys are arbitrary."""
-    return _lake(spark, folder)["songplay"].drop("songplay_id")
+    return _lake(spark, folder, "songplay").drop("songplay_id")
 
 
 @query(f"""WITH {ITEM_SONGS_SQL}
 SELECT song_id, max(title) AS title, max(artist_id) AS artist_id, max(year) AS year, max(duration) AS duration
 FROM songs GROUP BY song_id""")
 def lake_songs(spark, folder):
-    return _lake(spark, folder)["songs"]
+    return _lake(spark, folder, "songs")
 
 
 @query(f"""WITH {FACTS_SQL}
@@ -526,7 +528,7 @@ SELECT DISTINCT start_time, CAST(hour(start_time) AS SMALLINT) AS hour, CAST(day
        CAST(week(start_time) AS SMALLINT) AS week, CAST(month(start_time) AS SMALLINT) AS month,
        CAST(year(start_time) AS SMALLINT) AS year, CAST(dayofweek(start_time) AS SMALLINT) AS weekday FROM facts""")
 def lake_time(spark, folder):
-    return _lake(spark, folder)["time"]
+    return _lake(spark, folder, "time")
 
 
 @query(f"""WITH {FACTS_SQL}
@@ -535,7 +537,97 @@ WHERE user_id NOT IN (SELECT l_suppkey FROM lineitem WHERE l_returnflag = 'R') G
 def lake_orphans(spark, folder):
     """Stored plays of users who never returned an item: a reference that does not hold for all."""
     returned = item_log(spark, folder).filter(F.col("page") == "Home").select(F.col("userId").alias("user_id")).distinct()
-    return quality.orphans(_lake(spark, folder)["songplay"], returned, [("user_id", "user_id")])
+    return quality.orphans(_lake(spark, folder, "songplay"), returned, [("user_id", "user_id")])
+
+
+STAR_USERS_SQL = """SELECT l_suppkey AS user_id, l_linestatus AS first_name, CAST(l_linenumber AS VARCHAR) AS last_name,
+    l_returnflag AS gender, l_linestatus AS level FROM lineitem
+    QUALIFY row_number() OVER (PARTITION BY l_suppkey ORDER BY l_shipdate DESC, l_linestatus, CAST(l_linenumber AS VARCHAR), l_returnflag) = 1"""
+
+STAR_ARTISTS_SQL = f"""SELECT artist_id, artist_name, artist_location, artist_latitude, artist_longitude FROM songs
+    LEFT JOIN (
+        SELECT CAST(l_orderkey AS VARCHAR) AS a, CAST(l_linenumber AS VARCHAR) AS t, l_extendedprice AS d, max(l_shipdate) AS last
+        FROM lineitem GROUP BY ALL
+    ) ON a = artist_name AND t = title AND d = duration
+    QUALIFY row_number() OVER (PARTITION BY artist_id ORDER BY year DESC NULLS LAST, last DESC NULLS LAST,
+        artist_name, artist_location, artist_latitude, artist_longitude) = 1"""
+
+
+@query(STAR_USERS_SQL)
+def lake_users(spark, folder):
+    return _lake(spark, folder, "users")
+
+
+@query(f"WITH {ITEM_SONGS_SQL} {STAR_ARTISTS_SQL}")
+def lake_artists(spark, folder):
+    return _lake(spark, folder, "artists")
+
+
+@query(f"""WITH {FACTS_SQL}
+SELECT 'song_id' AS column_name, count(*) - count(song_id) AS nulls FROM facts
+UNION ALL SELECT 'artist_id', count(*) - count(artist_id) FROM facts
+UNION ALL SELECT 'start_time', count(*) - count(start_time) FROM facts""")
+def lake_nulls(spark, folder):
+    """Unmatched plays as stored, and times, of which none may be missing."""
+    plays = _lake(spark, folder, "songplay")
+    counted = plays.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in ("song_id", "artist_id", "start_time")])
+    return counted.unpivot([], ["song_id", "artist_id", "start_time"], "column_name", "nulls")
+
+
+def _two_loads(spark, folder):
+    """A star loaded in two batches, by the parity of the orders."""
+    store = star_load.star_store(spark, scratch_path(spark, "star"), rows=200_000)
+    log, songs = item_log(spark, folder), item_songs(spark, folder)
+    for load in (0, 1):
+        star_load.load_batch(
+            store, load, log.filter(F.col("artist").cast("bigint") % 2 == load),
+            songs.filter(F.col("artist_name").cast("bigint") % 2 == load),
+        )
+    return star_load.read_star(store)
+
+
+@query(f"""WITH {FACTS_SQL}, users AS ({STAR_USERS_SQL}), artists AS ({STAR_ARTISTS_SQL})
+SELECT 'users' AS table_name, CAST(user_id AS VARCHAR) AS key, first_name AS a, last_name AS b, gender || level AS c,
+       CAST(NULL AS BIGINT) AS n, CAST(NULL AS DOUBLE) AS x, CAST(NULL AS TIMESTAMP) AS t FROM users
+UNION ALL SELECT 'songs', song_id, max(title), max(artist_id), NULL, CAST(max(year) AS BIGINT), max(duration), NULL FROM songs GROUP BY song_id
+UNION ALL SELECT 'artists', artist_id, artist_name, artist_location, NULL, NULL, artist_latitude + 10 * artist_longitude, NULL FROM artists
+UNION ALL SELECT DISTINCT 'time', NULL, NULL, NULL, NULL, CAST(hour(start_time) AS BIGINT), NULL, start_time FROM facts
+UNION ALL SELECT 'songplay', song_id, artist_id, user_agent, level || location, session_id, CAST(user_id AS DOUBLE), start_time FROM facts""")
+def incremental_star(spark, folder):
+    """All star tables after two batches, in one frame; a full build gives the same."""
+    tables = _two_loads(spark, folder)
+    none = F.lit(None)
+
+    def rows(name, key, a=none, b=none, c=none, n=none, x=none, t=none):
+        return tables[name].select(
+            F.lit(name).alias("table_name"), key.cast("string").alias("key"), a.cast("string").alias("a"),
+            b.cast("string").alias("b"), c.cast("string").alias("c"), n.cast("bigint").alias("n"),
+            x.cast("double").alias("x"), t.cast("timestamp_ntz").alias("t"),
+        )
+
+    col = F.col
+    return reduce(DataFrame.unionByName, [
+        rows("users", col("user_id"), col("first_name"), col("last_name"), F.concat("gender", "level")),
+        rows("songs", col("song_id"), col("title"), col("artist_id"), n=col("year"), x=col("duration")),
+        rows("artists", col("artist_id"), col("artist_name"), col("artist_location"), x=col("artist_latitude") + 10 * col("artist_longitude")),
+        rows("time", none, n=col("hour"), t=col("start_time")),
+        rows("songplay", col("song_id"), col("artist_id"), col("user_agent"), F.concat("level", "location"), col("session_id"),
+             col("user_id"), col("start_time")),
+    ])
+
+
+@query(f"""WITH {ITEM_SONGS_SQL}, facts AS (
+    SELECT l_orderkey % 2 AS load, song_id, artist_id, l_shipdate AS start_time, l_suppkey AS user_id, l_partkey AS session_id,
+           l_linestatus AS level, l_returnflag AS location, CAST(CAST(l_quantity AS BIGINT) AS VARCHAR) AS user_agent
+    FROM lineitem LEFT JOIN songs ON artist_name = CAST(l_orderkey AS VARCHAR) AND title = CAST(l_linenumber AS VARCHAR)
+        AND duration = l_extendedprice
+    WHERE l_returnflag <> 'R'
+)
+SELECT row_number() OVER (ORDER BY load, start_time, user_id, session_id, song_id NULLS FIRST, artist_id NULLS FIRST,
+    level, location, user_agent) - 1 AS songplay_id, start_time, user_id, session_id, song_id FROM facts""")
+def songplay_ids(spark, folder):
+    """Play ids of two loads: those of the second go on from the first."""
+    return _two_loads(spark, folder)["songplay"].select("songplay_id", "start_time", "user_id", "session_id", "song_id")
 
 
 # --- serving tables -----------------------------------------------------------------------
@@ -1120,7 +1212,7 @@ def incremental_append(spark, folder):
            PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) AS o_orderpriority
 FROM orders""")
 def incremental_upsert(spark, folder):
-    snapshot = Snapshot(spark, scratch_path(spark, "snapshot"), "o_custkey", buckets=8)
+    snapshot = Snapshot(spark, scratch_path(spark, "snapshot"), "o_custkey")
     handler = upsert_into(snapshot, ["o_orderdate", "o_orderkey"], ["o_orderstatus"], ["o_orderpriority"])
     _run_arrivals(spark, folder, handler)
     return snapshot.read()

@@ -38,34 +38,38 @@ def build_star(events: DataFrame, songs: DataFrame) -> dict[str, DataFrame]:
 
 
 def write_lake(tables: dict[str, DataFrame], path: str, artist_directories: bool = True) -> None:
-    """Star tables as Parquet: songs by year and artist, time and plays by year and month.
+    """The given star tables as Parquet: songs by year and artist, time and plays by year and month.
 
     With many artists, pass ``artist_directories=False`` to lay songs out by year
     only, in artist order.
     """
     song_keys = ["year", "artist_id"] if artist_directories else ["year"]
     song_sort = ["song_id"] if artist_directories else ["artist_id", "song_id"]
-    plays = tables["songplay"].drop("songplay_id")
-    dated = plays.withColumns({"year": F.year("start_time"), "month": F.month("start_time")})
-    play_sort = ["start_time", "user_id", "session_id"]
-    months = ["year", "month"]
-    writes = [
-        lambda: write_partitioned(dated, f"{path}/songplay", months, play_sort, number="songplay_id"),
-        lambda: write_partitioned(tables["songs"], f"{path}/songs", song_keys, song_sort),
-        lambda: write_table(tables["artists"], f"{path}/artists"),
-        lambda: write_table(tables["users"], f"{path}/users"),
-        lambda: write_partitioned(tables["time"], f"{path}/time", months, ["start_time"]),
-    ]
+    months, play_sort = ["year", "month"], ["start_time", "user_id", "session_id"]
+
+    def plays() -> None:
+        dated = tables["songplay"].drop("songplay_id").withColumns({"year": F.year("start_time"), "month": F.month("start_time")})
+        write_partitioned(dated, f"{path}/songplay", months, play_sort, number="songplay_id")
+
+    writers = {
+        "songplay": plays,
+        "songs": lambda: write_partitioned(tables["songs"], f"{path}/songs", song_keys, song_sort),
+        "artists": lambda: write_table(tables["artists"], f"{path}/artists"),
+        "users": lambda: write_table(tables["users"], f"{path}/users"),
+        "time": lambda: write_partitioned(tables["time"], f"{path}/time", months, ["start_time"]),
+    }
+    writes = [write for name, write in writers.items() if name in tables]
     # the tables are independent, so their jobs may share the cluster
     with ThreadPoolExecutor(len(writes)) as pool:
         for done in [pool.submit(write) for write in writes]:
             done.result()
 
 
-def read_lake(spark: SparkSession, path: str) -> dict[str, DataFrame]:
-    """Star tables as stored, with the columns and types of their contracts."""
+def read_lake(spark: SparkSession, path: str, names: list[str] | None = None) -> dict[str, DataFrame]:
+    """Star tables as stored (all, or those named), with the columns and types of their contracts."""
     tables = {}
-    for name, schema in schemas.STAR.items():
+    for name in schemas.STAR if names is None else names:
+        schema = schemas.STAR[name]
         stored = spark.read.parquet(f"{path}/{name}")
         tables[name] = stored.select(*[F.col(f.name).cast(f.dataType).alias(f.name, metadata=f.metadata) for f in schema])
     return tables

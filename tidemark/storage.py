@@ -40,3 +40,21 @@ def materialize(df: DataFrame, label: str = "table") -> DataFrame:
     path = scratch_path(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def _file_system(spark: SparkSession, path: str):
+    found = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return found, found.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def children(spark: SparkSession, path: str) -> list[str]:
+    """Paths of what lies in a folder, sorted; none if it is absent."""
+    at, system = _file_system(spark, path)
+    if not system.exists(at):
+        return []
+    return sorted(f"{path.rstrip('/')}/{status.getPath().getName()}" for status in system.listStatus(at))
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    at, system = _file_system(spark, path)
+    system.delete(at, True)

@@ -1,16 +1,17 @@
-"""Files handled once each, and a snapshot kept up to date by them."""
+"""Files handled once each, and tables kept up to date by them."""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import datetime
+from math import ceil, log2
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Row, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.operators.dedup import upsert
-from tidemark.sinks.tables import bucket_of
+from tidemark.storage import children, materialize, remove
 
 
 def newer_than(df: DataFrame, column: str, mark) -> DataFrame:
@@ -53,61 +54,190 @@ def append_to(path: str) -> Callable[[DataFrame, int], None]:
     return handle
 
 
-class Snapshot:
-    """A keyed table below one folder, in hash buckets of its key; a batch rewrites the buckets it touches.
+class Store:
+    """Tables below one folder that change together, by numbered batches.
 
-    ``data/version=N/bucket=B`` holds a bucket as batch N left it, and
-    ``manifest/version=N``, one small file written last, tells for each bucket
-    the version that holds it. A batch counts once its manifest is there, so a
-    failed write changes nothing, and a repeated batch starts from the manifest
-    before it. Versions that no manifest names any more are left to the owner of
-    the folder to expire.
+    ``keys`` names the key column of each table, or None for one that rows are
+    appended to. ``data/<table>/version=N`` holds what batch N wrote of a table;
+    ``commits/version=N``, one small file written last, names for every table the
+    versions that hold it. So a batch changes all tables or none: one that failed
+    has no commit and is written again from the commit before it, and one that is
+    handed over twice changes nothing.
+
+    Keyed tables lie in buckets by extendible hashing: a bucket holds the keys
+    whose hash ends in its bits. The commit is their directory. A batch rewrites
+    the buckets that it has keys of, each in a task of its own; one that may grow
+    beyond ``rows`` rows splits into two, four or more by further bits, and no
+    other bucket is touched. The directory has a row for a bucket, and so grows
+    with the data by a row for each ``rows / 2`` rows or so.
     """
 
-    MANIFEST = "bucket int, since long"
+    COMMIT = "table string, depth int, bits long, since long, rows long"
 
-    def __init__(self, spark: SparkSession, path: str, key: str, buckets: int = 64):
-        self.spark = spark
-        self.path = path
-        self.key = key
-        self.buckets = buckets
+    def __init__(self, spark: SparkSession, path: str, keys: dict[str, str | None], rows: int = 1_000_000):
+        self.spark, self.path, self.keys, self.rows = spark, path.rstrip("/"), keys, rows
 
-    def _manifest(self, before: int | None = None) -> dict[int, int]:
-        """The version of each bucket, as of the latest batch or the latest before one."""
+    def versions(self) -> list[int]:
+        """Batches that are committed, ascending."""
         try:
-            all_ = self.spark.read.schema(f"{self.MANIFEST}, version long").parquet(f"{self.path}/manifest")
+            files = self.spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(f"{self.path}/commits")
         except AnalysisException as missing:
             if missing.getCondition() != "PATH_NOT_FOUND":
                 raise
-            return {}
-        known = all_ if before is None else all_.filter(F.col("version") < before)
-        latest = known.agg(F.max("version").alias("version"))
-        rows = known.join(latest, "version").select("bucket", "since").collect()  # at most ``buckets``
-        return {r["bucket"]: r["since"] for r in rows}
-
-    def _read(self, manifest: dict[int, int]) -> DataFrame | None:
-        paths = [f"{self.path}/data/version={since}/bucket={b}" for b, since in sorted(manifest.items())]
+            return []
+        # only names are read; ``expire`` bounds their number
+        return sorted(r["version"] for r in files.select("version").distinct().collect())
+
+    def _entries(self, version: int) -> list[Row]:
+        return self.spark.read.schema(self.COMMIT).parquet(f"{self.path}/commits/version={version}").collect()
+
+    def _paths(self, entries: list[Row]) -> list[str]:
+        held = [e for e in entries if e["rows"]]
+        return sorted(
+            f"{self.path}/data/{e['table']}/version={e['since']}" + (f"/bucket={_name(e)}" if self.keys[e["table"]] else "")
+            for e in held
+        )
+
+    def _read(self, entries: list[Row]) -> DataFrame | None:
+        paths = self._paths(entries)
         return self.spark.read.parquet(*paths) if paths else None
 
-    def read(self) -> DataFrame | None:
+    def read(self, table: str, version: int | None = None) -> DataFrame | None:
+        """A table as of a commit, the last by default; None if nothing has been written to it."""
+        known = self.versions()
+        if not known:
+            return None
+        return self._read([e for e in self._entries(known[-1] if version is None else version) if e["table"] == table])
+
+    def count(self, table: str) -> int:
+        """Rows of a table as of the last commit, by the commit alone."""
+        known = self.versions()
+        return sum(e["rows"] for e in self._entries(known[-1]) if e["table"] == table) if known else 0
+
+    def commit(self, number: int, changes: dict[str, DataFrame | tuple[DataFrame, Change]]) -> bool:
+        """Apply a batch; False if it has been applied before.
+
+        Of an appended table the change is a frame, of a keyed one a frame and a
+        function of (the rows of the touched buckets or None, the frame's rows
+        that have a key), which returns these buckets' new rows, one a key.
+        """
+        known = self.versions()
+        if number in known:
+            return False
+        if known and number < known[-1]:
+            raise ValueError(f"batch {number} comes after batch {known[-1]}")
+        before = self._entries(known[-1]) if known else []
+        entries = [e for e in before if e["table"] not in changes]
+        for table, what in changes.items():
+            own = [e for e in before if e["table"] == table]
+            if self.keys[table] is None:
+                entries += own + self._append(table, what, number)
+            else:
+                entries += self._merge(table, *what, own, number)
+        found = self.spark.createDataFrame(entries, self.COMMIT).coalesce(1)
+        found.write.mode("overwrite").parquet(f"{self.path}/commits/version={number}")
+        return True
+
+    def _append(self, table: str, rows: DataFrame, number: int) -> list[Row]:
+        path = f"{self.path}/data/{table}/version={number}"
+        rows.write.mode("overwrite").parquet(path)
+        return [_entry(table, 0, 0, number, self.spark.read.schema(rows.schema).parquet(path).count())]
+
+    def _merge(self, table: str, batch: DataFrame, change: Change, own: list[Row], number: int) -> list[Row]:
+        key = self.keys[table]
+        keyed = materialize(batch.dropna(subset=[key]), "batch")
+        buckets = {(e["depth"], e["bits"]): e for e in own or [_entry(table, 0, 0, number, 0)]}
+        found = _placed(keyed.select(key), key, [(d, b, d) for d, b in buckets], self.spark)
+        # a bucket that has keys of the batch: at most as many rows as the directory has
+        new_keys = {
+            (r["depth"], r["bits"]): r["n"] for r in found.groupBy("depth", "bits").agg(
+                F.approx_count_distinct(F.xxhash64(key)).alias("n")
+            ).collect()
+        }
+        if not new_keys:
+            return own
+        targets = []
+        for (depth, bits), n in new_keys.items():
+            most = buckets[depth, bits]["rows"] + n
+            # three quarters, as hashes do not fall evenly
+            more = max(0, ceil(log2(most / (0.75 * self.rows)))) if most > self.rows else 0
+            targets.append((depth, bits, depth + more))
+        old = self._read([buckets[at] for at in new_keys])
+        merged = change(old, keyed)
+        written = _placed(merged, key, targets, self.spark)
+        places = {}
+        for depth, bits, wanted in targets:
+            for i in range(1 << (wanted - depth)):
+                places[wanted, bits | i << depth] = len(places)
+        path = f"{self.path}/data/{table}/version={number}"
+        number_of = self.spark.createDataFrame([(d, b, i) for (d, b), i in places.items()], "depth int, bits long, _at int")
+        named = written.join(number_of, ["depth", "bits"]).withColumn("bucket", F.concat_ws("-", "depth", "bits"))
+        named.repartitionById(len(places), F.col("_at")).drop("depth", "bits", "_at").write.mode("overwrite").partitionBy(
+            "bucket"
+        ).parquet(path)
+        names = self.spark.read.schema(f"{key} {merged.schema[key].dataType.simpleString()}, bucket string").parquet(path)
+        sizes = {r["bucket"]: r["n"] for r in names.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).collect()}
+        changed = [_entry(table, d, b, number, sizes.get(f"{d}-{b}", 0)) for d, b in places]
+        return [e for at, e in buckets.items() if at not in new_keys] + changed
+
+    def expire(self, keep: int = 1) -> list[str]:
+        """Delete the commits before the last ``keep``, and data that no commit left names; the paths deleted."""
+        known = self.versions()
+        last = known[-keep:]
+        alive = {p for v in last for p in self._paths(self._entries(v))}
+        gone = [f"{self.path}/commits/version={v}" for v in known if v not in last]
+        for table, key in self.keys.items():
+            for version in children(self.spark, f"{self.path}/data/{table}"):
+                # what is newer than the last commit may be a batch under way
+                if last and int(version.rpartition("=")[2]) <= last[-1]:
+                    held = children(self.spark, version) if key else [version]
+                    gone += [p for p in held if (not key or "/bucket=" in p) and p not in alive]
+        for path in gone:
+            remove(self.spark, path)
+        return gone
+
+
+Change = Callable[[DataFrame | None, DataFrame], DataFrame]
+
+
+def _entry(table: str, depth: int, bits: int, since: int, rows: int) -> Row:
+    return Row(table=table, depth=depth, bits=bits, since=since, rows=rows)
+
+
+def _name(entry: Row) -> str:
+    return f"{entry['depth']}-{entry['bits']}"
+
+
+def _placed(rows: DataFrame, key: str, buckets: list[tuple[int, int, int]], spark: SparkSession) -> DataFrame:
+    """Rows with the ``depth`` and ``bits`` of their bucket, for buckets (depth, bits, depth that it takes on).
+
+    A row's hash has one candidate for each depth in use, of which one is there.
+    """
+    hashed = F.xxhash64(key)
+    depths = sorted({d for d, _, _ in buckets})
+    low = lambda d: hashed.bitwiseAND(F.lit((1 << d) - 1).cast("long"))
+    candidates = F.array(*[F.struct(F.lit(d).alias("d"), low(d).alias("b")) for d in depths])
+    directory = spark.createDataFrame(buckets, "_d int, _b long, depth int")
+    tried = rows.withColumn("_try", F.explode(candidates))
+    met = tried.join(directory, (F.col("_try.d") == F.col("_d")) & (F.col("_try.b") == F.col("_b")))
+    mask = F.expr("shiftleft(1L, depth) - 1L")
+    return met.withColumn("bits", hashed.bitwiseAND(mask)).drop("_try", "_d", "_b")
+
+
+class Snapshot(Store):
+    """A store of one keyed table."""
+
+    def __init__(self, spark: SparkSession, path: str, key: str, rows: int = 1_000_000):
+        super().__init__(spark, path, {"snapshot": key}, rows)
+        self.key = key
+
+    def read(self, table: str = "snapshot", version: int | None = None) -> DataFrame | None:
         """The table; None if nothing has been written."""
-        return self._read(self._manifest())
-
-    def merge(self, batch: DataFrame, version: int, change: Callable[[DataFrame | None, DataFrame], DataFrame]) -> None:
-        """Replace the buckets that ``batch`` has keys of by ``change(their rows, batch)``."""
-        bucket = bucket_of(F.col(self.key), self.buckets)
-        manifest = self._manifest(before=version)
-        keyed = batch.dropna(subset=[self.key])
-        touched = {r[0] for r in keyed.select(bucket).distinct().collect()}  # at most ``buckets``
-        if touched:
-            old = self._read({b: since for b, since in manifest.items() if b in touched})
-            merged = change(old, keyed).withColumn("bucket", bucket)
-            merged.repartition("bucket").write.mode("overwrite").partitionBy("bucket").parquet(
-                f"{self.path}/data/version={version}"
-            )
-        rows = sorted({**manifest, **dict.fromkeys(touched, version)}.items())
-        found = self.spark.createDataFrame(rows, self.MANIFEST).coalesce(1)
-        found.write.mode("overwrite").parquet(f"{self.path}/manifest/version={version}")
+        return super().read(table, version)
+
+    def merge(self, batch: DataFrame, version: int, change: Change) -> bool:
+        """Replace the buckets that ``batch`` has keys of by ``change(their rows, batch)``; False if done before."""
+        return self.commit(version, {"snapshot": (batch, change)})
 
 
 def upsert_into(
