@@ -7,7 +7,12 @@ from pyspark.sql import functions as F
 
 from conftest import rows
 from tidemark.functions.text import region_of
-from tidemark.operators import analytics
+from tidemark.operators import analytics, ordered
+
+
+@pytest.fixture(autouse=True)
+def groups_of_any_size_are_cut(monkeypatch):
+    monkeypatch.setattr(ordered, "TASK_ROWS", 1)
 
 
 def test_share(spark):

@@ -7,6 +7,12 @@ from conftest import rows
 from tidemark.operators import ordered
 
 
+@pytest.fixture(autouse=True, params=[1, 100, 200_000])
+def task_rows(request, monkeypatch):
+    """Groups are cut always, if large, or never."""
+    monkeypatch.setattr(ordered, "TASK_ROWS", request.param)
+
+
 def sample(spark, seed=0, n=300):
     pick = random.Random(seed)
     data = [(None if pick.random() < 0.1 else pick.choice("aaab"), pick.randrange(40), pick.randrange(5)) for _ in range(n)]

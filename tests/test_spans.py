@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import rows
-from tidemark.operators import spans
+from tidemark.operators import ordered, spans
 
 PLAYS = "songplay_id bigint, user_id bigint, session_id bigint, level string, start_time timestamp_ntz"
 
@@ -20,6 +20,11 @@ SESSIONS = [
 ]
 
 
+@pytest.fixture(autouse=True)
+def groups_of_any_size_are_cut(monkeypatch):
+    monkeypatch.setattr(ordered, "TASK_ROWS", 1)
+
+
 def at(text):
     return datetime.strptime(text, "%Y-%m-%d %H:%M")
 

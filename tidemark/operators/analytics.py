@@ -69,7 +69,7 @@ def percent_rank_by(df: DataFrame, column: str, name: str) -> DataFrame:
     """
     values = materialize(df.groupBy(column).agg(F.count(F.lit(1)).alias("_n")), "value-counts")
     # ascending with NULL last, as in a plain ordered window
-    below = running_sum(values, [], [F.col(column).asc_nulls_last()], "_n", "_upto")
+    below = running_sum(values, [], [F.col(column).asc_nulls_last()], "_n", "_upto", stored=True)
     rows = values.agg(F.sum("_n")).scalar()
     ranks = below.select(
         F.col(column).alias("_value"),
@@ -122,7 +122,7 @@ def box_summary(df: DataFrame, by: str, columns: list[str]) -> DataFrame:
     long = df.unpivot([by], columns, "measure", "value").filter(F.col("value").isNotNull())
     group = [by, "measure"]
     counts = materialize(long.groupBy(*group, "value").agg(F.count(F.lit(1)).alias("_n")), "value-counts")
-    ranked = running_sum(counts, group, [F.col("value")], "_n", "_upto")
+    ranked = running_sum(counts, group, [F.col("value")], "_n", "_upto", stored=True)
     sizes = counts.groupBy(*group).agg(F.sum("_n").alias("_rows")).withColumnsRenamed({c: f"_g_{c}" for c in group})
 
     def same(prefix):

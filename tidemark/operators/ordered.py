@@ -1,13 +1,15 @@
 """Ordered work on groups of any size.
 
-A window over ``partitionBy(key)`` puts each group into one task. The operators
-here range-partition by (key, order) into pieces instead; each piece is processed
-on its own, and what a piece needs from its predecessors comes from a table of
-one row per (key, piece).
-
-Every piece boundary is crossed by at most one key, so that table has at most
-(pieces + keys) rows. It is stored, so its size is known when the joins with it
-are planned: Spark broadcasts it below its threshold and merges beyond it.
+A window over ``partitionBy(key)`` puts each group into one task. That is right
+for groups that a task can hold, and they need one shuffle. Keys with a large
+share of the rows are found first, by a mergeable sketch over the stored rows, and
+go another way: they are range-partitioned by (key, order) into pieces, each piece
+is processed on its own, and what a piece needs from its predecessors comes from a
+table of one row per (key, piece).
+
+Every piece boundary is crossed by at most one key, and there are at most a
+thousand such keys, so that table has at most pieces + 1000 rows. It is stored, so
+its size is known when the joins with it are planned.
 """
 
 from __future__ import annotations
@@ -16,8 +18,11 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from tidemark.operators.skew import split_heavy
 from tidemark.storage import materialize
 
+#: Rows that one task may put in order; only larger groups are cut into pieces.
+TASK_ROWS = 200_000
 ROW = "_row"
 PIECE = "_piece"
 
@@ -50,12 +55,31 @@ def join_carry(rows: DataFrame, carry: DataFrame, keys: list[str]) -> DataFrame:
     return _matched(rows, materialize(carry, "carry"), [*keys, PIECE], "left")
 
 
-def running_sum(df: DataFrame, keys: list[str], order: list[Column], value: str, name: str) -> DataFrame:
+def running_sum(
+    df: DataFrame, keys: list[str], order: list[Column], value: str, name: str, stored: bool = False
+) -> DataFrame:
     """Per-key sum of ``value`` up to each row in ``order``; equal rows are peers.
 
     With no keys the whole frame is one group. Peers share a piece, so add up
-    rows of equal key and order first where these may be many.
+    rows of equal key and order first where these may be many. ``stored`` tells
+    that ``df`` is read from a stored table, and need not be stored again.
     """
+    kept = df if stored else materialize(df, "running")
+    rest, heavy = split_heavy(kept, keys, TASK_ROWS) if keys else _as_one(kept)
+    upto = Window.partitionBy(*keys).orderBy(*order).rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    plain = None if rest is None else rest.withColumn(name, F.sum(value).over(upto))
+    if heavy is None:
+        return plain
+    cut = _running_in_pieces(heavy, keys, order, value, name)
+    return cut if plain is None else plain.unionByName(cut)
+
+
+def _as_one(stored: DataFrame) -> tuple[DataFrame | None, DataFrame | None]:
+    """A frame that is one group: for one task, or to be cut."""
+    return (stored, None) if stored.count() < TASK_ROWS else (None, stored)
+
+
+def _running_in_pieces(df: DataFrame, keys: list[str], order: list[Column], value: str, name: str) -> DataFrame:
     cut = pieces(df, [*[F.col(k) for k in keys], *order])
     before = Window.partitionBy(*keys).orderBy(PIECE).rowsBetween(Window.unboundedPreceding, -1)
     carry = (

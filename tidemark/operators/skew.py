@@ -28,6 +28,23 @@ def heavy_hashes(df: DataFrame, hashed: Column, share: float = 1 / KEYS) -> list
     return [r[0] for r in found if r[1] >= share * rows]
 
 
+def split_heavy(
+    stored: DataFrame, keys: list[str], rows: int, share: float = 1 / KEYS
+) -> tuple[DataFrame, DataFrame | None]:
+    """Rows of keys that one task can hold, and rows of keys with at least ``rows`` rows and ``share`` of all (or None).
+
+    ``stored`` is read once more where it has ``rows`` rows or more.
+    """
+    total = stored.count()
+    if total < rows:
+        return stored, None
+    hashed = F.xxhash64(*keys)
+    heavy = heavy_hashes(stored, hashed, min(1.0, max(share, rows / total)))
+    if not heavy:
+        return stored, None
+    return stored.filter(~hashed.isin(heavy)), stored.filter(hashed.isin(heavy))
+
+
 def key_skew(df: DataFrame, column: str, share: float = 0.01) -> DataFrame:
     """Values of a column of any type that hold at least ``share`` of the rows: ``key`` (text), ``rows``, ``share``.
 

@@ -6,7 +6,10 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tidemark.functions.labels import changed, level_category
 from tidemark.functions.time import calendar_days, elapsed_days
+from tidemark.operators import ordered
 from tidemark.operators.ordered import PIECE, join_carry, pieces
+from tidemark.operators.skew import split_heavy
+from tidemark.storage import materialize
 
 SESSION_ORDER = ["start_time", "session_id"]
 
@@ -81,9 +84,20 @@ def _in_pieces(sessions: DataFrame) -> DataFrame:
     )
 
 
+def _plain(sessions: DataFrame) -> DataFrame:
+    """All of a user's sessions in one task, by one shuffle that the spans' grouping uses as well."""
+    everything = Window.partitionBy("user_id")
+    return _sequence(sessions, ["user_id"]).withColumn("user_level_id", _running(["user_id"])).withColumn(
+        "_last_id", F.sum("level_change").over(everything)
+    )
+
+
 def _sequenced(plays: DataFrame, plays_each: Column | None) -> DataFrame:
-    """The plays are read once: their sessions are stored in pieces, and all ordered work is done on these."""
-    return _in_pieces(session_summary(plays, plays_each))
+    """The plays are read once: their sessions are stored, and all ordered work is done on these."""
+    stored = materialize(session_summary(plays, plays_each), "sessions")
+    rest, heavy = split_heavy(stored, ["user_id"], ordered.TASK_ROWS)
+    found = _plain(rest)
+    return found if heavy is None else found.unionByName(_in_pieces(heavy).select(*found.columns))
 
 
 def session_sequence(plays: DataFrame, plays_each: Column | None = None) -> DataFrame:
