@@ -383,10 +383,8 @@ def _near_duplicates(
         F.col(id_column).alias("id"), node_of(text_column).alias("node"), F.col(text_column).alias("text")
     )
     sigs = materialize(signed(source, bands, rows), "signatures")
-    counted = sigs.groupBy("node", "id").agg(F.count(F.lit(1)).alias("rows"), F.first("keys").alias("keys"))
-    texts = counted.groupBy("node").agg(
-        F.min("id").alias("id"), F.sum("rows").alias("copies"), F.first("keys").alias("keys"),
-        F.min(F.struct(F.col("id").isNull(), "id", "rows"))["rows"].alias("alike"),
+    texts = sigs.groupBy("node").agg(
+        F.min("id").alias("id"), F.count(F.lit(1)).alias("copies"), F.first("keys").alias("keys")
     )
     texts = materialize(texts, "texts")
     placed = texts.filter("keys IS NOT NULL").select("node", F.explode("keys").alias("key"))
@@ -402,13 +400,10 @@ def _near_duplicates(
         members.join(leaders, "key").filter("node != b").select(F.col("node").alias("a"), "b").distinct(), "pairs"
     )
     # the features of texts in shared buckets; a text's least id speaks for its copies
-    wanted = materialize(texts.join(meets.select("node"), "node", "left_semi").select("node", "id", "alike"), "wanted")
-    ids = sigs.select("node", "id")
-    chosen = join_heavy(source, wanted.filter("alike = 1"), ["node", "id"], null_safe=True, keys_from=ids).select("node", "text")
-    repeated = wanted.filter("alike > 1")
-    if not repeated.isEmpty():  # rows that repeat an id and its text are one node
-        again = join_heavy(source, repeated, ["node", "id"], null_safe=True, keys_from=ids)
-        chosen = chosen.unionByName(again.groupBy("node").agg(F.first("text").alias("text")))
+    wanted = texts.join(meets.select("node"), "node", "left_semi").select("node", "id")
+    chosen = join_heavy(source, wanted, ["node", "id"], null_safe=True, keys_from=sigs.select("node", "id"))
+    # rows that repeat an id and its text are one node
+    chosen = chosen.groupBy("node").agg(F.first("text").alias("text"))
 
     def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
