@@ -55,6 +55,12 @@ def children(spark: SparkSession, path: str) -> list[str]:
     return sorted(f"{path.rstrip('/')}/{status.getPath().getName()}" for status in system.listStatus(at))
 
 
+def matching(spark: SparkSession, pattern: str) -> list[str]:
+    """Paths that match a pattern with asterisks."""
+    at, system = _file_system(spark, pattern)
+    return sorted(str(status.getPath()) for status in system.globStatus(at) or [])
+
+
 def remove(spark: SparkSession, path: str) -> None:
     at, system = _file_system(spark, path)
     system.delete(at, True)

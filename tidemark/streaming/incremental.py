@@ -2,16 +2,16 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 from datetime import datetime
 from math import ceil, log2
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Row, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.operators.dedup import upsert
-from tidemark.storage import children, materialize, remove
+from tidemark.storage import children, matching, materialize, remove
 
 
 def newer_than(df: DataFrame, column: str, mark) -> DataFrame:
@@ -79,14 +79,8 @@ class Store:
 
     def versions(self) -> list[int]:
         """Batches that are committed, ascending."""
-        try:
-            files = self.spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(f"{self.path}/commits")
-        except AnalysisException as missing:
-            if missing.getCondition() != "PATH_NOT_FOUND":
-                raise
-            return []
-        # only names are read; ``expire`` bounds their number
-        return sorted(r["version"] for r in files.select("version").distinct().collect())
+        files = matching(self.spark, f"{self.path}/commits/version=*/*.parquet")
+        return sorted({int(f.rpartition("/version=")[2].partition("/")[0]) for f in files})
 
     def _entries(self, version: int) -> list[Row]:
         return self.spark.read.schema(self.COMMIT).parquet(f"{self.path}/commits/version={version}").collect()
@@ -147,13 +141,14 @@ class Store:
         key = self.keys[table]
         keyed = materialize(batch.dropna(subset=[key]), "batch")
         buckets = {(e["depth"], e["bits"]): e for e in own or [_entry(table, 0, 0, number, 0)]}
-        found = _placed(keyed.select(key), key, [(d, b, d) for d, b in buckets], self.spark)
-        # a bucket that has keys of the batch: at most as many rows as the directory has
-        new_keys = {
-            (r["depth"], r["bits"]): r["n"] for r in found.groupBy("depth", "bits").agg(
-                F.approx_count_distinct(F.xxhash64(key)).alias("n")
-            ).collect()
-        }
+        # the new keys of each bucket that the batch touches; there are at most as many as the directory has rows
+        new_keys = {}
+        if len(buckets) == 1:
+            new_keys = {at: n for at in buckets if (n := keyed.count())}
+        if len(buckets) > 1 or any(buckets[at]["rows"] + n > self.rows for at, n in new_keys.items()):
+            found = _placed(keyed.select(key), key, [(d, b, d) for d, b in buckets], self.spark)
+            counted = found.groupBy("depth", "bits").agg(F.approx_count_distinct(F.xxhash64(key)).alias("n"))
+            new_keys = {(r["depth"], r["bits"]): r["n"] for r in counted.collect()}
         if not new_keys:
             return own
         targets = []
@@ -170,8 +165,12 @@ class Store:
             for i in range(1 << (wanted - depth)):
                 places[wanted, bits | i << depth] = len(places)
         path = f"{self.path}/data/{table}/version={number}"
-        number_of = self.spark.createDataFrame([(d, b, i) for (d, b), i in places.items()], "depth int, bits long, _at int")
-        named = written.join(number_of, ["depth", "bits"]).withColumn("bucket", F.concat_ws("-", "depth", "bits"))
+        if len(places) == 1:
+            named = written.withColumn("_at", F.lit(0))
+        else:
+            numbers = _table(self.spark, [(d, b, i) for (d, b), i in places.items()], "depth int, bits long, _at int")
+            named = written.join(numbers, ["depth", "bits"])
+        named = named.withColumn("bucket", F.concat_ws("-", "depth", "bits"))
         named.repartitionById(len(places), F.col("_at")).drop("depth", "bits", "_at").write.mode("overwrite").partitionBy(
             "bucket"
         ).parquet(path)
@@ -214,16 +213,26 @@ def _placed(rows: DataFrame, key: str, buckets: list[tuple[int, int, int]], spar
     A row's hash has one candidate for each depth in use, of which one is there.
     """
     hashed = F.xxhash64(key)
+    mask = F.expr("shiftleft(1L, depth) - 1L")
+    if len(buckets) == 1 and buckets[0][0] == 0:
+        return rows.withColumn("depth", F.lit(buckets[0][2])).withColumn("bits", hashed.bitwiseAND(mask))
     depths = sorted({d for d, _, _ in buckets})
     low = lambda d: hashed.bitwiseAND(F.lit((1 << d) - 1).cast("long"))
     candidates = F.array(*[F.struct(F.lit(d).alias("d"), low(d).alias("b")) for d in depths])
-    directory = spark.createDataFrame(buckets, "_d int, _b long, depth int")
+    directory = _table(spark, buckets, "_d int, _b long, depth int")
     tried = rows.withColumn("_try", F.explode(candidates))
     met = tried.join(directory, (F.col("_try.d") == F.col("_d")) & (F.col("_try.b") == F.col("_b")))
-    mask = F.expr("shiftleft(1L, depth) - 1L")
     return met.withColumn("bits", hashed.bitwiseAND(mask)).drop("_try", "_d", "_b")
 
 
+def _table(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
+    """Rows of the driver as a frame whose size Spark knows."""
+    names = [field.split()[0] for field in schema.split(", ")]
+    text = json.dumps([dict(zip(names, row)) for row in rows])
+    shape = ", ".join(f"{n}:{t}" for n, t in (field.split() for field in schema.split(", ")))
+    return spark.range(1).select(F.inline(F.from_json(F.lit(text), f"array<struct<{shape}>>")))
+
+
 class Snapshot(Store):
     """A store of one keyed table."""
 
