@@ -262,20 +262,35 @@ def test_first_order_of_every_status(spark, tmp_path, monkeypatch):
     assert {r._source: r.at for r in place(taken[0][1]).collect()} == earliest and len(earliest) > len(kinds)
 
 
-def test_error_report(spark, tmp_path):
-    reason, file = "String length exceeds DDL length", "s3://songs/A/T.json"
-    log = spark.createDataFrame([(file + " ", "artist_location ", reason)] * 2, "filename string, colname string, err_reason string")
-    report = reports.error_report(log).first().asDict(recursive=True)
-    assert report == {"colname": "artist_location", "part": 0, "errors": [{"err_reason": reason, "filename": file}] * 2}
-    assert len(reports.error_report(log, dedup=True).first()["errors"]) == 1
-    reports.write_report(reports.error_report(log), str(tmp_path / "r"))
-    assert spark.read.json(str(tmp_path / "r")).count() == 1
+def document(folder):
+    """The parts of a written document, put together."""
+    return json.loads("\n".join(p.read_text() for p in sorted(folder.glob("part-*"))))
 
 
-def test_long_error_lists_continue(spark):
-    log = spark.range(95).select(F.lit("f").alias("filename"), F.lit("c").alias("colname"), F.lit("r").alias("err_reason"))
-    sizes = [len(r["errors"]) for r in reports.error_report(log, parts=10).collect()]
-    assert sum(sizes) == 95 and max(sizes) <= 25 and len(reports.error_report(log).collect()) == 1
+def test_error_document(spark, tmp_path):
+    reason, file = "String length exceeds DDL length", "s3://songs/A/T.json"
+    log = spark.createDataFrame([(file + " ", "artist_location ", reason)] * 2, "filename string, colname string, err_reason string")
+    reports.write_document(log, str(tmp_path / "all"))
+    assert document(tmp_path / "all") == {"artist_location": [{"err_reason": reason, "filename": file}] * 2}
+    reports.write_document(log, str(tmp_path / "once"), dedup=True)
+    assert document(tmp_path / "once") == {"artist_location": [{"err_reason": reason, "filename": file}]}
+    reports.write_document(log.limit(0), str(tmp_path / "none"))
+    assert document(tmp_path / "none") == {}
+
+
+def test_error_document_of_many_pieces(spark, tmp_path):
+    """A column over several pieces, columns within one, and names that need escapes."""
+    names = ["hot"] * 600 + ['q"uote\\', "", "é\n", "z"] * 3
+    data = [(f"f{i:04d}", name, "r" if i % 2 else None) for i, name in enumerate(names)] + [("last", None, "r")]
+    log = spark.createDataFrame(data, "filename string, colname string, err_reason string").repartition(7)
+    lines = reports.document_lines(log)
+    assert lines.select("piece").distinct().count() > 2
+    reports.write_document(log, str(tmp_path / "r"))
+    found = document(tmp_path / "r")
+    wanted = {}
+    for file, name, reason in sorted(data, key=lambda r: (r[2] is not None, r[2] or "", r[0])):
+        wanted.setdefault((name or "").strip(" "), []).append({"err_reason": reason, "filename": file})
+    assert found == wanted and list(found) == sorted(wanted, key=lambda n: n.encode())
 
 
 def test_error_rows_hold_no_lists(spark, tmp_path, monkeypatch):

@@ -1052,6 +1052,28 @@ def error_report(spark, folder):
     return stored.groupBy("colname", "err_reason").agg(F.sum("times").alias("errors"))
 
 
+@query("""WITH log AS (
+    SELECT event_type AS colname, CAST(user_id % 7 AS VARCHAR) AS err_reason, CAST(event_id AS VARCHAR) AS filename FROM events
+), placed AS (
+    SELECT *, lag(colname) OVER o AS prior, lead(colname) OVER o AS later FROM log
+    WINDOW o AS (ORDER BY colname, err_reason, filename)
+)
+SELECT CASE WHEN prior IS NULL THEN '{' ELSE '' END
+    || CASE WHEN prior IS DISTINCT FROM colname THEN '"' || colname || '": [' ELSE '' END
+    || '{"err_reason":"' || err_reason || '","filename":"' || filename || '"}'
+    || CASE WHEN later = colname THEN ',' WHEN later IS NULL THEN ']}' ELSE '],' END AS line
+FROM placed""")
+def error_document(spark, folder):
+    """A report of all events as one document, read back by its lines."""
+    path = scratch_path(spark, "error-document")
+    log = table(spark, folder, "events").select(
+        F.col("event_type").alias("colname"), (F.col("user_id") % 7).cast("string").alias("err_reason"),
+        F.col("event_id").cast("string").alias("filename"),
+    )
+    reports.write_document(log, path)
+    return spark.read.text(path).select(F.col("value").alias("line"))
+
+
 @query("""SELECT event_type AS colname, count(*) AS errors FROM events
 WHERE event_type LIKE 'e%' AND ts > (SELECT max(ts) FROM events WHERE event_type LIKE 'e%' AND ts < TIMESTAMP '2024-01-20')
 GROUP BY 1""")
