@@ -143,6 +143,28 @@ def test_snapshot_splits_and_expires(spark, tmp_path):
     assert again.expire() == []
 
 
+def scanned(df):
+    """Rows that a query's scan hands on, and its answer."""
+    found = df.collect()
+    plan = df._jdf.queryExecution().executedPlan()
+    scan = plan
+    while scan.children().size():
+        scan = scan.children().head()
+    return scan.metrics().apply("numOutputRows").value(), found
+
+
+def test_look_ups_by_another_column_pass_over_row_groups(spark, tmp_path):
+    df = spark.range(60_000).select("id", F.sha2((F.col("id") * 7919 % 30_000).cast("string"), 256).alias("song"))
+    wanted = df.filter("id = 777").first()["song"]
+    read = {}
+    for name, look_ups in (("plain", None), ("bloom", {"song": 1_000})):
+        path = str(tmp_path / name)
+        tables.write_keyed(df, path, ["id"], [], look_ups, 1 << 16)
+        read[name], found = scanned(serving.point_lookup(spark.read.parquet(path), song=wanted))
+        assert len(found) == 2
+    assert read["bloom"] < read["plain"] / 10
+
+
 def test_rows_without_a_key_stay_out(spark):
     old = spark.createDataFrame([(1, "a")], "k int, v string")
     new = spark.createDataFrame([(None, "x"), (None, "y"), (2, "b"), (1, "c")], "k int, v string")

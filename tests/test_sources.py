@@ -178,6 +178,19 @@ def test_budget(spark, logs):
     staging.load_staging(raw, schemas.STAGING_EVENTS, budget=4)
 
 
+def test_loads_are_recorded(spark, logs, tmp_path):
+    raw = json_files.by_name(json_files.read_json_records(spark, logs), schemas.STAGING_EVENTS)
+    history = str(tmp_path / "history")
+    staging.load_staging(raw, schemas.STAGING_EVENTS, budget=4, history=history, load="one")
+    with pytest.raises(staging.TooManyErrors):
+        staging.load_staging(raw, schemas.STAGING_EVENTS, budget=3, history=history, load="two")
+    staging.load_staging(raw.drop("_source").limit(0), schemas.STAGING_EVENTS, history=history, load="three")
+    found = spark.read.schema(staging.HISTORY).parquet(history)
+    assert rows(found, "load", "rejected", "errors", "files", "refused") == [
+        ("one", 3, 3, 3, False), ("three", 0, 0, None, False), ("two", 3, 3, 3, True),
+    ]
+
+
 def test_long_location_is_cut_or_rejected(spark):
     raw = spark.createDataFrame([("S", "x" * 276)], "song_id string, artist_location string")
     contract = T.StructType([f for f in schemas.STAGING_SONGS if f.name in raw.columns])

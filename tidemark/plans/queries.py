@@ -684,6 +684,17 @@ def partition_lookup(spark, folder):
     return found.select("itemInSession", "artist", "song")
 
 
+@query("""SELECT l_orderkey, l_linenumber, l_partkey, l_extendedprice FROM lineitem
+WHERE l_extendedprice IN (SELECT max(l_extendedprice) FROM lineitem)""")
+def song_lookup(spark, folder):
+    """Rows by a value of a column that the table is not in the order of."""
+    path = scratch_path(spark, "by-song")
+    items = table(spark, folder, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice")
+    sinks.write_keyed(items, path, ["l_orderkey"], ["l_linenumber"], {"l_extendedprice": 20_000}, 1 << 19)
+    wanted = items.agg(F.max("l_extendedprice")).first()[0]
+    return serving.point_lookup(spark.read.parquet(path), l_extendedprice=wanted)
+
+
 @query("SELECT turn, role FROM conversations WHERE conv_id = 7 AND role <> 'system'")
 def bound_query(spark, folder):
     return staging.sql_frame(
@@ -1044,6 +1055,27 @@ def staging_rejects(spark, folder):
     return bad.groupBy("colname", "err_reason").agg(F.count(F.lit(1)).alias("errors"))
 
 
+@query("""SELECT CASE o_orderkey % 2 WHEN 0 THEN 'even' ELSE 'odd' END AS load, count(*) AS rows,
+    count(*) FILTER (o_totalprice <> floor(o_totalprice) OR length(o_orderpriority) > 8) AS rejected,
+    count(*) FILTER (o_totalprice <> floor(o_totalprice)) + count(*) FILTER (length(o_orderpriority) > 8) AS errors,
+    CAST(1 AS BIGINT) AS files, true AS refused
+FROM orders GROUP BY 1""")
+def load_history(spark, folder):
+    """The audit table after two loads that both break their budget."""
+    history = scratch_path(spark, "history")
+    orders = table(spark, folder, "orders").withColumn(json_files.SOURCE, F.col("_metadata.file_path"))
+    for odd, name in ((0, "even"), (1, "odd")):
+        records = orders.filter(F.col("o_orderkey") % 2 == odd).select(
+            F.to_json(F.struct("o_orderkey", "o_totalprice", "o_orderpriority")).alias("value"), json_files.SOURCE
+        )
+        raw = json_files.by_name(records, ORDER_CONTRACT)
+        try:
+            staging.load_staging(raw, ORDER_CONTRACT, 10, long_text="reject", history=history, load=name)
+        except staging.TooManyErrors:
+            pass  # the table tells
+    return spark.read.schema(staging.HISTORY).parquet(history).drop("seconds")
+
+
 @query(ORDER_REJECTS_SQL)
 def error_report(spark, folder):
     path = scratch_path(spark, "error-report")

@@ -38,9 +38,29 @@ def write_partitioned(
     ordered.write.mode("overwrite").partitionBy(*keys).parquet(path)
 
 
-def write_keyed(df: DataFrame, path: str, partition_key: list[str], cluster_key: list[str]) -> None:
-    """Parquet in (partition key, cluster key) order; look-ups read the row groups that hold the key."""
-    write_table(df, path, [*partition_key, *cluster_key])
+def write_keyed(
+    df: DataFrame,
+    path: str,
+    partition_key: list[str],
+    cluster_key: list[str],
+    look_ups: dict[str, int] | None = None,
+    group_bytes: int | None = None,
+) -> None:
+    """Parquet in (partition key, cluster key) order; look-ups read the row groups that hold the key.
+
+    ``look_ups`` names further columns that are looked up by value, with the number
+    of different values to expect in a row group: each group gets a Bloom filter
+    of them, so a reader passes over groups that lack the value although the file
+    is in another order. Smaller groups (``group_bytes``) leave more to pass over.
+    """
+    layout = [*partition_key, *cluster_key]
+    writer = df.repartitionByRange(*layout).sortWithinPartitions(*layout).write.mode("overwrite")
+    for column, values in (look_ups or {}).items():
+        writer = writer.option(f"parquet.bloom.filter.enabled#{column}", True)
+        writer = writer.option(f"parquet.bloom.filter.expected.ndv#{column}", values)
+    if group_bytes is not None:
+        writer = writer.option("parquet.block.size", group_bytes)
+    writer.parquet(path)
 
 
 def write_csv(df: DataFrame, path: str) -> None:

@@ -9,6 +9,7 @@ name. Rows whose number of fields differs from their header's are told apart.
 from __future__ import annotations
 
 import csv
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
@@ -128,18 +129,35 @@ def typed(value: Column, dtype: T.DataType) -> Column:
     return F.when(value.contains("e") | value.contains("E"), _scaled(value, dtype)).otherwise(plain)
 
 
+def _let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value worked out once; not compiled, as it is rarely needed and would make long code."""
+    return F.transform(F.array(value), use)[0]
+
+
 def _scaled(value: Column, dtype: T.DataType) -> Column:
     """An integer written with an exponent, by its digits alone; NULL where digits are left behind the point."""
-    form = r"^\s*([+-]?)0*(\d*)(?:\.(\d*))?[eE]([+-]?\d{1,9})\s*$"
-    part = lambda n: F.regexp_extract(value, form, n)
+    form = r"^\s*([+-]?)(\d*)(?:\.(\d*))?[eE]([+-]?\d{1,9})\s*$"
+
+    def parts(text: Column) -> Column:
+        cut = {n: F.regexp_extract(text, form, i) for i, n in enumerate(("sign", "whole", "rest", "power"), 1)}
+        return F.struct(*[c.alias(n) for n, c in cut.items()])
+
+    def stripped(p: Column) -> Column:
+        digits = F.ltrim(F.concat(p["whole"], p["rest"]), F.lit("0"))
+        return F.struct(
+            p["sign"].alias("sign"), F.rtrim(digits, F.lit("0")).alias("kept"),
+            # the power of ten that the digits without their last zeros are multiplied by
+            (p["power"].try_cast("int") - F.length(p["rest"]) + F.length(digits)).alias("end"),
+        )
+
+    def scaled(d: Column) -> Column:
+        power = d["end"] - F.length(d["kept"])
+        text = F.concat(d["sign"], d["kept"], F.repeat(F.lit("0"), F.greatest(power, F.lit(0))))
+        return F.when(d["kept"] == "", F.lit(0).cast(dtype)).when((power >= 0) & (d["end"] <= 19), text.try_cast(dtype))
+
+    # a number has a digit, before or behind the point
     written = value.rlike(r"^\s*[+-]?(?:\d+\.?\d*|\.\d+)[eE][+-]?\d{1,9}\s*$")
-    digits = F.regexp_replace(F.concat(part(2), part(3)), "^0+", "")
-    kept = F.regexp_replace(digits, "0+$", "")
-    # the power of ten that the digits without their last zeros are multiplied by
-    power = part(4).try_cast("int") - F.length(part(3)) + F.length(digits) - F.length(kept)
-    text = F.concat(part(1), kept, F.repeat(F.lit("0"), F.greatest(power, F.lit(0))))
-    fits = (power >= 0) & (power + F.length(kept) <= 19)
-    return F.when(written & (kept == ""), F.lit(0).cast(dtype)).when(written & fits, text.try_cast(dtype))
+    return F.when(written, _let(_let(_let(value, parts), stripped), scaled))
 
 
 def read_lookup(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:

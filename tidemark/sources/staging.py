@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+import time
+
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
 
 from tidemark.functions.text import cut_to_length, too_long
 from tidemark.schemas import max_lengths
@@ -84,20 +86,43 @@ def check_budget(rejected: DataFrame, limit: int = 10) -> None:
         raise TooManyErrors(f"{limit} or more errors; see the exception's rejects", rejected)
 
 
+#: An audit table has a row for each load, also for one that was refused.
+HISTORY = "load string, rows long, rejected long, errors long, files long, seconds double, refused boolean"
+
+
 def load_staging(
     raw: DataFrame,
     schema: T.StructType,
     budget: int | None = 10,
     long_text: str = "truncate",
     unit: str = "chars",
+    history: str | None = None,
+    load: str | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """Parse once into a stored table; return (accepted rows, rejects).
 
-    Raises when there are ``budget`` errors or more; None sets no budget.
+    Raises when there are ``budget`` errors or more; None sets no budget. With
+    ``history`` the load appends a row to the audit table there (``HISTORY``), under
+    the name ``load``: rows, rejected rows and errors are counted by the job that
+    stores the rows, so the source is read once, and files from the one stored
+    column that names them (NULL where there is none).
     """
-    stored = materialize(coerce(raw, schema, long_text, unit), "staging")
+    coerced, seen = coerce(raw, schema, long_text, unit), Observation("load")
+    found = F.size(ERRORS)
+    began = time.monotonic()
+    stored = materialize(coerced.observe(
+        seen, F.count(F.lit(1)).alias("rows"), F.count_if(found > 0).alias("rejected"),
+        F.coalesce(F.sum(found), F.lit(0)).cast("long").alias("errors"),
+    ), "staging")
+    took = time.monotonic() - began
+    refused = budget is not None and seen.get["errors"] >= budget
+    if history is not None:
+        files = stored.select(SOURCE).distinct().count() if SOURCE in stored.columns else None
+        counts = [seen.get[c] for c in ("rows", "rejected", "errors")]
+        row = raw.sparkSession.createDataFrame([(load, *counts, files, took, refused)], HISTORY)
+        row.coalesce(1).write.mode("append").parquet(history)
     bad = materialize(rejects(stored), "rejects")
-    if budget is not None:
+    if refused:
         check_budget(bad, budget)
     return accepted(stored).select(*schema.names), bad
 
