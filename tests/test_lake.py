@@ -30,7 +30,7 @@ def test_logs_to_lake_to_panels(spark, tmp_path):
     staged, bad = warehouse.stage_events(spark, str(logs), paths)
     assert (staged.count(), bad.count()) == (7, 0)
     catalogue, _ = warehouse.stage_songs(spark, str(tmp_path / "songs"))
-    warehouse.write_lake(warehouse.build_star(staged, catalogue), str(tmp_path / "lake"))
+    warehouse.write_lake(warehouse.build_star(staged, catalogue), str(tmp_path / "lake"), artist_directories=True)
     assert (tmp_path / "lake" / "songs" / "year=1987" / "artist_id=A1").is_dir()
     assert (tmp_path / "lake" / "songplay" / "year=2018" / "month=12").is_dir()
 

@@ -498,7 +498,7 @@ UNION ALL SELECT 'time', 0, count(DISTINCT start_time) FROM facts""")
 def lake_build(spark, folder):
     tables = warehouse.build_star(item_log(spark, folder), item_songs(spark, folder))
     path = scratch_path(spark, "lake")
-    warehouse.write_lake(tables, path, artist_directories=False)
+    warehouse.write_lake(tables, path)
     return warehouse.check_star(warehouse.read_lake(spark, path))["keys"]
 
 
@@ -506,7 +506,7 @@ def _lake(spark, folder, name):
     """One table of the lake, written and read back."""
     path = scratch_path(spark, "lake")
     built = warehouse.build_star(item_log(spark, folder), item_songs(spark, folder))
-    warehouse.write_lake({name: built[name]}, path, artist_directories=False)
+    warehouse.write_lake({name: built[name]}, path)
     return warehouse.read_lake(spark, path, [name])[name]
 
 

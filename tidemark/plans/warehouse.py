@@ -37,11 +37,11 @@ def build_star(events: DataFrame, songs: DataFrame) -> dict[str, DataFrame]:
     }
 
 
-def write_lake(tables: dict[str, DataFrame], path: str, artist_directories: bool = True) -> None:
-    """The given star tables as Parquet: songs by year and artist, time and plays by year and month.
+def write_lake(tables: dict[str, DataFrame], path: str, artist_directories: bool = False) -> None:
+    """The given star tables as Parquet: songs by year, in artist order, time and plays by year and month.
 
-    With many artists, pass ``artist_directories=False`` to lay songs out by year
-    only, in artist order.
+    ``artist_directories`` lays songs out in a directory for each year and artist;
+    with many artists that means many small files.
     """
     song_keys = ["year", "artist_id"] if artist_directories else ["year"]
     song_sort = ["song_id"] if artist_directories else ["artist_id", "song_id"]
