@@ -146,10 +146,11 @@ def dedup_lines(
     ``edits`` is 0 for a line that equals the one that stays in its place, 1 for
     a near one; a line that stays names itself. ``line_no`` counts from 0.
     """
-    lines = _lines(docs, id_column, text_column, blanks=True).withColumn("words", _words(F.col("line"))).drop("line")
+    lines = _lines(docs, id_column, text_column, blanks=True)
     place, units = F.struct(*PLACE), _units(F.col("words"), min_words, min_chars)
+    split = lines.withColumn("words", _words(F.col("line"))).drop("line")
     firsts = materialize(
-        lines.filter(F.size("words") > 0).select(
+        split.filter(F.size("words") > 0).select(
             _digest(_plain(F.col("words"))).alias("digest"), place.alias("place"), units.alias("units"),
         ).select("digest", "place", F.when(F.col("units").isNotNull(), _halves(F.col("units"))).alias("halves")).groupBy("digest").agg(F.min("place").alias("first"), F.first("halves").alias("halves")).select(
             "digest", "first.*", "halves"
@@ -164,9 +165,9 @@ def dedup_lines(
     same_place = [F.col(f"a.{c}").eqNullSafe(F.col(f"b.{c}")) for c in PLACE]
     met = lines.alias("a").join(wanted.alias("b"), same_place).select("a.*", "b.after", "b.before")
     # rows that repeat in full bring the same line more than once
-    met = met.groupBy(*PLACE).agg(F.first("words").alias("words"), F.first("after").alias("after"), F.first("before").alias("before"))
+    met = met.groupBy(*PLACE).agg(F.first("line").alias("line"), F.first("after").alias("after"), F.first("before").alias("before"))
     open_lines = materialize(
-        dense_id(met, [F.col(c) for c in PLACE], "number").select(
+        dense_id(met, [F.col(c) for c in PLACE], "number").withColumn("words", _words(F.col("line"))).select(
             F.col("number").alias("line"), *PLACE, _digest(_plain(F.col("words"))).alias("digest"), units.alias("words"),
             "after", "before",
         ), "open-lines",
@@ -189,7 +190,7 @@ def dedup_lines(
     near = materialize(sides.filter(_near(F.col("words"), F.col("other"))).select("digest", "earlier"), "near-lines")
     # a blank line has no digest, and stays
     placed = materialize(
-        lines.select(*PLACE, F.when(F.size("words") > 0, _digest(_plain(F.col("words")))).alias("digest")), "placed-lines"
+        split.select(*PLACE, F.when(F.size("words") > 0, _digest(_plain(F.col("words")))).alias("digest")), "placed-lines"
     )
     known = firsts.select("digest", F.struct(*PLACE).alias("first")).join(near, "digest", "left")
     met = join_heavy(placed.filter("digest IS NOT NULL"), materialize(known, "known-lines"), ["digest"])
