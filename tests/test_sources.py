@@ -216,6 +216,15 @@ def test_whole_numbers(spark):
     assert shorts == [38, 38, None, None, 7, None, None, None, None, None, None, None, None]
 
 
+def test_headers_are_found_without_sorting_the_lines(spark, tmp_path):
+    for k in range(3):
+        (tmp_path / f"{k}.csv").write_text(f"a,{k}\n" + "0,1\n" * 500)
+    found = csv_files.headers(spark, str(tmp_path))
+    assert sorted(r["header"] for r in found.collect()) == ["a,0", "a,1", "a,2"]
+    plan = found._jdf.queryExecution().sparkPlan().toString()
+    assert "ObjectHashAggregate" in plan and "SortAggregate" not in plan
+
+
 def test_csv_columns_and_clean_copy(spark, tmp_path):
     folder = tmp_path / "csv"
     folder.mkdir()

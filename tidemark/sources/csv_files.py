@@ -27,7 +27,9 @@ def headers(spark: SparkSession, path: str | list[str]) -> DataFrame:
     # rows of a file's first block are read in order by one task
     first = lines.select("value", F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("block"),
                          F.monotonically_increasing_id().alias("row")).filter("block = 0")
-    return first.groupBy("path").agg(F.min_by("value", "row").alias("header"))
+    # beside a set Spark aggregates by hash and holds a line a file; for the text alone it would sort all lines
+    found = first.groupBy("path").agg(F.min_by("value", "row").alias("header"), F.collect_set("block").alias("blocks"))
+    return found.filter(F.size("blocks") > 0).select("path", "header")
 
 
 def header_names(line: str) -> list[str]:
@@ -37,7 +39,8 @@ def header_names(line: str) -> list[str]:
 
 def plan(spark: SparkSession, path: str | list[str]) -> list[tuple[list[str], list[str]]]:
     """(names, paths) of each header; one header covers ``path`` as it was given, so no list of files is made."""
-    found = headers(spark, path).withColumn("header", F.rtrim("header"))
+    # stored, as the text would be read for each use
+    found = materialize(headers(spark, path).withColumn("header", F.rtrim("header")), "csv-headers")
     kinds = [r["header"] for r in found.select("header").distinct().orderBy("header").collect()]
     if len(kinds) == 1:
         return [(header_names(kinds[0]), [path] if isinstance(path, str) else list(path))]
