@@ -9,7 +9,7 @@ from tidemark import schemas
 from tidemark.operators import dedup, serving
 from tidemark.plans import star_load, warehouse
 from tidemark.sinks import tables
-from tidemark.streaming.incremental import Snapshot, Store, append_to, ingest_new, upsert_into
+from tidemark.streaming.incremental import Choice, Snapshot, Store, append_to, ingest_new, upsert_into
 
 
 def test_logs_to_lake_to_panels(spark, tmp_path):
@@ -222,6 +222,41 @@ def test_batches_equal_a_full_build(spark, tmp_path):
     assert store.versions() == [1] and star_of(star_load.read_star(store)) == star_of(full)
 
 
+def test_a_store_of_one_table_makes_no_other(spark, tmp_path):
+    loads = batches(spark)
+    plays = []
+    for name, tables in (("all", None), ("one", ("songplay",))):
+        store = star_load.star_store(spark, str(tmp_path / name), tables=tables)
+        for number, (events, songs) in enumerate(loads):
+            assert star_load.load_batch(store, number, events, songs)
+        plays.append(rows(star_load.read_star(store)["songplay"]))
+    assert plays[0] == plays[1] and set(star_load.read_star(store)) == {"songplay"}
+    assert sorted(p.name for p in (tmp_path / "one" / "data").iterdir()) == ["catalog", "songplay"]
+
+
+def test_a_choice_deals_rows_out_once(spark, tmp_path):
+    chosen = []
+
+    def greatest(df, keys):
+        chosen.append(df)
+        return dedup.max_per_key(df, keys, ["v"])
+
+    store = Store(spark, str(tmp_path / "store"), {"t": "k"}, rows=20)
+    frames = [[(i, 1) for i in range(100)], [(i, 2) for i in range(50, 150)], [(7, v) for v in range(500)]]
+    for number, frame in enumerate(frames):
+        made = len(chosen)
+        assert store.commit(number, {"t": (spark.createDataFrame(frame, "k long, v long"), Choice(greatest))})
+        # only rows that repeat a key far beyond a bucket's rows are reduced before
+        assert len(chosen) - made == (2 if number == 2 else 1)
+    # chosen where they were dealt out, without another shuffle
+    plan = dedup.max_per_key(chosen[0], ["bucket", "k"], ["v"])._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1
+    found = {**{i: 1 for i in range(50)}, **{i: 2 for i in range(50, 150)}, 7: 499}
+    assert rows(store.read("t"), "k", "v") == sorted(found.items()) and store.count("t") == 150
+    with pytest.raises(ValueError):
+        store.stage("t", 1, chosen[0])
+
+
 def test_a_batch_that_dies_between_tables_changes_nothing(spark, tmp_path, monkeypatch):
     store = star_load.star_store(spark, str(tmp_path / "store"))
     loads = batches(spark)

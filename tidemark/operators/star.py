@@ -38,6 +38,20 @@ def match_songs(
     return logs.join(renamed, on, "left").drop(*[f"_s_{s}" for s, _ in pairs])
 
 
+def play_facts(matched: DataFrame, precision: str = "s") -> DataFrame:
+    """The columns of the fact table, of plays that have been matched with songs."""
+    return matched.select(
+        "song_id",
+        "artist_id",
+        epoch_to_timestamp(F.col("ts"), precision).alias("start_time"),
+        F.col("userId").alias("user_id"),
+        F.col("sessionId").alias("session_id"),
+        "level",
+        "location",
+        F.col("userAgent").alias("user_agent"),
+    )
+
+
 def build_songplay(
     events: DataFrame,
     songs: DataFrame,
@@ -51,16 +65,7 @@ def build_songplay(
     0 in time order, at the price of a range shuffle and a stored copy.
     """
     wanted = songs.select("song_id", "artist_id", "artist_name", "title", "duration")
-    facts = match_songs(song_plays(events), wanted).select(
-        "song_id",
-        "artist_id",
-        epoch_to_timestamp(F.col("ts"), precision).alias("start_time"),
-        F.col("userId").alias("user_id"),
-        F.col("sessionId").alias("session_id"),
-        "level",
-        "location",
-        F.col("userAgent").alias("user_agent"),
-    )
+    facts = play_facts(match_songs(song_plays(events), wanted), precision)
     names = facts.columns
     if ids == "unique":
         numbered = unique_id(facts, "songplay_id")

@@ -16,10 +16,10 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tidemark.functions.time import calendar_parts
 from tidemark.operators import star
-from tidemark.operators.dedup import first_per_key, insert_ignore, max_per_key
+from tidemark.operators.dedup import first_per_key, max_per_key
 from tidemark.operators.ordered import dense_id
 from tidemark.storage import materialize
-from tidemark.streaming.incremental import Store
+from tidemark.streaming.incremental import Choice, Store
 
 #: Each table and its key; rows of the last two are appended.
 TABLES = {
@@ -28,66 +28,77 @@ TABLES = {
 DETAILS = ["firstName", "lastName", "gender", "level"]
 ARTIST = ["artist_name", "artist_location", "artist_latitude", "artist_longitude"]
 CATALOG = ["song_id", "artist_id", *ARTIST, "title", "year", "duration"]
+#: What is read of an event, beside its user's details.
+PLAY = ["artist", "song", "length", "page", "ts", "userId", "sessionId", "level", "location", "userAgent"]
 
 
-def star_store(spark: SparkSession, path: str, rows: int = 1_000_000) -> Store:
-    return Store(spark, path, TABLES, rows)
+def star_store(spark: SparkSession, path: str, rows: int = 1_000_000, tables: tuple[str, ...] | None = None) -> Store:
+    """A store of the star tables, or of those named and the catalog."""
+    kept = TABLES if tables is None else {name: key for name, key in TABLES.items() if name in (*tables, "catalog")}
+    return Store(spark, path, kept, rows)
 
 
-def _latest(order: list[Column], key: str):
-    """A change that keeps the first of old and new rows of a key."""
-    def change(old: DataFrame | None, new: DataFrame) -> DataFrame:
-        return first_per_key(new if old is None else old.unionByName(new), [key], order)
-    return change
+def _first(rows: DataFrame, key: str, by: str, order: list[Column]) -> DataFrame:
+    """First row of each key in ``order``, which begins with the greatest ``by``: only rows that have it are sorted."""
+    most = materialize(rows.groupBy(F.col(key).alias("_key")).agg(F.max(by).alias("_most")), "most")
+    on = F.col(key).eqNullSafe(F.col("_key")) & F.col(by).eqNullSafe(F.col("_most"))
+    return first_per_key(rows.join(most, on, "left_semi"), [key], order)
 
 
 def load_batch(store: Store, number: int, events: DataFrame, songs: DataFrame) -> bool:
-    """Apply staged ``events`` and ``songs`` as batch ``number``; False if it has been applied before."""
+    """Apply staged ``events`` and ``songs`` as batch ``number``; False if it has been applied before.
+
+    Events are read once, into a join with all songs that is stored; the tables are made from that.
+    """
     if number in store.versions():
         return False
-    events = materialize(events, "batch-events")
-    fresh = materialize(songs.select(*CATALOG), "batch-songs")
+    fresh = store.stage("catalog", number, songs.select(*CATALOG))
     known = store.read("catalog")
     catalog = fresh if known is None else known.unionByName(fresh)
-
-    users = events.select("userId", *DETAILS, "ts")
-    newest = [F.col("ts").desc_nulls_last(), *[F.col(c).asc_nulls_last() for c in DETAILS]]
-
-    values = ["title", "artist_id", "year", "duration"]
-
-    def greatest(old: DataFrame | None, new: DataFrame) -> DataFrame:
-        rows = new.select("song_id", *values)
-        return max_per_key(rows if old is None else old.unionByName(rows), ["song_id"], values)
-
-    # an artist's row may change by a new song, or by a play of any known one
-    pairs = star.MATCH
-    last = events.groupBy(*[e for _, e in pairs]).agg(F.max("ts").alias("last_ts"))
-    plays = last.withColumnsRenamed({e: f"_e_{e}" for _, e in pairs})
-    met = [F.col(s) == F.col(f"_e_{e}") for s, e in pairs]
-    row = ["artist_id", *ARTIST, "year", "last_ts"]
-    artists = fresh.join(plays, met, "left").select(*row)
-    if known is not None:
-        artists = artists.unionByName(known.join(plays, met).select(*row))
-    by_song = [F.col("year").desc_nulls_last(), F.col("last_ts").desc_nulls_last(), *[F.col(c).asc_nulls_last() for c in ARTIST]]
-
-    facts = star.build_songplay(events, catalog).drop("songplay_id")
-    first = ["start_time", "user_id", "session_id"]
-    order = [F.col(c) for c in first + [c for c in facts.columns if c not in first]]
-    numbered = dense_id(facts, order, "songplay_id", start=store.count("songplay"))
-    times = star.song_plays(events).select(star.epoch_to_timestamp(F.col("ts")).alias("start_time")).distinct()
-    return store.commit(number, {
-        "songs": (fresh, greatest),
-        "artists": (artists, _latest(by_song, "artist_id")),
-        "users": (users, _latest(newest, "userId")),
-        "time": (times, lambda old, new: insert_ignore(old, new, ["start_time"], ["start_time"])),
-        "songplay": numbered,
-        "catalog": fresh,
-    })
+    if {"users", "artists"} & set(store.keys):
+        columns, of_song = list(dict.fromkeys(PLAY + DETAILS)), CATALOG
+    else:
+        events, columns, of_song = star.song_plays(events), PLAY, ["song_id", "artist_id", "artist_name", "title", "duration"]
+    matched = star.match_songs(events.select(*columns), catalog.select(*of_song))
+    met = materialize(matched.drop("song", "length"), "batch-events")
+
+    def users():
+        order = [F.col("ts").desc_nulls_last(), *[F.col(c).asc_nulls_last() for c in DETAILS]]
+        rows = _first(met.select("userId", *DETAILS, "ts"), "userId", "ts", order)
+        return rows, Choice(lambda df, keys: first_per_key(df, keys, order))
+
+    def known_songs():
+        values = ["title", "artist_id", "year", "duration"]
+        return fresh.select("song_id", *values), Choice(lambda df, keys: max_per_key(df, keys, values))
+
+    def artists():
+        # an artist's row may change by a new song, or by a play of any known one
+        order = [F.col("year").desc_nulls_last(), F.col("last_ts").desc_nulls_last(), *[F.col(c).asc_nulls_last() for c in ARTIST]]
+        row = ["artist_id", *ARTIST, "year", "last_ts"]
+        played = met.filter("artist_id IS NOT NULL").withColumnsRenamed({"artist": "artist_name", "ts": "last_ts"})
+        new = fresh.withColumn("last_ts", F.lit(None).cast(met.schema["ts"].dataType))
+        rows = _first(played.select(*row).unionByName(new.select(*row)), "artist_id", "year", order)
+        return rows, Choice(lambda df, keys: first_per_key(df, keys, order))
+
+    def times():
+        rows = star.song_plays(met).select(star.epoch_to_timestamp(F.col("ts")).alias("start_time")).distinct()
+        return rows, Choice(lambda df, keys: df.dropDuplicates(keys))
+
+    def plays():
+        facts = star.play_facts(star.song_plays(met))
+        first = ["start_time", "user_id", "session_id"]
+        order = [F.col(c) for c in first + [c for c in facts.columns if c not in first]]
+        return dense_id(facts, order, "songplay_id", start=store.count("songplay"))
+
+    changes = {"songs": known_songs, "artists": artists, "users": users, "time": times, "songplay": plays, "catalog": lambda: fresh}
+    return store.commit(
+        number, {name: change() for name, change in changes.items() if name in store.keys}, stored=("songs", "catalog")
+    )
 
 
 def read_star(store: Store, version: int | None = None) -> dict[str, DataFrame]:
     """The star tables as of a commit, the last by default; none before the first."""
-    tables = {name: store.read(name, version) for name in ("users", "songs", "artists", "time", "songplay")}
+    tables = {name: store.read(name, version) for name in ("users", "songs", "artists", "time", "songplay") if name in store.keys}
     found = {name: df for name, df in tables.items() if df is not None}
     shaped = {
         "users": lambda df: df.select(

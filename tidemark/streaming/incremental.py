@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 from collections.abc import Callable
+from dataclasses import dataclass
 from datetime import datetime
 from math import ceil, log2
 
@@ -54,6 +55,16 @@ def append_to(path: str) -> Callable[[DataFrame, int], None]:
     return handle
 
 
+@dataclass(frozen=True)
+class Choice:
+    """A change by which old and new rows of a key are alike: ``of(rows, keys)`` makes one row of those equal in ``keys``.
+
+    A store deals such rows out by bucket first, and chooses where they are written.
+    """
+
+    of: Callable[[DataFrame, list[str]], DataFrame]
+
+
 class Store:
     """Tables below one folder that change together, by numbered batches.
 
@@ -108,38 +119,54 @@ class Store:
         known = self.versions()
         return sum(e["rows"] for e in self._entries(known[-1]) if e["table"] == table) if known else 0
 
-    def commit(self, number: int, changes: dict[str, DataFrame | tuple[DataFrame, Change]]) -> bool:
+    def stage(self, table: str, number: int, rows: DataFrame) -> DataFrame:
+        """Write what batch ``number`` appends to a table, and return the stored rows; they count once it is committed."""
+        self._is_next(number)
+        path = f"{self.path}/data/{table}/version={number}"
+        rows.write.mode("overwrite").parquet(path)
+        return self.spark.read.schema(rows.schema).parquet(path)
+
+    def _is_next(self, number: int) -> None:
+        known = self.versions()
+        if known and number <= known[-1]:
+            raise ValueError(f"batch {number} comes after batch {known[-1]}")
+
+    def commit(
+        self, number: int, changes: dict[str, DataFrame | tuple[DataFrame, Change | Choice]], stored: tuple[str, ...] = ()
+    ) -> bool:
         """Apply a batch; False if it has been applied before.
 
-        Of an appended table the change is a frame, of a keyed one a frame and a
+        Of an appended table the change is a frame, or one that ``stage`` has
+        returned. Of a keyed one it is a frame and either a ``Choice`` or a
         function of (the rows of the touched buckets or None, the frame's rows
         that have a key), which returns these buckets' new rows, one a key.
+        ``stored`` names tables whose frames are read from stored ones: of keyed
+        tables they need not be stored again, appended ones are in their place.
         """
         known = self.versions()
         if number in known:
             return False
-        if known and number < known[-1]:
-            raise ValueError(f"batch {number} comes after batch {known[-1]}")
+        self._is_next(number)
         before = self._entries(known[-1]) if known else []
         entries = [e for e in before if e["table"] not in changes]
         for table, what in changes.items():
             own = [e for e in before if e["table"] == table]
             if self.keys[table] is None:
-                entries += own + self._append(table, what, number)
+                staged = what if table in stored else self.stage(table, number, what)
+                entries += [*own, _entry(table, 0, 0, number, staged.count())]
             else:
-                entries += self._merge(table, *what, own, number)
+                entries += self._merge(table, *what, own, number, table in stored)
         found = self.spark.createDataFrame(entries, self.COMMIT).coalesce(1)
         found.write.mode("overwrite").parquet(f"{self.path}/commits/version={number}")
         return True
 
-    def _append(self, table: str, rows: DataFrame, number: int) -> list[Row]:
-        path = f"{self.path}/data/{table}/version={number}"
-        rows.write.mode("overwrite").parquet(path)
-        return [_entry(table, 0, 0, number, self.spark.read.schema(rows.schema).parquet(path).count())]
-
-    def _merge(self, table: str, batch: DataFrame, change: Change, own: list[Row], number: int) -> list[Row]:
+    def _merge(
+        self, table: str, batch: DataFrame, change: Change | Choice, own: list[Row], number: int, stored: bool
+    ) -> list[Row]:
         key = self.keys[table]
-        keyed = materialize(batch.dropna(subset=[key]), "batch")
+        keyed = batch.dropna(subset=[key])
+        if not stored:
+            keyed = materialize(keyed, "batch")
         buckets = {(e["depth"], e["bits"]): e for e in own or [_entry(table, 0, 0, number, 0)]}
         # the new keys of each bucket that the batch touches; there are at most as many as the directory has rows
         new_keys = {}
@@ -147,8 +174,13 @@ class Store:
             new_keys = {at: n for at in buckets if (n := keyed.count())}
         if len(buckets) > 1 or any(buckets[at]["rows"] + n > self.rows for at, n in new_keys.items()):
             found = _placed(keyed.select(key), key, [(d, b, d) for d, b in buckets], self.spark)
-            counted = found.groupBy("depth", "bits").agg(F.approx_count_distinct(F.xxhash64(key)).alias("n"))
-            new_keys = {(r["depth"], r["bits"]): r["n"] for r in counted.collect()}
+            counted = found.groupBy("depth", "bits").agg(
+                F.approx_count_distinct(F.xxhash64(key)).alias("n"), F.count(F.lit(1)).alias("rows")
+            ).collect()
+            new_keys = {(r["depth"], r["bits"]): r["n"] for r in counted}
+            if isinstance(change, Choice) and any(r["rows"] > max(self.rows, 1.25 * r["n"]) for r in counted):
+                # rows that repeat keys are reduced before they travel
+                keyed = materialize(change.of(keyed, [key]), "batch")
         if not new_keys:
             return own
         targets = []
@@ -158,23 +190,28 @@ class Store:
             more = max(0, ceil(log2(most / (0.75 * self.rows)))) if most > self.rows else 0
             targets.append((depth, bits, depth + more))
         old = self._read([buckets[at] for at in new_keys])
-        merged = change(old, keyed)
-        written = _placed(merged, key, targets, self.spark)
         places = {}
         for depth, bits, wanted in targets:
             for i in range(1 << (wanted - depth)):
                 places[wanted, bits | i << depth] = len(places)
         path = f"{self.path}/data/{table}/version={number}"
-        if len(places) == 1:
-            named = written.withColumn("_at", F.lit(0))
+        bucket = F.concat_ws("-", "depth", "bits").alias("bucket")
+        if isinstance(change, Choice):
+            rows = keyed if old is None else old.unionByName(keyed)
+            # keys of a bucket lie together, so the choice needs no other shuffle
+            dealt = _placed(rows, key, targets, self.spark).select(*rows.columns, bucket).repartition("bucket")
+            written = change.of(dealt, ["bucket", key])
         else:
-            numbers = _table(self.spark, [(d, b, i) for (d, b), i in places.items()], "depth int, bits long, _at int")
-            named = written.join(numbers, ["depth", "bits"])
-        named = named.withColumn("bucket", F.concat_ws("-", "depth", "bits"))
-        named.repartitionById(len(places), F.col("_at")).drop("depth", "bits", "_at").write.mode("overwrite").partitionBy(
-            "bucket"
-        ).parquet(path)
-        names = self.spark.read.schema(f"{key} {merged.schema[key].dataType.simpleString()}, bucket string").parquet(path)
+            written = _placed(change(old, keyed), key, targets, self.spark)
+            if len(places) == 1:
+                named = written.withColumn("_at", F.lit(0))
+            else:
+                numbers = _table(self.spark, [(d, b, i) for (d, b), i in places.items()], "depth int, bits long, _at int")
+                named = written.join(numbers, ["depth", "bits"])
+            named = named.withColumn("bucket", bucket).repartitionById(len(places), F.col("_at"))
+            written = named.drop("depth", "bits", "_at")
+        written.write.mode("overwrite").partitionBy("bucket").parquet(path)
+        names = self.spark.read.schema(f"{key} {keyed.schema[key].dataType.simpleString()}, bucket string").parquet(path)
         sizes = {r["bucket"]: r["n"] for r in names.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).collect()}
         changed = [_entry(table, d, b, number, sizes.get(f"{d}-{b}", 0)) for d, b in places]
         return [e for at, e in buckets.items() if at not in new_keys] + changed
