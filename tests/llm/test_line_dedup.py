@@ -132,3 +132,13 @@ def test_null_and_repeated_ids(spark):
     found = line_dedup.dedup_lines(spark.createDataFrame(data, "doc_id long, text string")).collect()
     assert sum(r.kept for r in found) == 1 and len(found) == 4
     assert [r.doc_id for r in found if r.kept] == [None]
+
+
+def test_a_text_is_hashed_once_and_not_for_each_line(spark):
+    df = spark.createDataFrame([(1, " a  b\n\tc d \n \n" * 3)], "doc_id long, text string")
+    lines = line_dedup._lines(df, "doc_id", "text", blanks=True)
+    plan = lines._jdf.queryExecution().optimizedPlan().toString()
+    # what is printed below the generator runs before it
+    assert plan.index("Generate") < plan.index("xxhash64") and plan.count("xxhash64") == 1
+    found = lines.filter(line_dedup._has_words(F.col("line"))).select(line_dedup._plain(F.col("line")).alias("p")).distinct()
+    assert rows(found) == [("a b",), ("c d",)]

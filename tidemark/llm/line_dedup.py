@@ -53,25 +53,29 @@ def _lines(docs: DataFrame, id_column: str, text_column: str, blanks: bool = Fal
     """The place and the text (``line``) of all lines, with ``blanks`` all other white space a blank."""
     source = docs.select(F.col(id_column).alias("doc"), F.col(text_column).alias("text")).filter("text IS NOT NULL")
     text = without(F.col("text"), "\x09\x0b\x0c\x0d", " ") if blanks else F.col("text")
-    return source.select(
-        "doc", F.xxhash64("text").alias("of"), F.posexplode(F.split(text, "\n")).alias("line_no", "line")
-    )
+    # what stands beside a generator is worked out for each of its rows, so the text is hashed before
+    parts = source.select("doc", F.xxhash64("text").alias("of"), F.split(text, "\n").alias("parts"))
+    return parts.select("doc", "of", F.posexplode("parts").alias("line_no", "line"))
 
 
 def _words(line: Column) -> Column:
-    return F.filter(F.split(line, " "), lambda w: w != "")
+    return F.array_remove(F.split(line, " "), "")
+
 
+def _plain(line: Column) -> Column:
+    """The line's words set one blank apart; most lines are so as they stand."""
+    stands = ~(line.contains("  ") | line.startswith(" ") | line.endswith(" "))
+    return F.when(stands, line).otherwise(F.array_join(_words(line), " "))
 
-def _plain(words: Column) -> Column:
-    return F.array_join(words, " ")
 
+def _has_words(line: Column) -> Column:
+    return F.trim(line) != ""
 
-def _units(words: Column, min_words: int, min_chars: int) -> Column:
+
+def _units(plain: Column, words: Column, min_words: int, min_chars: int) -> Column:
     """Words, or characters of a short line, or NULL; a character has a blank before it, which no word has."""
-    characters = F.transform(F.split(_plain(words), ""), lambda c: F.concat(F.lit(" "), c))
-    return F.when(F.size(words) >= max(min_words, 2), words).when(
-        F.length(_plain(words)) >= max(min_chars, 2), characters
-    )
+    characters = F.transform(F.split(plain, ""), lambda c: F.concat(F.lit(" "), c))
+    return F.when(F.size(words) >= max(min_words, 2), words).when(F.length(plain) >= max(min_chars, 2), characters)
 
 
 def _digest(line: Column) -> Column:
@@ -147,11 +151,11 @@ def dedup_lines(
     a near one; a line that stays names itself. ``line_no`` counts from 0.
     """
     lines = _lines(docs, id_column, text_column, blanks=True)
-    place, units = F.struct(*PLACE), _units(F.col("words"), min_words, min_chars)
-    split = lines.withColumn("words", _words(F.col("line"))).drop("line")
+    place, units = F.struct(*PLACE), _units(F.col("plain"), F.split("plain", " "), min_words, min_chars)
+    plain = _plain(F.col("line")).alias("plain")
     firsts = materialize(
-        split.filter(F.size("words") > 0).select(
-            _digest(_plain(F.col("words"))).alias("digest"), place.alias("place"), units.alias("units"),
+        lines.filter(_has_words(F.col("line"))).select(*PLACE, plain).select(
+            _digest(F.col("plain")).alias("digest"), place.alias("place"), units.alias("units"),
         ).select("digest", "place", F.when(F.col("units").isNotNull(), _halves(F.col("units"))).alias("halves")).groupBy("digest").agg(F.min("place").alias("first"), F.first("halves").alias("halves")).select(
             "digest", "first.*", "halves"
         ), "first-lines",
@@ -167,8 +171,8 @@ def dedup_lines(
     # rows that repeat in full bring the same line more than once
     met = met.groupBy(*PLACE).agg(F.first("line").alias("line"), F.first("after").alias("after"), F.first("before").alias("before"))
     open_lines = materialize(
-        dense_id(met, [F.col(c) for c in PLACE], "number").withColumn("words", _words(F.col("line"))).select(
-            F.col("number").alias("line"), *PLACE, _digest(_plain(F.col("words"))).alias("digest"), units.alias("words"),
+        dense_id(met, [F.col(c) for c in PLACE], "number").withColumn("plain", _plain(F.col("line"))).select(
+            F.col("number").alias("line"), *PLACE, _digest(F.col("plain")).alias("digest"), units.alias("words"),
             "after", "before",
         ), "open-lines",
     )
@@ -190,7 +194,7 @@ def dedup_lines(
     near = materialize(sides.filter(_near(F.col("words"), F.col("other"))).select("digest", "earlier"), "near-lines")
     # a blank line has no digest, and stays
     placed = materialize(
-        split.select(*PLACE, F.when(F.size("words") > 0, _digest(_plain(F.col("words")))).alias("digest")), "placed-lines"
+        lines.select(*PLACE, F.when(_has_words(F.col("line")), _digest(_plain(F.col("line")))).alias("digest")), "placed-lines"
     )
     known = firsts.select("digest", F.struct(*PLACE).alias("first")).join(near, "digest", "left")
     met = join_heavy(placed.filter("digest IS NOT NULL"), materialize(known, "known-lines"), ["digest"])
