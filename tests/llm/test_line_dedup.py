@@ -142,3 +142,21 @@ def test_a_text_is_hashed_once_and_not_for_each_line(spark):
     assert plan.index("Generate") < plan.index("xxhash64") and plan.count("xxhash64") == 1
     found = lines.filter(line_dedup._has_words(F.col("line"))).select(line_dedup._plain(F.col("line")).alias("p")).distinct()
     assert rows(found) == [("a b",), ("c d",)]
+
+
+def test_a_text_is_parted_once_and_halves_meet(spark):
+    df = spark.createDataFrame([(1, "one two three four five\nsix")], "doc_id long, text string")
+    plan = line_dedup._lines(df, "doc_id", "text", blanks=True)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("split(") == 1
+    # a line and one with a unit changed, lost or added share a half, whatever their lengths
+    rnd, data = random.Random(5), []
+    for pair in range(300):
+        chars = pair % 2
+        a = [rnd.choice("abcdé𝒳") for _ in range(rnd.randrange(8, 20))] if chars else [rnd.choice(["a", "bc"]) for _ in range(rnd.randrange(5, 20))]
+        at, b = rnd.randrange(len(a)), list(a)
+        b[at : at + rnd.randrange(2)] = [] if len(a) > (8 if chars else 5) and rnd.random() < 0.5 else [rnd.choice("xyz")]
+        data += [(pair, ("" if chars else " ").join(x)) for x in (a, b)]
+    lines = spark.createDataFrame(data, "pair int, plain string")
+    keyed = line_dedup._with_halves(lines, 5, 8).select("pair", "plain", F.inline(line_dedup._keys_of_halves()))
+    met = keyed.alias("a").join(keyed.alias("b"), ["pair", "half"]).filter("a.plain <> b.plain").select("pair").distinct()
+    assert rows(met) == [(p,) for p in sorted({p for p, _ in data}) if len({x for q, x in data if q == p}) > 1]

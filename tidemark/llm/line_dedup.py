@@ -25,8 +25,10 @@ is equal or near.
 5. Each line is verified against that partner by its units; a line that fails
    (a hash collision) stays.
 
-Lines learn what became of them by their digests; digests of many lines meet that
-by a broadcast of their few rows, and blank lines need no join.
+Texts are parted into lines in one pass, which stores each line's place, digest and
+hashed halves but not the line; the texts of lines that are compared part again. Lines
+learn what became of them by their digests; digests of many lines meet that by a
+broadcast of their few rows, and blank lines need no join.
 
 All steps are native expressions. NULL texts have no lines, empty ones a blank
 one. Documents with equal ids or none are told apart by their texts' digests; rows
@@ -49,13 +51,19 @@ MIN_WORDS, MIN_CHARS = 5, 8
 PLACE = ["doc", "of", "line_no"]
 
 
-def _lines(docs: DataFrame, id_column: str, text_column: str, blanks: bool = False) -> DataFrame:
-    """The place and the text (``line``) of all lines, with ``blanks`` all other white space a blank."""
+def _parts(docs: DataFrame, id_column: str, text_column: str, blanks: bool = False) -> DataFrame:
+    """The id, what tells equal ids apart, and the lines (``parts``) of all texts."""
     source = docs.select(F.col(id_column).alias("doc"), F.col(text_column).alias("text")).filter("text IS NOT NULL")
     text = without(F.col("text"), "\x09\x0b\x0c\x0d", " ") if blanks else F.col("text")
     # what stands beside a generator is worked out for each of its rows, so the text is hashed before
-    parts = source.select("doc", F.xxhash64("text").alias("of"), F.split(text, "\n").alias("parts"))
-    return parts.select("doc", "of", F.posexplode("parts").alias("line_no", "line"))
+    return source.select("doc", F.xxhash64("text").alias("of"), F.split(text, "\n").alias("parts"))
+
+
+def _lines(docs: DataFrame, id_column: str, text_column: str, blanks: bool = False) -> DataFrame:
+    """The place and the text (``line``) of all lines, with ``blanks`` all other white space a blank."""
+    parts = _parts(docs, id_column, text_column, blanks)
+    # no text is without a line; the plain generator would have each split twice, once to see that
+    return parts.select("doc", "of", F.posexplode_outer("parts").alias("line_no", "line"))
 
 
 def _words(line: Column) -> Column:
@@ -82,26 +90,48 @@ def _digest(line: Column) -> Column:
     return F.unhex(F.md5(line.cast("binary")))
 
 
-def _halves(words: Column) -> Column:
-    """About half a line, from its start and from its end, as (``half``, ``first``, ``h``); ``words`` are its units.
+def _half(plain: Column, by_words: Column, h: Column, first: bool) -> Column:
+    """A hash of the first or last ``h`` words, or else characters, taken from the text as it stands."""
+    words = F.call_function("substring_index", plain, F.lit(" "), h if first else -h)
+    characters = F.left(plain, h) if first else F.right(plain, h)
+    return F.xxhash64(F.lit("first" if first else "last"), by_words, h, F.when(by_words, words).otherwise(characters))
+
+
+def _with_halves(lines: DataFrame, min_words: int, min_chars: int) -> DataFrame:
+    """``lines`` with ``units``, the number of units (NULL: none), and hashes of about half a ``plain`` line.
 
     Of two near lines of n and at most n units, those before the change or those
     after it are equal, and so are the first or the last h units for any
     h <= (n - 1) / 2 or, for two of n units, h <= n / 2. Lines of 4 k to
-    4 k + 3 units take h = 2 k, and those of 4 k units h = 2 k - 2 as well, by
-    which they meet lines of one unit less.
+    4 k + 3 units take h = 2 k (``first`` and ``last``), and those of 4 k units
+    h = 2 k - 2 as well (``first_less`` and ``last_less``), by which they meet
+    lines of one unit less.
     """
-    n = F.size(words)
+    plain, by_words = F.col("plain"), F.col("words") >= max(min_words, 2)
+    units = F.when(by_words, F.col("words")).when(F.length(plain) >= max(min_chars, 2), F.length(plain))
+    counted = lines.withColumn("words", F.size(F.split(plain, " "))).withColumn("units", units)
+    n, h = F.col("units"), _half_units(F.col("units"))
+    return counted.withColumns({
+        "first": F.when(n.isNotNull(), _half(plain, by_words, h, True)),
+        "last": F.when(n.isNotNull(), _half(plain, by_words, h, False)),
+        "first_less": F.when(n % 4 == 0, _half(plain, by_words, h - 2, True)),
+        "last_less": F.when(n % 4 == 0, _half(plain, by_words, h - 2, False)),
+    }).drop("words")
+
 
-    def keys(h: Column) -> list[Column]:
-        start = F.greatest(n - h + 1, F.lit(1))
-        return [
-            F.struct(F.xxhash64(F.lit("first"), h, F.slice(words, 1, h)).alias("half"), F.lit(True).alias("first"), h.alias("h")),
-            F.struct(F.xxhash64(F.lit("last"), h, F.slice(words, start, h)).alias("half"), F.lit(False).alias("first"), h.alias("h")),
-        ]
+HALVES = ["units", "first", "last", "first_less", "last_less"]
 
-    h = (F.floor(n / 4) * 2).cast("int")
-    return F.when(n % 4 == 0, F.array(*keys(h), *keys(h - 2))).otherwise(F.array(*keys(h)))
+
+def _half_units(n: Column) -> Column:
+    return (F.floor(n / 4) * 2).cast("int")
+
+
+def _keys_of_halves() -> Column:
+    """The columns of ``_with_halves`` as rows (``half``, ``at_start``, ``h``)."""
+    h = _half_units(F.col("units"))
+    sides = [("first", True, h), ("last", False, h), ("first_less", True, h - 2), ("last_less", False, h - 2)]
+    made = F.array(*[F.struct(F.col(c).alias("half"), F.lit(at).alias("at_start"), x.alias("h")) for c, at, x in sides])
+    return F.when(F.col("units") % 4 == 0, made).when(F.col("units").isNotNull(), F.slice(made, 1, 2))
 
 
 def _variants(lines: DataFrame) -> DataFrame:
@@ -151,25 +181,36 @@ def dedup_lines(
     a near one; a line that stays names itself. ``line_no`` counts from 0.
     """
     lines = _lines(docs, id_column, text_column, blanks=True)
-    place, units = F.struct(*PLACE), _units(F.col("plain"), F.split("plain", " "), min_words, min_chars)
-    plain = _plain(F.col("line")).alias("plain")
+    place = F.struct(*PLACE)
+    plain = F.when(_has_words(F.col("line")), _plain(F.col("line"))).alias("plain")
+    # the one pass that parts all texts; a blank line has no digest, and stays
+    placed = materialize(
+        _with_halves(lines.select(*PLACE, plain), min_words, min_chars)
+        .select(*PLACE, _digest(F.col("plain")).alias("digest"), *HALVES), "placed-lines",
+    )
     firsts = materialize(
-        lines.filter(_has_words(F.col("line"))).select(*PLACE, plain).select(
-            _digest(F.col("plain")).alias("digest"), place.alias("place"), units.alias("units"),
-        ).select("digest", "place", F.when(F.col("units").isNotNull(), _halves(F.col("units"))).alias("halves")).groupBy("digest").agg(F.min("place").alias("first"), F.first("halves").alias("halves")).select(
-            "digest", "first.*", "halves"
-        ), "first-lines",
+        placed.filter("digest IS NOT NULL").groupBy("digest").agg(
+            F.min(place).alias("place"), *[F.first(c).alias(c) for c in HALVES]
+        ).select("digest", "place.*", *HALVES), "first-lines",
     )
     # halves that different lines share
-    keyed = firsts.select(F.xxhash64("digest").alias("mark"), *PLACE, F.inline("halves"))
+    keyed = firsts.select(F.xxhash64("digest").alias("mark"), *PLACE, F.inline(_keys_of_halves()))
     shared = keyed.groupBy("half").agg(F.min("mark").alias("least"), F.max("mark").alias("most")).filter("least < most")
     wanted = keyed.drop("mark").join(shared.select("half"), "half", "left_semi").groupBy(*PLACE).agg(
-        F.min(F.when(F.col("first"), F.col("h"))).alias("after"), F.min(F.when(~F.col("first"), F.col("h"))).alias("before")
+        F.min(F.when(F.col("at_start"), F.col("h"))).alias("after"), F.min(F.when(~F.col("at_start"), F.col("h"))).alias("before")
+    )
+    # whole texts travel to the wanted lines, as they are fewer rows than all lines
+    asked = wanted.groupBy("doc", "of").agg(F.collect_list(F.struct("line_no", "after", "before")).alias("asked"))
+    same_text = [F.col(f"a.{c}").eqNullSafe(F.col(f"b.{c}")) for c in ("doc", "of")]
+    found = F.transform("asked", lambda x: F.struct(
+        x["line_no"].alias("line_no"), F.get("parts", x["line_no"]).alias("line"), x["after"].alias("after"), x["before"].alias("before")
+    ))
+    met = _parts(docs, id_column, text_column, blanks=True).alias("a").join(asked.alias("b"), same_text).select(
+        "a.doc", "a.of", F.inline(found)
     )
-    same_place = [F.col(f"a.{c}").eqNullSafe(F.col(f"b.{c}")) for c in PLACE]
-    met = lines.alias("a").join(wanted.alias("b"), same_place).select("a.*", "b.after", "b.before")
     # rows that repeat in full bring the same line more than once
     met = met.groupBy(*PLACE).agg(F.first("line").alias("line"), F.first("after").alias("after"), F.first("before").alias("before"))
+    units = _units(F.col("plain"), F.split("plain", " "), min_words, min_chars)
     open_lines = materialize(
         dense_id(met, [F.col(c) for c in PLACE], "number").withColumn("plain", _plain(F.col("line"))).select(
             F.col("number").alias("line"), *PLACE, _digest(F.col("plain")).alias("digest"), units.alias("words"),
@@ -192,12 +233,8 @@ def dedup_lines(
         ), "partner",
     )
     near = materialize(sides.filter(_near(F.col("words"), F.col("other"))).select("digest", "earlier"), "near-lines")
-    # a blank line has no digest, and stays
-    placed = materialize(
-        lines.select(*PLACE, F.when(_has_words(F.col("line")), _digest(_plain(F.col("line")))).alias("digest")), "placed-lines"
-    )
     known = firsts.select("digest", F.struct(*PLACE).alias("first")).join(near, "digest", "left")
-    met = join_heavy(placed.filter("digest IS NOT NULL"), materialize(known, "known-lines"), ["digest"])
+    met = join_heavy(placed.filter("digest IS NOT NULL").select(*PLACE, "digest"), materialize(known, "known-lines"), ["digest"])
     keep = F.coalesce("earlier", "first")
     judged = met.select(
         *PLACE, keep.alias("keep"), F.col("earlier").isNotNull().alias("edited"),
