@@ -1,3 +1,4 @@
+import random
 from datetime import datetime
 
 import pytest
@@ -101,6 +102,29 @@ def test_artists_by_year_then_play(spark):
     assert rows(first, "artist_id", "artist_location") == [("A1", "unknown year"), ("A2", "silent")]
 
 
+def test_artists_join_only_songs_of_the_newest_year(spark):
+    rnd = random.Random(4)
+    data = [(rnd.choice(["A", "B", "C", None]), rnd.choice("xyz"), rnd.choice([None, "s", "t"]), rnd.choice([0.0, -0.0, 2.5]),
+             rnd.choice([None, 1980, 1981, 1982]), str(i)) for i in range(60)]
+    columns = "artist_id string, artist_name string, title string, duration double, year int, place string"
+    told = [(rnd.choice("xyz"), rnd.choice([None, "s"]), rnd.choice([0.0, 2.5]), rnd.choice([None, 1, 2, 3])) for _ in range(9)]
+    plays = spark.createDataFrame(told, "artist string, song string, length double, ts long")
+    for nulls in ("last", "first"):
+        def place(row, nulls=nulls):
+            times = [t[3] for t in told if t[:3] == row[1:4] and None not in t[:2] and t[3] is not None]
+            least = float("-inf" if nulls == "last" else "inf")
+            found = max(times) if times else least
+            return (-(least if row[4] is None else row[4]), -found, row[5])
+        first = {k: min((r for r in data if r[0] == k), key=place)[5] for k in {r[0] for r in data}}
+        latest = star.latest_artists(
+            spark.createDataFrame(data, columns), plays, "artist_id", "year", star.MATCH, ["place"], nulls
+        )
+        assert {r.artist_id: r.place for r in latest.collect()} == first
+    # what is joined has been reduced to the newest years on both sides
+    plan = latest._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Join LeftOuter") < plan.index("rank(") < plan.index("Union") and "AND _asked" in plan
+
+
 def test_time_parts(spark):
     log = events(spark, dict(PLAY, ts=DAY + 1), dict(PLAY, ts=DAY + 2), dict(ts=DAY + 3000, page="Home"))
     start = datetime(2018, 10, 31, 15, 33, 20)

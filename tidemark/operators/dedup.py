@@ -12,10 +12,10 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 
-def first_per_key(df: DataFrame, key: list[str], order: list[Column]) -> DataFrame:
-    """First row of each key in ``order``."""
+def first_per_key(df: DataFrame, key: list[str], order: list[Column], ties: bool = False) -> DataFrame:
+    """First row of each key in ``order``; with ``ties`` all rows that come first."""
     w = Window.partitionBy(*key).orderBy(*order)
-    return df.withColumn("_rank", F.row_number().over(w)).filter(F.col("_rank") == 1).drop("_rank")
+    return df.withColumn("_rank", (F.rank() if ties else F.row_number()).over(w)).filter(F.col("_rank") == 1).drop("_rank")
 
 
 def latest_with_ties(df: DataFrame, key: str, by: str) -> DataFrame:

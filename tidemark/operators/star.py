@@ -124,15 +124,23 @@ def latest_artists(songs: DataFrame, plays: DataFrame, key: str, year: str, pair
 
     ``plays`` holds the columns of ``pairs`` and ``ts``. It is reduced to the last
     time per song before the join: the same answer without fan-out, and the
-    reduction starts in the map tasks.
+    reduction starts in the map tasks. Only songs of a key's newest year need
+    that time; songs that a newer one in their task rules out go first, and the
+    names of the others go through the same grouping, so that it drops the times
+    of all other songs before anything is joined.
     """
-    last = plays.groupBy(*[e for _, e in pairs]).agg(F.max("ts").alias("_last_ts"))
-    renamed = last.withColumnsRenamed({e: f"_e_{e}" for _, e in pairs})
-    joined = songs.join(renamed, [F.col(s) == F.col(f"_e_{e}") for s, e in pairs], "left")
-
     def newest(name):
         return F.col(name).desc_nulls_last() if nulls == "last" else F.col(name).desc_nulls_first()
 
+    # the newest of each task hold the newest of all, and many songs of one key and year stay spread over the tasks
+    told_apart = songs.withColumn("_task", F.spark_partition_id())
+    candidates = first_per_key(told_apart, [key, "_task"], [newest(year)], ties=True).drop("_task")
+    names = [e for _, e in pairs]
+    asked = candidates.select(*[F.col(s).alias(e) for s, e in pairs], F.lit(None).alias("ts"), F.lit(True).alias("_asked"))
+    told = plays.select(*names, "ts", F.lit(False).alias("_asked")).unionByName(asked)
+    last = told.groupBy(*names).agg(F.max("ts").alias("_last_ts"), F.bool_or("_asked").alias("_asked"))
+    renamed = last.filter("_asked").drop("_asked").withColumnsRenamed({e: f"_e_{e}" for e in names})
+    joined = candidates.join(renamed, [F.col(s) == F.col(f"_e_{e}") for s, e in pairs], "left")
     order = [newest(year), newest("_last_ts"), *[F.col(c).asc_nulls_last() for c in tie_break]]
     return first_per_key(joined, [key], order).select(*songs.columns)
 
